@@ -1,0 +1,95 @@
+"""Run registered queries beside their oracle SQL and compare all rows.
+
+    python tests/compare.py 0.01 [query ...]
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'"
+        )
+    return connection
+
+
+def oracle_rows(connection, sql: str) -> tuple[list[str], Counter]:
+    arrow = connection.sql(sql).to_arrow_table()
+    return _rows(arrow)
+
+
+def spark_rows(df) -> tuple[list[str], Counter]:
+    return _rows(df.toArrow())
+
+
+def _rows(arrow) -> tuple[list[str], Counter]:
+    names = sorted(arrow.column_names)
+    columns = [arrow.column(n).to_pylist() for n in names]
+    return names, Counter(map(repr, zip(*columns)))
+
+
+def differences(spark, connection, sf_dir: str, query, sql: str) -> str | None:
+    """None when both sides have the same columns and rows."""
+    names, mine = spark_rows(query(spark, sf_dir))
+    expected_names, expected = oracle_rows(connection, sql)
+    if names != expected_names:
+        return f"columns {names} instead of {expected_names}"
+    if mine != expected:
+        extra, lacking = mine - expected, expected - mine
+        return (
+            f"{sum(mine.values())} rows instead of {sum(expected.values())}; "
+            f"{sum(extra.values())} extra such as {list(extra)[:2]}, "
+            f"{sum(lacking.values())} lacking such as {list(lacking)[:2]}"
+        )
+    return None
+
+
+def main() -> None:
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+    from pyspark.sql import SparkSession
+
+    import workload
+
+    sf_dir = f"/root/testdata/sf{sys.argv[1]}"
+    chosen = sys.argv[2:]
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    connection = connect(sf_dir)
+    bad = 0
+    for name, query in workload.registered().items():
+        if chosen and name not in chosen:
+            continue
+        start = time.time()
+        try:
+            sql = workload.oracles()[name]
+            problem = differences(spark, connection, sf_dir, query, sql)
+        except Exception as error:  # report and go on with the other queries
+            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        bad += problem is not None
+        print(f"{name:24} {time.time() - start:6.2f}s  {problem or 'ok'}", flush=True)
+    print("failed:", bad)
+
+
+if __name__ == "__main__":
+    main()
