@@ -40,6 +40,19 @@ def split_rejects(df: DataFrame, rules: dict[str, Column]) -> Split:
     )
 
 
+def evaluated_once(df: DataFrame, column: str) -> DataFrame:
+    """Keep filters on a column from evaluating the Python function behind it again.
+
+    Spark moves a filter below the projection it refers to and repeats the projected
+    expression there, also when that is a Python function.  A generator with one element
+    holds the filter back, while filters on the other columns still reach the scan.
+    """
+    metadata = next(f.metadata for f in df.schema if f.name == column)
+    others = [c for c in df.columns if c != column]
+    single = F.explode(F.array(F.col(column)))
+    return df.select(*others, single.alias(column)).withMetadata(column, metadata)
+
+
 def observe_counts(
     df: DataFrame, rules: dict[str, Column], name: str = "load"
 ) -> tuple[DataFrame, Observation]:
@@ -62,11 +75,9 @@ def observe_counts(
 def coordinate_rules(geometry: Column, srid: int = DEFAULT_SRID) -> dict[str, Column]:
     """Rules for geometries that no map can hold; null geometries are accepted."""
     box = envelope(geometry)
-    corners = [box[side] for side in ("xmin", "ymin", "xmax", "ymax")]
-    infinite = [
-        F.isnan(v) | (F.abs(v) == F.lit(float("inf"))) for v in corners
-    ]
-    not_finite = infinite[0] | infinite[1] | infinite[2] | infinite[3]
+    # the sum is infinite or not a number as soon as one bound is
+    total = box["xmin"] + box["ymin"] + box["xmax"] + box["ymax"]
+    not_finite = F.isnan(total) | (F.abs(total) == F.lit(float("inf")))
     rules = {"coordinate is not a finite number": not_finite}
     if srid == DEFAULT_SRID:
         rules["latitude out of range"] = (box["ymin"] < -90.0) | (box["ymax"] > 90.0)

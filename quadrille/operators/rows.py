@@ -28,8 +28,10 @@ def with_cell(
     name: str = "cell",
 ) -> DataFrame:
     """Add the cell of each geometry's centroid."""
-    centre = centroid(F.col(geometry))
-    return df.withColumn(name, cell_of_point(centre["x"], centre["y"], zoom))
+    centre = F.col("__centre")
+    placed = df.withColumn("__centre", centroid(F.col(geometry)))
+    cell = cell_of_point(centre["x"], centre["y"], zoom)
+    return placed.withColumn(name, cell).drop("__centre")
 
 
 def cell_rollup(

@@ -10,11 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_SRID
-from ..functions.wkb import from_wkb
-from ..operators.profile import geometry_type_of, max_string_lengths
+from ..operators.profile import (
+    geometry_type_of,
+    max_string_lengths,
+    string_columns,
+)
 from ..operators.quality import (
     cell_rule,
     coordinate_rules,
+    evaluated_once,
     split_rejects,
     wkb_rule,
 )
@@ -23,7 +27,6 @@ from ..operators.schema import (
     DEFAULT_TEXT_LENGTH,
     apply_schema,
     check_import_format,
-    field_type,
     normalize_import_types,
     safe_column_names,
     with_field_facts,
@@ -36,12 +39,14 @@ from ..sources.columns import (
     points_from_xy,
     polygons_from_cells,
     srid_of,
-    with_srid,
 )
 from ..sources.geoparquet import (
     GeoDataset,
+    decode_geometry,
     describe_geoparquet,
+    geometry_name,
     geometry_type_name,
+    has_geoparquet_footer,
 )
 from ..sources.parquet import scan_parquet, scan_partition
 from ..sources.schema_csv import load_schema_csv
@@ -104,85 +109,67 @@ def import_features(
         df = scan_partition(spark, path, partitions)
     else:
         df = scan_parquet(spark, path)
-    footers = describe_geoparquet(spark, path)
-    if chosen != "GEOPARQUET" and footers is not None:
-        warnings.warn(
-            "The dataset appears to be GeoParquet with geometry column "
-            f"'{footers.primary_column}', but geometry_format is {chosen}.",
-            stacklevel=2,
-        )
     if where is not None:
         df = df.where(where)
 
-    placed, kind = _with_geometry(df, chosen, geometry_column, footers, int(srid))
+    placed, kind, rules = _with_geometry(
+        spark, path, df, chosen, geometry_column, int(srid)
+    )
     srid = srid_of(placed)
-    rules = coordinate_rules(F.col("geometry"), srid)
-    if _WKB in placed.columns:
-        rules = {**wkb_rule(F.col(_WKB), F.col("geometry")), **rules}
-    if chosen == "CELL":
-        rules = {**cell_rule(F.col(geometry_column)), **rules}
+    rules = {**rules, **coordinate_rules(F.col("geometry"), srid)}
     split = split_rejects(placed, rules)
-    good = normalize_import_types(
-        safe_column_names(split.good.drop(_WKB)), keep=("geometry",)
-    )
+    good = normalize_import_types(safe_column_names(split.good.drop(_WKB)))
     if schema_file is not None:
         good = apply_schema(good, load_schema_csv(spark, str(schema_file)))
     elif profile_lengths:
-        good = _with_measured_lengths(
-            good, normalize_import_types(safe_column_names(_without_binary(df)))
-        )
+        good = _with_measured_lengths(good, df)
     return ImportedFeatures(sample_rows(good, sample_count), split.rejected, kind, srid)
 
 
 def _with_geometry(
+    spark: SparkSession,
+    path: str,
     df: DataFrame,
     chosen: str,
     column: Sequence[str] | str | None,
-    footers: GeoDataset | None,
     srid: int,
-) -> tuple[DataFrame, str | None]:
-    """Add the geometry column; the second value is the feature type."""
-    if chosen == "COORDINATES":
-        x, y = check_coordinate_columns(df, column)
-        return points_from_xy(_without_binary(df), x, y, srid), "POINT"
-    if chosen == "CELL":
-        name = check_cell_column(df, column)
-        return polygons_from_cells(_without_binary(df), name), "POLYGON"
-    if chosen == "WKB":
-        if column is None or column not in df.columns:
+) -> tuple[DataFrame, str | None, dict[str, Column]]:
+    """Frame with ``geometry``, its feature type, and the rules for a bad source value.
+
+    Rules: null coordinates give a null geometry, which is accepted; a cell id or WKB
+    value that cannot be read is not.
+    """
+    if chosen == "GEOPARQUET":
+        dataset = describe_geoparquet(spark, path)
+        name = geometry_name(df, dataset)
+        decoded = decode_geometry(_without_binary(df, name), name, dataset, _WKB)
+        kinds = dataset.kinds
+    else:
+        primary = has_geoparquet_footer(spark, path)
+        if primary is not None:
+            warnings.warn(
+                f"The dataset appears to be GeoParquet with geometry column "
+                f"'{primary}', but geometry_format is {chosen}.",
+                stacklevel=3,
+            )
+        if chosen == "COORDINATES":
+            x, y = check_coordinate_columns(df, column)
+            return points_from_xy(_without_binary(df), x, y, srid), "POINT", {}
+        if chosen == "CELL":
+            name = check_cell_column(df, column)
+            outlined = polygons_from_cells(_without_binary(df), name)
+            return outlined, "POLYGON", cell_rule(F.col(name))
+        if column not in df.columns:
             raise ValueError(
                 f"The WKB geometry_column '{column}' does not appear to be in the "
                 f"input parquet columns. Available columns: {', '.join(df.columns)}"
             )
-        return _decoded(df, column, {column}, srid), None
-    if footers is None:
-        raise ValueError(
-            "The dataset does not appear to be formatted as GeoParquet: no geometry "
-            "metadata was found. To use coordinate columns or cells, set "
-            "geometry_format."
-        )
-    name = footers.primary_column
-    if name not in df.columns:
-        raise ValueError(
-            f"The primary geometry column '{name}' from the GeoParquet metadata does "
-            f"not exist in the dataset schema. Available columns: {', '.join(df.columns)}"
-        )
-    decoded = _decoded(df, name, set(footers.geometry_columns), footers.srid)
-    if footers.kinds:
-        return decoded, geometry_type_name(footers.kinds)
-    return decoded, geometry_type_of(decoded)
-
-
-def _decoded(df: DataFrame, name: str, geometry_columns: set[str], srid: int):
-    attributes = [
-        c
-        for c in _without_binary(df, keep=name).columns
-        if c not in geometry_columns | {name}
-    ]
-    decoded = df.select(
-        *attributes, F.col(name).alias(_WKB), from_wkb(F.col(name)).alias("geometry")
-    )
-    return with_srid(decoded, srid)
+        dataset = GeoDataset(column, (column,), (), srid)
+        decoded = decode_geometry(_without_binary(df, column), column, dataset, _WKB)
+        kinds = ()
+    decoded = evaluated_once(decoded, "geometry")
+    kind = geometry_type_name(kinds) if kinds else geometry_type_of(decoded)
+    return decoded, kind, wkb_rule(F.col(_WKB), F.col("geometry"))
 
 
 def _without_binary(df: DataFrame, keep: str | None = None) -> DataFrame:
@@ -191,23 +178,15 @@ def _without_binary(df: DataFrame, keep: str | None = None) -> DataFrame:
     return df.drop(*binary)
 
 
-def _with_measured_lengths(good: DataFrame, attributes: DataFrame) -> DataFrame:
+def _with_measured_lengths(good: DataFrame, source: DataFrame) -> DataFrame:
     """Text lengths from the data, measured without touching the geometry."""
-    texts = [
-        f
-        for f in good.drop("geometry").schema
-        if field_type(f.dataType) == "TEXT" and f.name in attributes.columns
-    ]
+    names = [f.name for f in good.schema if f.name != "geometry"]
+    attributes = normalize_import_types(safe_column_names(_without_binary(source)))
+    texts = [n for n in string_columns(attributes) if n in names]
     if not texts:
         return good
-    measured = max_string_lengths(attributes.select(*[f.name for f in texts])).first()
+    measured = max_string_lengths(attributes.select(*texts)).first()
+    aliases = {f.name: f.metadata.get("alias", f.name) for f in good.schema}
     return with_field_facts(
-        good,
-        {
-            f.name: (
-                f.metadata.get("alias", f.name),
-                measured[f.name] or DEFAULT_TEXT_LENGTH,
-            )
-            for f in texts
-        },
+        good, {n: (aliases[n], measured[n] or DEFAULT_TEXT_LENGTH) for n in texts}
     )

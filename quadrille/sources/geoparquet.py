@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import warnings
 from dataclasses import dataclass
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_SRID
 from ..functions.wkb import from_wkb
+from ..session import ship_package
 from .columns import with_srid
 from .files import file_table, read_footers
 from .parquet import scan_parquet, scan_partition
@@ -238,29 +240,55 @@ def describe_geoparquet(spark: SparkSession, path: str) -> GeoDataset | None:
     )
 
 
-def read_geoparquet(
-    spark: SparkSession,
-    path: str,
-    geometry_column: str | None = None,
-    selector: str | None = None,
-    described: GeoDataset | None = None,
-) -> DataFrame:
-    """Scan a GeoParquet dataset with its primary (or the chosen) geometry decoded.
+def has_geoparquet_footer(spark: SparkSession, path: str) -> str | None:
+    """Primary column named by the first file of a dataset; None without a footer."""
+    footer = read_footers(file_table(spark, path).limit(1)).first()
+    if footer is None or footer["geo"] is None:
+        return None
+    return json.loads(footer["geo"]).get("primary_column")
 
-    The result has the attributes and one ``geometry`` struct; the other geometry
-    columns are dropped before the scan, so they are never read.  Bytes that cannot be
-    decoded give a null geometry.
-    """
-    dataset = described or describe_geoparquet(spark, path)
+
+def geometry_name(
+    df: DataFrame, dataset: GeoDataset | None, chosen: str | None = None
+) -> str:
+    """Name of the geometry column to read, after checking that it exists."""
     if dataset is None:
         raise ValueError(_NOT_GEOPARQUET)
-    df = scan_partition(spark, path, selector) if selector else scan_parquet(spark, path)
-    name = geometry_column or dataset.primary_column
+    name = chosen or dataset.primary_column
     if name not in df.columns:
         raise ValueError(
             f"The primary geometry column '{name}' from the GeoParquet metadata does "
             f"not exist in the dataset schema. Available columns: {', '.join(df.columns)}"
         )
+    return name
+
+
+def decode_geometry(
+    df: DataFrame, name: str, dataset: GeoDataset, keep_wkb: str | None = None
+) -> DataFrame:
+    """Replace all geometry columns by the decoded one, ``geometry``.
+
+    The other geometry columns drop out of the plan, so they are never read.  With
+    ``keep_wkb`` the bytes stay under that name.
+    """
     attributes = [c for c in df.columns if c not in {*dataset.geometry_columns, name}]
-    decoded = df.select(*attributes, from_wkb(F.col(name)).alias("geometry"))
+    raw = [F.col(name).alias(keep_wkb)] if keep_wkb else []
+    decoded = df.select(*attributes, *raw, from_wkb(F.col(name)).alias("geometry"))
     return with_srid(decoded, dataset.srid)
+
+
+def read_geoparquet(
+    spark: SparkSession,
+    path: str,
+    geometry_column: str | None = None,
+    selector: str | None = None,
+) -> DataFrame:
+    """Scan a GeoParquet dataset: its attributes and one ``geometry`` struct.
+
+    The primary geometry column is decoded, or the one chosen.  Bytes that cannot be
+    decoded give a null geometry.
+    """
+    ship_package(spark)
+    dataset = describe_geoparquet(spark, path)
+    df = scan_partition(spark, path, selector) if selector else scan_parquet(spark, path)
+    return decode_geometry(df, geometry_name(df, dataset, geometry_column), dataset)
