@@ -170,7 +170,7 @@ def _weighted(moments: Column) -> Column:
 
 
 def _line_centroid(geom: Column) -> Column:
-    """Midpoints of the segments, weighted with the segment lengths."""
+    """Midpoints of the segments, weighted by length; null when all have no length."""
 
     def segment(a: Column, b: Column) -> Column:
         length = F.hypot(b["x"] - a["x"], b["y"] - a["y"])
@@ -186,17 +186,15 @@ def _line_centroid(geom: Column) -> Column:
     segments = F.flatten(F.transform(parts(geom), lambda path: _steps(path, segment)))
     return let(
         _weighted(segments),
-        lambda t: F.when(
-            t["w"] > 0, point_struct(t["x"] / t["w"], t["y"] / t["w"])
-        ).otherwise(_mean_of_points(geom)),
+        lambda t: F.when(t["w"] > 0, point_struct(t["x"] / t["w"], t["y"] / t["w"])),
     )
 
 
 def _polygon_centroid(geom: Column) -> Column:
     """Area-weighted centroid; holes count negatively whatever their winding.
 
-    Coordinates are taken relative to the first vertex, so that a small polygon far from
-    the origin does not lose its digits to cancellation.
+    Null when there is no area.  Coordinates are taken relative to the first
+    vertex, so that a small polygon far from the origin does not lose its digits.
     """
 
     def ring_moment(ring: Column, number: Column, origin: Column) -> Column:
@@ -237,19 +235,22 @@ def _polygon_centroid(geom: Column) -> Column:
                     origin["x"] + t["x"] / (t["w"] * 3.0),
                     origin["y"] + t["y"] / (t["w"] * 3.0),
                 ),
-            ).otherwise(_mean_of_points(geom)),
+            ),
         )
 
     return let(first_point(geom), centre)
 
 
 def centroid(geom: Column) -> Column:
-    """``struct<x, y>``: the point itself, or the mean weighted by length or area."""
-    return (
-        F.when(kind(geom) == "Point", first_point(geom))
-        .when(kind(geom) == "MultiPoint", _mean_of_points(geom))
-        .when(kind(geom).isin("LineString", "MultiLineString"), _line_centroid(geom))
-        .when(kind(geom).isin("Polygon", "MultiPolygon"), _polygon_centroid(geom))
+    """``struct<x, y>``: the point itself, or the mean weighted by length or area.
+
+    Lines without length and polygons without area fall back to the mean of the vertices.
+    """
+    weighted = F.when(
+        kind(geom).isin("LineString", "MultiLineString"), _line_centroid(geom)
+    ).when(kind(geom).isin("Polygon", "MultiPolygon"), _polygon_centroid(geom))
+    return F.when(kind(geom) == "Point", first_point(geom)).otherwise(
+        F.coalesce(weighted, _mean_of_points(geom))
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import unicodedata
@@ -29,22 +30,20 @@ def fold_to_ascii(text: Column) -> Column:
     """Compatibility decomposition (NFKD) with everything outside ASCII removed.
 
     One ``translate`` covers the characters that fold to a single letter, accented
-    letters above all.  The few that fold to several letters (ligatures, fractions) take
-    a character-wise path, and only in texts that contain one.
+    letters above all.  Those that fold to several letters (ligatures, fractions) take a
+    character-wise path, which only texts that still hold such a character enter.
     """
     single = {c: t for c, t in _ascii_folding().items() if len(t) == 1}
     several = {c: t for c, t in _ascii_folding().items() if len(t) > 1}
     translated = F.translate(text, "".join(single), "".join(single.values()))
-    lookup = F.create_map(*[F.lit(v) for pair in several.items() for v in pair])
+    lookup = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
     expanded = F.concat_ws(
         "",
         F.transform(
             F.split(translated, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c)
         ),
     )
-    kept = F.when(translated.rlike(f"[{''.join(several)}]"), expanded).otherwise(
-        translated
-    )
+    kept = F.when(translated.rlike(r"[^\x00-\x7F]"), expanded).otherwise(translated)
     return F.regexp_replace(kept, r"[^\x00-\x7F]", "")
 
 

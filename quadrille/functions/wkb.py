@@ -93,11 +93,12 @@ class _Reader:
             members = [m[0] for m in self.members("Point")]
             polys = [[np.concatenate(members)]] if members else []
         else:
-            path = self.body(kind)
-            empty = kind == "Point" and bool(np.isnan(path).all())
-            polys = [] if empty else [[path]]
+            polys = [[self.body(kind)]]
         if self.at != len(self.data):
             raise ValueError("trailing bytes")
+        vertices = [path for poly in polys for path in poly]
+        if all(len(path) == 0 or np.isnan(path).all() for path in vertices):
+            polys = []  # one form for every empty geometry
         return kind, polys
 
 

@@ -1,0 +1,100 @@
+"""WKB batches without Spark."""
+
+import struct
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from shapes import EXAMPLES, as_struct, plain, wkb_point
+
+from quadrille.functions.wkb import decode_batch, encode_batch
+
+VERTEX = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+GEOMETRY = pa.struct(
+    [("type", pa.string()), ("polys", pa.list_(pa.list_(pa.list_(VERTEX))))]
+)
+
+
+def structs(geometries):
+    rows = [None if g is None else as_struct(*g) for g in geometries]
+    return pa.array(rows, GEOMETRY)
+
+
+def decoded(records):
+    data = pa.array(records, pa.binary())
+    return [plain(v) for v in decode_batch(data).to_pylist()]
+
+
+@pytest.mark.parametrize("kind", EXAMPLES)
+def test_round_trip(kind):
+    batch = [EXAMPLES[kind], None, EXAMPLES[kind]]
+    assert decoded(encode_batch(structs(batch)).to_pylist()) == batch
+
+
+def test_mixed_batch():
+    batch = [*EXAMPLES.values(), None, ("Polygon", []), ("MultiPoint", [])]
+    found = decoded(encode_batch(structs(batch)).to_pylist())
+    assert found == batch
+
+
+def test_sliced_batches():
+    points = [("Point", [[[(float(i), -float(i))]]]) for i in range(10)]
+    assert decoded(encode_batch(structs(points).slice(3, 4)).to_pylist()) == points[3:7]
+    everything = list(EXAMPLES.values())
+    cut = structs(everything).slice(2, 3)
+    assert decoded(encode_batch(cut).to_pylist()) == everything[2:5]
+    records = pa.array([wkb_point(i, 2 * i) for i in range(10)], pa.binary())
+    found = decode_batch(records.slice(5, 2)).to_pylist()
+    assert [plain(v)[1][0][0][0] for v in found] == [(5.0, 10.0), (6.0, 12.0)]
+
+
+def test_batches_of_nothing():
+    assert decoded([]) == []
+    assert decoded([None, None]) == [None, None]
+    assert encode_batch(structs([])).to_pylist() == []
+    assert encode_batch(structs([None, None])).to_pylist() == [None, None]
+
+
+def test_empty_point():
+    record = struct.pack("<BI2d", 1, 1, np.nan, np.nan)
+    assert decoded([record, wkb_point(1, 2)]) == [
+        ("Point", []),
+        ("Point", [[[(1.0, 2.0)]]]),
+    ]
+    assert encode_batch(structs([("Point", [])])).to_pylist() == [record]
+
+
+def test_big_endian_and_extended_records():
+    big = struct.pack(">BI2d", 0, 1, 1.0, 2.0)
+    with_srid = struct.pack("<BII2d", 1, 1 | 0x20000000, 4326, 3.0, 4.0)
+    line = struct.pack(">BII4d", 0, 2, 2, 0.0, 1.0, 2.0, 3.0)
+    assert decoded([big, with_srid, line]) == [
+        ("Point", [[[(1.0, 2.0)]]]),
+        ("Point", [[[(3.0, 4.0)]]]),
+        ("LineString", [[[(0.0, 1.0), (2.0, 3.0)]]]),
+    ]
+
+
+@pytest.mark.parametrize(
+    "record",
+    [
+        b"",
+        b"\x01",
+        wkb_point(1, 2)[:-1],
+        wkb_point(1, 2) + b"\x00",
+        b"\x07" + wkb_point(1, 2)[1:],
+        struct.pack("<BI3d", 1, 1001, 1, 2, 3),  # Z
+        struct.pack("<BI3d", 1, 2001, 1, 2, 3),  # M
+        struct.pack("<BI3d", 1, 1 | 0x80000000, 1, 2, 3),  # extended Z
+        struct.pack("<BII", 1, 7, 0),  # collection
+        struct.pack("<BII", 1, 2, 4_000_000_000),  # more points than bytes
+        struct.pack("<BII", 1, 4, 1) + struct.pack("<BII", 1, 2, 0),  # wrong member
+    ],
+)
+def test_unreadable_records_become_null(record):
+    assert decoded([record, wkb_point(1, 2)]) == [None, ("Point", [[[(1.0, 2.0)]]])]
+
+
+def test_unknown_kind_is_refused():
+    with pytest.raises(ValueError, match="Circle"):
+        encode_batch(structs([("Circle", [])]))
