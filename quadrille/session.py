@@ -30,31 +30,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/quadrille/{label}-{uuid.uuid4().hex}"
 
 
-def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
-    """A session with the settings of ``spark`` and a few of its own.
+def listing_session(spark: SparkSession) -> SparkSession:
+    """Session for queries that look at file names or footers but not at file contents.
 
-    Some settings act when a query is planned and exist only per session.  A derived
-    session applies them to one kind of query without touching the user's session.
+    Spark packs files into tasks by their size.  Such queries do not read the contents,
+    so the size limit per task is lifted: the number of tasks then follows the number
+    of cores, not the number of bytes that lie in the dataset.  The limit is a session
+    setting, and the user's session must keep its own.
     """
     derived = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             derived.conf.set(key, value)
-    for key, value in settings.items():
-        derived.conf.set(key, value)
+    derived.conf.set("spark.sql.files.maxPartitionBytes", "1024t")
     return derived
 
 
-def listing_session(spark: SparkSession) -> SparkSession:
-    """Session for queries that look at file names or footers but not at file contents.
-
-    Spark packs files into tasks by their size.  Such queries do not read the contents,
-    so the size limit per task is lifted: the number of tasks then follows the number
-    of cores, not the number of bytes that lie in the dataset.
-    """
-    return session_with(spark, {"spark.sql.files.maxPartitionBytes": "1024t"})
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, as ``--py-files`` would.
 

@@ -342,6 +342,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
 
     Attempts of a task write to folders of their own, and only the files of the attempt
     Spark accepted are moved.  Readers skip ``_temporary``; ``_SUCCESS`` comes last.
+    Tasks that outlive an aborted job may leave files there, never outside of it.
     """
 
     def __init__(self, options: dict, schema: T.StructType, overwrite: bool):

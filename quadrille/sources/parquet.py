@@ -13,8 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
-from ..session import session_with
-from .files import NULL_PARTITION, file_table, list_partitions, read_footers
+from .files import (
+    NULL_PARTITION,
+    file_table,
+    list_partitions,
+    partition_keys,
+    read_footers,
+)
 
 # Error conditions Spark raises for a Parquet type it cannot read.
 UNREADABLE_CONDITIONS = (
@@ -67,10 +72,11 @@ def readable_schema(
     return readable, [n for n, t in types.items() if t is None]
 
 
-def _read(reader_of, path: str, spark: SparkSession) -> DataFrame:
+def _read(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
     """Plain read; a file with unreadable columns is read without them."""
+    reader = spark.read.options(**options)
     try:
-        return reader_of().parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         condition = error.getCondition() or ""
         if condition == "PATH_NOT_FOUND":
@@ -82,7 +88,7 @@ def _read(reader_of, path: str, spark: SparkSession) -> DataFrame:
         f"Columns of a type that cannot be read were left out: {', '.join(left_out)}.",
         stacklevel=3,
     )
-    return reader_of().schema(schema).parquet(path)
+    return reader.schema(schema).parquet(path)
 
 
 def scan_parquet(
@@ -100,19 +106,27 @@ def scan_parquet(
     ``raw_partition_text`` keeps folder values as text (``01`` stays ``01``).
     """
     if not hive:
-        df = _read(
-            lambda: spark.read.option("recursiveFileLookup", "true"), path, spark
-        )
-    elif raw_partition_text:
-        setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
-        derived = session_with(spark, {setting: "false"})
-        df = _read(lambda: derived.read, path, derived)
+        options = {"recursiveFileLookup": "true"}
+        df = _read(spark, path, options)
     else:
-        df = _read(lambda: spark.read, path, spark)
+        df = _read(spark, path, {})
         _warn_of_shadowed_columns(spark, df)
+    if raw_partition_text:
+        # a partition column whose type is given takes the folder's text unchanged
+        keys = partition_keys(spark, path)
+        df = spark.read.schema(_as_text(df.schema, keys)).parquet(path)
     return df.select(*columns) if columns is not None else df
 
 
+def _as_text(schema: T.StructType, names: Sequence[str]) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.name in names else f.dataType)
+            for f in schema
+        ]
+    )
+
+
 def _warn_of_shadowed_columns(spark: SparkSession, df: DataFrame) -> None:
     """Warn when a partition folder hides a column of the same name in the files.
 

@@ -1,0 +1,382 @@
+"""GeoParquet footers, reading and writing, checked with independent readers."""
+
+import json
+from pathlib import Path
+
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+from shapes import (
+    EXAMPLES,
+    feature_columns,
+    frame,
+    geo_header,
+    plain,
+    point_at,
+    polygon_at,
+    wkb_point,
+    write_file,
+)
+
+from quadrille.functions.geometry import to_web_mercator
+from quadrille.sinks.geoparquet import (
+    FORMAT_NAME,
+    GeoParquetWriter,
+    WrittenFiles,
+    geoparquet_header,
+    write_geoparquet,
+)
+from quadrille.sinks.parquet import write_parquet
+from quadrille.sources.columns import (
+    detect_geometry_source,
+    points_from_wkb,
+    points_from_xy,
+    srid_of,
+)
+from quadrille.sources.geoparquet import (
+    dataset_bbox_from_footers,
+    describe_geoparquet,
+    geometry_type_name,
+    geoparquet_footers,
+    read_geoparquet,
+    resolve_srid,
+)
+from quadrille.sources.parquet import scan_parquet
+
+
+def files(folder):
+    """Files a reader sees."""
+    found = sorted(Path(folder).rglob("*.parquet"))
+    return [f for f in found if "_temporary" not in f.parts]
+
+
+def footers(folder):
+    return [json.loads(pq.read_metadata(f).metadata[b"geo"]) for f in files(folder)]
+
+
+def points(spark, count, partitions=4):
+    df = spark.range(0, count, 1, partitions)
+    df = df.select("id", (F.col("id") * 0.1).alias("x"), (F.col("id") * -0.1).alias("y"))
+    return points_from_xy(df, "x", "y")
+
+
+# --- writing ----------------------------------------------------------------------
+
+
+def test_footer_of_every_file(spark, folder):
+    write_geoparquet(points(spark, 500, 5), folder, rows_per_file=60)
+    found = footers(folder)
+    assert len(found) == 10
+    assert all(f == found[0] for f in found)
+    header = found[0]
+    assert header["version"] == "1.1.0" and header["primary_column"] == "geometry"
+    facts = header["columns"]["geometry"]
+    assert facts["encoding"] == "WKB" and facts["geometry_types"] == ["Point"]
+    assert facts["bbox"] == pytest.approx([0.0, -49.9, 49.9, 0.0])
+    assert facts["crs"]["id"] == {"authority": "EPSG", "code": 4326}
+    assert max(pq.read_metadata(f).num_rows for f in files(folder)) == 60
+    assert not (Path(folder) / "_temporary").exists()
+    assert (Path(folder) / "_SUCCESS").exists()
+
+
+@pytest.mark.parametrize("kind", EXAMPLES)
+def test_other_readers_see_the_geometry(spark, folder, kind):
+    write_geoparquet(frame(spark, [EXAMPLES[kind], None]), folder)
+    connection = duckdb.connect()
+    glob = f"{folder}/*.parquet"
+    described = connection.sql(f"DESCRIBE SELECT geometry FROM '{glob}'").fetchall()
+    assert described[0][1].startswith("GEOMETRY")
+    assert footers(folder)[0]["columns"]["geometry"]["geometry_types"] == [kind]
+    raw = pa.concat_tables([pq.read_table(f) for f in files(folder)])
+    assert raw.schema.field("geometry").type == pa.binary()
+    assert raw.column("geometry").null_count == 1
+
+
+def test_all_kinds_round_trip(spark, folder):
+    shapes = [*EXAMPLES.values(), None]
+    write_geoparquet(frame(spark, shapes), folder)
+    rows = read_geoparquet(spark, folder).orderBy("id").collect()
+    assert [plain(r["geometry"]) for r in rows] == shapes
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 32])
+def test_result_does_not_depend_on_partitioning(spark, folder, partitions):
+    df = points(spark, 300).repartition(partitions)
+    df = df.withColumn("k", F.col("id") % 3).withColumn("j", F.lit("a b"))
+    write_geoparquet(df, folder, ["k", "j"])
+    assert {f.parent.relative_to(folder).as_posix() for f in files(folder)} == {
+        f"k={i}/j=a b" for i in range(3)
+    }
+    assert len({json.dumps(f) for f in footers(folder)}) == 1
+    assert dataset_bbox_from_footers(spark, folder) == pytest.approx(
+        [0.0, -29.9, 29.9, 0.0]
+    )
+    back = read_geoparquet(spark, folder).select(df.columns)
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+def test_types_survive(spark, folder):
+    df = spark.sql(
+        "SELECT 1S s, 2 i, 3L l, 1.5F f, 2.5D d, 'ü' t, X'0102' b, true o,"
+        " cast(1.25 AS decimal(10,2)) dec, date'2024-01-02' day,"
+        " timestamp_ntz'2024-01-02 03:04:05' ntz, timestamp'2024-01-02 03:04:05Z' ts,"
+        " array(1, null) a, CAST(NULL AS string) n, 7.0D x, 8.0D y"
+    )
+    df = points_from_xy(df, "x", "y")
+    write_geoparquet(df, folder)
+    back = read_geoparquet(spark, folder).select(df.columns)
+    assert back.dtypes == df.dtypes
+    assert back.collect() == df.collect()
+
+
+def test_null_partition_values(spark, folder):
+    names = [("a",), (None,), ("x/y=1",), ("",)]
+    df = spark.createDataFrame([(*n, 1.0, 2.0) for n in names], "k string, x double, y double")
+    write_geoparquet(points_from_xy(df, "x", "y"), folder, "k")
+    found = [r["k"] for r in read_geoparquet(spark, folder).collect()]
+    assert sorted(map(str, found)) == ["None", "None", "a", "x/y=1"]
+
+
+def test_modes(spark, folder):
+    write_geoparquet(points(spark, 10), folder, mode="errorifexists")
+    with pytest.raises(FileExistsError, match="exists already"):
+        write_geoparquet(points(spark, 10), folder, mode="errorifexists")
+    write_geoparquet(points(spark, 10), folder)
+    assert scan_parquet(spark, folder).count() == 20
+    write_geoparquet(points(spark, 4), folder, mode="overwrite")
+    assert scan_parquet(spark, folder).count() == 4
+    with pytest.raises(ValueError, match="mode must be"):
+        write_geoparquet(points(spark, 4), folder, mode="ignore")
+
+
+def test_a_dataset_can_be_overwritten_from_itself(spark, folder):
+    write_geoparquet(points(spark, 10), folder)
+    write_geoparquet(
+        read_geoparquet(spark, folder).where("id < 6"), folder, mode="overwrite"
+    )
+    assert scan_parquet(spark, folder).count() == 6
+
+
+def test_table_without_rows(spark, folder):
+    write_geoparquet(points(spark, 10).where("id < 0"), folder)
+    df = scan_parquet(spark, folder)
+    assert df.columns == ["id", "x", "y", "geometry"] and df.count() == 0
+    assert "bbox" not in footers(folder)[0]["columns"]["geometry"]
+
+
+def test_a_failed_job_leaves_nothing_visible(spark, folder):
+    """Tasks that still run when the job is aborted may leave hidden files behind."""
+    write_geoparquet(points(spark, 10), folder)
+    before = files(folder)
+    broken = points(spark, 1000).withColumn(
+        "x", F.when(F.col("id") == 990, F.raise_error(F.lit("bad row"))).otherwise(1.0)
+    )
+    for mode in ("append", "overwrite"):
+        with pytest.raises(Exception, match="bad row"):
+            write_geoparquet(
+                broken, folder, mode=mode, header=geoparquet_header(["Point"])
+            )
+    assert files(folder) == before
+    assert scan_parquet(spark, folder).count() == 10
+    write_geoparquet(points(spark, 10), folder)
+    assert scan_parquet(spark, folder).count() == 20
+
+
+def test_only_the_accepted_attempt_is_published(tmp_path):
+    """An attempt whose executor was lost leaves files that must not be moved."""
+    options = {
+        "target": str(tmp_path),
+        "job": "j",
+        "header": json.dumps(geoparquet_header(["Point"])),
+        "partition_columns": "[]",
+        "rows_per_file": "10",
+    }
+    writer = GeoParquetWriter(options, None, False)
+    for attempt in ("00000-lost", "00000-kept"):
+        write_file(
+            tmp_path / "_temporary" / "j" / attempt / f"part-{attempt}.parquet",
+            {"id": [1]},
+        )
+    writer.commit([WrittenFiles("00000-kept", ["part-00000-kept.parquet"]), None])
+    assert [f.name for f in files(tmp_path)] == ["part-00000-kept.parquet"]
+    assert not (tmp_path / "_temporary").exists()
+
+
+def test_geometry_under_another_name(spark, folder):
+    df = points(spark, 5).withColumnRenamed("geometry", "shape")
+    write_geoparquet(df, folder, geometry="shape")
+    assert "geometry" in scan_parquet(spark, folder).columns
+    with pytest.raises(ValueError, match="not a geometry"):
+        write_geoparquet(df, folder, geometry="x")
+
+
+def test_web_mercator(spark, folder):
+    df = points(spark, 25).withColumn("geometry", to_web_mercator(F.col("geometry")))
+    df = df.withMetadata("geometry", {"srid": 3857})
+    write_geoparquet(df, folder)
+    assert footers(folder)[0]["columns"]["geometry"]["crs"]["id"]["code"] == 3857
+    assert srid_of(read_geoparquet(spark, folder)) == 3857
+    with pytest.raises(ValueError, match="Cannot write SRID 2154"):
+        write_geoparquet(df.withMetadata("geometry", {"srid": 2154}), folder)
+
+
+@pytest.mark.parametrize(
+    ("bbox", "message"),
+    [
+        ([1, 2, 3], "four values"),
+        ("abcd", "four values"),
+        ([1, 2, "3", 4], "numeric"),
+        ([3, 0, 1, 1], "minX"),
+        ([0, 3, 1, 1], "minY"),
+    ],
+)
+def test_bbox_checks(bbox, message):
+    with pytest.raises(ValueError, match=message):
+        geoparquet_header(["Point"], bbox=bbox)
+
+
+# --- footers ----------------------------------------------------------------------
+
+
+def test_footer_table(spark, tmp_path):
+    header = geo_header(["Point"], bbox=[0, 1, 2, 3], other={"encoding": "WKB"})
+    write_file(tmp_path / "d" / "a.parquet", feature_columns(5, point_at), header)
+    write_file(tmp_path / "d" / "b.parquet", feature_columns(5, point_at))
+    rows = {r["column"]: r for r in geoparquet_footers(spark, str(tmp_path / "d")).collect()}
+    assert set(rows) == {"geometry", "other"}
+    row = rows["geometry"]
+    assert row["num_rows"] == 5 and row["bbox"] == [0.0, 1.0, 2.0, 3.0]
+    assert row["geometry_types"] == ["Point"] and row["crs_given"]
+    assert json.loads(row["crs"])["id"]["code"] == 4326
+    assert not rows["other"]["crs_given"] and rows["other"]["bbox"] is None
+
+
+def test_bbox_is_united_over_files(spark, tmp_path):
+    root = tmp_path / "d"
+    for i, bbox in enumerate(([0, 1, 2, 3], [-5, 2, 1, 9], [0, 0, 7, -100, 1, 1, 8, 100])):
+        box = bbox if len(bbox) == 4 else [0, 0, 7, 1, 1, 8]
+        write_file(
+            root / f"{i}.parquet", feature_columns(2, point_at), geo_header(bbox=box)
+        )
+    # the last one has heights: minima x, y, z and then maxima
+    assert dataset_bbox_from_footers(spark, str(root)) == [-5.0, 0.0, 2.0, 9.0]
+
+
+def test_files_that_differ_are_refused(spark, tmp_path):
+    root = tmp_path / "d"
+    for i, code in enumerate(("epsg:4326", "epsg:3857")):
+        header = geo_header(crs=code, bbox=[0, 0, 1, 1])
+        write_file(root / f"{i}.parquet", feature_columns(2, point_at), header)
+    with pytest.raises(ValueError, match="More than one spatial reference"):
+        dataset_bbox_from_footers(spark, str(root))
+    with pytest.raises(ValueError, match="More than one spatial reference"):
+        read_geoparquet(spark, str(root))
+
+
+@pytest.mark.parametrize(
+    ("crs", "srid"),
+    [
+        ("epsg:4326", 4326),
+        ("epsg:3857", 3857),
+        ("epsg:2154", 2154),
+        ({"id": {"authority": "OGC", "code": "CRS84"}}, 4326),
+        (None, 0),
+    ],
+)
+def test_srid(spark, tmp_path, crs, srid):
+    path = tmp_path / "d" / "a.parquet"
+    write_file(path, feature_columns(2, point_at), geo_header(crs=crs))
+    assert resolve_srid(geoparquet_footers(spark, str(path))) == srid
+
+
+@pytest.mark.parametrize("crs", ["missing", {"name": "unnamed"}])
+def test_nameless_srid_is_wgs84_with_a_warning(spark, tmp_path, crs):
+    path = tmp_path / "d" / "a.parquet"
+    write_file(path, feature_columns(2, point_at), geo_header(crs=crs))
+    with pytest.warns(UserWarning, match="names no coordinate system"):
+        assert resolve_srid(geoparquet_footers(spark, str(path))) == 4326
+
+
+def test_srid_of_another_authority(spark, tmp_path):
+    path = tmp_path / "d" / "a.parquet"
+    crs = {"id": {"authority": "ESRI", "code": 102100}}
+    write_file(path, feature_columns(2, point_at), geo_header(crs=crs))
+    with pytest.raises(ValueError, match="cannot be looked up"):
+        resolve_srid(geoparquet_footers(spark, str(path)))
+
+
+def test_geometry_type_names():
+    assert geometry_type_name(["Point"]) == "POINT"
+    with pytest.raises(ValueError, match="not supported"):
+        geometry_type_name(["GeometryCollection"])
+    with pytest.raises(ValueError, match="No geometry types"):
+        geometry_type_name([])
+
+
+# --- reading ----------------------------------------------------------------------
+
+
+def test_secondary_geometry_is_not_read(spark, tmp_path, capsys):
+    columns = feature_columns(100, point_at)
+    columns["geometry2"] = pa.array([wkb_point(0.2 * i, 0.2 * i) for i in range(100)])
+    header = geo_header(geometry2={"encoding": "WKB", "geometry_types": ["Point"]})
+    write_file(tmp_path / "d" / "a.parquet", columns, header)
+    path = str(tmp_path / "d")
+    df = read_geoparquet(spark, path)
+    assert df.columns == ["id", "name", "value", "geometry"] and df.count() == 100
+    df.explain()
+    assert "geometry2" not in capsys.readouterr().out
+    other = read_geoparquet(spark, path, "geometry2").where("id = 10").first()
+    assert plain(other["geometry"])[1] == [[[(2.0, 2.0)]]]
+
+
+def test_read_errors(spark, tmp_path, folder):
+    write_parquet(spark.range(5), folder)
+    assert describe_geoparquet(spark, folder) is None
+    with pytest.raises(ValueError, match="does not appear to be formatted as GeoParquet"):
+        read_geoparquet(spark, folder)
+    header = geo_header(column="nonexistent_geom")
+    write_file(tmp_path / "x" / "a.parquet", {"id": [1]}, header)
+    with pytest.raises(ValueError, match="does not exist in the dataset schema"):
+        read_geoparquet(spark, str(tmp_path / "x"))
+    header = geo_header()
+    header["columns"]["geometry"]["encoding"] = "point"
+    write_file(tmp_path / "y" / "a.parquet", feature_columns(2, point_at), header)
+    with pytest.raises(ValueError, match="encodings"):
+        read_geoparquet(spark, str(tmp_path / "y"))
+
+
+def test_wkb_column_without_footer(spark, tmp_path):
+    write_file(tmp_path / "w" / "a.parquet", feature_columns(40, polygon_at))
+    df = points_from_wkb(scan_parquet(spark, str(tmp_path / "w")), "geometry", 3857)
+    assert srid_of(df) == 3857
+    assert {r["geometry"]["type"] for r in df.collect()} == {"Polygon"}
+    with pytest.raises(ValueError, match="not a binary column"):
+        points_from_wkb(df, "name")
+    with pytest.raises(ValueError, match="does not appear to be in the input"):
+        points_from_wkb(df, "nope")
+
+
+def test_detection(spark, tmp_path):
+    def found(*names):
+        df = spark.createDataFrame([tuple(range(len(names)))], list(names))
+        return detect_geometry_source(df)
+
+    assert found("id", "Lon", "LAT").columns == ("Lon", "LAT")
+    assert found("x", "y", "longitude").columns == ("longitude", "y")
+    assert found("id", "h3_index", "h3_06").columns == ("h3_06",)
+    assert found("id", "geom_wkb").geometry_format == "WKB"
+    assert found("id", "name").geometry_format is None
+    write_file(tmp_path / "g" / "a.parquet", feature_columns(2, point_at), geo_header())
+    path = str(tmp_path / "g")
+    df = scan_parquet(spark, path)
+    source = detect_geometry_source(df, geoparquet_footers(spark, path))
+    assert (source.geometry_format, source.columns) == ("GEOPARQUET", ("geometry",))
+
+
+def test_format_is_registered_once_per_session(spark, folder):
+    write_geoparquet(points(spark, 3), folder)
+    write_geoparquet(points(spark, 3), folder)
+    assert FORMAT_NAME == "quadrille_geoparquet"
