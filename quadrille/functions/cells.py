@@ -160,13 +160,17 @@ def cells_of_line(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
     return F.sort_array(F.array_distinct(cells))
 
 
-def cells_of_polygon(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
-    """Sorted ids of the cells whose centre lies in the polygon (even-odd rule).
+def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
+    """Runs of cells whose centre lies in a polygon: ``array<struct<row, first, last>>``.
+
+    A run is a stretch of tiles in one row of the grid.  Runs are sorted and do not
+    overlap.  A large polygon has few runs compared with its cells, so they are the form
+    in which to carry it from task to task.
 
     Works by rows of tiles: every edge gives its crossings with the centre lines of the
     rows it spans; between each odd and the following even crossing of a row lie the
-    cells inside.  The work grows with the outline and with the result, not with the
-    bounding box, and no candidate cell is ever tested and thrown away.
+    cells inside (even-odd rule).  The work grows with the outline and the runs, not with
+    the bounding box, and no candidate cell is ever tested and thrown away.
     """
     side = _tiles_per_side(zoom)
     last = F.lit(side - 1).cast("bigint")
@@ -203,9 +207,9 @@ def cells_of_polygon(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
         )
         return F.flatten(F.zip_with(ring, following, crossings))
 
-    def runs(sorted_crossings: Column) -> Column:
-        entering = F.filter(sorted_crossings, lambda _, i: i % 2 == 0)
-        leaving = F.filter(sorted_crossings, lambda _, i: i % 2 == 1)
+    def runs(ordered: Column) -> Column:
+        entering = F.filter(ordered, lambda _, i: i % 2 == 0)
+        leaving = F.filter(ordered, lambda _, i: i % 2 == 1)
         pairs = F.zip_with(
             entering,
             leaving,
@@ -217,20 +221,67 @@ def cells_of_polygon(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
         )
         return F.filter(pairs, lambda r: r["first"] <= r["last"])
 
-    def inside(poly: Column) -> Column:
-        ordered = F.array_sort(F.flatten(F.transform(poly, ring_crossings)))
-        return F.flatten(
-            F.transform(
-                let(ordered, runs),
-                lambda r: F.transform(
-                    F.sequence(r["first"], r["last"]),
-                    lambda x: quadkey(x, r["row"], zoom),
-                ),
-            )
+    def of_polygon(poly: Column) -> Column:
+        return let(F.array_sort(F.flatten(F.transform(poly, ring_crossings))), runs)
+
+    found = F.flatten(F.transform(geom["polys"], of_polygon))
+    # the runs of one polygon are in order already
+    return F.when(kind(geom) == "MultiPolygon", _united(F.array_sort(found))).otherwise(
+        found
+    )
+
+
+def _united(runs: Column) -> Column:
+    """Merge overlapping runs; the members of a valid multipolygon have none."""
+
+    def overlapping(found: Column) -> Column:
+        following = F.slice(found, F.lit(2), F.size(found))
+        return F.exists(
+            F.arrays_zip(found.alias("a"), following.alias("b")),
+            lambda p: (p["a"]["row"] == p["b"]["row"])
+            & (p["b"]["first"] <= p["a"]["last"]),
         )
 
-    cells = F.flatten(F.transform(geom["polys"], inside))
-    return F.sort_array(F.array_distinct(cells))
+    def merge(done: Column, run: Column) -> Column:
+        open_run = F.element_at(done, -1)
+        joined = F.struct(
+            run["row"].alias("row"),
+            open_run["first"].alias("first"),
+            F.greatest(open_run["last"], run["last"]).alias("last"),
+        )
+        touches = (open_run["row"] == run["row"]) & (run["first"] <= open_run["last"])
+        return F.when(
+            touches,
+            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined)),
+        ).otherwise(F.concat(done, F.array(run)))
+
+    return let(
+        runs,
+        lambda found: F.when(
+            overlapping(found),
+            F.aggregate(
+                F.slice(found, F.lit(2), F.size(found)),
+                F.slice(found, F.lit(1), F.lit(1)),
+                merge,
+            ),
+        ).otherwise(found),
+    )
+
+
+def cells_of_polygon(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
+    """Sorted ids of the cells whose centre lies in the polygon.
+
+    The whole list is one value.  To cover large polygons with small cells, use
+    ``cell_cover``, which gives a row per cell.
+    """
+    cells = F.transform(
+        polygon_runs(geom, zoom),
+        lambda run: F.transform(
+            F.sequence(run["first"], run["last"]),
+            lambda x: quadkey(x, run["row"], zoom),
+        ),
+    )
+    return F.sort_array(F.flatten(cells))
 
 
 def cells_of(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:

@@ -1,8 +1,9 @@
 """WKB at the edges: Arrow batches in and out of the geometry struct.
 
 Spark has no access to the bytes of a double, so these two conversions run in Python
-workers, one Arrow batch at a time.  Batches of points, by far the most common, are
-converted as a whole with numpy; other kinds are read record by record.
+workers, one Arrow batch at a time.  Points, lines and polygons with one ring, by far
+the most common, are converted as a whole with numpy; the other records of a batch are
+read one by one.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 
@@ -28,8 +30,10 @@ WKB_CODES = {
 EWKB_SRID = 0x20000000
 
 _KIND_OF_CODE = {code: kind for kind, code in WKB_CODES.items()}
-_POINT_BYTES = 21
-_POINT_HEADER = np.frombuffer(struct.pack("<BI", 1, WKB_CODES["Point"]), np.uint8)
+# bytes before the coordinates of a point, a line and a polygon with one ring
+_HEADER_BYTES = np.array([0, 5, 9, 13])
+_VERTEX_BYTES = 16
+_SIMPLE_KINDS = pa.array([None, "Point", "LineString", "Polygon"], pa.string())
 _XY = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
 
@@ -97,26 +101,57 @@ class _Reader:
         if self.at != len(self.data):
             raise ValueError("trailing bytes")
         vertices = [path for poly in polys for path in poly]
-        if all(len(path) == 0 or np.isnan(path).all() for path in vertices):
-            polys = []  # one form for every empty geometry
-        return kind, polys
-
-
-def _points_only(data: pa.BinaryArray) -> np.ndarray | None:
-    """Coordinates of a batch that holds nothing but plain points and nulls."""
-    offsets = np.frombuffer(data.buffers()[1], np.int32)
-    offsets = offsets[data.offset : data.offset + len(data) + 1]
-    present = np.array(data.is_valid(), dtype=bool)
-    if not (np.diff(offsets) == np.where(present, _POINT_BYTES, 0)).all():
-        return None
-    if not present.any():
-        return np.empty((0, 2))
-    raw = np.frombuffer(data.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-    records = raw.reshape(-1, _POINT_BYTES)
-    if not (records[:, :5] == _POINT_HEADER).all():
-        return None
-    xy = np.ascontiguousarray(records[:, 5:]).view("<f8")
-    return None if np.isnan(xy).any() else xy
+        if kind == "Point" and np.isnan(vertices[0]).all():
+            vertices = []  # an empty point is written as two NaNs
+        return kind, polys if any(len(path) for path in vertices) else []
+
+
+def _integers(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Little-endian 32-bit integers at byte positions; those past the end are junk."""
+    inside = np.minimum(at[:, None] + np.arange(4), max(len(raw) - 1, 0))
+    return raw[inside].view("<u4").ravel().astype(np.int64)
+
+
+class _SimpleRecords:
+    """Which records of a batch are simple, and where their coordinates lie.
+
+    ``code`` is the WKB code of a simple record, 0 for a null, -1 for any other record.
+    """
+
+    def __init__(self, data: pa.BinaryArray):
+        ends = np.frombuffer(data.buffers()[1], np.int32)
+        ends = ends[data.offset : data.offset + len(data) + 1].astype(np.int64)
+        values = data.buffers()[2]
+        raw = np.frombuffer(values, np.uint8) if values else np.empty(0, np.uint8)
+        self.raw = raw[ends[0] : ends[-1]]
+        self.starts = ends[:-1] - ends[0]
+        self.lengths = np.diff(ends)
+        present = np.array(data.is_valid(), dtype=bool)
+        self.code = np.where(present, -1, 0)
+        self.vertices = np.zeros(len(data), np.int64)
+        if len(self.raw):
+            self._classify(present)
+
+    def _classify(self, present: np.ndarray) -> None:
+        starts, lengths = self.starts, self.lengths
+        little = self.raw[np.minimum(starts, len(self.raw) - 1)] == 1
+        code = _integers(self.raw, starts + 1)
+        first = _integers(self.raw, starts + 5)
+        second = _integers(self.raw, starts + 9)
+        one_ring = (code == 3) & (first == 1)
+        vertices = np.select([code == 1, code == 2, one_ring], [1, first, second], 0)
+        known = (vertices > 0) & little & present & (lengths >= 9)
+        expected = _HEADER_BYTES[np.where(known, code, 0)] + vertices * _VERTEX_BYTES
+        simple = known & (lengths == expected)
+        self.code = np.where(simple, code, self.code)
+        self.vertices = np.where(simple, vertices, 0)
+
+    def coordinates(self) -> np.ndarray:
+        """Vertices of all simple records, in order."""
+        body = self.vertices * _VERTEX_BYTES
+        runs = np.column_stack([self.lengths - body, body]).ravel()
+        wanted = np.repeat(np.tile([False, True], len(body)), runs)
+        return self.raw[wanted].view("<f8").reshape(-1, 2)
 
 
 def _nested(ends: list, values: pa.Array) -> pa.ListArray:
@@ -134,26 +169,53 @@ def _vertices(xy: np.ndarray) -> pa.StructArray:
     return pa.StructArray.from_arrays(columns, fields=list(_XY))
 
 
+def _interleaved(simple: pa.Array, other: pa.Array, is_simple: np.ndarray) -> pa.Array:
+    """Rows of two arrays in the order of the batch they were taken from."""
+    if not len(other):
+        return simple
+    order = np.empty(len(is_simple), np.int64)
+    order[is_simple] = np.arange(len(simple))
+    order[~is_simple] = len(simple) + np.arange(len(other))
+    return pa.concat_arrays([simple, other]).take(pa.array(order))
+
+
 def decode_batch(data: pa.Array) -> pa.StructArray:
     """Geometry structs of a batch of WKB records; null where a record is unreadable."""
     data = data.cast(pa.binary())
-    missing = np.array(data.is_null(), dtype=bool)
-    xy = _points_only(data)
-    if xy is not None:
-        ends = np.concatenate([[0], np.cumsum(~missing)])
-        single = np.arange(len(xy) + 1)
-        polys = _nested(ends, _nested(single, _nested(single, _vertices(xy))))
-        kinds = pa.array(np.full(len(data), "Point"), pa.string())
-        return _struct_array(kinds, polys, missing)
-
+    records = _SimpleRecords(data)
+    xy = records.coordinates()
+    # a point of NaNs is an empty one
+    at = np.cumsum(records.vertices) - records.vertices
+    rows = np.flatnonzero(records.code == 1)
+    is_simple = records.code >= 0
+    is_simple[rows[np.isnan(xy[at[rows]]).any(axis=1)]] = False
+    simple = _decode_simple(records, xy, is_simple)
+    others = data.filter(pa.array(~is_simple))
+    return _interleaved(simple, _decode_each(others.to_pylist()), is_simple)
+
+
+def _decode_simple(
+    records: _SimpleRecords, xy: np.ndarray, chosen: np.ndarray
+) -> pa.StructArray:
+    if not chosen.all():
+        xy = xy[np.repeat(chosen, records.vertices)]
+    code, vertices = records.code[chosen], records.vertices[chosen]
+    missing = code == 0
+    single = np.arange(np.count_nonzero(~missing) + 1)
+    point_ends = np.concatenate([[0], np.cumsum(vertices[~missing])])
+    poly_ends = np.concatenate([[0], np.cumsum(~missing)])
+    paths = _nested(point_ends, _vertices(xy))
+    polys = _nested(poly_ends, _nested(single, paths))
+    return _struct_array(_SIMPLE_KINDS.take(pa.array(code)), polys, missing)
+
+
+def _decode_each(records: list[bytes]) -> pa.StructArray:
     kinds, poly_ends, part_ends, point_ends, paths = [], [0], [0], [0], []
-    for row, record in enumerate(data.to_pylist()):
-        kind, polys = None, []
-        if record is not None:
-            try:
-                kind, polys = _Reader(record).geometry()
-            except ValueError:
-                missing[row] = True
+    for record in records:
+        try:
+            kind, polys = _Reader(record).geometry()
+        except ValueError:
+            kind, polys = None, []
         kinds.append(kind)
         for poly in polys:
             for path in poly:
@@ -163,6 +225,7 @@ def decode_batch(data: pa.Array) -> pa.StructArray:
         poly_ends.append(len(part_ends) - 1)
     xy = np.concatenate([p.astype("f8") for p in paths]) if paths else np.empty((0, 2))
     polys = _nested(poly_ends, _nested(part_ends, _nested(point_ends, _vertices(xy))))
+    missing = [kind is None for kind in kinds]
     return _struct_array(pa.array(kinds, pa.string()), polys, missing)
 
 
@@ -195,46 +258,87 @@ def _record(kind: str, polys: list[list[bytes]]) -> bytes:
     return head(kind, len(polys)) + b"".join(map(polygon, polys))
 
 
+class _Nesting:
+    """Numpy view of a batch of geometry structs."""
+
+    def __init__(self, geoms: pa.StructArray):
+        polys = geoms.field("polys")
+        parts, paths = polys.values, polys.values.values
+        self.kinds = geoms.field("type")
+        # offsets of a sliced parent count from the start of its unsliced child
+        self.poly_ends = np.asarray(polys.offsets)
+        self.part_ends = np.asarray(parts.offsets)
+        self.point_ends = np.asarray(paths.offsets)
+        axes = [np.asarray(paths.values.field(a), dtype="<f8") for a in ("x", "y")]
+        self.xy = np.column_stack(axes)
+
+
 def encode_batch(geoms: pa.StructArray) -> pa.BinaryArray:
     """WKB records of a batch of geometry structs; null for null."""
     missing = np.array(geoms.is_null(), dtype=bool)
-    kinds, polys = geoms.field("type"), geoms.field("polys")
-    parts = polys.values
-    paths = parts.values
-    vertices = paths.values
-    xy = np.column_stack(
-        [np.asarray(vertices.field(axis), dtype="<f8") for axis in ("x", "y")]
-    )
-    # offsets of a sliced parent count from the start of the unsliced child
-    poly_ends = np.asarray(polys.offsets)
-    part_ends = np.asarray(parts.offsets)
-    point_ends = np.asarray(paths.offsets)
-
-    kind_list = kinds.to_pylist()
-    present = [k for k, gone in zip(kind_list, missing) if not gone]
-    unknown = set(present) - set(KINDS)
+    nesting = _Nesting(geoms)
+    present = nesting.kinds.filter(pa.array(~missing))
+    unknown = set(present.unique().to_pylist()) - set(KINDS)
     if unknown:
         raise ValueError(f"Unknown geometry kinds: {sorted(map(str, unknown))}.")
 
-    first_parts = poly_ends[:-1]
-    if set(present) == {"Point"} and (np.diff(poly_ends)[~missing] == 1).all():
-        at = point_ends[part_ends[first_parts[~missing]]]
-        records = np.empty((len(at), _POINT_BYTES), np.uint8)
-        records[:, :5] = _POINT_HEADER
-        records[:, 5:] = xy[at].view(np.uint8).reshape(-1, 16)
-        ends = np.concatenate([[0], np.cumsum(~missing)]).astype(np.int32)
-        validity = pa.array(~missing).buffers()[1]
-        return pa.BinaryArray.from_buffers(
-            pa.binary(),
-            len(geoms),
-            [validity, pa.py_buffer(ends * _POINT_BYTES), pa.py_buffer(records)],
-        )
-
-    out = []
-    for row, kind in enumerate(kind_list):
-        if missing[row]:
-            out.append(None)
-            continue
+    code = np.asarray(pc.index_in(nesting.kinds, _SIMPLE_KINDS[1:]).fill_null(-1)) + 1
+    code = np.where(missing, 0, code)
+    # a simple record has one polygon, one part and at least one vertex
+    part = _only_child(nesting.poly_ends, nesting.part_ends)
+    part = np.where(code > 0, part, -1)
+    bounds = np.append(nesting.point_ends, nesting.point_ends[-1:])
+    vertices = np.where(part >= 0, bounds[part + 1] - bounds[part], 0)
+    is_simple = missing | ((vertices > 0) & ((code != 1) | (vertices == 1)))
+    simple = _encode_simple(
+        nesting, code[is_simple], bounds[part][is_simple], vertices[is_simple]
+    )
+    others = np.flatnonzero(~is_simple)
+    return _interleaved(simple, _encode_each(nesting, others), is_simple)
+
+
+def _only_child(ends: np.ndarray, child_ends: np.ndarray) -> np.ndarray:
+    """Index of the single grandchild of each row; -1 where there is not just one."""
+    if len(child_ends) < 2:
+        return np.full(len(ends) - 1, -1)
+    child = np.minimum(ends[:-1], len(child_ends) - 2)
+    single = (np.diff(ends) == 1) & (child_ends[child + 1] - child_ends[child] == 1)
+    return np.where(single, child_ends[child], -1)
+
+
+def _encode_simple(
+    nesting: _Nesting, code: np.ndarray, first: np.ndarray, vertices: np.ndarray
+) -> pa.BinaryArray:
+    """Records of points, lines and one-ring polygons; code 0 stands for null."""
+    vertices = np.where(code > 0, vertices, 0).astype(np.int64)
+    header, body = _HEADER_BYTES[code], vertices * _VERTEX_BYTES
+    heads = np.zeros((len(code), 13), np.uint8)
+    heads[:, 0] = 1
+    heads[:, 1] = code
+    counts = vertices.astype("<u4")[:, None].view(np.uint8)
+    heads[code == 2, 5:9] = counts[code == 2]
+    heads[code == 3, 5] = 1
+    heads[code == 3, 9:13] = counts[code == 3]
+
+    runs = np.column_stack([header, body]).ravel()
+    is_body = np.repeat(np.tile([False, True], len(code)), runs)
+    records = np.empty(len(is_body), np.uint8)
+    records[~is_body] = heads[np.arange(13) < header[:, None]]
+    begin = np.cumsum(vertices) - vertices
+    at = np.repeat(first - begin, vertices) + np.arange(vertices.sum())
+    records[is_body] = nesting.xy[at].view(np.uint8).ravel()
+    ends = np.concatenate([[0], np.cumsum(header + body)]).astype(np.int32)
+    valid = pa.array(code > 0).buffers()[1]
+    buffers = [valid, pa.py_buffer(ends), pa.py_buffer(records)]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(code), buffers)
+
+
+def _encode_each(nesting: _Nesting, rows: np.ndarray) -> pa.BinaryArray:
+    kinds = nesting.kinds.take(pa.array(rows)).to_pylist()
+    poly_ends, part_ends = nesting.poly_ends, nesting.part_ends
+    point_ends, xy = nesting.point_ends, nesting.xy
+    records = []
+    for row, kind in zip(rows, kinds):
         members = [
             [
                 xy[point_ends[part] : point_ends[part + 1]].tobytes()
@@ -242,8 +346,8 @@ def encode_batch(geoms: pa.StructArray) -> pa.BinaryArray:
             ]
             for poly in range(poly_ends[row], poly_ends[row + 1])
         ]
-        out.append(_record(kind, members))
-    return pa.array(out, pa.binary())
+        records.append(_record(kind, members))
+    return pa.array(records, pa.binary())
 
 
 def from_wkb(wkb: Column) -> Column:

@@ -6,6 +6,8 @@ partition, and only the columns asked for are read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,9 +61,12 @@ def dataset_bbox(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     )
 
 
-def geometry_kinds(df: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """One row: ``kinds``, the sorted kinds of geometry that occur (at most six)."""
-    return df.agg(F.sort_array(F.collect_set(kind(F.col(geometry)))).alias("kinds"))
+def geometry_kinds(
+    df: DataFrame, geometry: str = "geometry", by: Sequence[str] = ()
+) -> DataFrame:
+    """``kinds``: the sorted kinds of geometry that occur (at most six), per group."""
+    kinds = F.sort_array(F.collect_set(kind(F.col(geometry)))).alias("kinds")
+    return df.groupBy(*by).agg(kinds)
 
 
 def geometry_type_of(df: DataFrame, geometry: str = "geometry") -> str:

@@ -1,12 +1,18 @@
-"""Row operators: sampling and grouping by cell."""
+"""Row operators: sampling, covering with cells and grouping by cell."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import DEFAULT_ZOOM, cell_of_point
-from ..functions.geometry import centroid, envelope
+from ..functions.cells import (
+    DEFAULT_ZOOM,
+    cell_of_point,
+    cells_of,
+    polygon_runs,
+    quadkey,
+)
+from ..functions.geometry import centroid, envelope, kind
 
 
 def sample_rows(
@@ -34,6 +40,42 @@ def with_cell(
     return placed.withColumn(name, cell).drop("__centre")
 
 
+def cell_cover(
+    df: DataFrame, zoom: int = DEFAULT_ZOOM, geometry: str = "geometry"
+) -> DataFrame:
+    """One row per feature and cell: the attributes and ``cell``; no row for null.
+
+    Polygons are unfolded in two steps, first into runs of cells and then into cells, so
+    that no task ever holds all cells of a large polygon.  Lists of the other kinds are
+    as long as the line or the points they come from.
+    """
+    geom = F.col(geometry)
+    attributes = [c for c in df.columns if c != geometry]
+    is_area = kind(geom).isin("Polygon", "MultiPolygon")
+    run = "struct<row:bigint,first:bigint,last:bigint>"
+    piece = F.inline(
+        F.when(
+            is_area,
+            F.transform(
+                polygon_runs(geom, zoom),
+                lambda r: F.struct(r.alias("run"), F.lit(None).cast("string").alias("id")),
+            ),
+        ).otherwise(
+            F.transform(
+                cells_of(geom, zoom),
+                lambda c: F.struct(F.lit(None).cast(run).alias("run"), c.alias("id")),
+            )
+        )
+    )
+    pieces = df.select(*attributes, piece.alias("__run", "__id"))
+    column = F.when(
+        F.col("__run").isNotNull(), F.sequence("__run.first", "__run.last")
+    ).otherwise(F.array(F.lit(0).cast("bigint")))
+    tiles = pieces.select("*", F.explode(column).alias("__column"))
+    cell = F.coalesce("__id", quadkey(F.col("__column"), F.col("__run.row"), zoom))
+    return tiles.select(*attributes, cell.alias("cell"))
+
+
 def cell_rollup(
     df: DataFrame, zoom: int = DEFAULT_ZOOM, geometry: str = "geometry"
 ) -> DataFrame:

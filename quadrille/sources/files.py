@@ -140,7 +140,8 @@ def list_partitions(
     Columns: ``level`` (number of keys set), ``partition`` (the folder path as written,
     e.g. ``year=2023/month=01``) and one column per key.  With ``typed`` a key whose
     values are all digits becomes a number, so ``01`` reads as 1.  Keys below the level
-    are null.  Empty, without key columns, when the dataset is not partitioned.
+    are null.  Sorted by the keys, a folder before those inside it.  Empty, without key
+    columns, when the dataset is not partitioned.
     """
     segments, keys = _segments(spark, path)
     if not keys:
@@ -170,7 +171,7 @@ def list_partitions(
         level.cast("int").alias("level"),
         F.concat_ws("/", *names).alias("partition"),
         *[v.alias(k) for k, v in values.items()],
-    )
+    ).orderBy(*keys, "level")
 
 
 # --- footers ----------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shapes import EXAMPLES, frame
 
 from quadrille.functions import cells as c
-from quadrille.operators.rows import cell_rollup
+from quadrille.operators.rows import cell_cover, cell_rollup
 from quadrille.sinks.exports import export_cells
 from quadrille.sources.columns import polygons_from_cells
 
@@ -129,6 +129,43 @@ def test_polygon_variants(spark):
     assert found[6:] == [[], [], None]
 
 
+def test_members_of_a_multipolygon_are_united(spark):
+    """Also when, against the rules, several members overlap or lie in one another."""
+    rng = random.Random(13)
+    geometries = []
+    for members in (2, 3, 6):
+        polys = [[star(rng, (rng.uniform(-60, 60), 10), 50, 12)] for _ in range(members)]
+        geometries.append(("MultiPolygon", polys))
+    big = [(-80.0, -60.0), (80.0, -60.0), (80.0, 60.0), (-80.0, 60.0), (-80.0, -60.0)]
+    small = [(x / 3, y / 3) for x, y in big]
+    geometries.append(("MultiPolygon", [[small], [big], [small]]))
+    geometries.append(("MultiPolygon", [[small]]))
+    geometries += [("MultiPolygon", []), None]
+    found = covers(spark, geometries, c.cells_of_polygon, 6)
+    expected = [polygon_cells(polys, 6) for _, polys in geometries[:-1]]
+    assert found == [*expected, None]
+
+
+def test_cover_gives_a_row_per_cell(spark):
+    geometries = [*EXAMPLES.values(), None, ("Polygon", [])]
+    df = frame(spark, geometries)
+    rows = cell_cover(df, 8).collect()
+    lists = covers(spark, geometries, c.cells_of, 8)
+    expected = sorted((i, cell) for i, cells in enumerate(lists) for cell in cells or ())
+    assert sorted((r["id"], r["cell"]) for r in rows) == expected
+
+
+def test_cover_never_gathers_the_cells_of_a_large_polygon(spark):
+    """Nearly a billion cells lie in this square; counting them by runs holds none of them."""
+    half = [(-90.0, -60.0), (90.0, -60.0), (90.0, 60.0), (-90.0, 60.0), (-90.0, -60.0)]
+    df = frame(spark, [("Polygon", [[half]])])
+    runs = df.select(F.inline(c.polygon_runs(F.col("geometry"), 16)))
+    row = runs.agg(F.count("*"), F.sum(F.col("last") - F.col("first") + 1)).first()
+    north, south = (fraction(0, lat, 16)[1] for lat in (60, -60))
+    rows = math.floor(south - 0.5) - math.floor(north - 0.5)
+    assert tuple(row) == (rows, rows * 2**15)
+
+
 def test_lines_against_brute_force(spark):
     rng = random.Random(11)
 

@@ -21,7 +21,7 @@ from quadrille.functions.geometry import (
 )
 from quadrille.functions.geometry import points as vertices
 from quadrille.operators.profile import dataset_bbox, geometry_kinds, row_counts
-from quadrille.operators.rows import cell_rollup
+from quadrille.operators.rows import cell_cover, cell_rollup
 from quadrille.sinks.exports import (
     export_attributes,
     export_cells,
@@ -45,6 +45,7 @@ from .inputs import (
     points,
     square_cells_sql,
     squares,
+    table,
     tile_fraction_x,
     tile_fraction_y,
     whole_tile,
@@ -104,12 +105,34 @@ def bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "geometry_types",
     """
-SELECT 'LineString,MultiPoint,Point,Polygon' AS kinds, 'MULTIPOINT' AS feature_type
-WHERE (SELECT count(*) FROM customer) > 0
+WITH kinds AS (
+  SELECT c_nationkey AS nation, CASE
+    WHEN c_acctbal > 9900 THEN 'MultiPoint' WHEN c_acctbal > 9800 THEN 'Point'
+    WHEN c_acctbal > 9600 THEN 'LineString' ELSE 'Polygon' END AS kind
+  FROM customer)
+SELECT nation, array_to_string(list_sort(list(DISTINCT kind)), ',') AS kinds,
+       CASE WHEN bool_or(kind = 'MultiPoint') THEN 'MULTIPOINT'
+            WHEN bool_or(kind = 'Point') THEN 'POINT'
+            WHEN bool_or(kind = 'LineString') THEN 'POLYLINE'
+            ELSE 'POLYGON' END AS feature_type
+FROM kinds GROUP BY nation
 """,
 )
 def geometry_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geometry_kinds(all_shapes(spark, sf_dir)).select(
+    """Feature type of each nation's customers, whose shape depends on their balance."""
+    customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
+    balance = F.col("c_acctbal")
+    shape = (
+        F.when(balance > 9900, "MultiPoint")
+        .when(balance > 9800, "Point")
+        .when(balance > 9600, "LineString")
+        .otherwise("Polygon")
+    )
+    wanted = customer.select("k", F.col("c_nationkey").alias("nation"), shape.alias("s"))
+    features = all_shapes(spark, sf_dir).join(wanted, "k")
+    features = features.where(kind(F.col("geometry")) == F.col("s"))
+    return geometry_kinds(features, by=["nation"]).select(
+        "nation",
         F.array_join("kinds", ",").alias("kinds"),
         resolve_geometry_type(F.col("kinds")).alias("feature_type"),
     )
@@ -303,6 +326,23 @@ def square_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return squares(spark, sf_dir).select("k", F.explode(cells).alias("cell"))
 
 
+@query(
+    "cell_cover",
+    f"""
+WITH {PTS_SQL},{line_cells_sql(12)},{square_cells_sql(12)}
+SELECT k, 'Point' AS kind, {point_cell_sql('lon', 'lat', 12)} AS cell FROM pts
+UNION ALL
+SELECT DISTINCT k, 'MultiPoint', {point_cell_sql('x', 'y', 12)} FROM vertices
+UNION ALL SELECT k, 'LineString', cell FROM line_cells
+UNION ALL SELECT k, 'Polygon', cell FROM square_cells
+""",
+)
+def cover_all_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per feature and cell."""
+    shapes = all_shapes(spark, sf_dir).drop("lon", "lat")
+    return cell_cover(shapes.withColumn("kind", kind(F.col("geometry"))), 12)
+
+
 @query(
     "cell_rollup",
     f"""
