@@ -108,14 +108,6 @@ def is_empty(geom: Column) -> Column:
     return F.size(points(geom)) == 0
 
 
-def _steps(path: Column, body: Callable[[Column, Column], Column]) -> Column:
-    """``body(a, b)`` for each pair of successive points of a path."""
-    count = F.greatest(F.size(path) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(path, F.lit(1), count), F.slice(path, F.lit(2), count), body
-    )
-
-
 # --- extent -----------------------------------------------------------------------
 
 
@@ -156,7 +148,29 @@ def _mean_of_points(geom: Column) -> Column:
     )
 
 
-def _weighted(moments: Column) -> Column:
+def _walk(path: Column, start: Column, weigh: Callable[..., Column]) -> Column:
+    """Sum ``weight, weight * x, weight * y`` of the steps along a path.
+
+    ``weigh(ax, ay, bx, by)`` gives a step's weight; its place is the sum of its two
+    ends.  Points are taken relative to ``start``, so that shapes far from the origin do
+    not lose their digits.  The running sum also carries the last point: one pass, no
+    pairs built beforehand.
+    """
+
+    def state(w: Column, x: Column, y: Column, px: Column, py: Column) -> Column:
+        named = {"w": w, "x": x, "y": y, "px": px, "py": py}
+        return F.struct(*[value.alias(name) for name, value in named.items()])
+
+    def step(s: Column, p: Column) -> Column:
+        x, y = p["x"] - start["x"], p["y"] - start["y"]
+        w = weigh(s["px"], s["py"], x, y)
+        moved_x, moved_y = s["x"] + w * (s["px"] + x), s["y"] + w * (s["py"] + y)
+        return state(s["w"] + w, moved_x, moved_y, x, y)
+
+    return F.aggregate(path, state(*[F.lit(0.0)] * 5), step)
+
+
+def _total(moments: Column) -> Column:
     """Sum an array of ``struct<w, x, y>``."""
     return F.aggregate(
         moments,
@@ -169,76 +183,83 @@ def _weighted(moments: Column) -> Column:
     )
 
 
+def _weighted_mean(moments: Column, origin: Column, share: float) -> Column:
+    """``origin`` plus the weighted mean; null without any weight."""
+    return let(
+        _total(moments),
+        lambda t: F.when(
+            t["w"] > 0,
+            point_struct(
+                origin["x"] + t["x"] / (t["w"] * share),
+                origin["y"] + t["y"] / (t["w"] * share),
+            ),
+        ),
+    )
+
+
 def _line_centroid(geom: Column) -> Column:
     """Midpoints of the segments, weighted by length; null when all have no length."""
 
-    def segment(a: Column, b: Column) -> Column:
-        length = F.hypot(b["x"] - a["x"], b["y"] - a["y"])
-        return let(
-            length,
-            lambda w: F.struct(
-                w.alias("w"),
-                (w * (a["x"] + b["x"]) / F.lit(2.0)).alias("x"),
-                (w * (a["y"] + b["y"]) / F.lit(2.0)).alias("y"),
-            ),
-        )
+    def length(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+        return F.hypot(bx - ax, by - ay)
+
+    def moment(path: Column, origin: Column) -> Column:
+        # each path is walked from its own first point, then brought to the common one
+        def moved(first: Column) -> Column:
+            dx, dy = first["x"] - origin["x"], first["y"] - origin["y"]
+            return let(
+                _walk(path, first, length),
+                lambda t: F.struct(
+                    t["w"].alias("w"),
+                    (t["x"] + t["w"] * dx * 2.0).alias("x"),
+                    (t["y"] + t["w"] * dy * 2.0).alias("y"),
+                ),
+            )
+
+        return let(F.get(path, F.lit(0)), moved)
 
-    segments = F.flatten(F.transform(parts(geom), lambda path: _steps(path, segment)))
     return let(
-        _weighted(segments),
-        lambda t: F.when(t["w"] > 0, point_struct(t["x"] / t["w"], t["y"] / t["w"])),
+        first_point(geom),
+        lambda origin: _weighted_mean(
+            F.transform(parts(geom), lambda path: moment(path, origin)), origin, 2.0
+        ),
     )
 
 
 def _polygon_centroid(geom: Column) -> Column:
-    """Area-weighted centroid; holes count negatively whatever their winding.
+    """Area-weighted centroid; null when there is no area.
 
-    Null when there is no area.  Coordinates are taken relative to the first
-    vertex, so that a small polygon far from the origin does not lose its digits.
+    Holes count negatively whatever their winding.
     """
 
-    def ring_moment(ring: Column, number: Column, origin: Column) -> Column:
-        def edge(a: Column, b: Column) -> Column:
-            ax, ay = a["x"] - origin["x"], a["y"] - origin["y"]
-            bx, by = b["x"] - origin["x"], b["y"] - origin["y"]
-            return let(
-                ax * by - bx * ay,
-                lambda w: F.struct(
-                    w.alias("w"), (w * (ax + bx)).alias("x"), (w * (ay + by)).alias("y")
-                ),
-            )
+    def cross(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+        return ax * by - bx * ay
 
-        def oriented(total: Column) -> Column:
-            sign = F.signum(total["w"]) * F.when(number == 0, 1.0).otherwise(-1.0)
+    def moment(ring: Column, number: Column, origin: Column) -> Column:
+        def oriented(t: Column) -> Column:
+            sign = F.signum(t["w"]) * F.when(number == 0, 1.0).otherwise(-1.0)
             return F.struct(
-                (total["w"] * sign).alias("w"),
-                (total["x"] * sign).alias("x"),
-                (total["y"] * sign).alias("y"),
+                (t["w"] * sign).alias("w"),
+                (t["x"] * sign).alias("x"),
+                (t["y"] * sign).alias("y"),
             )
 
-        return let(_weighted(_steps(ring, edge)), oriented)
+        # going on to the first point closes an open ring; a closed one stays the same
+        closed = F.concat(ring, F.slice(ring, 1, 1))
+        return let(_walk(closed, origin, cross), oriented)
 
-    def centre(origin: Column) -> Column:
-        rings = F.flatten(
+    def moments(origin: Column) -> Column:
+        return F.flatten(
             F.transform(
                 geom["polys"],
-                lambda poly: F.transform(
-                    poly, lambda ring, i: ring_moment(ring, i, origin)
-                ),
+                lambda poly: F.transform(poly, lambda ring, i: moment(ring, i, origin)),
             )
         )
-        return let(
-            _weighted(rings),
-            lambda t: F.when(
-                t["w"] > 0,
-                point_struct(
-                    origin["x"] + t["x"] / (t["w"] * 3.0),
-                    origin["y"] + t["y"] / (t["w"] * 3.0),
-                ),
-            ),
-        )
 
-    return let(first_point(geom), centre)
+    return let(
+        first_point(geom),
+        lambda origin: _weighted_mean(moments(origin), origin, 3.0),
+    )
 
 
 def centroid(geom: Column) -> Column:

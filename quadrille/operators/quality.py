@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.cells import is_cell
-from ..functions.geometry import DEFAULT_SRID, envelope
+from ..functions.geometry import DEFAULT_SRID, points
 
 REASON = "reject_reason"
 
@@ -73,14 +73,27 @@ def observe_counts(
 
 
 def coordinate_rules(geometry: Column, srid: int = DEFAULT_SRID) -> dict[str, Column]:
-    """Rules for geometries that no map can hold; null geometries are accepted."""
-    box = envelope(geometry)
-    # the sum is infinite or not a number as soon as one bound is
-    total = box["xmin"] + box["ymin"] + box["xmax"] + box["ymax"]
-    not_finite = F.isnan(total) | (F.abs(total) == F.lit(float("inf")))
-    rules = {"coordinate is not a finite number": not_finite}
+    """Rules for geometries that no map can hold; null geometries are accepted.
+
+    The tests run over the vertices, one short expression each.  Written with the bounds
+    of the extent they would repeat the geometry many times and grow the generated code
+    beyond what the JVM compiles.
+    """
+    vertices = points(geometry)
+    infinity = F.lit(float("inf"))
+
+    def finite(v: Column) -> Column:
+        return F.abs(v) < infinity
+
+    rules = {
+        "coordinate is not a finite number": F.exists(
+            vertices, lambda p: ~(finite(p["x"]) & finite(p["y"]))
+        )
+    }
     if srid == DEFAULT_SRID:
-        rules["latitude out of range"] = (box["ymin"] < -90.0) | (box["ymax"] > 90.0)
+        rules["latitude out of range"] = F.exists(
+            vertices, lambda p: F.abs(p["y"]) > F.lit(90.0)
+        )
     return rules
 
 
