@@ -37,7 +37,7 @@ def tile_column(lon: Column, zoom: int) -> Column:
 
 
 def tile_row(lat: Column, zoom: int) -> Column:
-    """Fractional tile number counted from north to south."""
+    """Fractional tile number counted from north to south, of a latitude not null."""
     side = F.lit(float(_tiles_per_side(zoom)))
     bounded = F.least(
         F.greatest(lat, F.lit(-_LATITUDE_LIMIT)), F.lit(_LATITUDE_LIMIT)
@@ -51,17 +51,19 @@ def tile_row(lat: Column, zoom: int) -> Column:
 
 
 def _whole_tile(fraction: Column, zoom: int) -> Column:
-    """Tile number of a fractional position, kept inside the grid."""
+    """Tile number of a fractional position that is not null, kept inside the grid."""
     last = F.lit(_tiles_per_side(zoom) - 1).cast("bigint")
     return F.least(F.greatest(F.floor(fraction), F.lit(0).cast("bigint")), last)
 
 
 def tile_x(lon: Column, zoom: int) -> Column:
-    return _whole_tile(tile_column(lon, zoom), zoom)
+    """Tile number from west to east; null for null."""
+    return F.when(lon.isNotNull(), _whole_tile(tile_column(lon, zoom), zoom))
 
 
 def tile_y(lat: Column, zoom: int) -> Column:
-    return _whole_tile(tile_row(lat, zoom), zoom)
+    """Tile number from north to south; null for null."""
+    return F.when(lat.isNotNull(), _whole_tile(tile_row(lat, zoom), zoom))
 
 
 def tile_edge_lon(number: Column, side: Column) -> Column:
@@ -103,9 +105,7 @@ def parent_cell(cell: Column, zoom: int) -> Column:
 
 def cell_of_point(x: Column, y: Column, zoom: int = DEFAULT_ZOOM) -> Column:
     """Cell id of a coordinate; null when either part is null."""
-    return F.when(
-        x.isNotNull() & y.isNotNull(), quadkey(tile_x(x, zoom), tile_y(y, zoom), zoom)
-    )
+    return quadkey(tile_x(x, zoom), tile_y(y, zoom), zoom)
 
 
 def cells_of_points(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:

@@ -11,6 +11,8 @@ from ..functions.cells import (
     cells_of,
     polygon_runs,
     quadkey,
+    tile_x,
+    tile_y,
 )
 from ..functions.geometry import centroid, envelope, kind
 
@@ -82,14 +84,20 @@ def cell_rollup(
     """Rows and extent per cell: ``cell, features, xmin, ymin, xmax, ymax``.
 
     Counts, minima and maxima are combined before the shuffle, so a cell that holds a
-    third of all rows sends no more than one row per input partition.
+    third of all rows sends no more than one row per input partition.  The rows are
+    grouped by tile numbers; the cell's text is made once per group.
     """
-    keyed = with_cell(df.select(geometry), zoom, geometry)
-    boxed = keyed.select("cell", envelope(F.col(geometry)).alias("box"))
-    return boxed.groupBy("cell").agg(
+    geom, centre = F.col(geometry), F.col("centre")
+    placed = df.select(centroid(geom).alias("centre"), envelope(geom).alias("box"))
+    tiles = placed.groupBy(
+        tile_x(centre["x"], zoom).alias("tile_x"),
+        tile_y(centre["y"], zoom).alias("tile_y"),
+    ).agg(
         F.count(F.lit(1)).alias("features"),
         F.min("box.xmin").alias("xmin"),
         F.min("box.ymin").alias("ymin"),
         F.max("box.xmax").alias("xmax"),
         F.max("box.ymax").alias("ymax"),
     )
+    cell = quadkey(F.col("tile_x"), F.col("tile_y"), zoom)
+    return tiles.select(cell.alias("cell"), *tiles.columns[2:])

@@ -19,7 +19,7 @@ def values(df, column):
 
 def test_envelopes(spark):
     df = frame(spark, [*EXAMPLES.values(), None])
-    boxes = [b and tuple(b) for b in values(df, g.envelope(F.col("geometry")))]
+    boxes = [tuple(b) for b in values(df, g.envelope(F.col("geometry")))]
     assert boxes == [
         (1.5, 2.5, 1.5, 2.5),
         (1.0, 2.0, 3.0, 4.0),
@@ -27,7 +27,7 @@ def test_envelopes(spark):
         (0.0, 0.0, 5.0, 8.0),
         (0.0, 0.0, 4.0, 4.0),
         (0.0, 0.0, 14.0, 24.0),
-        None,
+        (None,) * 4,
     ]
     assert tuple(dataset_bbox(df).first()) == (0.0, 0.0, 14.0, 24.0)
 
