@@ -36,6 +36,7 @@ EARTH_RADIUS = 6378137.0
 
 DEFAULT_SRID = 4326
 WEB_MERCATOR_SRID = 3857
+UNKNOWN_SRID = 0
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -113,7 +113,7 @@ def import_features(
         df = df.where(where)
 
     placed, kind, rules = _with_geometry(
-        spark, path, df, chosen, geometry_column, int(srid)
+        spark, path, df, chosen, geometry_column, int(srid), partitions
     )
     srid = srid_of(placed)
     rules = {**rules, **coordinate_rules(F.col("geometry"), srid)}
@@ -133,6 +133,7 @@ def _with_geometry(
     chosen: str,
     column: Sequence[str] | str | None,
     srid: int,
+    partitions: str | None,
 ) -> tuple[DataFrame, str | None, dict[str, Column]]:
     """Frame with ``geometry``, its feature type, and the rules for a bad source value.
 
@@ -140,7 +141,7 @@ def _with_geometry(
     value that cannot be read is not.
     """
     if chosen == "GEOPARQUET":
-        dataset = describe_geoparquet(spark, path)
+        dataset = describe_geoparquet(spark, path, partitions)
         name = geometry_name(df, dataset)
         decoded = decode_geometry(_without_binary(df, name), name, dataset, _WKB)
         kinds = dataset.kinds

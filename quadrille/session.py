@@ -11,6 +11,8 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from .storage import open_filesystem, qualified
+
 _shipped: set[tuple[str, str]] = set()
 
 
@@ -49,8 +51,7 @@ def listing_session(spark: SparkSession) -> SparkSession:
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, as ``--py-files`` would.
 
-    The archive is read from the driver by Spark's own file server, so the driver's
-    temporary folder is the right place for it.
+    The archive goes to the shared scratch folder, once per application.
     """
     package = Path(__file__).resolve().parent
     buffer = io.BytesIO()
@@ -60,8 +61,13 @@ def ship_package(spark: SparkSession) -> None:
             archive.writestr(entry, source.read_bytes())
     digest = hashlib.sha256(buffer.getvalue()).hexdigest()[:16]
     key = (spark.sparkContext.applicationId, digest)
-    if key not in _shipped:
-        target = Path(tempfile.mkdtemp(prefix="quadrille-")) / f"quadrille_{digest}.zip"
-        target.write_bytes(buffer.getvalue())
-        spark.sparkContext.addPyFile(str(target))
-        _shipped.add(key)
+    if key in _shipped:
+        return
+    folder = qualified(spark, scratch_path(spark, "package"))
+    filesystem, inner = open_filesystem(folder)
+    filesystem.create_dir(inner, recursive=True)
+    name = f"quadrille_{digest}.zip"
+    with filesystem.open_output_stream(f"{inner}/{name}") as target:
+        target.write(buffer.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/{name}")
+    _shipped.add(key)

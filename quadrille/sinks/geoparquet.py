@@ -32,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..functions.geometry import (
     DEFAULT_SRID,
     GEOMETRY_TYPE,
+    UNKNOWN_SRID,
     WEB_MERCATOR_SRID,
     envelope,
     kind,
@@ -40,7 +41,8 @@ from ..functions.wkb import encode_batch
 from ..operators.schema import check_partition_columns
 from ..session import ship_package
 from ..sources.columns import geometry_field, srid_of
-from ..sources.files import NULL_PARTITION, file_table, open_filesystem, qualified
+from ..sources.files import NULL_PARTITION, file_table
+from ..storage import open_filesystem, qualified
 from .parquet import DEFAULT_ROWS_PER_FILE, rebalanced
 
 GEOPARQUET_VERSION = "1.1.0"
@@ -137,11 +139,20 @@ def geoparquet_header(
     srid: int = DEFAULT_SRID,
     bbox: Sequence[float] | None = None,
     column: str = "geometry",
+    crs: str | None = None,
 ) -> dict:
-    """The ``geo`` footer of a file with one WKB geometry column."""
-    if srid not in PROJJSON:
-        raise ValueError(f"Cannot write SRID {srid}; use 4326 or 3857.")
-    facts = {"encoding": "WKB", "geometry_types": sorted(kinds), "crs": PROJJSON[srid]}
+    """The ``geo`` footer of a file with one WKB geometry column.
+
+    ``crs`` is the PROJJSON text of a system other than the two known ones, as it was
+    read from another footer.  SRID 0 stands for an unknown system.
+    """
+    if srid in PROJJSON:
+        system = PROJJSON[srid]
+    elif crs is not None or srid == UNKNOWN_SRID:
+        system = json.loads(crs) if crs else None
+    else:
+        raise ValueError(f"Cannot write SRID {srid} without its definition.")
+    facts = {"encoding": "WKB", "geometry_types": sorted(kinds), "crs": system}
     if bbox is not None:
         facts["bbox"] = _checked_bbox(bbox)
     return {
@@ -176,7 +187,10 @@ def header_of(df: DataFrame, geometry: str = "geometry") -> dict:
     ).first()
     bbox = [row["xmin"], row["ymin"], row["xmax"], row["ymax"]]
     known = None if None in bbox else bbox
-    return geoparquet_header(row["kinds"], srid_of(df, geometry), known)
+    metadata = geometry_field(df, geometry).metadata
+    return geoparquet_header(
+        row["kinds"], srid_of(df, geometry), known, crs=metadata.get("crs")
+    )
 
 
 def header_from_footers(footers: DataFrame) -> dict | None:

@@ -6,19 +6,18 @@ parallel job for large trees), and everything derived from it is a DataFrame.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from posixpath import normpath
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import listing_session
+from ..storage import open_filesystem
 
 # The folder name of a null partition value, and a partition segment.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -43,23 +42,6 @@ def file_table(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """Path with its scheme; a bare path lies in the cluster's default file system.
-
-    Spark completes the path while it reports that something below it does not exist.
-    """
-    if path.startswith("file:") or "://" in path:
-        return path
-    absent = f"/absent-{uuid.uuid4().hex}"
-    try:
-        spark.read.format("binaryFile").load(path.rstrip("/") + absent)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return error.getMessageParameters()["path"].removesuffix(absent)
-    return path
-
-
 def list_part_files(
     spark: SparkSession, path: str, contains: list[str] | None = None
 ) -> DataFrame:
@@ -177,19 +159,6 @@ def list_partitions(
 # --- footers ----------------------------------------------------------------------
 
 
-def open_filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """Arrow filesystem and path inside it for a path as Spark writes it."""
-    scheme, colon, rest = path.partition(":")
-    if not colon or "/" in scheme:
-        return fs.LocalFileSystem(), path
-    if scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    authority, slash, inner = rest.removeprefix("//").partition("/")
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    filesystem, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
-    return filesystem, base.rstrip("/") + slash + inner
-
-
 def read_footers(files: DataFrame) -> DataFrame:
     """Footer facts of each file: ``path``, ``num_rows``, ``geo``, ``arrow_schema``.
 

@@ -14,7 +14,7 @@ from ..functions.wkb import from_wkb
 from ..session import ship_package
 from .columns import with_srid
 from .files import file_table, read_footers
-from .parquet import scan_parquet, scan_partition
+from .parquet import files_of_partitions, scan_parquet, scan_partition
 
 _HEADER = (
     "version string, primary_column string, columns map<string,map<string,string>>"
@@ -32,14 +32,21 @@ FAMILIES = (
 )
 
 
-def geoparquet_footers(spark: SparkSession, path: str) -> DataFrame:
+def geoparquet_footers(
+    spark: SparkSession, path: str, selector: str | None = None
+) -> DataFrame:
     """One row per file and geometry column of the ``geo`` footers of a dataset.
 
+    With a ``selector`` (``"year=2023"``) only files of those partitions are looked at.
+
     Columns: ``file, num_rows, version, primary_column, column, encoding,
     geometry_types, crs, crs_given, bbox``; ``crs`` is JSON text, and ``crs_given``
     tells a missing entry from an explicit null.  Files without a footer give no row.
     """
-    footers = read_footers(file_table(spark, path)).where(F.col("geo").isNotNull())
+    files = file_table(spark, path)
+    if selector is not None:
+        files = files_of_partitions(files, selector)
+    footers = read_footers(files).where(F.col("geo").isNotNull())
     header = F.from_json("geo", _HEADER)
     entries = footers.select("path", "num_rows", header.alias("header")).select(
         F.col("path").alias("file"),
@@ -208,20 +215,24 @@ class GeoDataset:
     geometry_columns: tuple[str, ...]
     kinds: tuple[str, ...]
     srid: int
+    crs: str | None = None
 
 
-def describe_geoparquet(spark: SparkSession, path: str) -> GeoDataset | None:
-    """Summarise the footers of all files; None when the dataset has none."""
+def describe_geoparquet(
+    spark: SparkSession, path: str, selector: str | None = None
+) -> GeoDataset | None:
+    """Summarise the footers of all (selected) files; None when there are none."""
     primary = F.col("column") == F.col("primary_column")
     types = F.collect_set(F.when(primary, F.array_sort("geometry_types")))
     row = (
-        geoparquet_footers(spark, path)
+        geoparquet_footers(spark, path, selector)
         .agg(
             F.min("primary_column").alias("primary"),
             F.max("primary_column").alias("other_primary"),
             F.collect_set("column").alias("columns"),
             F.array_distinct(F.flatten(types)).alias("kinds"),
             F.collect_set(F.when(primary, F.col("encoding"))).alias("encodings"),
+            F.max(F.when(primary, F.col("crs"))).alias("crs"),
             *_srid_aggregates(),
         )
         .first()
@@ -237,6 +248,7 @@ def describe_geoparquet(spark: SparkSession, path: str) -> GeoDataset | None:
         tuple(sorted(row["columns"])),
         tuple(sorted(row["kinds"] or ())),
         _decide_srid(row) if row["n_primary"] else DEFAULT_SRID,
+        row["crs"],
     )
 
 
@@ -274,7 +286,7 @@ def decode_geometry(
     attributes = [c for c in df.columns if c not in {*dataset.geometry_columns, name}]
     raw = [F.col(name).alias(keep_wkb)] if keep_wkb else []
     decoded = df.select(*attributes, *raw, from_wkb(F.col(name)).alias("geometry"))
-    return with_srid(decoded, dataset.srid)
+    return with_srid(decoded, dataset.srid, crs=dataset.crs)
 
 
 def read_geoparquet(
@@ -289,6 +301,6 @@ def read_geoparquet(
     decoded give a null geometry.
     """
     ship_package(spark)
-    dataset = describe_geoparquet(spark, path)
     df = scan_partition(spark, path, selector) if selector else scan_parquet(spark, path)
+    dataset = describe_geoparquet(spark, path, selector)
     return decode_geometry(df, geometry_name(df, dataset, geometry_column), dataset)

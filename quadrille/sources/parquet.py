@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -19,6 +20,7 @@ from .files import (
     list_partitions,
     partition_keys,
     read_footers,
+    segment_value,
 )
 
 # Error conditions Spark raises for a Parquet type it cannot read.
@@ -198,6 +200,14 @@ def scan_partition(spark: SparkSession, path: str, selector: str) -> DataFrame:
     return df
 
 
+def files_of_partitions(files: DataFrame, selector: str) -> DataFrame:
+    """Rows of a file table whose folders match a partition selector."""
+    for key, text in parse_selector(selector).items():
+        folder = F.regexp_extract("path", f"/({re.escape(key)}=[^/]*)/", 1)
+        files = files.where(_folder_matches(segment_value(folder), text))
+    return files
+
+
 def _folder_matches(value: Column, text: str) -> Column:
     """Folder value equals the text asked for, as text or as a number."""
     if text == NULL_PARTITION:

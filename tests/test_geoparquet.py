@@ -218,7 +218,7 @@ def test_web_mercator(spark, folder):
     write_geoparquet(df, folder)
     assert footers(folder)[0]["columns"]["geometry"]["crs"]["id"]["code"] == 3857
     assert srid_of(read_geoparquet(spark, folder)) == 3857
-    with pytest.raises(ValueError, match="Cannot write SRID 2154"):
+    with pytest.raises(ValueError, match="Cannot write SRID 2154 without"):
         write_geoparquet(df.withMetadata("geometry", {"srid": 2154}), folder)
 
 
@@ -299,6 +299,26 @@ def test_nameless_srid_is_wgs84_with_a_warning(spark, tmp_path, crs):
         assert resolve_srid(geoparquet_footers(spark, str(path))) == 4326
 
 
+@pytest.mark.parametrize("crs", ["epsg:2154", None])
+def test_any_reference_system_is_passed_on(spark, tmp_path, folder, crs):
+    path = tmp_path / "d" / "a.parquet"
+    header = geo_header(crs=crs)
+    write_file(path, feature_columns(2, point_at), header)
+    write_geoparquet(read_geoparquet(spark, str(path)), folder)
+    expected = header["columns"]["geometry"]["crs"]
+    assert footers(folder)[0]["columns"]["geometry"]["crs"] == expected
+
+
+def test_partitions_may_differ_when_one_is_read(spark, tmp_path):
+    for code in (3857, 4326):
+        path = tmp_path / "d" / f"zone={code}" / "a.parquet"
+        write_file(path, feature_columns(2, point_at), geo_header(crs=f"epsg:{code}"))
+    df = read_geoparquet(spark, str(tmp_path / "d"), selector="zone=3857")
+    assert srid_of(df) == 3857 and df.count() == 2
+    with pytest.raises(ValueError, match="More than one spatial reference"):
+        read_geoparquet(spark, str(tmp_path / "d"))
+
+
 def test_srid_of_another_authority(spark, tmp_path):
     path = tmp_path / "d" / "a.parquet"
     crs = {"id": {"authority": "ESRI", "code": 102100}}

@@ -13,10 +13,10 @@ from quadrille.sources.files import (
     list_part_files,
     list_partitions,
     partition_keys,
-    qualified,
     read_footers,
 )
 from quadrille.sources.parquet import parse_selector, scan_parquet, scan_partition
+from quadrille.storage import open_filesystem, qualified
 
 
 @pytest.fixture
@@ -74,6 +74,12 @@ def test_qualified_paths(spark, tmp_path):
     assert qualified(spark, "file:///tmp/x") == "file:///tmp/x"
 
 
+def test_paths_inside_a_filesystem():
+    assert open_filesystem("file:/tmp/a b/x=%20.parquet")[1] == "/tmp/a b/x=%20.parquet"
+    assert open_filesystem("file:///tmp/x")[1] == "/tmp/x"
+    assert open_filesystem("/tmp/x")[1] == "/tmp/x"
+
+
 # --- partitions -------------------------------------------------------------------
 
 

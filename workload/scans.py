@@ -187,13 +187,12 @@ def geoparquet_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "geoparquet_shapes",
     f"""
-WITH {PTS_SQL},
-kinds(kind, vertices, width, height) AS (VALUES
-  ('Point', 1, 0.0::double, 0.0::double), ('MultiPoint', 3, 1.0, 0.5),
-  ('LineString', 3, 1.0, 0.5), ('Polygon', 5, 0.5, 0.5))
-SELECT k, kind, vertices, lon AS xmin, lat AS ymin, lon+width AS xmax,
-       lat+height AS ymax
-FROM pts CROSS JOIN kinds
+WITH {PTS_SQL}
+SELECT k, 'Point' AS kind, 1 AS vertices, lon AS xmin, lat AS ymin, lon AS xmax,
+       lat AS ymax FROM pts
+UNION ALL SELECT k, 'MultiPoint', 3, lon, lat, lon+{ONE}, lat+{HALF} FROM pts
+UNION ALL SELECT k, 'LineString', 3, lon, lat, lon+{ONE}, lat+{HALF} FROM pts
+UNION ALL SELECT k, 'Polygon', 5, lon, lat, lon+{HALF}, lat+{HALF} FROM pts
 """,
 )
 def geoparquet_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
