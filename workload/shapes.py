@@ -232,7 +232,8 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {PTS_SQL}
 SELECT k, round(radians(lon)*cast(6378137 AS double),3) AS easting,
-       round(ln(tan(pi()/4+radians(lat)/2))*cast(6378137 AS double),3) AS northing,
+       -- adding zero turns the negative zero at the equator into zero
+       round(ln(tan(pi()/4+radians(lat)/2))*cast(6378137 AS double),3)+0 AS northing,
        round(lon, 6) AS lon, round(lat, 6) AS lat
 FROM pts
 """,
