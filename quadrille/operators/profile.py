@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.geometry import envelope, is_empty, kind
+from ..names import column, columns
 from ..sources.geoparquet import geometry_type_name
 from .schema import (
     DEFAULT_TEXT_LENGTH,
@@ -38,7 +39,7 @@ def max_string_lengths(df: DataFrame) -> DataFrame:
     """
     names = string_columns(df)
     lengths = [
-        F.coalesce(F.max(F.length(f"`{n}`")), F.lit(0)).alias(n) for n in names
+        F.coalesce(F.max(F.length(column(n))), F.lit(0)).alias(n) for n in names
     ]
     if not lengths:
         return df.sparkSession.createDataFrame([()], T.StructType([]))
@@ -48,7 +49,7 @@ def max_string_lengths(df: DataFrame) -> DataFrame:
 def max_complex_lengths(df: DataFrame) -> DataFrame:
     """One row: the greatest length of the JSON text of each nested column."""
     names = complex_columns(df)
-    return max_string_lengths(stringify_complex(df.select(*names)))
+    return max_string_lengths(stringify_complex(df.select(*columns(names))))
 
 
 def dataset_bbox(df: DataFrame, geometry: str = "geometry") -> DataFrame:
@@ -66,7 +67,7 @@ def geometry_kinds(
 ) -> DataFrame:
     """``kinds``: the sorted kinds of geometry that occur (at most six), per group."""
     kinds = F.sort_array(F.collect_set(kind(F.col(geometry)))).alias("kinds")
-    return df.groupBy(*by).agg(kinds)
+    return df.groupBy(*columns(by)).agg(kinds)
 
 
 def geometry_type_of(df: DataFrame, geometry: str = "geometry") -> str:

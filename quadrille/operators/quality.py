@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cells import is_cell
 from ..functions.geometry import DEFAULT_SRID, points
+from ..names import column, columns
 
 REASON = "reject_reason"
 
@@ -40,17 +41,17 @@ def split_rejects(df: DataFrame, rules: dict[str, Column]) -> Split:
     )
 
 
-def evaluated_once(df: DataFrame, column: str) -> DataFrame:
+def evaluated_once(df: DataFrame, name: str) -> DataFrame:
     """Keep filters on a column from evaluating the Python function behind it again.
 
     Spark moves a filter below the projection it refers to and repeats the projected
     expression there, also when that is a Python function.  A generator with one element
     holds the filter back, while filters on the other columns still reach the scan.
     """
-    metadata = next(f.metadata for f in df.schema if f.name == column)
-    others = [c for c in df.columns if c != column]
-    single = F.explode(F.array(F.col(column)))
-    return df.select(*others, single.alias(column)).withMetadata(column, metadata)
+    metadata = next(f.metadata for f in df.schema if f.name == name)
+    others = columns(c for c in df.columns if c != name)
+    single = F.explode(F.array(column(name)))
+    return df.select(*others, single.alias(name)).withMetadata(name, metadata)
 
 
 def observe_counts(

@@ -15,6 +15,7 @@ from ..functions.cells import (
     tile_y,
 )
 from ..functions.geometry import centroid, envelope, kind
+from ..names import columns
 
 
 def sample_rows(
@@ -52,7 +53,7 @@ def cell_cover(
     as long as the line or the points they come from.
     """
     geom = F.col(geometry)
-    attributes = [c for c in df.columns if c != geometry]
+    attributes = columns(c for c in df.columns if c != geometry)
     is_area = kind(geom).isin("Polygon", "MultiPolygon")
     run = "struct<row:bigint,first:bigint,last:bigint>"
     piece = F.inline(

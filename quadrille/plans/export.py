@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..functions.cells import DEFAULT_ZOOM
+from ..names import columns
 from ..operators.schema import (
     check_export_format,
     check_partition_columns,
@@ -53,12 +54,12 @@ def export_features(
         df = df.where(where)
     has_geometry = "geometry" in df.columns
     if fields is not None:
-        df = df.select(*fields, *(["geometry"] if has_geometry else []))
-    columns = check_partition_columns(df, partition_columns)
+        df = df.select(*columns([*fields, *(["geometry"] if has_geometry else [])]))
+    keys = check_partition_columns(df, partition_columns)
     df = normalize_export_types(df)
 
     if has_geometry and include_geometry and chosen == "GEOPARQUET":
-        return write_geoparquet(df, path, columns, rows_per_file, mode)
+        return write_geoparquet(df, path, keys, rows_per_file, mode)
     if has_geometry and not include_geometry:
         df = export_attributes(df)
     elif has_geometry and chosen == "XY":
@@ -67,4 +68,4 @@ def export_features(
         df = export_geojson(df)
     elif has_geometry and chosen == "CELL":
         df = export_cells(df, zoom)
-    return write_parquet(df, path, columns, rows_per_file, mode)
+    return write_parquet(df, path, keys, rows_per_file, mode)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_SRID
+from ..names import column, columns
 from ..operators.profile import (
     geometry_type_of,
     max_string_lengths,
@@ -131,7 +132,7 @@ def _with_geometry(
     path: str,
     df: DataFrame,
     chosen: str,
-    column: Sequence[str] | str | None,
+    source: Sequence[str] | str | None,
     srid: int,
     partitions: str | None,
 ) -> tuple[DataFrame, str | None, dict[str, Column]]:
@@ -154,19 +155,19 @@ def _with_geometry(
                 stacklevel=3,
             )
         if chosen == "COORDINATES":
-            x, y = check_coordinate_columns(df, column)
+            x, y = check_coordinate_columns(df, source)
             return points_from_xy(_without_binary(df), x, y, srid), "POINT", {}
         if chosen == "CELL":
-            name = check_cell_column(df, column)
+            name = check_cell_column(df, source)
             outlined = polygons_from_cells(_without_binary(df), name)
-            return outlined, "POLYGON", cell_rule(F.col(name))
-        if column not in df.columns:
+            return outlined, "POLYGON", cell_rule(column(name))
+        if source not in df.columns:
             raise ValueError(
-                f"The WKB geometry_column '{column}' does not appear to be in the "
+                f"The WKB geometry_column '{source}' does not appear to be in the "
                 f"input parquet columns. Available columns: {', '.join(df.columns)}"
             )
-        dataset = GeoDataset(column, (column,), (), srid)
-        decoded = decode_geometry(_without_binary(df, column), column, dataset, _WKB)
+        dataset = GeoDataset(source, (source,), (), srid)
+        decoded = decode_geometry(_without_binary(df, source), source, dataset, _WKB)
         kinds = ()
     decoded = evaluated_once(decoded, "geometry")
     kind = geometry_type_name(kinds) if kinds else geometry_type_of(decoded)
@@ -186,7 +187,7 @@ def _with_measured_lengths(good: DataFrame, source: DataFrame) -> DataFrame:
     texts = [n for n in string_columns(attributes) if n in names]
     if not texts:
         return good
-    measured = max_string_lengths(attributes.select(*texts)).first()
+    measured = max_string_lengths(attributes.select(*columns(texts))).first()
     aliases = {f.name: f.metadata.get("alias", f.name) for f in good.schema}
     return with_field_facts(
         good, {n: (aliases[n], measured[n] or DEFAULT_TEXT_LENGTH) for n in texts}

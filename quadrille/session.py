@@ -8,12 +8,14 @@ import tempfile
 import uuid
 import zipfile
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
 from .storage import open_filesystem, qualified
 
 _shipped: set[tuple[str, str]] = set()
+_listing: WeakKeyDictionary[SparkSession, SparkSession] = WeakKeyDictionary()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -40,7 +42,9 @@ def listing_session(spark: SparkSession) -> SparkSession:
     of cores, not the number of bytes that lie in the dataset.  The limit is a session
     setting, and the user's session must keep its own.
     """
-    derived = spark.newSession()
+    derived = _listing.get(spark)
+    if derived is None:
+        derived = _listing[spark] = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             derived.conf.set(key, value)

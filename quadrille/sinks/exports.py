@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cells import DEFAULT_ZOOM, cell_of_point, cells_of
 from ..functions.geometry import as_geojson, centroid, first_point, kind, to_wgs84
+from ..names import columns
 from ..operators.profile import profile_fields
 from ..sources.columns import srid_of
 
@@ -16,8 +17,8 @@ GEOJSON_COLUMN = "geojson"
 CELL_COLUMN = "cell_index"
 
 
-def _attributes(df: DataFrame, geometry: str) -> list[str]:
-    return [c for c in df.columns if c != geometry]
+def _attributes(df: DataFrame, geometry: str) -> list[Column]:
+    return columns(c for c in df.columns if c != geometry)
 
 
 def export_attributes(df: DataFrame, geometry: str = "geometry") -> DataFrame:

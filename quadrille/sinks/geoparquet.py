@@ -38,6 +38,7 @@ from ..functions.geometry import (
     kind,
 )
 from ..functions.wkb import encode_batch
+from ..names import column
 from ..operators.schema import check_partition_columns
 from ..session import ship_package
 from ..sources.columns import geometry_field, srid_of
@@ -281,7 +282,7 @@ def save_geoparquet(
         raise FileExistsError(f"The output path {path} exists already.")
     _register(spark)
     keys = F.to_json(
-        F.array(*[F.col(c).cast("string") for c in partition_columns]),
+        F.array(*[column(c).cast("string") for c in partition_columns]),
         {"ignoreNullFields": "false"},
     )
     body = df.drop(*partition_columns)

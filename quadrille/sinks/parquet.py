@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cells import DEFAULT_ZOOM
+from ..names import columns
 from ..operators.rows import with_cell
 from ..operators.schema import check_partition_columns
 
 DEFAULT_ROWS_PER_FILE = 300_000
 
 
-def rebalanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+def rebalanced(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Bring rows of one partition folder together, in tasks of similar size.
 
     The rebalance hint lets Spark look at the shuffled sizes: small keys share a task
@@ -23,7 +24,7 @@ def rebalanced(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     a file of its own.  The target size is
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    return df.hint("rebalance", *[F.col(c) for c in columns])
+    return df.hint("rebalance", *columns(keys))
 
 
 def write_parquet(
@@ -38,15 +39,15 @@ def write_parquet(
     Writing to an existing dataset adds parts to it; ``mode="errorifexists"`` refuses
     and ``mode="overwrite"`` replaces.  Without partition columns there is no shuffle.
     """
-    columns = check_partition_columns(df, partition_columns)
-    arranged = rebalanced(df, columns) if columns else df
+    keys = check_partition_columns(df, partition_columns)
+    arranged = rebalanced(df, keys) if keys else df
     writer = (
         arranged.write.mode(mode)
         .option("compression", "snappy")
         .option("maxRecordsPerFile", rows_per_file)
     )
-    if columns:
-        writer = writer.partitionBy(*columns)
+    if keys:
+        writer = writer.partitionBy(*keys)
     writer.parquet(path)
     return path
 
@@ -77,7 +78,7 @@ def cluster_by_cell(
     row, so that a crowded cell is divided over several tasks.
     """
     keyed = with_cell(df, zoom, geometry)
-    tie_breaker = F.xxhash64(*_hashable(df))
+    tie_breaker = F.xxhash64(*columns(_hashable(df)))
     ranges = [F.col("cell"), tie_breaker]
     if partitions is not None:
         ranged = keyed.repartitionByRange(partitions, *ranges)

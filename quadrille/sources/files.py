@@ -6,6 +6,7 @@ parallel job for large trees), and everything derived from it is a DataFrame.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from posixpath import normpath
@@ -89,22 +90,24 @@ def _root_length(first: str, path: str) -> int:
     return at + 1 + len(inner) if at >= 0 else len(first)
 
 
-def _segments(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
-    """``key=value`` folder names per file (array ``segments``), and the keys."""
-    files = file_table(spark, path)
+def _root_end(files: DataFrame, path: str) -> tuple[int, str]:
+    """Length of the dataset root in the paths of a file table, and one path below it."""
     first = files.select("path").first()
-    start = _root_length(first["path"], path) + 1 if first else 1
-    below_root = F.substring("path", start, 1 << 20)
-    segments = files.select(
-        F.regexp_extract_all(below_root, F.lit(SEGMENT), F.lit(1)).alias("segments")
-    )
-    row = segments.first()
-    return segments, [s.split("=", 1)[0] for s in row["segments"]] if row else []
+    if first is None:
+        return 0, ""
+    end = _root_length(first["path"], path)
+    return end, first["path"][end:]
 
 
-def partition_keys(spark: SparkSession, path: str) -> list[str]:
-    """Partition column names, outermost first; empty when not partitioned."""
-    return _segments(spark, path)[1]
+def partition_keys(
+    spark: SparkSession, path: str, files: DataFrame | None = None
+) -> list[str]:
+    """Partition column names, outermost first; empty when not partitioned.
+
+    ``files`` is the file table of the path, when the caller has listed it already.
+    """
+    below = _root_end(files or file_table(spark, path), path)[1]
+    return [segment.split("=", 1)[0] for segment in re.findall(SEGMENT, below)]
 
 
 def segment_value(segment: Column) -> Column:
@@ -122,14 +125,21 @@ def list_partitions(
     Columns: ``level`` (number of keys set), ``partition`` (the folder path as written,
     e.g. ``year=2023/month=01``) and one column per key.  With ``typed`` a key whose
     values are all digits becomes a number, so ``01`` reads as 1.  Keys below the level
-    are null.  Sorted by the keys, a folder before those inside it.  Empty, without key
+    are null.  Sorted by the path, a folder before those inside it.  Empty, without key
     columns, when the dataset is not partitioned.
     """
-    segments, keys = _segments(spark, path)
+    files = file_table(spark, path)
+    end, below = _root_end(files, path)
+    keys = [segment.split("=", 1)[0] for segment in re.findall(SEGMENT, below)]
     if not keys:
-        return segments.where(F.lit(False)).select(
+        return files.where(F.lit(False)).select(
             F.lit(0).alias("level"), F.lit("").alias("partition")
         )
+    segments = files.select(
+        F.regexp_extract_all(
+            F.substring("path", end + 1, 1 << 20), F.lit(SEGMENT), F.lit(1)
+        ).alias("segments")
+    )
     names = [f"segment_{i}" for i in range(len(keys))]
     folders = segments.select(
         *[F.get("segments", F.lit(i)).alias(n) for i, n in enumerate(names)]
@@ -153,7 +163,7 @@ def list_partitions(
         level.cast("int").alias("level"),
         F.concat_ws("/", *names).alias("partition"),
         *[v.alias(k) for k, v in values.items()],
-    ).orderBy(*keys, "level")
+    ).orderBy("partition")
 
 
 # --- footers ----------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_SRID
 from ..functions.wkb import from_wkb
+from ..names import column, columns
 from ..session import ship_package
 from .columns import with_srid
 from .files import file_table, read_footers
@@ -283,9 +284,10 @@ def decode_geometry(
     The other geometry columns drop out of the plan, so they are never read.  With
     ``keep_wkb`` the bytes stay under that name.
     """
-    attributes = [c for c in df.columns if c not in {*dataset.geometry_columns, name}]
-    raw = [F.col(name).alias(keep_wkb)] if keep_wkb else []
-    decoded = df.select(*attributes, *raw, from_wkb(F.col(name)).alias("geometry"))
+    geometries = {*dataset.geometry_columns, name}
+    attributes = columns(c for c in df.columns if c not in geometries)
+    raw = [column(name).alias(keep_wkb)] if keep_wkb else []
+    decoded = df.select(*attributes, *raw, from_wkb(column(name)).alias("geometry"))
     return with_srid(decoded, dataset.srid, crs=dataset.crs)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
+from ..names import column
 from .files import (
     NULL_PARTITION,
     file_table,
@@ -117,7 +118,7 @@ def scan_parquet(
         # a partition column whose type is given takes the folder's text unchanged
         keys = partition_keys(spark, path)
         df = spark.read.schema(_as_text(df.schema, keys)).parquet(path)
-    return df.select(*columns) if columns is not None else df
+    return df.select(*map(column, columns)) if columns is not None else df
 
 
 def _as_text(schema: T.StructType, names: Sequence[str]) -> T.StructType:
@@ -170,22 +171,17 @@ def scan_partition(spark: SparkSession, path: str, selector: str) -> DataFrame:
     or has no such partition.
     """
     wanted = parse_selector(selector)
-    available = list_partitions(spark, path, all_levels=False, typed=False)
-    keys = available.columns[2:]
+    files = file_table(spark, path)
+    keys = partition_keys(spark, path, files)
     message = (
         "The provided parquet_partitions do not appear to be available in the input "
         "data. "
     )
     if not keys:
         raise ValueError(message + "The input data does not appear to be partitioned.")
-
     present = set(wanted) <= set(keys)
-    if present:
-        found = available
-        for key, text in wanted.items():
-            found = found.where(_folder_matches(F.col(key), text))
-        present = not found.isEmpty()
-    if not present:
+    if not present or files_of_partitions(files, selector).isEmpty():
+        available = list_partitions(spark, path, all_levels=False, typed=False)
         shown = [r["partition"] for r in available.limit(_PARTITIONS_SHOWN).collect()]
         raise ValueError(
             message + f"Available partitions include: {', '.join(sorted(shown))}"
@@ -196,7 +192,7 @@ def scan_partition(spark: SparkSession, path: str, selector: str) -> DataFrame:
     for key, text in wanted.items():
         value = F.lit(text).try_cast(types[key])
         null = text == NULL_PARTITION
-        df = df.where(F.col(key).isNull() if null else F.col(key) == value)
+        df = df.where(column(key).isNull() if null else column(key) == value)
     return df
 
 

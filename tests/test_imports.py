@@ -316,6 +316,33 @@ def test_names_and_types(spark, odd_names):
     assert [r["flag"] for r in features.collect()] == ["true", None]
 
 
+def test_any_column_name(spark, tmp_path, folder):
+    """Dots, blanks and backticks, from import to export and back."""
+    columns = {
+        "a.b": ["x", "y"],
+        "ti`ck": [[1], [2, 3]],
+        "the x": [1.0, 2.0],
+        "the.y": [3.0, 4.0],
+        "0.5": [1, 2],
+    }
+    write_file(tmp_path / "n" / "a.parquet", columns)
+    path = str(tmp_path / "n")
+    loaded = import_features(spark, path, "COORDINATES", ["the x", "the.y"])
+    names = ["a.b", "ti`ck", "the x", "the.y", "c0.5", "geometry"]
+    assert loaded.features.columns == names
+    assert loaded.features.count() == 2 and loaded.rejected.isEmpty()
+    create_schema(spark, path, str(tmp_path / "schema"))
+    for geometry_format in ("GEOPARQUET", "XY", "GEOJSON", "CELL"):
+        out = f"{folder}-{geometry_format}"
+        export_features(
+            loaded.features, out, "a.b", geometry_format=geometry_format, fields=names[:5]
+        )
+        assert set(names[:5]) <= set(spark.read.parquet(out).columns)
+    again = import_features(spark, f"{folder}-GEOPARQUET", partitions="a.b=x")
+    assert again.features.count() == 1
+    assert set(again.features.columns) == set(names)
+
+
 def test_schema_file_round_trip(spark, odd_names, tmp_path):
     path = create_schema(spark, odd_names, str(tmp_path / "schema"))
     rows = {r["field_name"]: r for r in load_schema_csv(spark, path).collect()}

@@ -141,6 +141,12 @@ def test_scan_partition(spark, months):
             assert scan_partition(spark, months, selector).count() == count
 
 
+def test_keys_named_like_the_columns_of_the_listing(spark, folder):
+    df = spark.sql("SELECT 1 id, 'a' level, 'b' partition, 'c' path")
+    write_parquet(df, folder, ["level", "partition", "path"])
+    assert scan_partition(spark, folder, "partition=b/level=a/path=c").count() == 1
+
+
 @pytest.mark.parametrize("selector", ["year=1999", "day=1", "year=2023/month=7"])
 def test_unknown_partitions(spark, months, selector):
     with pytest.raises(ValueError, match="Available partitions include: year=2023/"):
