@@ -7,6 +7,7 @@ import io
 import tempfile
 import uuid
 import zipfile
+from functools import cache
 from pathlib import Path
 from weakref import WeakKeyDictionary
 
@@ -29,11 +30,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError(
                 "Set spark.checkpoint.dir to a folder that all executors share."
             )
-        root = tempfile.mkdtemp(prefix="quadrille-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/quadrille/{label}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="quadrille-")
+
+
 def listing_session(spark: SparkSession) -> SparkSession:
     """Session for queries that look at file names or footers but not at file contents.
 

@@ -214,7 +214,6 @@ def header_from_footers(footers: DataFrame) -> dict | None:
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("geometry_types"))))
             .alias("kinds"),
         )
-        .limit(100)
         .collect()
     )
     if not rows:

@@ -199,7 +199,8 @@ def scan_partition(spark: SparkSession, path: str, selector: str) -> DataFrame:
 def files_of_partitions(files: DataFrame, selector: str) -> DataFrame:
     """Rows of a file table whose folders match a partition selector."""
     for key, text in parse_selector(selector).items():
-        folder = F.regexp_extract("path", f"/({re.escape(key)}=[^/]*)/", 1)
+        # the last folder of that key: one above the dataset does not count
+        folder = F.regexp_extract("path", f"^.*/({re.escape(key)}=[^/]*)/", 1)
         files = files.where(_folder_matches(segment_value(folder), text))
     return files
 

@@ -321,7 +321,7 @@ def test_partitions_may_differ_when_one_is_read(spark, tmp_path):
 
 def test_srid_of_another_authority(spark, tmp_path):
     path = tmp_path / "d" / "a.parquet"
-    crs = {"id": {"authority": "ESRI", "code": 102100}}
+    crs = {"id": {"authority": "IGNF", "code": "LAMB93"}}
     write_file(path, feature_columns(2, point_at), geo_header(crs=crs))
     with pytest.raises(ValueError, match="cannot be looked up"):
         resolve_srid(geoparquet_footers(spark, str(path)))

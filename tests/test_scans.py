@@ -115,6 +115,16 @@ def test_folders_above_the_dataset_are_not_partitions(spark, months):
     assert {r["partition"] for r in rows} == {"month=01", "month=02"}
 
 
+@pytest.mark.filterwarnings("ignore:Partition folders")
+def test_a_folder_of_the_same_key_above_the_dataset(spark, tmp_path):
+    root = tmp_path / "year=1999" / "d"
+    for year in (2023, 2024):
+        write_file(root / f"year={year}" / "p.parquet", {"id": [year]})
+    assert scan_partition(spark, str(root), "year=2023").first()["id"] == 2023
+    with pytest.raises(ValueError, match="Available partitions include"):
+        scan_partition(spark, str(root), "year=1999")
+
+
 VALUES = ["a b", "x/y", "k=v", "50%", "é+ü", "q?*:", None, "07", "-1"]
 
 

@@ -203,6 +203,25 @@ def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+class Settings:
+    """Stands for a session of which only the settings matter."""
+
+    def __init__(self, **values):
+        self.values = {k.replace("_", "."): v for k, v in values.items()}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Settings(spark_master="yarn"), "x")
+    assert "/quadrille/x-" in scratch_path(Settings(spark_master="local[2]"), "x")
+    shared = Settings(spark_master="yarn", spark_checkpoint_dir="hdfs://n/tmp/")
+    assert scratch_path(shared, "x").startswith("hdfs://n/tmp/quadrille/x-")
+
+
 def test_functions_work_on_streams(spark, folder, tmp_path):
     """The column functions keep no state, so a stream may use them."""
     from quadrille.functions.cells import cell_of_point

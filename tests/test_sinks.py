@@ -122,6 +122,15 @@ def test_clustering_narrows_the_files(spark, folder):
     assert scan_parquet(spark, folder).select("id").distinct().count() == 4000
 
 
+def test_clustering_divides_a_crowd_of_equal_rows(spark, folder):
+    from quadrille.sources.columns import points_from_xy
+
+    df = spark.range(0, 4000, 1, 16).selectExpr("7.0D x", "8.0D y")
+    write_parquet(cluster_by_cell(points_from_xy(df, "x", "y"), 6, partitions=8), folder)
+    sizes = [pq.read_metadata(f).num_rows for f in files(folder)]
+    assert sum(sizes) == 4000 and len(sizes) >= 6 and max(sizes) <= 1000
+
+
 # --- compaction -------------------------------------------------------------------
 
 
