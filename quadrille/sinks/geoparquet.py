@@ -49,6 +49,9 @@ from .parquet import DEFAULT_ROWS_PER_FILE, rebalanced
 GEOPARQUET_VERSION = "1.1.0"
 FORMAT_NAME = "quadrille_geoparquet"
 
+# Fixed value: footer key under which Spark stores and finds its own schema.
+SPARK_SCHEMA_KEY = b"org.apache.spark.sql.parquet.row.metadata"
+
 # Characters that Hive partition folders escape as %XX.
 ESCAPED_IN_FOLDERS = frozenset('"#%\'*/:=?\\{[]^\x7f') | {chr(c) for c in range(1, 32)}
 
@@ -376,7 +379,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
         attempt = f"{context.partitionId():05d}-{uuid.uuid4().hex}"
         filesystem, root = open_filesystem(f"{self.target}/{self.staging}/{attempt}")
         output = _TaskOutput(
-            filesystem, root, f"part-{attempt}", self.geo, self.rows_per_file
+            filesystem, root, f"part-{attempt}", self._footer(), self.rows_per_file
         )
         for batch in iterator:
             for key, piece in self._split(batch):
@@ -385,6 +388,16 @@ class GeoParquetWriter(DataSourceArrowWriter):
         output.close()
         return WrittenFiles(attempt, output.files)
 
+    def _footer(self) -> dict[bytes, bytes]:
+        """The ``geo`` header, and the schema that Spark keeps column metadata in."""
+
+        def stored(f: T.StructField) -> T.StructField:
+            data_type = T.BinaryType() if f.name == "geometry" else f.dataType
+            return T.StructField(f.name, data_type, True, f.metadata)
+
+        schema = T.StructType([stored(f) for f in self.schema if f.name != _KEY_COLUMN])
+        return {b"geo": self.geo, SPARK_SCHEMA_KEY: schema.json().encode("utf-8")}
+
     def _split(self, batch: pa.RecordBatch) -> Iterator[tuple[str, pa.RecordBatch]]:
         """Runs of equal partition values; the rows come sorted by them."""
         if not self.columns:
@@ -448,7 +461,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
         schema = to_arrow_schema(self.schema)
         at = schema.get_field_index("geometry")
         schema = schema.set(at, pa.field("geometry", pa.binary()))
-        output = _TaskOutput(filesystem, root, f"part-{self.job}", self.geo, 1)
+        output = _TaskOutput(filesystem, root, f"part-{self.job}", self._footer(), 1)
         output.add("", schema.empty_table())
         output.close()
 
@@ -466,9 +479,16 @@ class GeoParquetWriter(DataSourceArrowWriter):
 class _TaskOutput:
     """One open file at a time; a new one for each folder and after enough rows."""
 
-    def __init__(self, filesystem, root: str, stem: str, geo: bytes, rows: int):
+    def __init__(
+        self,
+        filesystem: fs.FileSystem,
+        root: str,
+        stem: str,
+        footer: dict[bytes, bytes],
+        rows_per_file: int,
+    ):
         self.filesystem, self.root, self.stem = filesystem, root, stem
-        self.geo, self.rows_per_file = geo, rows
+        self.footer, self.rows_per_file = footer, rows_per_file
         self.files: list[str] = []
         self.folder: str | None = None
         self.writer: pq.ParquetWriter | None = None
@@ -505,7 +525,7 @@ class _TaskOutput:
         relative = f"{self.folder}/{name}" if self.folder else name
         target = f"{self.root}/{relative}"
         self.filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
-        metadata = {**(schema.metadata or {}), b"geo": self.geo}
+        metadata = {**(schema.metadata or {}), **self.footer}
         self.writer = pq.ParquetWriter(
             target,
             schema.with_metadata(metadata),

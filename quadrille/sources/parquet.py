@@ -122,12 +122,11 @@ def scan_parquet(
 
 
 def _as_text(schema: T.StructType, names: Sequence[str]) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if f.name in names else f.dataType)
-            for f in schema
-        ]
-    )
+    def retyped(f: T.StructField) -> T.StructField:
+        data_type = T.StringType() if f.name in names else f.dataType
+        return T.StructField(f.name, data_type, f.nullable, f.metadata)
+
+    return T.StructType([retyped(f) for f in schema])
 
 
 def _warn_of_shadowed_columns(spark: SparkSession, df: DataFrame) -> None:

@@ -18,6 +18,7 @@ from shapes import (
 
 from quadrille import create_schema, export_features, import_features
 from quadrille.operators.schema import check_import_format
+from quadrille.sinks.compact import compact_dataset
 from quadrille.sources.schema_csv import load_schema_csv
 
 
@@ -397,6 +398,22 @@ def test_save_as_table(spark, tmp_path):
     assert saved.schema["name"].metadata == {"alias": "name", "length": 10}
 
 
+def test_alias_and_length_survive_export_and_compaction(spark, odd_names, folder):
+    names = ["x", "y"]
+    loaded = import_features(spark, odd_names, "COORDINATES", names)
+    export_features(loaded.features, folder, "cdelta_x")
+    compact_dataset(spark, folder, f"{folder}-compact")
+    for path in (folder, f"{folder}-compact"):
+        again = import_features(spark, path, profile_lengths=False).features
+        for name in ("c1st", "plain", "flag"):
+            expected = loaded.features.schema[name].metadata
+            assert again.schema[name].metadata == expected
+        assert sorted(again.drop("geometry").columns) == sorted(
+            loaded.features.drop("geometry").columns
+        )
+        assert again.count() == 2
+
+
 def test_export_then_import(spark, tmp_path):
     path = coordinates(tmp_path)
     loaded = import_features(spark, path, "COORDINATES", ["longitude", "latitude"])
