@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,3 +33,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.PATTERN,
         keep_ids=False,
     )
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, posterior and verdict of every document."""
+    return quality.judge_quality(table(spark, sf_dir, "documents")).drop("row")
