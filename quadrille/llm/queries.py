@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, quality, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,3 +39,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, posterior and verdict of every document."""
     return quality.judge_quality(table(spark, sf_dir, "documents")).drop("row")
+
+
+#: Shards of the registered query.
+SHARDS = tuple(f"shard-{i:03}" for i in range(256))
+
+
+@query
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document."""
+    docs = table(spark, sf_dir, "documents")
+    placed = shards.place_on_shards(docs, SHARDS)
+    return placed.select("doc_id", "slot", "shard", "n_chars")
