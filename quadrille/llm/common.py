@@ -78,3 +78,114 @@ def text_offsets(array: pa.Array) -> np.ndarray:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_groups(
+    df: DataFrame,
+    keys: list[str],
+    function: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]],
+    schema: str,
+    partitions: int,
+) -> DataFrame:
+    """``function(rows, starts)`` over whole groups of rows with equal keys.
+
+    ``rows`` holds several whole groups one after the other and ``starts`` the first row
+    of each.  A worker holds a few batches and the group that it is reading, so a group
+    must have a bound of its own; ``paired_blocks`` gives one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = _tail_group(batch, keys)
+            if held and not _same_key(held[0], batch, keys):
+                yield from _call(held, keys, function)
+                held = []
+            if last:
+                yield from _call([*held, batch.slice(0, last)], keys, function)
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield from _call(held, keys, function)
+
+    dealt = df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+    return map_arrow(dealt, run, schema)
+
+
+def _columns(batch, keys) -> list[np.ndarray]:
+    return [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+
+
+def _changes(columns: list[np.ndarray]) -> np.ndarray:
+    differs = np.zeros(len(columns[0]) - 1, bool)
+    for column in columns:
+        differs |= column[1:] != column[:-1]
+    return np.concatenate([[0], np.nonzero(differs)[0] + 1])
+
+
+def _tail_group(batch: pa.RecordBatch, keys: list[str]) -> int:
+    return int(_changes(_columns(batch, keys))[-1])
+
+
+def _same_key(a: pa.RecordBatch, b: pa.RecordBatch, keys: list[str]) -> bool:
+    """Whether the first batch ends with the key with which the second begins."""
+    return all(a.column(k)[-1].as_py() == b.column(k)[0].as_py() for k in keys)
+
+
+def _call(batches, keys, function):
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    yield from function(rows, _changes([rows[k].to_numpy() for k in keys]))
+
+
+#: Members of a block; a task compares two blocks.
+BLOCK = 2048
+
+
+def paired_blocks(members: DataFrame, group: str, identity: str) -> DataFrame:
+    """Members dealt so that each pair of a group meets in exactly one task.
+
+    A group is divided into blocks of about ``BLOCK`` members by the hash of their
+    identity, and each member goes to the tasks ``(_i, _j)`` of its block with every
+    block of its group.  ``_own`` is the member's block.  Pairs inside a block meet in
+    the task ``_i = _j``.  No task holds more than two blocks, however large a group is,
+    and no row stands for a pair.
+    """
+    sizes = members.groupBy(group).count()
+    blocks = sizes.select(
+        group, F.ceil(F.col("count") / F.lit(BLOCK)).cast("int").alias("_blocks")
+    )
+    dealt = members.join(blocks, group).withColumn(
+        "_own", F.pmod(F.xxhash64(identity), F.col("_blocks")).cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    return (
+        dealt.withColumn("_other", other)
+        .withColumn("_i", F.least("_own", "_other"))
+        .withColumn("_j", F.greatest("_own", "_other"))
+        .drop("_blocks", "_other")
+    )
+
+
+class Forest:
+    """Union-find over the rows of a task."""
+
+    def __init__(self, size: int):
+        self.parent = list(range(size))
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, pairs) -> None:
+        for a, b in pairs:
+            a, b = self.find(int(a)), self.find(int(b))
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+
+    def roots(self) -> np.ndarray:
+        return np.array([self.find(x) for x in range(len(self.parent))], np.int64)

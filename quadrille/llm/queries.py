@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, shards
+from . import bpe, lattice, quality, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,3 +51,9 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     placed = shards.place_on_shards(docs, SHARDS)
     return placed.select("doc_id", "slot", "shard", "n_chars")
+
+
+@query
+def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
