@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lattice, quality, shards
+from . import bpe, lattice, packing, quality, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +57,12 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict of every vector."""
     return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document and their places in sequences."""
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+    )
