@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lattice, packing, quality, shards
+from . import bpe, lattice, packing, pii, quality, shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,3 +66,9 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"),
         public_tokenizers.path("word_bpe_49k.json"),
     )
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
