@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lattice, packing, pii, quality, shards
+from . import bpe, lattice, packing, pii, quality, shards, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,3 +72,9 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that windows of 20 words leave."""
+    return substrings.drop_repeated_passages(table(spark, sf_dir, "documents"))
