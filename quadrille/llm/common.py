@@ -32,6 +32,19 @@ def public_id(column: Column) -> Column:
     return F.when(column != F.lit(NULL_ID), column)
 
 
+def text_id(id_column: str, text_column: str) -> Column:
+    """Id of a row; a null one becomes a number below all others, from the text.
+
+    ``named`` turns it back.  Rows without an id are so told apart by their texts.
+    """
+    hashed = F.pmod(F.xxhash64(F.col(text_column)), F.lit(1 << 60))
+    return F.coalesce(F.col(id_column).cast("bigint"), hashed + F.lit(-(1 << 63)))
+
+
+def named(column: str) -> Column:
+    return F.when(F.col(column) >= F.lit(-(1 << 62)), F.col(column))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read again, which cuts the lineage.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lattice, packing, pii, quality, shards, substrings
+from . import bpe, chosen_path, lattice, packing, pii, quality, shards, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,3 +78,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that windows of 20 words leave."""
     return substrings.drop_repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return chosen_path.near_documents(docs).drop("row_id")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, map_groups, shuffle_width, slices
+from .common import map_arrow, map_groups, named, shuffle_width, slices, text_id
 from .words import longer, sliding, window_hashes, within, word_hashes
 
 #: Length of the windows of the first level, in words.
@@ -230,14 +230,9 @@ def drop_repeated_passages(
     partitions = shuffle_width(spark)
     buckets = partitions * 2
     groups = _prime(partitions * GROUPS)
-    text = F.col(text_column)
-    known = F.col(id_column).cast("bigint")
-    # null ids get a number below all others, from the text
-    hashed = F.pmod(F.xxhash64(text), F.lit(1 << 60)) + F.lit(-(1 << 63))
     rows = documents.select(
-        F.coalesce(known, hashed).alias("id"),
-        text.alias("text"),
-        known.isNull().alias("nameless"),
+        text_id(id_column, text_column).alias("id"),
+        F.col(text_column).alias("text"),
         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []),
     ).withColumn("bucket", F.pmod("id", F.lit(groups)).cast("int"))
     lengths = levels(window)
@@ -370,6 +365,5 @@ def _result(rows, keyed, found, window, fields, id_column, carry, keep_text) ->
     out = keyed.cogroup(found.groupBy("bucket")).applyInArrow(run, fields)
     if carry and keep_text:
         out = out.withColumn("kept_text", F.when(~F.col("text_null"), F.col("kept_text")))
-    public = F.when(F.col("id") >= F.lit(-(1 << 62)), F.col("id"))
-    out = out.withColumn("id", public).drop("text_null")
+    out = out.withColumn("id", named("id")).drop("text_null")
     return out.withColumnRenamed("id", id_column)

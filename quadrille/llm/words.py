@@ -101,3 +101,33 @@ def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
         values = pick(values[: len(values) - step], values[step:])
         have += step
     return values
+
+
+def shingles(texts: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sets of window hashes: sorted distinct values of each text, and their bounds.
+
+    A text with fewer words than a window has one shingle, all its words; a text without
+    words has none.
+    """
+    words, bounds = word_hashes(texts)
+    windows = window_hashes(words, length)
+    inside = within(bounds, length, len(windows))
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(windows)][inside]
+    values = windows[inside]
+    sizes = np.diff(bounds)
+    (brief,) = np.nonzero((sizes > 0) & (sizes < length))
+    if len(brief):
+        single = []
+        for t in brief.tolist():
+            h = words[bounds[t] : bounds[t] + 1]
+            for k in range(bounds[t] + 1, bounds[t + 1]):
+                h = joined(h, words[k : k + 1])
+            single.append(mixed(h ^ np.uint64(sizes[t])))
+        values = np.concatenate([values, *single])
+        text = np.concatenate([text, brief])
+    order = np.lexsort((values, text))
+    values, text = values[order], text[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
+    values, text = values[fresh], text[fresh]
+    return values, np.searchsorted(text, np.arange(len(bounds)))
