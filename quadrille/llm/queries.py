@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chosen_path, lattice, packing, pii, quality, shards, substrings
+from . import bpe, chosen_path, lattice, packing, pages, pii, quality, shards, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,3 +85,9 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
     return chosen_path.near_documents(docs).drop("row_id")
+
+
+@query
+def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract_main_text(table(spark, sf_dir, "pages"))
