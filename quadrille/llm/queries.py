@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from . import bpe, chosen_path, lattice, packing, pages, pii, quality, shards, substrings
+from pyspark.sql import functions as F
+
+from . import (
+    bpe,
+    chosen_path,
+    lattice,
+    packing,
+    pages,
+    pii,
+    quality,
+    resampling,
+    shards,
+    substrings,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,3 +103,20 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return pages.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and verdict of every document.
+
+    The target texts are of good quality and not toxic; the share that is kept is that
+    of good quality.
+    """
+    labels = table(spark, sf_dir, "labels")
+    good = F.col("quality") == 1
+    return resampling.resample(
+        table(spark, sf_dir, "documents"),
+        labels,
+        good & (F.col("toxic") == 0),
+        share=resampling.share_of(labels, good, None),
+    )

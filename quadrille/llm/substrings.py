@@ -213,8 +213,8 @@ def drop_repeated_passages(
     Earlier means in a document with a smaller id, or in the same document at an earlier
     word.  Windows are judged on the input, not on what is left of it.  One row per input
     row: the id, ``n_words``, ``n_removed``, ``kept_sha256`` of the kept words joined by
-    single spaces, with ``keep_text`` those words as ``kept_text``, and the columns named
-    in ``carry`` in a struct ``row``.
+    single spaces, with ``keep_text`` those words as ``kept_text`` (the text as it was if
+    nothing is removed), and the columns named in ``carry`` in a struct ``row``.
 
     A null text has no words (its ``kept_text`` is null); a text shorter than the window
     keeps all.  Rows that share an id are one document: a window is not earlier than
@@ -336,7 +336,8 @@ def _result(rows, keyed, found, window, fields, id_column, carry, keep_text) ->
             removed.append(n - len(words))
             digests.append(hashlib.sha256(kept).hexdigest())
             if keep_text:
-                kept_texts.append(kept.decode())
+                same = len(words) == n
+                kept_texts.append(text.as_py() if same else kept.decode())
         columns = [
             texts["id"],
             pa.array(totals, pa.int64()),
