@@ -1,12 +1,72 @@
-"""The pipeline from raw documents to packed sequences, stage by stage."""
+"""The pipeline from raw documents to packed sequences, stage by stage.
+
+Every stage takes the documents that the one before it kept, with their columns.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quadrille.llm import chosen_path, packing, pii, quality, substrings
+from quadrille.llm.common import stored, text_id
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    judged = quality.judge_quality(docs, carry=docs.columns)
+    return judged.where("kept").select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least id.
+
+    Of repeated rows one stays.
+    """
+    found = chosen_path.near_documents(docs)
+    kept = found.where("kept").select(F.col("row_id").alias("_row")).distinct()
+    rows = docs.select(
+        F.struct("*").alias("_all"),
+        text_id("doc_id", "text").alias("_row"),
+        F.xxhash64("text").alias("_digest"),
+    )
+    single = rows.join(kept, "_row", "left_semi").dropDuplicates(["_row", "_digest"])
+    return single.select("_all.*")
+
+
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that are in earlier ones."""
+    others = [c for c in docs.columns if c != "text"]
+    found = substrings.drop_repeated_passages(docs, carry=others, keep_text=True)
+    return _with_text(docs, found.select("row.*", F.col("kept_text").alias("text")))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their personal data replaced."""
+    return _with_text(docs, pii.redact_documents(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents and their places in sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """The columns of ``docs``, with the number of characters of the new texts."""
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
-from quadrille.llm.common import stored
 
-STAGES: list = []
+STAGES = [
+    ("quality", drop_poor),
+    ("near_copies", drop_near_copies),
+    ("passages", drop_passages),
+    ("personal_data", redact),
+    ("packing", pack),
+]
 
 #: SQL can express neither the classifiers nor the tokenizer of the stages.
 ORACLE_SQL = None
