@@ -1,0 +1,121 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm_cases import awkward, copies, frame
+from tokenizers import Tokenizer
+
+from quadrille.llm import packing
+
+FILE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    found = Tokenizer.from_file(FILE)
+    found.encode_special_tokens = True
+    return found
+
+
+def test_ids_equal_the_library(tokenizer):
+    r = random.Random(2)
+    alphabet = " \n\x1c\x1d\x85　  aAÉéΣσ'sté日🙂12,.!<|endoftext|>"
+    texts = ["".join(r.choices(alphabet, k=r.randint(0, 60))) for _ in range(3000)]
+    with open(FILE, encoding="utf-8") as file:
+        own = packing.WordTokenizer(file.read())
+    ids, bounds = own.encode(texts, 1)
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        expected = tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        assert ids[a:b].tolist() == expected
+
+
+def histograms():
+    r = random.Random(3)
+    yield {}
+    yield {5: 1}
+    yield {1500: 1000}
+    yield {2048: 3, 1: 1}
+    yield {1025: 40, 700: 3}
+    for _ in range(20):
+        yield {r.randint(1, 2048): r.choice([1, 2, 50, 10**6]) for _ in range(40)}
+
+
+@pytest.mark.parametrize("counts", list(histograms()), ids=lambda c: str(len(c)))
+def test_every_token_of_a_plan_has_one_place(counts):
+    counts = {n: min(c, 500) for n, c in counts.items()}
+    plan = packing.Plan(counts, 2048)
+    lengths = np.repeat(list(counts), list(counts.values())).astype(np.int64)
+    ranks = np.concatenate([np.arange(c) for c in counts.values()] or [[]]).astype(int)
+    held, cut = defaultdict(list), defaultdict(list)
+    for piece, begin, take, sequence, offset in plan.places(lengths, ranks):
+        for p, b, t, s, o in zip(piece, begin, take, sequence, offset):
+            held[s].append((o, t))
+            cut[p].append((b, t))
+    for parts, size in [(held[s], None) for s in held] + [
+        (cut[p], lengths[p]) for p in range(len(lengths))
+    ]:
+        at = 0
+        for place, size_ in sorted(parts):
+            assert place == at and size_ > 0
+            at += size_
+        assert size is None or at == size
+    sizes = Counter(sum(t for _, t in parts) for parts in held.values())
+    total = sum(n * c for n, c in counts.items())
+    assert sizes.pop(2048, 0) == total // 2048
+    assert all(n & (n - 1) == 0 and c == 1 for n, c in sizes.items())
+
+
+def test_the_closest_multiset_is_found():
+    r = random.Random(9)
+    for _ in range(200):
+        counts = {r.randint(1, 30): r.randint(1, 3) for _ in range(r.randint(1, 6))}
+        plan = packing.Plan({}, 64)
+        plan.left = dict(counts)
+        chosen, slack = plan._closest(64)
+        assert all(counts[n] >= c for n, c in chosen.items())
+        seed = max(counts)
+        sums = {seed}
+        for n, c in counts.items():
+            sums = {s + k * n for s in sums for k in range(c - (n == seed) + 1)}
+        assert 64 - slack == max(s for s in sums if s <= 64)
+        assert sum(n * c for n, c in chosen.items()) == 64 - slack
+
+
+def check(spark, rows, tokenizer, capacity):
+    out = packing.pack_documents(frame(spark, rows), FILE, capacity=capacity, keep_ids=True)
+    ids = [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for _, t in rows]
+    tokens, pieces, sequences = Counter(), Counter(), defaultdict(list)
+    for row in out.collect():
+        part = np.frombuffer(row["ids"], "<u4")
+        assert len(part) == row["length"] > 0
+        assert zlib.crc32(row["ids"]) == row["ids_crc32"]
+        pieces.update((row["doc_id"], row["start"] + k, int(t)) for k, t in enumerate(part))
+        sequences[row["sequence_id"]].append((row["offset"], row["length"]))
+    for (i, _), own in zip(rows, ids):
+        tokens.update((i, k, t) for k, t in enumerate(own))
+    assert pieces == tokens
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at == capacity or at & (at - 1) == 0
+    plain = packing.pack_documents(frame(spark, rows), FILE, capacity=capacity)
+    key = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
+    both = [Counter(map(tuple, df.select(*key).collect())) for df in (plain, out)]
+    assert both[0] == both[1]
+
+
+def test_documents(spark, tokenizer):
+    check(spark, awkward() + copies(), tokenizer, 256)
+
+
+def test_one_length_only(spark, tokenizer):
+    check(spark, [(i, "a b c d e f") for i in range(50)], tokenizer, 16)
+
+
+def test_empty_table(spark):
+    assert packing.pack_documents(frame(spark, []), FILE).count() == 0
