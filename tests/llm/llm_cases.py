@@ -66,7 +66,7 @@ def copies(seed=1, base=40, copies_of=6):
     """Texts with exact copies, near copies and shared passages."""
     r = random.Random(seed)
     shared = prose(r, 30)
-    out, number = [], 0
+    out, number = [], 1000
     for k in range(base):
         text = prose(r, r.randint(20, 160)).split()
         if k % 5 == 0:
