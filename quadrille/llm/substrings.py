@@ -28,8 +28,9 @@ from .words import longer, sliding, window_hashes, within, word_hashes
 SHORTEST = 10
 #: Bytes of text hashed at once.
 STEP_BYTES = 4 << 20
-#: Groups of documents per shuffle partition; each group is held in memory.
-GROUPS = 8
+#: Groups of documents per shuffle partition.  A group is held in memory, and each sends
+#: one row of entries to every partition, so there are not many more than partitions.
+GROUPS = 4
 
 _ENTRIES = "bucket int, hashes binary, ids binary, starts binary"
 _PLACES = "bucket int, ids binary, starts binary"
@@ -228,7 +229,7 @@ def drop_repeated_passages(
         raise ValueError("A window has at least one word.")
     spark = documents.sparkSession
     partitions = shuffle_width(spark)
-    buckets = partitions * 2
+    buckets = partitions
     groups = _prime(partitions * GROUPS)
     rows = documents.select(
         text_id(id_column, text_column).alias("id"),
