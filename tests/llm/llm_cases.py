@@ -23,8 +23,9 @@ def words(r, n, vocabulary=400):
 
 
 def prose(r, n):
-    """Words that do not repeat in a text."""
-    return " ".join(f"{a}{r.randrange(10**6)}" for a in ["word"] * n)
+    """Words that hardly repeat, as sentences."""
+    out = ["".join(r.choices("abdegiklmnoprstu", k=r.randint(4, 9))) for _ in range(n)]
+    return " ".join(w + "." if k % 10 == 9 or k == n - 1 else w for k, w in enumerate(out))
 
 
 def awkward():
@@ -48,7 +49,7 @@ def awkward():
         (10, "one two three"),
         (11, "a b　c \x1c d\x85e <|endoftext|> \U0001f642 Ünïcödé"),
         (12, "same " * 300),
-        (13, other.replace("word", "Word", 1)),
+        (13, other.upper()),
     ]
 
 
