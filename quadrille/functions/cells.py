@@ -104,14 +104,21 @@ def parent_cell(cell: Column, zoom: int) -> Column:
 
 
 def cell_of_point(x: Column, y: Column, zoom: int = DEFAULT_ZOOM) -> Column:
-    """Cell id of a coordinate; null when either part is null."""
-    return quadkey(tile_x(x, zoom), tile_y(y, zoom), zoom)
+    """Cell id of a coordinate; null for a null part and for places off the globe.
+
+    Longitudes go round, so 180.5 is -179.5 and 180 is -180.  The last row of cells
+    reaches to the pole.
+    """
+    turns = F.floor((x + F.lit(180.0)) / F.lit(360.0))
+    inside = (F.abs(y) <= F.lit(90.0)) & (F.abs(x) < F.lit(float("inf")))
+    around = F.when(inside, x - turns * F.lit(360.0))
+    return quadkey(tile_x(around, zoom), tile_y(F.when(inside, y), zoom), zoom)
 
 
 def cells_of_points(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
-    """Sorted distinct cell ids of all vertices."""
+    """Sorted distinct cell ids of all vertices on the globe."""
     cells = F.transform(points(geom), lambda p: cell_of_point(p["x"], p["y"], zoom))
-    return F.sort_array(F.array_distinct(cells))
+    return F.sort_array(F.array_compact(F.array_distinct(cells)))
 
 
 def cells_of_line(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:

@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 
+from ..session import ship_to_active
+
 from .geometry import GEOMETRY_TYPE, KINDS
 
 # WKB geometry codes and the bits that mark extended WKB.
@@ -327,7 +329,10 @@ def _encode_simple(
     begin = np.cumsum(vertices) - vertices
     at = np.repeat(first - begin, vertices) + np.arange(vertices.sum())
     records[is_body] = nesting.xy[at].view(np.uint8).ravel()
-    ends = np.concatenate([[0], np.cumsum(header + body)]).astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(header + body)])
+    if ends[-1] > np.iinfo(np.int32).max:
+        raise ValueError("A batch of records exceeds 2 GiB; use smaller Arrow batches.")
+    ends = ends.astype(np.int32)
     valid = pa.array(code > 0).buffers()[1]
     buffers = [valid, pa.py_buffer(ends), pa.py_buffer(records)]
     return pa.BinaryArray.from_buffers(pa.binary(), len(code), buffers)
@@ -352,6 +357,7 @@ def _encode_each(nesting: _Nesting, rows: np.ndarray) -> pa.BinaryArray:
 
 def from_wkb(wkb: Column) -> Column:
     """Geometry of a WKB column; null where the bytes cannot be read."""
+    ship_to_active()
 
     @arrow_udf(GEOMETRY_TYPE)
     def decode(data: pa.Array) -> pa.Array:
@@ -363,6 +369,8 @@ def from_wkb(wkb: Column) -> Column:
 def to_wkb(geom: Column) -> Column:
     """WKB of a geometry column."""
 
+    ship_to_active()
+
     @arrow_udf("binary")
     def encode(data: pa.Array) -> pa.Array:
         return encode_batch(data)

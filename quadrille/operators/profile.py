@@ -110,5 +110,5 @@ def profile_fields(df: DataFrame, geometry: str = "geometry") -> DataFrame:
             )
         )
     if not rows:
-        raise ValueError("No writable fields found in the input data.")
+        raise ValueError("The table has no attribute to describe.")
     return df.sparkSession.createDataFrame(rows, PROFILE_SCHEMA)

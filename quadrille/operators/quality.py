@@ -95,6 +95,10 @@ def coordinate_rules(geometry: Column, srid: int = DEFAULT_SRID) -> dict[str, Co
         rules["latitude out of range"] = F.exists(
             vertices, lambda p: F.abs(p["y"]) > F.lit(90.0)
         )
+        # one turn past the antimeridian is a way to cross it, more is an error
+        rules["longitude out of range"] = F.exists(
+            vertices, lambda p: F.abs(p["x"]) > F.lit(540.0)
+        )
     return rules
 
 

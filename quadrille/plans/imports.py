@@ -90,7 +90,7 @@ def import_features(
     """Read a Parquet dataset as a feature table.
 
     ``geometry_format`` tells where the geometry comes from: ``GEOPARQUET`` (footer and
-    primary column), ``COORDINATES`` (``geometry_column`` names x and y), ``CELL`` (one
+    primary column, or the ``geometry_column`` given), ``COORDINATES`` (``geometry_column`` names x and y), ``CELL`` (one
     cell id column) or ``WKB`` (one binary column).  ``partitions`` selects Hive
     partitions, as in ``"year=2023/month=1"``.
 
@@ -100,11 +100,6 @@ def import_features(
     ``rejected``.  Apart from footers and the measured lengths nothing is read here.
     """
     chosen = check_import_format(geometry_format)
-    if chosen == "COORDINATES" and not isinstance(geometry_column, (tuple, list)):
-        raise ValueError(
-            "If using COORDINATES as the geometry type, you must provide an iterable "
-            "(list or tuple) of the x and y column names."
-        )
     ship_package(spark)
     if partitions is not None:
         df = scan_partition(spark, path, partitions)
@@ -142,16 +137,18 @@ def _with_geometry(
     value that cannot be read is not.
     """
     if chosen == "GEOPARQUET":
-        dataset = describe_geoparquet(spark, path, partitions)
-        name = geometry_name(df, dataset)
-        decoded = decode_geometry(_without_binary(df, name), name, dataset, _WKB)
+        dataset = describe_geoparquet(spark, path, partitions, source)
+        name = geometry_name(df, dataset, source)
+        decoded = decode_geometry(
+            _without_binary(df, name, dataset.geometry_columns), name, dataset, _WKB
+        )
         kinds = dataset.kinds
     else:
         primary = has_geoparquet_footer(spark, path)
         if primary is not None:
             warnings.warn(
-                f"The dataset appears to be GeoParquet with geometry column "
-                f"'{primary}', but geometry_format is {chosen}.",
+                f"Footers name the geometry column '{primary}', as GeoParquet does, but "
+                f"geometry_format is {chosen}.",
                 stacklevel=3,
             )
         if chosen == "COORDINATES":
@@ -163,8 +160,8 @@ def _with_geometry(
             return outlined, "POLYGON", cell_rule(column(name))
         if source not in df.columns:
             raise ValueError(
-                f"The WKB geometry_column '{source}' does not appear to be in the "
-                f"input parquet columns. Available columns: {', '.join(df.columns)}"
+                f"WKB column '{source}' does not appear to be in the input parquet "
+                f"columns, which are {', '.join(df.columns)}."
             )
         dataset = GeoDataset(source, (source,), (), srid)
         decoded = decode_geometry(_without_binary(df, source), source, dataset, _WKB)
@@ -174,16 +171,24 @@ def _with_geometry(
     return decoded, kind, wkb_rule(F.col(_WKB), F.col("geometry"))
 
 
-def _without_binary(df: DataFrame, keep: str | None = None) -> DataFrame:
-    """Leave out binary attributes, which a feature table cannot hold."""
+def _without_binary(
+    df: DataFrame, keep: str | None = None, others: Sequence[str] = (), warn: bool = True
+) -> DataFrame:
+    """Leave out binary attributes, which a feature table cannot hold, with a warning."""
     binary = [n for n, t in df.dtypes if t == "binary" and n != keep]
+    lost = [n for n in binary if n not in others]
+    if lost and warn:
+        warnings.warn(
+            f"Binary columns cannot be attributes and are left out: {', '.join(lost)}.",
+            stacklevel=4,
+        )
     return df.drop(*binary)
 
 
 def _with_measured_lengths(good: DataFrame, source: DataFrame) -> DataFrame:
     """Text lengths from the data, measured without touching the geometry."""
     names = [f.name for f in good.schema if f.name != "geometry"]
-    attributes = normalize_import_types(safe_column_names(_without_binary(source)))
+    attributes = normalize_import_types(safe_column_names(_without_binary(source, warn=False)))
     texts = [n for n in string_columns(attributes) if n in names]
     if not texts:
         return good

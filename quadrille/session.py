@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import io
-import tempfile
 import uuid
 import zipfile
-from functools import cache
 from pathlib import Path
 from weakref import WeakKeyDictionary
 
@@ -20,25 +18,13 @@ _listing: WeakKeyDictionary[SparkSession, SparkSession] = WeakKeyDictionary()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder all executors share (``spark.checkpoint.dir``).
-
-    Only a local session may go without the setting; it gets a folder of its own.
-    """
+    """A new path in the folder all executors share (``spark.checkpoint.dir``)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(
-                "Set spark.checkpoint.dir to a folder that all executors share."
-            )
-        root = _local_root()
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
     return f"{root.rstrip('/')}/quadrille/{label}-{uuid.uuid4().hex}"
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="quadrille-")
-
-
 def listing_session(spark: SparkSession) -> SparkSession:
     """Session for queries that look at file names or footers but not at file contents.
 
@@ -80,3 +66,10 @@ def ship_package(spark: SparkSession) -> None:
         target.write(buffer.getvalue())
     spark.sparkContext.addPyFile(f"{folder}/{name}")
     _shipped.add(key)
+
+
+def ship_to_active() -> None:
+    """``ship_package`` for functions that see columns only."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship_package(spark)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..sources.files import partition_keys
+from ..sources.files import dataset_layout
 from ..sources.geoparquet import geoparquet_footers
-from ..sources.parquet import scan_parquet
+from ..sources.parquet import scan_parquet, united_schema
 from .geoparquet import header_from_footers, save_geoparquet
 from .parquet import DEFAULT_ROWS_PER_FILE, rebalanced, write_parquet
 
@@ -21,9 +21,14 @@ def compact_dataset(
     """Rewrite a dataset into files of up to ``target_rows`` rows per Hive partition.
 
     Partition folders keep their names, and GeoParquet files their footer.  Geometry
-    stays encoded: bytes are copied, not parsed.
+    stays encoded: bytes are copied, not parsed.  The columns are those of all files.  A
+    dataset with a column that Spark cannot read is refused, as it would be lost.
     """
-    keys = partition_keys(spark, source)
+    layout = dataset_layout(spark, source)
+    lost = united_schema(layout)[1] if layout.schemas else []
+    if lost:
+        raise ValueError(f"Cannot rewrite columns of these types: {', '.join(lost)}.")
+    keys = layout.keys
     header = header_from_footers(geoparquet_footers(spark, source))
     df = scan_parquet(spark, source, raw_partition_text=True)
     if header is not None:

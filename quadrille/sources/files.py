@@ -6,9 +6,9 @@ parallel job for large trees), and everything derived from it is a DataFrame.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from posixpath import normpath
 
 import pyarrow as pa
@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import listing_session
+from ..session import listing_session, ship_package
 from ..storage import open_filesystem
 
 # The folder name of a null partition value, and a partition segment.
@@ -56,13 +56,11 @@ def list_part_files(
     try:
         files = file_table(spark, path)
     except FileNotFoundError as error:
-        raise ValueError(
-            f"{error} Please check that the path is correct and reachable."
-        ) from None
+        raise ValueError(f"{error} It may be misspelt or not mounted here.") from None
     first = files.select("path").first()
     if contains and first and first["path"].endswith("/" + path.strip("/")):
         raise ValueError(
-            "If providing a parquet part file, you cannot specify a parquet partition."
+            f"{path} is one file, for which you cannot specify a parquet partition."
         )
     for piece in contains or []:
         files = files.where(F.col("path").contains(piece))
@@ -70,8 +68,8 @@ def list_part_files(
         first = files.select("path").first()
     if first is None:
         raise ValueError(
-            "The directory and partitions provided do not appear to contain any "
-            "parquet part files."
+            f"No Parquet file lies below {path}"
+            + (f" with {contains} in its path." if contains else ".")
         )
     return files
 
@@ -104,10 +102,55 @@ def partition_keys(
 ) -> list[str]:
     """Partition column names, outermost first; empty when not partitioned.
 
-    ``files`` is the file table of the path, when the caller has listed it already.
+    ``files`` is the file table of the path, when the caller has listed it already.  All
+    paths are looked at.
     """
-    below = _root_end(files or file_table(spark, path), path)[1]
-    return [segment.split("=", 1)[0] for segment in re.findall(SEGMENT, below)]
+    files = files or file_table(spark, path)
+    keys = _key_list(_root_end(files, path)[0])
+    return _one_nesting([row[0] for row in files.select(keys).distinct().collect()])
+
+
+def _segments(end: int) -> Column:
+    """The ``key=value`` folders of a path below the root, which ends at ``end``."""
+    below = F.substring(F.col("path"), F.lit(end + 1), F.length("path"))
+    return F.regexp_extract_all(below, F.lit(SEGMENT), F.lit(1))
+
+
+def _key_list(end: int) -> Column:
+    return F.transform(_segments(end), lambda s: F.substring_index(s, "=", 1))
+
+
+def _one_nesting(lists: list[list[str]]) -> list[str]:
+    """The longest list of keys, of which all others must be the beginning."""
+    keys = max(lists, key=len, default=[])
+    for other in lists:
+        if other != keys[: len(other)]:
+            raise ValueError(f"Partitions are nested as {keys} and as {other}.")
+    return keys
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Partition keys of a dataset and the different schemas of its files."""
+
+    keys: list[str]
+    schemas: list[pa.Schema]
+
+
+def dataset_layout(spark: SparkSession, path: str) -> Layout:
+    """Layout from the names and footers of all files, in one pass over them.
+
+    What reaches the driver are the different combinations, not the files.
+    """
+    files = file_table(spark, path)
+    end = _root_end(files, path)[0]
+    footers = read_footers(files).select(_key_list(end).alias("keys"), "arrow_schema")
+    rows = footers.distinct().collect()
+    schemas = dict.fromkeys(bytes(row["arrow_schema"]) for row in rows)
+    return Layout(
+        _one_nesting([row["keys"] for row in rows]),
+        [pa.ipc.read_schema(pa.py_buffer(schema)) for schema in schemas],
+    )
 
 
 def segment_value(segment: Column) -> Column:
@@ -117,6 +160,10 @@ def segment_value(segment: Column) -> Column:
     return F.when(text != NULL_PARTITION, F.coalesce(unescaped, text))
 
 
+def _depth(names: list[str]) -> Column:
+    return sum((F.col(n).isNotNull().cast("int") for n in names), F.lit(0))
+
+
 def list_partitions(
     spark: SparkSession, path: str, all_levels: bool = True, typed: bool = True
 ) -> DataFrame:
@@ -124,22 +171,19 @@ def list_partitions(
 
     Columns: ``level`` (number of keys set), ``partition`` (the folder path as written,
     e.g. ``year=2023/month=01``) and one column per key.  With ``typed`` a key whose
-    values are all digits becomes a number, so ``01`` reads as 1.  Keys below the level
+    values are all digits becomes a ``decimal(38,0)``, so ``01`` reads as 1; a key with
+    a longer value, which no number type holds, stays text.  Keys below the level
     are null.  Sorted by the path, a folder before those inside it.  Empty, without key
     columns, when the dataset is not partitioned.
     """
     files = file_table(spark, path)
-    end, below = _root_end(files, path)
-    keys = [segment.split("=", 1)[0] for segment in re.findall(SEGMENT, below)]
+    end = _root_end(files, path)[0]
+    keys = partition_keys(spark, path, files)
     if not keys:
         return files.where(F.lit(False)).select(
             F.lit(0).alias("level"), F.lit("").alias("partition")
         )
-    segments = files.select(
-        F.regexp_extract_all(
-            F.substring("path", end + 1, 1 << 20), F.lit(SEGMENT), F.lit(1)
-        ).alias("segments")
-    )
+    segments = files.select(_segments(end).alias("segments"))
     names = [f"segment_{i}" for i in range(len(keys))]
     folders = segments.select(
         *[F.get("segments", F.lit(i)).alias(n) for i, n in enumerate(names)]
@@ -147,17 +191,19 @@ def list_partitions(
     if all_levels:
         leaves = folders.rollup(*names).agg(F.grouping_id().alias("unset"))
         leaves = leaves.where(F.col("unset") < (1 << len(keys)) - 1)
-        level = F.lit(len(keys)) - F.bit_count("unset")
+        # a folder that ends above the last key is listed at its own level
+        leaves = leaves.drop("unset").distinct().where(F.coalesce(*names).isNotNull())
+        level = _depth(names)
     else:
         leaves = folders.distinct()
-        level = F.lit(len(keys))
+        level = _depth(names)
     values = {k: segment_value(F.col(n)) for k, n in zip(keys, names)}
     if typed:
         numeric = folders.agg(
-            *[F.bool_and(v.rlike("^[0-9]{1,18}$")).alias(k) for k, v in values.items()]
+            *[F.bool_and(v.rlike("^[0-9]{1,38}$")).alias(k) for k, v in values.items()]
         ).first()
         values = {
-            k: v.cast("bigint") if numeric[k] else v for k, v in values.items()
+            k: v.cast("decimal(38,0)") if numeric[k] else v for k, v in values.items()
         }
     return leaves.select(
         level.cast("int").alias("level"),
@@ -204,6 +250,7 @@ def read_footers(files: DataFrame) -> DataFrame:
             ("arrow_schema", pa.binary()),
         ]
     )
+    ship_package(files.sparkSession)
     return files.select("path").mapInArrow(
         read, "path string, num_rows bigint, geo string, arrow_schema binary"
     )

@@ -108,8 +108,8 @@ def dataset_bbox_from_footers(spark: SparkSession, path: str) -> list[float]:
     row = bbox_from_footers(geoparquet_footers(spark, path)).first()
     if row["headers"] > 1:
         raise ValueError(
-            "More than one spatial reference or geometry definition detected in the "
-            "files of the dataset."
+            f"The files of {path} describe their geometry in {row['headers']} ways, so "
+            "their extents cannot be united."
         )
     if row["xmin"] is None:
         raise ValueError(_NOT_GEOPARQUET)
@@ -117,8 +117,8 @@ def dataset_bbox_from_footers(spark: SparkSession, path: str) -> list[float]:
 
 
 _NOT_GEOPARQUET = (
-    "The dataset does not appear to be formatted as GeoParquet: no geometry metadata "
-    "was found. To use coordinate columns or cells, set geometry_format."
+    "No footer describes a geometry: the dataset does not appear to be formatted as "
+    "GeoParquet. Other sources of geometry are chosen by geometry_format."
 )
 
 
@@ -144,10 +144,10 @@ def geometry_type_name(kinds: list[str]) -> str:
             return family
     if kinds:
         raise ValueError(
-            f"Geometry type not supported {sorted(kinds)}. Supported are Point, "
-            "MultiPoint, LineString, MultiLineString, Polygon and MultiPolygon."
+            f"Of the kinds {sorted(kinds)} none is a point, line or polygon, so the "
+            "geometry is not supported."
         )
-    raise ValueError("No geometry types were found for the primary_column.")
+    raise ValueError("The footers list no kind of geometry.")
 
 
 def srid_column() -> Column:
@@ -167,9 +167,14 @@ def srid_column() -> Column:
     )
 
 
-def _srid_aggregates() -> list[Column]:
-    """Aggregates over footer rows from which the dataset's one SRID is decided."""
-    primary = F.col("column") == F.col("primary_column")
+def _is_read(chosen: str | None) -> Column:
+    """Footer rows of the geometry column that is read: the chosen or the primary one."""
+    return F.col("column") == (F.lit(chosen) if chosen else F.col("primary_column"))
+
+
+def _srid_aggregates(chosen: str | None = None) -> list[Column]:
+    """Aggregates over footer rows from which the column's one SRID is decided."""
+    primary = _is_read(chosen)
     srid = F.when(primary, srid_column())
     named = F.get_json_object("crs", "$.id.code").isNotNull()
     return [
@@ -184,22 +189,21 @@ def _srid_aggregates() -> list[Column]:
 def _decide_srid(row: Row) -> int:
     if row["crs_unknown"] is not None:
         raise ValueError(
-            f"The defined coordinate system {row['crs_unknown']} cannot be looked up; "
-            "only EPSG codes and OGC:CRS84 are known."
+            f"Only EPSG codes and OGC:CRS84 are known, not {row['crs_unknown']}."
         )
     if row["srid_min"] != row["srid_max"]:
-        raise ValueError("More than one spatial reference detected in the dataset.")
+        raise ValueError("The files of the dataset have different reference systems.")
     if not row["crs_named"] and row["srid_min"] == DEFAULT_SRID:
         warnings.warn(
-            "The GeoParquet metadata names no coordinate system; using 4326.",
+            "No footer names a reference system; 4326 is assumed.",
             stacklevel=3,
         )
     return row["srid_min"]
 
 
-def resolve_srid(footers: DataFrame) -> int:
-    """The one SRID of the primary geometry column of a dataset."""
-    row = footers.agg(*_srid_aggregates()).first()
+def resolve_srid(footers: DataFrame, geometry_column: str | None = None) -> int:
+    """The one SRID of a dataset's primary geometry column, or of the one given."""
+    row = footers.agg(*_srid_aggregates(geometry_column)).first()
     if not row["n_primary"]:
         raise ValueError(_NOT_GEOPARQUET)
     return _decide_srid(row)
@@ -220,10 +224,17 @@ class GeoDataset:
 
 
 def describe_geoparquet(
-    spark: SparkSession, path: str, selector: str | None = None
+    spark: SparkSession,
+    path: str,
+    selector: str | None = None,
+    geometry_column: str | None = None,
 ) -> GeoDataset | None:
-    """Summarise the footers of all (selected) files; None when there are none."""
-    primary = F.col("column") == F.col("primary_column")
+    """Summarise the footers of all (selected) files; None when there are none.
+
+    Kinds, encoding and reference system are those of the primary geometry column, or of
+    the one given.
+    """
+    primary = _is_read(geometry_column)
     types = F.collect_set(F.when(primary, F.array_sort("geometry_types")))
     row = (
         geoparquet_footers(spark, path, selector)
@@ -234,7 +245,7 @@ def describe_geoparquet(
             F.array_distinct(F.flatten(types)).alias("kinds"),
             F.collect_set(F.when(primary, F.col("encoding"))).alias("encodings"),
             F.max(F.when(primary, F.col("crs"))).alias("crs"),
-            *_srid_aggregates(),
+            *_srid_aggregates(geometry_column),
         )
         .first()
     )
@@ -246,7 +257,7 @@ def describe_geoparquet(
         raise ValueError(f"Geometry encodings {row['encodings']} are not supported.")
     return GeoDataset(
         row["primary"],
-        tuple(sorted(row["columns"])),
+        (row["primary"], *sorted(set(row["columns"]) - {row["primary"]})),
         tuple(sorted(row["kinds"] or ())),
         _decide_srid(row) if row["n_primary"] else DEFAULT_SRID,
         row["crs"],
@@ -258,7 +269,17 @@ def has_geoparquet_footer(spark: SparkSession, path: str) -> str | None:
     footer = read_footers(file_table(spark, path).limit(1)).first()
     if footer is None or footer["geo"] is None:
         return None
-    return json.loads(footer["geo"]).get("primary_column")
+    try:
+        header = json.loads(footer["geo"])
+    except ValueError:
+        header = None
+    if not isinstance(header, dict):
+        warnings.warn(
+            "A file has a geo footer that is not a JSON object; it is passed over.",
+            stacklevel=2,
+        )
+        return None
+    return header.get("primary_column")
 
 
 def geometry_name(
@@ -270,8 +291,8 @@ def geometry_name(
     name = chosen or dataset.primary_column
     if name not in df.columns:
         raise ValueError(
-            f"The primary geometry column '{name}' from the GeoParquet metadata does "
-            f"not exist in the dataset schema. Available columns: {', '.join(df.columns)}"
+            f"Geometry column '{name}' does not exist in the dataset schema, whose "
+            f"columns are {', '.join(df.columns)}."
         )
     return name
 
@@ -304,5 +325,5 @@ def read_geoparquet(
     """
     ship_package(spark)
     df = scan_partition(spark, path, selector) if selector else scan_parquet(spark, path)
-    dataset = describe_geoparquet(spark, path, selector)
+    dataset = describe_geoparquet(spark, path, selector, geometry_column)
     return decode_geometry(df, geometry_name(df, dataset, geometry_column), dataset)

@@ -5,10 +5,8 @@ from __future__ import annotations
 import re
 import warnings
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,20 +15,14 @@ from pyspark.sql.pandas.types import from_arrow_type
 from ..names import column
 from .files import (
     NULL_PARTITION,
+    Layout,
+    dataset_layout,
     file_table,
     list_partitions,
     partition_keys,
-    read_footers,
     segment_value,
 )
 
-# Error conditions Spark raises for a Parquet type it cannot read.
-UNREADABLE_CONDITIONS = (
-    "PARQUET_TYPE_ILLEGAL",
-    "PARQUET_TYPE_NOT_SUPPORTED",
-    "PARQUET_TYPE_NOT_RECOGNIZED",
-    "UNSUPPORTED_TIME_TYPE",
-)
 # Longest list of partitions put into an error message.
 _PARTITIONS_SHOWN = 100
 
@@ -59,39 +51,35 @@ def _spark_type(arrow_type: pa.DataType) -> T.DataType | None:
     return from_arrow_type(arrow_type, prefer_timestamp_ntz=True)
 
 
-def readable_schema(
-    spark: SparkSession, path: str
-) -> tuple[T.StructType, list[str]]:
-    """Schema of the first part file without the columns Spark cannot read.
+def united_schema(layout: Layout) -> tuple[T.StructType, list[str]]:
+    """Columns of all files, without those that Spark cannot read.
 
-    The second value lists the columns left out.  One footer is read, in a task.
+    The second value lists the columns left out.
     """
-    footer = read_footers(file_table(spark, path).limit(1)).first()
-    schema = pa.ipc.read_schema(pa.py_buffer(footer["arrow_schema"]))
-    types = {field.name: _spark_type(field.type) for field in schema}
+    united = pa.unify_schemas(layout.schemas, promote_options="permissive")
+    types = {field.name: _spark_type(field.type) for field in united}
     readable = T.StructType(
         [T.StructField(n, t, True) for n, t in types.items() if t is not None]
     )
     return readable, [n for n, t in types.items() if t is None]
 
 
-def _read(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
-    """Plain read; a file with unreadable columns is read without them."""
+def _read(
+    spark: SparkSession, path: str, layout: Layout, options: dict[str, str]
+) -> DataFrame:
+    """Rows of all files with the columns that any of them has."""
+    readable, left_out = united_schema(layout) if layout.schemas else (None, [])
     reader = spark.read.options(**options)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        condition = error.getCondition() or ""
-        if condition == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Cannot locate the input path {path}.") from None
-        if not condition.startswith(UNREADABLE_CONDITIONS):
-            raise
-    schema, left_out = readable_schema(spark, path)
-    warnings.warn(
-        f"Columns of a type that cannot be read were left out: {', '.join(left_out)}.",
-        stacklevel=3,
-    )
-    return reader.schema(schema).parquet(path)
+    if left_out:
+        warnings.warn(
+            f"Columns of a type that cannot be read were left out: "
+            f"{', '.join(left_out)}.",
+            stacklevel=3,
+        )
+        return reader.schema(readable).parquet(path)
+    if len(layout.schemas) > 1:
+        return reader.option("mergeSchema", "true").parquet(path)
+    return reader.parquet(path)
 
 
 def scan_parquet(
@@ -103,21 +91,20 @@ def scan_parquet(
 ) -> DataFrame:
     """Scan a dataset folder or a single part file.
 
+    The columns are those of all files: one that a file lacks is null in its rows.
     With ``hive`` the ``key=value`` folders become columns; where a file holds a column
     of the same name the folder's value wins, and a warning says so.  With
     ``hive=False`` folder names are ignored and the values in the files are kept.
     ``raw_partition_text`` keeps folder values as text (``01`` stays ``01``).
     """
-    if not hive:
-        options = {"recursiveFileLookup": "true"}
-        df = _read(spark, path, options)
-    else:
-        df = _read(spark, path, {})
-        _warn_of_shadowed_columns(spark, df)
+    layout = dataset_layout(spark, path)
+    options = {} if hive else {"recursiveFileLookup": "true"}
+    df = _read(spark, path, layout, options)
+    if hive:
+        _warn_of_shadowed_columns(layout)
     if raw_partition_text:
         # a partition column whose type is given takes the folder's text unchanged
-        keys = partition_keys(spark, path)
-        df = spark.read.schema(_as_text(df.schema, keys)).parquet(path)
+        df = spark.read.schema(_as_text(df.schema, layout.keys)).parquet(path)
     return df.select(*map(column, columns)) if columns is not None else df
 
 
@@ -129,21 +116,10 @@ def _as_text(schema: T.StructType, names: Sequence[str]) -> T.StructType:
     return T.StructType([retyped(f) for f in schema])
 
 
-def _warn_of_shadowed_columns(spark: SparkSession, df: DataFrame) -> None:
-    """Warn when a partition folder hides a column of the same name in the files.
-
-    Looks at one file only: its path tells the folder keys, its footer the columns.
-    """
-    sample = df.select("_metadata.file_path").first()
-    folders = unquote(sample["file_path"]).split("/")[:-1] if sample else []
-    keys = {f.split("=", 1)[0] for f in folders if "=" in f} & set(df.columns)
-    if not keys:
-        return
-    try:
-        stored = spark.read.parquet(unquote(sample["file_path"])).columns
-    except AnalysisException:
-        return
-    shadowed = sorted(keys & set(stored))
+def _warn_of_shadowed_columns(layout: Layout) -> None:
+    """Warn when a partition folder hides a column of the same name in the files."""
+    stored = {name for schema in layout.schemas for name in schema.names}
+    shadowed = sorted(set(layout.keys) & stored)
     if shadowed:
         warnings.warn(
             "Partition folders replace the values stored in the files for: "
@@ -172,18 +148,16 @@ def scan_partition(spark: SparkSession, path: str, selector: str) -> DataFrame:
     wanted = parse_selector(selector)
     files = file_table(spark, path)
     keys = partition_keys(spark, path, files)
-    message = (
-        "The provided parquet_partitions do not appear to be available in the input "
-        "data. "
-    )
     if not keys:
-        raise ValueError(message + "The input data does not appear to be partitioned.")
+        raise ValueError(f"{path} has no partitions, so {selector!r} selects nothing.")
     present = set(wanted) <= set(keys)
     if not present or files_of_partitions(files, selector).isEmpty():
         available = list_partitions(spark, path, all_levels=False, typed=False)
+        count = available.count()
         shown = [r["partition"] for r in available.limit(_PARTITIONS_SHOWN).collect()]
         raise ValueError(
-            message + f"Available partitions include: {', '.join(sorted(shown))}"
+            f"No partition matches {selector!r}. Of {count} partitions the first "
+            f"{len(shown)} are {', '.join(sorted(shown))}; list_partitions gives all."
         )
 
     df = scan_parquet(spark, path)
@@ -210,5 +184,6 @@ def _folder_matches(value: Column, text: str) -> Column:
         return value.isNull()
     matches = value == text
     if text.isdigit():
-        matches = matches | (value.try_cast("bigint") == int(text))
+        number = "decimal(38,0)"
+        matches = matches | (value.try_cast(number) == F.lit(text).try_cast(number))
     return matches

@@ -6,7 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from quadrille.session import ship_package  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,7 +21,6 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
-    ship_package(session)
     yield session
     session.stop()
 

@@ -225,11 +225,11 @@ def test_web_mercator(spark, folder):
 @pytest.mark.parametrize(
     ("bbox", "message"),
     [
-        ([1, 2, 3], "four values"),
-        ("abcd", "four values"),
-        ([1, 2, "3", 4], "numeric"),
-        ([3, 0, 1, 1], "minX"),
-        ([0, 3, 1, 1], "minY"),
+        ([1, 2, 3], "4 or 6"),
+        ("1234567", "4 or 6"),
+        ([1, 2, float("nan"), 4], "finite"),
+        ([0, 3, 1, 1], "ends before"),
+        ([0, 0, 9, 1, 1, 8], "ends before"),
     ],
 )
 def test_bbox_checks(bbox, message):
@@ -269,9 +269,9 @@ def test_files_that_differ_are_refused(spark, tmp_path):
     for i, code in enumerate(("epsg:4326", "epsg:3857")):
         header = geo_header(crs=code, bbox=[0, 0, 1, 1])
         write_file(root / f"{i}.parquet", feature_columns(2, point_at), header)
-    with pytest.raises(ValueError, match="More than one spatial reference"):
+    with pytest.raises(ValueError, match="different reference systems|geometry in 2 ways"):
         dataset_bbox_from_footers(spark, str(root))
-    with pytest.raises(ValueError, match="More than one spatial reference"):
+    with pytest.raises(ValueError, match="different reference systems|geometry in 2 ways"):
         read_geoparquet(spark, str(root))
 
 
@@ -295,7 +295,7 @@ def test_srid(spark, tmp_path, crs, srid):
 def test_nameless_srid_is_wgs84_with_a_warning(spark, tmp_path, crs):
     path = tmp_path / "d" / "a.parquet"
     write_file(path, feature_columns(2, point_at), geo_header(crs=crs))
-    with pytest.warns(UserWarning, match="names no coordinate system"):
+    with pytest.warns(UserWarning, match="names a reference system"):
         assert resolve_srid(geoparquet_footers(spark, str(path))) == 4326
 
 
@@ -315,7 +315,7 @@ def test_partitions_may_differ_when_one_is_read(spark, tmp_path):
         write_file(path, feature_columns(2, point_at), geo_header(crs=f"epsg:{code}"))
     df = read_geoparquet(spark, str(tmp_path / "d"), selector="zone=3857")
     assert srid_of(df) == 3857 and df.count() == 2
-    with pytest.raises(ValueError, match="More than one spatial reference"):
+    with pytest.raises(ValueError, match="different reference systems|geometry in 2 ways"):
         read_geoparquet(spark, str(tmp_path / "d"))
 
 
@@ -323,7 +323,7 @@ def test_srid_of_another_authority(spark, tmp_path):
     path = tmp_path / "d" / "a.parquet"
     crs = {"id": {"authority": "IGNF", "code": "LAMB93"}}
     write_file(path, feature_columns(2, point_at), geo_header(crs=crs))
-    with pytest.raises(ValueError, match="cannot be looked up"):
+    with pytest.raises(ValueError, match="Only EPSG codes"):
         resolve_srid(geoparquet_footers(spark, str(path)))
 
 
@@ -331,7 +331,7 @@ def test_geometry_type_names():
     assert geometry_type_name(["Point"]) == "POINT"
     with pytest.raises(ValueError, match="not supported"):
         geometry_type_name(["GeometryCollection"])
-    with pytest.raises(ValueError, match="No geometry types"):
+    with pytest.raises(ValueError, match="list no kind"):
         geometry_type_name([])
 
 

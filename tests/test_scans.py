@@ -52,10 +52,10 @@ def test_part_file_errors(spark, months, tmp_path):
         list_part_files(spark, str(tmp_path / "nowhere"))
     with pytest.raises(ValueError, match="parquet_partitions must be a list"):
         list_part_files(spark, months, "year=2024")
-    with pytest.raises(ValueError, match="do not appear to contain any"):
+    with pytest.raises(ValueError, match="No Parquet file lies below"):
         list_part_files(spark, months, ["year=1999"])
     (tmp_path / "empty").mkdir()
-    with pytest.raises(ValueError, match="do not appear to contain any"):
+    with pytest.raises(ValueError, match="No Parquet file lies below"):
         list_part_files(spark, str(tmp_path / "empty"))
     one = f"{months}/year=2023/month=01/p.parquet"
     with pytest.raises(ValueError, match="cannot specify a parquet partition"):
@@ -105,7 +105,7 @@ def test_no_partitions(spark, folder):
     write_parquet(spark.range(5), folder)
     assert list_partitions(spark, folder).count() == 0
     assert partition_keys(spark, folder) == []
-    with pytest.raises(ValueError, match="does not appear to be partitioned"):
+    with pytest.raises(ValueError, match="has no partitions"):
         scan_partition(spark, folder, "year=2023")
 
 
@@ -121,7 +121,7 @@ def test_a_folder_of_the_same_key_above_the_dataset(spark, tmp_path):
     for year in (2023, 2024):
         write_file(root / f"year={year}" / "p.parquet", {"id": [year]})
     assert scan_partition(spark, str(root), "year=2023").first()["id"] == 2023
-    with pytest.raises(ValueError, match="Available partitions include"):
+    with pytest.raises(ValueError, match="list_partitions gives all"):
         scan_partition(spark, str(root), "year=1999")
 
 
@@ -159,7 +159,7 @@ def test_keys_named_like_the_columns_of_the_listing(spark, folder):
 
 @pytest.mark.parametrize("selector", ["year=1999", "day=1", "year=2023/month=7"])
 def test_unknown_partitions(spark, months, selector):
-    with pytest.raises(ValueError, match="Available partitions include: year=2023/"):
+    with pytest.raises(ValueError, match="partitions the first 4 are year=2023/"):
         scan_partition(spark, months, selector)
 
 

@@ -139,7 +139,7 @@ def test_only_text_is_read_for_lengths(spark, folder, capsys):
 def test_tables_without_text(spark):
     rows = profile.profile_fields(spark.range(3)).collect()
     assert [tuple(r) for r in rows] == [("id", "LONG", "id", None)]
-    with pytest.raises(ValueError, match="No writable fields"):
+    with pytest.raises(ValueError, match="no attribute to describe"):
         profile.profile_fields(spark.range(3).withColumnRenamed("id", "geometry"))
 
 
@@ -215,9 +215,9 @@ class Settings:
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(Settings(spark_master="yarn"), "x")
-    assert "/quadrille/x-" in scratch_path(Settings(spark_master="local[2]"), "x")
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(Settings(spark_master=master), "x")
     shared = Settings(spark_master="yarn", spark_checkpoint_dir="hdfs://n/tmp/")
     assert scratch_path(shared, "x").startswith("hdfs://n/tmp/quadrille/x-")
 

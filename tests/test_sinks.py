@@ -47,7 +47,7 @@ def test_modes(spark, folder):
 
 
 def test_partition_columns_are_checked(spark, folder):
-    with pytest.raises(ValueError, match="do not appear to be in the input data: nope"):
+    with pytest.raises(ValueError, match="Cannot partition by nope"):
         write_parquet(spark.range(3), folder, ["id", "nope"])
     df = spark.range(9).withColumn("k", F.col("id") % 3)
     write_parquet(df, folder, "k")
@@ -237,7 +237,7 @@ def test_export_of_a_table_without_geometry(spark, folder):
 
 def test_export_format_names():
     assert check_export_format("json") == "GEOJSON"
-    with pytest.raises(ValueError, match="no longer explicitly supported"):
+    with pytest.raises(ValueError, match="not a format of its own"):
         check_export_format("wkb")
     for name in (None, "SHAPEFILE", ""):
         with pytest.raises(ValueError, match="geometry_format must be one of"):

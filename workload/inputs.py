@@ -129,8 +129,10 @@ def quadkey_sql(x: str, y: str, zoom: int) -> str:
 
 
 def point_cell_sql(lon: str, lat: str, zoom: int) -> str:
+    """Longitudes go round, so 180.5 is -179.5."""
+    around = f"({lon})-360*floor((({lon})+180)/360)"
     return quadkey_sql(
-        whole_tile(tile_fraction_x(lon, zoom), zoom),
+        whole_tile(tile_fraction_x(around, zoom), zoom),
         whole_tile(tile_fraction_y(lat, zoom), zoom),
         zoom,
     )

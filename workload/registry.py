@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quadrille.session import ship_package
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 _queries: dict[str, Query] = {}
@@ -18,11 +16,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     """Register a query, with its oracle SQL if it has one."""
 
     def register(function: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
-            return function(spark, sf_dir)
-
-        _queries[name] = run
+        _queries[name] = function
         if oracle is not None:
             _oracles[name] = oracle.strip()
         return function

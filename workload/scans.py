@@ -70,7 +70,8 @@ def scan_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 WITH days AS (SELECT year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders)
 SELECT CASE WHEN month IS NULL THEN 1 ELSE 2 END AS level,
-       'year=' || year || coalesce('/month=' || month, '') AS partition, year, month
+       'year=' || year || coalesce('/month=' || month, '') AS partition,
+       CAST(year AS DECIMAL(38,0)) AS year, CAST(month AS DECIMAL(38,0)) AS month
 FROM days GROUP BY ROLLUP(year, month) HAVING year IS NOT NULL
 """,
 )
@@ -149,6 +150,27 @@ def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, compact_dataset(spark, source, target))
 
 
+@query(
+    "compact_evolved",
+    """
+SELECT l_orderkey, l_linenumber, l_returnflag,
+       CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS l_shipdate,
+       CASE WHEN l_linestatus <> 'F' THEN l_quantity END AS l_quantity
+FROM lineitem
+""",
+)
+def compact_files_of_two_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts written at different times, each with a column that the other lacks."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    source = scratch_path(spark, "evolved")
+    common = ["l_orderkey", "l_linenumber", "l_returnflag"]
+    for condition, own in (("= 'F'", "l_shipdate"), ("<> 'F'", "l_quantity")):
+        part = lineitem.where(f"l_linestatus {condition}").select(*common, own)
+        write_parquet(part, source, ["l_returnflag"], mode="append")
+    target = scratch_path(spark, "evolved-compacted")
+    return scan_parquet(spark, compact_dataset(spark, source, target))
+
+
 @query(
     "cluster_roundtrip",
     f"WITH {PTS_SQL} SELECT k, lon, lat, {point_cell_sql('lon', 'lat', 8)} AS cell"
