@@ -16,8 +16,10 @@ that length.  Ranks come from counts per part of the table and length.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from .common import map_arrow, slices, stored
 #: Bytes of text that one step holds as token ids.
 STEP_BYTES = 4 << 20
 #: Words remembered between steps; beyond that the memory starts anew.
-MEMORY = 800_000
+MEMORY = 1_000_000
 
 
 # --- the plan ---------------------------------------------------------------------
@@ -158,12 +160,57 @@ class Plan:
 
 _SPACE = regex.compile(r"\p{White_Space}+")
 _CONTROL = regex.compile("[\x1c-\x1f]")
+#: Characters below this one are in composed form and have simple small letters.
+_SIMPLE = "\u0250"
+#: Marks that make one piece together at the end of a word.
+_MARKS = ".,;:!?)]}*#$%&|"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte: itself if printable, or else a new one."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+class _Numbers(dict):
+    """Numbers of words in the order of their first use; 0 is the end of a text."""
+
+    def __init__(self):
+        super().__init__({"": 0})
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.fresh.append(word)
+        number = self[word] = len(self)
+        return number
+
+
+class _Pieces(dict):
+    """Ids of pieces."""
+
+    def __init__(self, tokenize):
+        super().__init__()
+        self.tokenize = tokenize
+
+    def __missing__(self, piece: str) -> list[int]:
+        letters = piece
+        if not (piece.isascii() and piece.isprintable()):
+            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        found = self[piece] = [token.id for token in self.tokenize(letters)]
+        return found
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that never joins characters across white space.
+    """Ids of texts by a tokenizer, with equal words tokenized once.
 
-    Equal words are tokenized once.
+    A tokenizer that composes characters, folds white space and case, and then splits by
+    a pattern without white space, never joins characters across white space.  Its
+    texts fall into words, and simple words into pieces that go to its merges directly.
+    Any other tokenizer gets whole texts.
     """
 
     def __init__(self, source: str):
@@ -172,53 +219,99 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_str(source)
         # the strings of special tokens are ordinary text in a document
         self.tokenizer.encode_special_tokens = True
+        self.split = _word_pattern(json.loads(source))
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
+        self.pieces = _Pieces(self.tokenizer.model.tokenize)
         self.ids = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
 
+    def _learn(self, words: list[str]) -> list[list[int]]:
+        found: list[list[int]] = []
+        hard, pieces = [], self.pieces
+        for word in words:
+            if self.split is None or not (word.isascii() or max(word) < _SIMPLE):
+                hard.append(len(found))
+                found.append([])
+                continue
+            small = word.lower()
+            core = small.rstrip(_MARKS)
+            if core.isalpha():
+                ids = pieces[core]
+                if len(core) < len(small):
+                    ids = ids + pieces[small[len(core) :]]
+            else:
+                ids = [i for p in self.split.findall(small) for i in pieces[p]]
+            found.append(ids)
+        encoded = self.tokenizer.encode_batch_fast(
+            [words[k] for k in hard], add_special_tokens=False
+        )
+        for k, e in zip(hard, encoded):
+            found[k] = e.ids
+        return found
+
+    def _words(self, text: str) -> list[str]:
+        if self.split is None:
+            return [text] if text else []
+        if _CONTROL.search(text):
+            return [w for w in _SPACE.split(text) if w]
+        return text.split()
+
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the bounds of the texts."""
         if len(self.number) > MEMORY:
             self._forget()
         number = self.number
-        words = [
-            [w for w in _SPACE.split(text) if w] if _CONTROL.search(text) else text.split()
-            for text in texts
-        ]
-        # a word of its own that stands for the end of a text
-        if not number:
-            number[""] = 0
-            self.ids, self.starts = np.array([end]), np.array([0])
-            self.lengths = np.array([1])
-        fresh = list(dict.fromkeys(w for row in words for w in row if w not in number))
+        # the first number is that of the end of a text
+        rows = [[0, *map(number.__getitem__, self._words(text))] for text in texts]
+        fresh, number.fresh = number.fresh, []
         if fresh:
-            number.update(zip(fresh, range(len(number), len(number) + len(fresh))))
-            found = [
-                e.ids
-                for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            ]
+            found = self._learn(fresh)
+            if len(fresh) == len(number) - 1:
+                found.insert(0, [end])
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             starts = len(self.ids) + np.cumsum(lengths) - lengths
-            flat = np.fromiter((i for f in found for i in f), np.int64, int(lengths.sum()))
+            flat = np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum()))
             self.ids = np.concatenate([self.ids, flat])
             self.starts = np.concatenate([self.starts, starts])
             self.lengths = np.concatenate([self.lengths, lengths])
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        chosen = np.fromiter(
-            (n for row in words for n in map(number.__getitem__, [*row, ""])),
-            np.int64,
-            int(sizes.sum()),
-        )
+        elif len(number) == 1 and not len(self.ids):
+            self.ids, self.starts = np.array([end]), np.array([0])
+            self.lengths = np.array([1])
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        chosen = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
+        # the end comes last
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        chosen = np.append(chosen[1:], 0)
         lengths = self.lengths[chosen]
         ends = np.cumsum(lengths)
         shift = np.repeat(self.starts[chosen] - (ends - lengths), lengths)
         ids = self.ids[shift + np.arange(len(shift))]
-        return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-
+        return ids, np.concatenate([[0], ends])[bounds]
+
+
+def _word_pattern(spec: dict) -> regex.Pattern | None:
+    """The splitting pattern of a tokenizer of the kind described above."""
+    steps = (spec.get("normalizer") or {}).get("normalizers") or []
+    splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    space = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    known = steps == [{"type": "NFC"}, space, {"type": "Lowercase"}]
+    if not known or [s["type"] for s in splits] != ["Split", "ByteLevel"]:
+        return None
+    pattern = splits[0]["pattern"].get("Regex", "")
+    plain = splits[0]["behavior"] == "Removed" and splits[0]["invert"]
+    whole = not (splits[1]["add_prefix_space"] or splits[1]["use_regex"])
+    # the pieces that the marks at the end of a word make are those of this pattern
+    if pattern == _PATTERN and plain and whole:
+        return regex.compile(pattern)
+    return None
+
+
+#: The one pattern whose words are taken apart here.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _tokenizers: dict[int, WordTokenizer] = {}
 
