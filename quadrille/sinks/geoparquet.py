@@ -134,6 +134,9 @@ PROJJSON = {
 _ROW_GROUP_ROWS = 122_880
 _ROW_GROUP_BYTES = 128 << 20
 _MOVERS = 16
+# Fixed value: the folder that readers pass over.
+_STAGING = "_temporary"
+_ACCEPTED = "accepted.txt"
 
 
 # --- header -----------------------------------------------------------------------
@@ -299,19 +302,85 @@ def save_geoparquet(
             .drop(*partition_columns)
             .sortWithinPartitions(_KEY_COLUMN)
         )
+    target, job = qualified(spark, path).rstrip("/"), uuid.uuid4().hex
     (
         body.write.format(FORMAT_NAME)
         .mode("overwrite" if mode == "overwrite" else "append")
-        .option("target", qualified(spark, path))
-        .option("job", uuid.uuid4().hex)
+        .option("target", target)
+        .option("job", job)
         .option("header", json.dumps(header))
         .option("partition_columns", json.dumps(list(partition_columns)))
         .option("rows_per_file", rows_per_file)
         .save()
     )
+    publish(spark, target, job, mode == "overwrite")
     return path
 
 
+def publish(spark: SparkSession, target: str, job: str, overwrite: bool) -> None:
+    """Make the accepted files of a job visible, and remove the old ones on overwrite.
+
+    Tasks move the files, each those of some attempts, and tasks remove old files; the
+    driver handles no file.  Both can be repeated, so a lost executor does no harm.
+    ``_SUCCESS`` is absent from the first move to the last removal.  Files of a job have
+    its name in theirs, so what a failed job has left can be told and removed.
+    """
+    filesystem, root = open_filesystem(target)
+    staging = f"{root}/{_STAGING}/{job}"
+    if filesystem.get_file_info(f"{root}/_SUCCESS").type != fs.FileType.NotFound:
+        filesystem.delete_file(f"{root}/_SUCCESS")
+    accepted = spark.read.text(f"{target}/{_STAGING}/{job}/{_ACCEPTED}")
+    width = spark.sparkContext.defaultParallelism * _MOVERS
+    _acting(
+        accepted.repartition(width).select("value"),
+        lambda attempt: _move_attempt(target, job, attempt),
+    )
+    if overwrite:
+        old = file_table(spark, target).where(~F.col("path").contains(job))
+        _acting(old.select("path"), _remove)
+    filesystem.delete_dir(staging)
+    others = filesystem.get_file_info(fs.FileSelector(f"{root}/{_STAGING}"))
+    if not others:
+        filesystem.delete_dir(f"{root}/{_STAGING}")
+    filesystem.open_output_stream(f"{root}/_SUCCESS").close()
+
+
+def _acting(names: DataFrame, action) -> None:
+    """Run an action on each name, in tasks, several at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with ThreadPoolExecutor(_MOVERS) as pool:
+            for batch in batches:
+                done = len(list(pool.map(action, batch.column(0).to_pylist())))
+                yield pa.RecordBatch.from_arrays([pa.array([done])], ["done"])
+
+    names.mapInArrow(run, "done bigint").agg(F.sum("done")).collect()
+
+
+def _move_attempt(target: str, job: str, attempt: str) -> None:
+    """Move what is still in the folder of an attempt to the same place in the target."""
+    filesystem, root = open_filesystem(target)
+    folder = f"{root}/{_STAGING}/{job}/{attempt}"
+    selector = fs.FileSelector(folder, allow_not_found=True, recursive=True)
+    for info in filesystem.get_file_info(selector):
+        if info.type != fs.FileType.File:
+            continue
+        goal = f"{root}{info.path[len(folder) :]}"
+        filesystem.create_dir(goal.rsplit("/", 1)[0], recursive=True)
+        try:
+            filesystem.move(info.path, goal)
+        except OSError:
+            # another attempt of this task was faster
+            if filesystem.get_file_info(goal).type != fs.FileType.File:
+                raise
+
+
+def _remove(path: str) -> None:
+    filesystem, inner = open_filesystem(path)
+    if filesystem.get_file_info(inner).type == fs.FileType.File:
+        filesystem.delete_file(inner)
+
+
 def dataset_exists(spark: SparkSession, path: str) -> bool:
     """True when the path holds at least one visible Parquet file."""
     try:
@@ -342,10 +411,10 @@ def _folder(names: list[str], key: str) -> str:
 
 @dataclass
 class WrittenFiles(WriterCommitMessage):
-    """Files of one task, relative to its attempt folder."""
+    """The attempt of one task and the number of files in its folder."""
 
     attempt: str
-    files: list[str]
+    files: int
 
 
 class GeoParquetDataSource(DataSource):
@@ -360,16 +429,16 @@ class GeoParquetDataSource(DataSource):
 
 
 class GeoParquetWriter(DataSourceArrowWriter):
-    """Writes each task's rows below ``_temporary`` and moves them on commit.
+    """Writes each task's rows below ``_temporary``; ``publish`` moves them from there.
 
-    Attempts of a task write to folders of their own, and only the files of the attempt
-    Spark accepted are moved.  Readers skip ``_temporary``; ``_SUCCESS`` comes last.
+    Attempts of a task write to folders of their own, and the commit names those that
+    Spark accepted: a line for each task, none for a file.  Readers skip ``_temporary``.
     Tasks that outlive an aborted job may leave files there, never outside of it.
     """
 
     def __init__(self, options: dict, schema: T.StructType, overwrite: bool):
         self.target = options["target"].rstrip("/")
-        self.staging = f"_temporary/{options['job']}"
+        self.staging = f"{_STAGING}/{options['job']}"
         self.job = options["job"]
         self.geo = options["header"].encode("utf-8")
         self.columns = json.loads(options["partition_columns"])
@@ -384,14 +453,18 @@ class GeoParquetWriter(DataSourceArrowWriter):
         attempt = f"{context.partitionId():05d}-{uuid.uuid4().hex}"
         filesystem, root = open_filesystem(f"{self.target}/{self.staging}/{attempt}")
         output = _TaskOutput(
-            filesystem, root, f"part-{attempt}", self._footer(), self.rows_per_file
+            filesystem,
+            root,
+            f"part-{self.job}-{attempt}",
+            self._footer(),
+            self.rows_per_file,
         )
         for batch in iterator:
             for key, piece in self._split(batch):
                 folder = _folder(self.columns, key) if self.columns else ""
                 output.add(folder, self._encoded(piece))
         output.close()
-        return WrittenFiles(attempt, output.files)
+        return WrittenFiles(attempt, len(output.files))
 
     def _footer(self) -> dict[bytes, bytes]:
         """The ``geo`` header, and the schema that Spark keeps column metadata in."""
@@ -429,52 +502,34 @@ class GeoParquetWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[WrittenFiles | None]) -> None:
         filesystem, root = open_filesystem(self.target)
-        done = [m for m in messages if m is not None]
-        old = self._visible_files(filesystem, root) if self.overwrite else []
-        moves = [
-            (f"{root}/{self.staging}/{m.attempt}/{name}", f"{root}/{name}")
-            for m in done
-            for name in m.files
-        ]
-        for folder in {target.rsplit("/", 1)[0] for _, target in moves} | {root}:
-            filesystem.create_dir(folder, recursive=True)
-        with ThreadPoolExecutor(_MOVERS) as pool:
-            list(pool.map(lambda move: filesystem.move(*move), moves))
-            list(pool.map(filesystem.delete_file, old))
-        if not moves and not self.columns:
-            self._write_empty(filesystem, root)
-        self._clear_staging(filesystem, root)
-        filesystem.open_output_stream(f"{root}/_SUCCESS").close()
+        done = [m.attempt for m in messages if m is not None and m.files]
+        staging = f"{root}/{self.staging}"
+        filesystem.create_dir(staging, recursive=True)
+        if not done and not self.columns:
+            done = [self._write_empty(filesystem, staging)]
+        with filesystem.open_output_stream(f"{staging}/{_ACCEPTED}") as output:
+            output.write("".join(f"{attempt}\n" for attempt in done).encode())
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:
         filesystem, root = open_filesystem(self.target)
         self._clear_staging(filesystem, root)
 
-    def _visible_files(self, filesystem: fs.FileSystem, root: str) -> list[str]:
-        found = filesystem.get_file_info(
-            fs.FileSelector(root, allow_not_found=True, recursive=True)
-        )
-        return [
-            info.path
-            for info in found
-            if info.type == fs.FileType.File
-            and not info.path[len(root) :].lstrip("/").startswith(("_", "."))
-        ]
-
-    def _write_empty(self, filesystem: fs.FileSystem, root: str) -> None:
+    def _write_empty(self, filesystem: fs.FileSystem, staging: str) -> str:
         """A table without rows still gets a file, so that its schema can be read."""
         schema = to_arrow_schema(self.schema)
         at = schema.get_field_index("geometry")
         schema = schema.set(at, pa.field("geometry", pa.binary()))
+        root = f"{staging}/empty"
         output = _TaskOutput(filesystem, root, f"part-{self.job}", self._footer(), 1)
         output.add("", schema.empty_table())
         output.close()
+        return "empty"
 
     def _clear_staging(self, filesystem: fs.FileSystem, root: str) -> None:
         staging = f"{root}/{self.staging}"
         if filesystem.get_file_info(staging).type == fs.FileType.Directory:
             filesystem.delete_dir(staging)
-        parent = f"{root}/_temporary"
+        parent = f"{root}/{_STAGING}"
         selector = fs.FileSelector(parent, allow_not_found=True)
         is_folder = filesystem.get_file_info(parent).type == fs.FileType.Directory
         if is_folder and not filesystem.get_file_info(selector):

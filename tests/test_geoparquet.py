@@ -25,6 +25,7 @@ from quadrille.sinks.geoparquet import (
     FORMAT_NAME,
     GeoParquetWriter,
     WrittenFiles,
+    publish,
     geoparquet_header,
     write_geoparquet,
 )
@@ -184,24 +185,51 @@ def test_a_failed_job_leaves_nothing_visible(spark, folder):
     assert scan_parquet(spark, folder).count() == 20
 
 
-def test_only_the_accepted_attempt_is_published(tmp_path):
-    """An attempt whose executor was lost leaves files that must not be moved."""
+def committed(target, attempts, accepted, job="j"):
+    """Staged files of several attempts, and a commit that accepts some of them."""
     options = {
-        "target": str(tmp_path),
-        "job": "j",
+        "target": str(target),
+        "job": job,
         "header": json.dumps(geoparquet_header(["Point"])),
         "partition_columns": "[]",
         "rows_per_file": "10",
     }
-    writer = GeoParquetWriter(options, None, False)
-    for attempt in ("00000-lost", "00000-kept"):
+    for attempt in attempts:
         write_file(
-            tmp_path / "_temporary" / "j" / attempt / f"part-{attempt}.parquet",
+            target / "_temporary" / job / attempt / f"part-{job}-{attempt}.parquet",
             {"id": [1]},
         )
-    writer.commit([WrittenFiles("00000-kept", ["part-00000-kept.parquet"]), None])
-    assert [f.name for f in files(tmp_path)] == ["part-00000-kept.parquet"]
-    assert not (tmp_path / "_temporary").exists()
+    messages = [WrittenFiles(attempt, 1) for attempt in accepted]
+    GeoParquetWriter(options, None, False).commit([*messages, None])
+
+
+def test_only_the_accepted_attempt_is_published(spark, tmp_path):
+    """Attempts that were lost or came second leave files that must not be moved."""
+    committed(tmp_path, ["00000-lost", "00000-kept", "00000-late"], ["00000-kept"])
+    assert files(tmp_path) == [] and not (tmp_path / "_SUCCESS").exists()
+    publish(spark, str(tmp_path), "j", False)
+    assert [f.name for f in files(tmp_path)] == ["part-j-00000-kept.parquet"]
+    assert not (tmp_path / "_temporary").exists() and (tmp_path / "_SUCCESS").exists()
+
+
+def test_a_lost_commit_can_be_repeated(spark, tmp_path):
+    write_file(tmp_path / "part-old.parquet", {"id": [1]})
+    (tmp_path / "_SUCCESS").touch()
+    committed(tmp_path, ["00000-a", "00001-b"], ["00000-a", "00001-b"])
+    # the job was lost after one move
+    staged = tmp_path / "_temporary" / "j" / "00000-a" / "part-j-00000-a.parquet"
+    staged.rename(tmp_path / staged.name)
+    publish(spark, str(tmp_path), "j", True)
+    names = ["part-j-00000-a.parquet", "part-j-00001-b.parquet"]
+    assert sorted(f.name for f in files(tmp_path)) == names
+
+
+def test_another_job_in_the_same_folder_goes_on(spark, tmp_path):
+    committed(tmp_path, ["00000-a"], ["00000-a"], "one")
+    committed(tmp_path, ["00000-a"], ["00000-a"], "two")
+    publish(spark, str(tmp_path), "one", False)
+    publish(spark, str(tmp_path), "two", False)
+    assert len(files(tmp_path)) == 2 and not (tmp_path / "_temporary").exists()
 
 
 def test_geometry_under_another_name(spark, folder):
