@@ -62,12 +62,12 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points_from_xy(coordinates(spark, sf_dir), "lon", "lat")
 
 
-def _corner(dx: float, dy: float):
+def corner(dx: float, dy: float):
     return point_struct(F.col("lon") + F.lit(dx), F.col("lat") + F.lit(dy))
 
 
 def _bend():
-    return F.array(_corner(0.0, 0.0), _corner(0.5, 0.5), _corner(1.0, 0.0))
+    return F.array(corner(0.0, 0.0), corner(0.5, 0.5), corner(1.0, 0.0))
 
 
 def multipoints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,11 +85,11 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A closed square of half a degree per customer."""
     ring = F.array(
-        _corner(0.0, 0.0),
-        _corner(0.5, 0.0),
-        _corner(0.5, 0.5),
-        _corner(0.0, 0.5),
-        _corner(0.0, 0.0),
+        corner(0.0, 0.0),
+        corner(0.5, 0.0),
+        corner(0.5, 0.5),
+        corner(0.0, 0.5),
+        corner(0.0, 0.0),
     )
     df = coordinates(spark, sf_dir).withColumn("geometry", make_polygon(F.array(ring)))
     return with_srid(df, 4326)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.functions.geometry import centroid, envelope, kind
+from quadrille.functions.geometry import centroid, envelope, first_point, kind
 from quadrille.functions.text import partition_fallback
 from quadrille.functions.wkb import to_wkb
 from quadrille.plans.export import export_features
@@ -14,7 +14,7 @@ from quadrille.session import scratch_path
 from quadrille.sinks.compact import compact_dataset
 from quadrille.sinks.geoparquet import write_geoparquet
 from quadrille.sinks.parquet import cluster_by_cell, write_parquet
-from quadrille.sources.columns import points_from_wkb
+from quadrille.sources.columns import points_from_wkb, points_from_xy
 from quadrille.sources.files import list_part_files, list_partitions, read_footers
 from quadrille.sources.geoparquet import (
     bbox_from_footers,
@@ -26,6 +26,8 @@ from quadrille.sources.parquet import scan_parquet, scan_partition
 from .inputs import (
     BAD_SQL,
     HALF,
+    LAT,
+    LON,
     ONE,
     PTS_SQL,
     all_shapes,
@@ -318,15 +320,19 @@ def import_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "export_import",
     """
+WITH """
+    + PTS_SQL
+    + """
 SELECT c_custkey AS custkey, c_mktsegment AS segment,
-       round(c_acctbal, 2) AS balance FROM customer
+       round(c_acctbal, 2) AS balance, lon AS x, lat AS y
+FROM customer JOIN pts ON c_custkey = k
 """,
 )
 def export_and_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table to partitioned GeoParquet and back, by the two entry points."""
     customer = table(spark, sf_dir, "customer")
-    features = points(spark, sf_dir).withColumnRenamed("k", "c_custkey")
-    features = features.join(customer, "c_custkey").drop("lon", "lat")
+    placed = customer.selectExpr("*", f"{LON} AS lon", f"{LAT} AS lat")
+    features = points_from_xy(placed, "lon", "lat").drop("lon", "lat")
     path = scratch_path(spark, "exported")
     export_features(features, path, partition_columns="c_mktsegment")
     loaded = import_features(spark, path)
@@ -334,4 +340,6 @@ def export_and_import(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("custkey"),
         F.col("c_mktsegment").alias("segment"),
         F.round("c_acctbal", 2).alias("balance"),
+        first_point(F.col("geometry"))["x"].alias("x"),
+        first_point(F.col("geometry"))["y"].alias("y"),
     )

@@ -14,12 +14,16 @@ from quadrille.functions.cells import (
 )
 from quadrille.functions.geometry import (
     centroid,
+    envelope,
     first_point,
+    geometry,
     kind,
+    make_polygon,
     to_web_mercator,
     to_wgs84,
 )
 from quadrille.functions.geometry import points as vertices
+from quadrille.functions.wkb import from_wkb, to_wkb
 from quadrille.operators.profile import dataset_bbox, geometry_kinds, row_counts
 from quadrille.operators.rows import cell_cover, cell_rollup
 from quadrille.sinks.exports import (
@@ -39,6 +43,7 @@ from .inputs import (
     all_shapes,
     bad_coordinates,
     coordinates,
+    corner,
     line_cells_sql,
     lines,
     point_cell_sql,
@@ -227,6 +232,57 @@ def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "compound_shapes",
+    f"""
+WITH {PTS_SQL}, shapes AS (
+SELECT k, 'MultiLineString' AS kind, lon+{HALF} AS x, lat+{HALF} AS y,
+       lon AS xmin, lat AS ymin, lon+{ONE} AS xmax, lat+{ONE} AS ymax FROM pts
+UNION ALL
+SELECT k, 'MultiPolygon', lon+{HALF}/2*3, lat+{HALF}/2,
+       lon, lat, lon+{ONE}+{HALF}, lat+{HALF} FROM pts
+UNION ALL
+SELECT k, 'Polygon', lon+{HALF}/8*7, lat+{HALF}/8*7, lon, lat, lon+{ONE}, lat+{ONE}
+FROM pts)
+SELECT k, kind, round(x, 6) AS x, round(y, 6) AS y, round(xmin, 6) AS xmin,
+       round(ymin, 6) AS ymin, round(xmax, 6) AS xmax, round(ymax, 6) AS ymax
+FROM shapes
+""",
+)
+def shapes_of_several_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and polygons of several parts and a hole, through WKB and back.
+
+    The hole is half as wide as its square, with its centre at 11/16 of either side, so
+    the centroid moves to (1 * 1/2 - 1/4 * 11/16) / (3/4) = 7/16.
+    """
+
+    def square(dx: float, dy: float, side: float):
+        corners = ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))
+        return F.array(*[corner(dx + side * x, dy + side * y) for x, y in corners])
+
+    lines_ = F.array(
+        F.array(corner(0.0, 0.0), corner(1.0, 0.0)),
+        F.array(corner(0.0, 1.0), corner(1.0, 1.0)),
+    )
+    shapes = F.array(
+        geometry("MultiLineString", F.array(lines_)),
+        geometry(
+            "MultiPolygon",
+            F.array(F.array(square(0.0, 0.0, 0.5)), F.array(square(1.0, 0.0, 0.5))),
+        ),
+        make_polygon(F.array(square(0.0, 0.0, 1.0), square(0.4375, 0.4375, 0.5))),
+    )
+    df = coordinates(spark, sf_dir).select("k", F.explode(shapes).alias("shape"))
+    back = df.select("k", from_wkb(to_wkb(F.col("shape"))).alias("geometry"))
+    centre, box = centroid(F.col("geometry")), envelope(F.col("geometry"))
+    return back.select(
+        "k",
+        kind(F.col("geometry")).alias("kind"),
+        *[F.round(centre[c], 6).alias(c) for c in ("x", "y")],
+        *[F.round(box[c], 6).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")],
+    )
+
+
 @query(
     "reproject",
     f"""

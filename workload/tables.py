@@ -24,9 +24,11 @@ from quadrille.operators.schema import (
     safe_column_names,
     stringify_complex,
 )
+from quadrille.plans.export import export_features
 from quadrille.session import scratch_path
 from quadrille.sinks.exports import write_schema_csv
 from quadrille.sources.columns import points_from_xy
+from quadrille.sources.parquet import scan_parquet
 from quadrille.sources.schema_csv import load_schema_csv
 
 from .inputs import BAD_SQL, bad_coordinates, table
@@ -157,11 +159,15 @@ WHERE l_quantity > 25 AND l_shipdate >= timestamp '1998-01-01'
 """,
 )
 def where_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem")
+    """The condition of an export; only rows that meet it are in the files."""
     late = F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
-    return lineitem.where((F.col("l_quantity") > 25) & late).select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"
+    path = export_features(
+        table(spark, sf_dir, "lineitem"),
+        scratch_path(spark, "filtered"),
+        where=(F.col("l_quantity") > 25) & late,
+        fields=["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"],
     )
+    return scan_parquet(spark, path)
 
 
 @query(
