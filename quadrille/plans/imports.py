@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_SRID
@@ -66,12 +66,20 @@ class ImportedFeatures:
 
     def save(
         self, table: str, mode: str = "errorifexists", cluster_zoom: int | None = None
-    ) -> None:
-        """Save the features as a table, ordered along the grid when a zoom is given."""
+    ) -> dict[str, int]:
+        """Save the features as a table, ordered along the grid when a zoom is given.
+
+        Returns how many rows were ``added`` and how many ``failed``.  The first number
+        is taken while the rows are written, the second in a pass over the source.
+        """
         df = self.features
         if cluster_zoom is not None:
             df = cluster_by_cell(df, cluster_zoom)
+        # counted last, as clustering also reads a sample of the rows
+        saved = Observation()
+        df = df.observe(saved, F.count(F.lit(1)).alias("added"))
         df.write.mode(mode).saveAsTable(table)
+        return {"added": saved.get["added"], "failed": self.rejected.count()}
 
 
 def import_features(

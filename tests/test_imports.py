@@ -392,7 +392,8 @@ def test_schema_file_errors(spark, tmp_path):
 def test_save_as_table(spark, tmp_path):
     path = coordinates(tmp_path)
     loaded = import_features(spark, path, "COORDINATES", ["longitude", "latitude"])
-    loaded.save("imported", mode="overwrite", cluster_zoom=8)
+    counts = loaded.save("imported", mode="overwrite", cluster_zoom=8)
+    assert counts == {"added": 50, "failed": loaded.rejected.count()}
     saved = spark.table("imported")
     assert saved.count() == 50 and "cell" in saved.columns
     assert saved.schema["name"].metadata == {"alias": "name", "length": 10}
