@@ -32,6 +32,70 @@ def query(function: Query) -> Query:
     return function
 
 
+#: Words of every document, as SQL.
+_WORDS = r"""
+words AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents)"""
+
+#: Components of ``links(a, b)`` over ``nodes(id)``, as SQL.
+_REACHED = """
+reached AS (
+  SELECT id, id AS r FROM nodes
+  UNION SELECT reached.id, links.b FROM reached JOIN links ON links.a = reached.r)"""
+
+_LINKED = """
+SELECT id AS {id}, (SELECT count(*) FROM links WHERE a = id) AS n_links,
+       min(r) AS component_id, id = min(r) AS kept
+FROM reached GROUP BY id
+"""
+
+ORACLES["op5_jaccard"] = f"""
+WITH RECURSIVE {_WORDS},
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p+1:p+5], ' ') AS s
+  FROM (SELECT *, unnest(range(0, greatest(len(ws)-4, 1))) AS p FROM words WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE c.n / (x.n + y.n - c.n) >= cast(0.8 AS double)),
+nodes AS (SELECT doc_id AS id FROM documents),
+{_REACHED}
+{_LINKED.format(id="doc_id")}"""
+
+ORACLES["op7_substrings"] = f"""
+WITH {_WORDS},
+windows AS (
+  SELECT doc_id, p, array_to_string(ws[p+1:p+20], ' ') AS s
+  FROM (SELECT *, unnest(range(0, len(ws)-19)) AS p FROM words WHERE len(ws) >= 20)),
+later AS (
+  SELECT doc_id, p FROM windows
+  QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(p, p+20)) AS i FROM later),
+single AS (SELECT doc_id, unnest(range(0, len(ws))) AS i, unnest(ws) AS word FROM words),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM single ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, cast(len(ws) AS bigint) AS n_words,
+       cast(len(ws) - coalesce(n, 0) AS bigint) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op10_lattice"] = f"""
+WITH RECURSIVE nodes AS (
+  SELECT vec_id AS id, label, cast(embedding AS double[]) AS e FROM embeddings),
+links AS (
+  SELECT a.id AS a, b.id AS b FROM nodes a JOIN nodes b ON a.label = b.label AND a.id <> b.id
+  WHERE list_cosine_similarity(a.e, b.e) >= cast(0.98 AS double)),
+{_REACHED}
+{_LINKED.format(id="vec_id")}"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
