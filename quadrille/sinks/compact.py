@@ -30,7 +30,7 @@ def compact_dataset(
         raise ValueError(f"Cannot rewrite columns of these types: {', '.join(lost)}.")
     keys = layout.keys
     header = header_from_footers(geoparquet_footers(spark, source))
-    df = scan_parquet(spark, source, raw_partition_text=True)
+    df = scan_parquet(spark, source, raw_partition_text=True, layout=layout)
     if header is not None:
         arranged = rebalanced(df, keys)
         return save_geoparquet(arranged, target, header, keys, target_rows, mode)

@@ -137,12 +137,15 @@ class Layout:
     schemas: list[pa.Schema]
 
 
-def dataset_layout(spark: SparkSession, path: str) -> Layout:
+def dataset_layout(
+    spark: SparkSession, path: str, files: DataFrame | None = None
+) -> Layout:
     """Layout from the names and footers of all files, in one pass over them.
 
-    What reaches the driver are the different combinations, not the files.
+    ``files`` is the part of the file table that counts, all of it by default.  What
+    reaches the driver are the different combinations, not the files.
     """
-    files = file_table(spark, path)
+    files = files or file_table(spark, path)
     end = _root_end(files, path)[0]
     footers = read_footers(files).select(_key_list(end).alias("keys"), "arrow_schema")
     rows = footers.distinct().collect()

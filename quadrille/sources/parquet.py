@@ -88,6 +88,7 @@ def scan_parquet(
     hive: bool = True,
     columns: Sequence[str] | None = None,
     raw_partition_text: bool = False,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Scan a dataset folder or a single part file.
 
@@ -95,9 +96,10 @@ def scan_parquet(
     With ``hive`` the ``key=value`` folders become columns; where a file holds a column
     of the same name the folder's value wins, and a warning says so.  With
     ``hive=False`` folder names are ignored and the values in the files are kept.
-    ``raw_partition_text`` keeps folder values as text (``01`` stays ``01``).
+    ``raw_partition_text`` keeps folder values as text (``01`` stays ``01``).  ``layout``
+    is that of the files that will be read, when the caller knows it.
     """
-    layout = dataset_layout(spark, path)
+    layout = layout or dataset_layout(spark, path)
     options = {} if hive else {"recursiveFileLookup": "true"}
     df = _read(spark, path, layout, options)
     if hive:
@@ -160,7 +162,9 @@ def scan_partition(spark: SparkSession, path: str, selector: str) -> DataFrame:
             f"{len(shown)} are {', '.join(sorted(shown))}; list_partitions gives all."
         )
 
-    df = scan_parquet(spark, path)
+    # only the footers of the selected files are opened
+    selected = dataset_layout(spark, path, files_of_partitions(files, selector))
+    df = scan_parquet(spark, path, layout=selected)
     types = dict(df.dtypes)
     for key, text in wanted.items():
         value = F.lit(text).try_cast(types[key])
