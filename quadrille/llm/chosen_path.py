@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import (
     Forest,
+    block_tasks,
+    in_blocks,
     map_arrow,
     map_groups,
     named,
@@ -300,9 +302,19 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
 def _verified(
     rows: DataFrame, members: DataFrame, threshold: float, shingle: int
 ) -> DataFrame:
-    """Exact links: ``class, links`` in each task, and edges ``class, other``."""
-    of_member = members.select(
-        F.col("first").alias("id"), "class", "component", "copies", "digest"
+    """Exact links: ``class, links`` in each task, and edges ``class, other``.
+
+    Members learn their blocks before their sets are made, so that the sets are shuffled
+    once.  The join to the texts always sorts: a broadcast could only serve small inputs.
+    """
+    of_member = in_blocks(members, "component", "class").select(
+        F.col("first").alias("id"),
+        "class",
+        "component",
+        "copies",
+        "digest",
+        "_blocks",
+        "_own",
     )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,23 +327,22 @@ def _verified(
                 same = pa.compute.equal(
                     pa.array(digests, pa.binary()), batch.column("digest")
                 )
+                kept = ["class", "component", "copies", "_blocks", "_own"]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("class"),
-                        batch.column("component"),
-                        batch.column("copies"),
+                        *[batch.column(n) for n in kept],
                         pa.array([p.tobytes() for p in parts], pa.binary()),
                     ],
-                    ["class", "component", "copies", "set"],
+                    [*kept, "set"],
                 ).filter(same)
 
-    texts = rows.join(of_member, "id").select(
-        "text", "class", "component", "copies", "digest"
-    )
+    texts = rows.hint("merge").join(of_member, "id").drop("id")
     filled = map_arrow(
-        texts, sets, "class bigint, component bigint, copies bigint, set binary"
-    ).dropDuplicates(["class"])
-    dealt = paired_blocks(stored(filled, "sets"), "component", "class")
+        texts,
+        sets,
+        "class bigint, component bigint, copies bigint, _blocks int, _own int, set binary",
+    )
+    dealt = block_tasks(filled)
 
     def verify(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         ends = np.append(starts[1:], table.num_rows)
@@ -344,6 +355,12 @@ def _verified(
                 np.frombuffer(s, np.uint64)
                 for s in table["set"].slice(begin, end - begin).to_pylist()
             ]
+            # a repeated row brings the set of its class again
+            _, firsts = np.unique(number[begin:end], return_index=True)
+            repeated = np.ones(end - begin, bool)
+            repeated[firsts] = False
+            for k in np.nonzero(repeated)[0].tolist():
+                part[k] = part[k][:0]
             crossed = table["_i"][begin].as_py() != table["_j"][begin].as_py()
             x, y = _similar(part, threshold)
             if crossed:
@@ -403,7 +420,7 @@ def _similar(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.n
         part = np.zeros((len(sets), min(WIDTH, columns - first)), np.float32)
         part[owner[low:high], shingle[low:high] - first] = 1
         common += part @ part.T
-    x, y = np.nonzero(np.triu(common >= threshold * sizes[:, None].clip(1) - 0.5, 1))
+    x, y = np.nonzero(np.triu(common >= (threshold * sizes[:, None] - 0.5).clip(0.5), 1))
     both = np.rint(common[x, y]).astype(np.int64)
     right = both / (sizes[x] + sizes[y] - both) >= threshold
     return x[right], y[right]

@@ -156,22 +156,28 @@ def _call(batches, keys, function):
 BLOCK = 2048
 
 
-def paired_blocks(members: DataFrame, group: str, identity: str) -> DataFrame:
-    """Members dealt so that each pair of a group meets in exactly one task.
+def in_blocks(members: DataFrame, group: str, identity: str) -> DataFrame:
+    """Members with ``_blocks``, the blocks of their group, and ``_own``, their block.
 
     A group is divided into blocks of about ``BLOCK`` members by the hash of their
-    identity, and each member goes to the tasks ``(_i, _j)`` of its block with every
-    block of its group.  ``_own`` is the member's block.  Pairs inside a block meet in
-    the task ``_i = _j``.  No task holds more than two blocks, however large a group is,
-    and no row stands for a pair.
+    identity.
     """
     sizes = members.groupBy(group).count()
     blocks = sizes.select(
         group, F.ceil(F.col("count") / F.lit(BLOCK)).cast("int").alias("_blocks")
     )
-    dealt = members.join(blocks, group).withColumn(
-        "_own", F.pmod(F.xxhash64(identity), F.col("_blocks")).cast("int")
-    )
+    own = F.pmod(F.xxhash64(identity), F.col("_blocks")).cast("int")
+    return members.join(blocks, group).withColumn("_own", own)
+
+
+def block_tasks(dealt: DataFrame) -> DataFrame:
+    """Members of ``in_blocks``, each in the tasks of its block.
+
+    These are ``(_i, _j)`` for the block with every block of its group, so each pair of a
+    group meets in exactly one task, pairs inside a block in the task ``_i = _j``.  No
+    task holds more than two blocks, however large a group is, and no row stands for a
+    pair.
+    """
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     return (
         dealt.withColumn("_other", other)
@@ -181,6 +187,11 @@ def paired_blocks(members: DataFrame, group: str, identity: str) -> DataFrame:
     )
 
 
+def paired_blocks(members: DataFrame, group: str, identity: str) -> DataFrame:
+    """``block_tasks`` of ``in_blocks``."""
+    return block_tasks(in_blocks(members, group, identity))
+
+
 class Forest:
     """Union-find over the rows of a task."""
 
