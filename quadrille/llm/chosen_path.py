@@ -228,13 +228,26 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            number = batch.column("class").to_numpy()
-            paths = batch.column("path").to_numpy().view(np.uint64)
-            row, path = _children(paths, _sketch_matrix(batch.column("sketch")), threshold)
+            paths = batch.column("paths")
+            owner = np.repeat(np.arange(batch.num_rows), paths.value_lengths().to_numpy())
+            row, path = _children(
+                paths.flatten().to_numpy().view(np.uint64),
+                _sketch_matrix(batch.column("sketch"))[owner],
+                threshold,
+            )
+            number = batch.column("class").to_numpy()[owner[row]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(number[row]), pa.array(path.view(np.int64))], ["class", "path"]
+                [pa.array(number), pa.array(path.view(np.int64))], ["class", "path"]
             )
 
+    def sketched(rows: DataFrame, buckets: str) -> DataFrame:
+        """Each class once, with its buckets and its sketch.
+
+        A class is in few buckets: about 1.25 in each run, times as many for each split.
+        """
+        lists = rows.groupBy("class").agg(F.collect_list(buckets).alias("paths"))
+        return lists.join(sketches, "class")
+
     fields = "class bigint, path bigint"
     held = stored(map_arrow(sketches, start, fields), "paths")
     finished = []
@@ -246,7 +259,7 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
         if depth == DEPTH:
             break
         held = stored(
-            map_arrow(large.join(sketches, "class"), split, fields), "paths"
+            map_arrow(sketched(large, "path"), split, fields), "paths"
         )
     leaves = finished[0]
     for more in finished[1:]:
@@ -257,14 +270,18 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
         lists.select("all", F.xxhash64("all").alias("bucket"))
         .distinct()
         .select("bucket", F.explode("all").alias("class"))
-        .join(sketches, "class")
+    )
+    small = (
+        sketched(small, "bucket")
+        .select("class", "sketch", F.explode("paths").alias("bucket"))
         .withColumn("_i", F.lit(0))
         .withColumn("_j", F.lit(0))
         .withColumn("_own", F.lit(0))
     )
-    large = paired_blocks(
-        large.join(sketches, "class").withColumnRenamed("path", "bucket"), "bucket", "class"
+    large = sketched(large, "path").select(
+        "class", "sketch", F.explode("paths").alias("bucket")
     )
+    large = paired_blocks(large, "bucket", "class")
     least = threshold - MARGIN * math.sqrt(threshold * (1 - threshold) / SKETCH)
     needed = math.ceil(least * SKETCH)
 
