@@ -43,14 +43,19 @@ def with_cell(
     return placed.withColumn(name, cell).drop("__centre")
 
 
+# Cells of a run that stay together when a cover is dealt out.
+_STRETCH = 4096
+
+
 def cell_cover(
     df: DataFrame, zoom: int = DEFAULT_ZOOM, geometry: str = "geometry"
 ) -> DataFrame:
     """One row per feature and cell: the attributes and ``cell``; no row for null.
 
-    Polygons are unfolded in two steps, first into runs of cells and then into cells, so
-    that no task ever holds all cells of a large polygon.  Lists of the other kinds are
-    as long as the line or the points they come from.
+    Polygons are unfolded in two steps, first into stretches of cells and then into
+    cells.  The stretches are dealt to all tasks in between, so a feature that covers a
+    continent is divided, and no task ever holds all of its cells.  Lists of the other
+    kinds are as long as the line or the points they come from.
     """
     geom = F.col(geometry)
     attributes = columns(c for c in df.columns if c != geometry)
@@ -71,10 +76,16 @@ def cell_cover(
         )
     )
     pieces = df.select(*attributes, piece.alias("__run", "__id"))
-    column = F.when(
-        F.col("__run").isNotNull(), F.sequence("__run.first", "__run.last")
-    ).otherwise(F.array(F.lit(0).cast("bigint")))
-    tiles = pieces.select("*", F.explode(column).alias("__column"))
+    one = F.array(F.lit(0).cast("bigint"))
+    is_run = F.col("__run").isNotNull()
+    step = F.lit(_STRETCH).cast("bigint")
+    starts = F.when(is_run, F.sequence("__run.first", "__run.last", step)).otherwise(one)
+    # a fixed number of partitions: the few bytes here say nothing of the cells to come
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretches = pieces.select("*", F.explode(starts).alias("__first")).repartition(width)
+    last = F.least(F.col("__first") + step - 1, "__run.last")
+    column = F.when(is_run, F.sequence("__first", last)).otherwise(one)
+    tiles = stretches.select("*", F.explode(column).alias("__column"))
     cell = F.coalesce("__id", quadkey(F.col("__column"), F.col("__run.row"), zoom))
     return tiles.select(*attributes, cell.alias("cell"))
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from quadrille.functions.cells import cell_of_point
 from quadrille.functions.wkb import to_wkb
-from quadrille.functions.geometry import make_point
+from quadrille.functions.geometry import make_point, make_polygon
+from quadrille.operators.rows import cell_cover
 from quadrille.plans.imports import import_features
 from quadrille.sinks.compact import compact_dataset
 from quadrille.sources.columns import srid_of
@@ -173,3 +174,16 @@ def test_entry_points_ship_the_package(tmp_path):
             timeout=120,
         )
         assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_a_large_feature_is_divided(spark):
+    """Its cells come from many tasks, although it is one row of one task."""
+    ring = [(-170.0, -80.0), (170.0, -80.0), (170.0, 80.0), (-170.0, 80.0)]
+    corners = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ring])
+    df = spark.range(1).select("id", make_polygon(F.array(corners)).alias("geometry"))
+    cover = cell_cover(df, 10)
+    counts = cover.select("cell", F.spark_partition_id().alias("task"))
+    by_task = {r["task"]: r["count"] for r in counts.groupBy("task").count().collect()}
+    assert sum(by_task.values()) > 500_000
+    assert max(by_task.values()) < 0.3 * sum(by_task.values())
+    assert cover.select("cell").distinct().count() == sum(by_task.values())
