@@ -50,7 +50,7 @@ from ..sources.geoparquet import (
     has_geoparquet_footer,
 )
 from ..sources.parquet import scan_parquet, scan_partition
-from ..sources.schema_csv import load_schema_csv
+from ..sources.schema_csv import find_schema_file, load_schema_csv
 
 _WKB = "__wkb"
 
@@ -94,17 +94,20 @@ def import_features(
     *,
     where: Column | str | None = None,
     profile_lengths: bool = True,
+    discover_schema: bool = False,
 ) -> ImportedFeatures:
     """Read a Parquet dataset as a feature table.
 
     ``geometry_format`` tells where the geometry comes from: ``GEOPARQUET`` (footer and
-    primary column, or the ``geometry_column`` given), ``COORDINATES`` (``geometry_column`` names x and y), ``CELL`` (one
-    cell id column) or ``WKB`` (one binary column).  ``partitions`` selects Hive
-    partitions, as in ``"year=2023/month=1"``.
+    primary column, or the ``geometry_column`` given), ``COORDINATES``
+    (``geometry_column`` names x and y), ``CELL`` (one cell id column) or ``WKB`` (one
+    binary column).  ``partitions`` selects Hive partitions, as in
+    ``"year=2023/month=1"``.
 
     Attributes get their feature types and safe names; alias and text length are in the
-    column metadata, from ``schema_file`` or, with ``profile_lengths``, measured in one
-    aggregate.  Rows with an unreadable geometry or an impossible coordinate go to
+    column metadata, from ``schema_file``, with ``discover_schema`` from the folder
+    ``schema`` beside the dataset, or, with ``profile_lengths``, measured at once in one
+    aggregate over the text columns.  Rows with an unreadable geometry or an impossible coordinate go to
     ``rejected``.  Apart from footers and the measured lengths nothing is read here.
     """
     chosen = check_import_format(geometry_format)
@@ -123,6 +126,8 @@ def import_features(
     rules = {**rules, **coordinate_rules(F.col("geometry"), srid)}
     split = split_rejects(placed, rules)
     good = normalize_import_types(safe_column_names(split.good.drop(_WKB)))
+    if schema_file is None and discover_schema:
+        schema_file = find_schema_file(spark, path)
     if schema_file is not None:
         good = apply_schema(good, load_schema_csv(spark, str(schema_file)))
     elif profile_lengths:

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+from posixpath import dirname
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Columns of a schema file, and type names that stand for text.
 SCHEMA_COLUMNS = ("field_name", "field_type", "field_alias", "field_length")
 TEXT_SYNONYMS = ("string", "str")
+# Fixed value: the folder beside a dataset that holds its schema file.
+SCHEMA_FOLDER = "schema"
+
+
+def find_schema_file(spark: SparkSession, dataset: str) -> str | None:
+    """The schema folder beside a dataset, when it holds a CSV file; None otherwise."""
+    folder = f"{dirname(str(dataset).rstrip('/'))}/{SCHEMA_FOLDER}"
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    try:
+        return None if names.load(folder).select("path").isEmpty() else folder
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def load_schema_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -23,6 +23,7 @@ from quadrille.sources.columns import srid_of
 from quadrille.sources.files import list_partitions, partition_keys
 from quadrille.sources.geoparquet import describe_geoparquet, read_geoparquet
 from quadrille.sources.parquet import scan_parquet, scan_partition
+from quadrille.sources.schema_csv import find_schema_file
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -187,3 +188,17 @@ def test_a_large_feature_is_divided(spark):
     assert sum(by_task.values()) > 500_000
     assert max(by_task.values()) < 0.3 * sum(by_task.values())
     assert cover.select("cell").distinct().count() == sum(by_task.values())
+
+
+def test_schema_beside_the_dataset(spark, tmp_path):
+    put(tmp_path / "sites" / "a.parquet", x=[1.0], y=[2.0], name=["n"])
+    path = str(tmp_path / "sites")
+    assert find_schema_file(spark, path) is None
+    (tmp_path / "schema").mkdir()
+    (tmp_path / "schema" / "part-0.csv").write_text(
+        "field_name,field_type,field_alias,field_length\nname,TEXT,Site name,77\n"
+    )
+    loaded = import_features(
+        spark, path, "COORDINATES", ("x", "y"), discover_schema=True
+    )
+    assert loaded.features.schema["name"].metadata == {"alias": "Site name", "length": 77}
