@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quadrille.functions.geometry import (
     make_line,
     make_multipoint,
+    make_point,
     make_polygon,
     point_struct,
 )
@@ -70,37 +71,35 @@ def _bend():
     return F.array(corner(0.0, 0.0), corner(0.5, 0.5), corner(1.0, 0.0))
 
 
-def multipoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three points per customer."""
-    df = coordinates(spark, sf_dir).withColumn("geometry", make_multipoint(_bend()))
+def _square():
+    steps = ((0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.5), (0.0, 0.0))
+    return make_polygon(F.array(F.array(*[corner(x, y) for x, y in steps])))
+
+
+def _shaped(spark: SparkSession, sf_dir: str, shape) -> DataFrame:
+    df = coordinates(spark, sf_dir).withColumn("geometry", shape)
     return with_srid(df, 4326)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line of two segments per customer."""
-    df = coordinates(spark, sf_dir).withColumn("geometry", make_line(_bend()))
-    return with_srid(df, 4326)
+    return _shaped(spark, sf_dir, make_line(_bend()))
 
 
 def squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A closed square of half a degree per customer."""
-    ring = F.array(
-        corner(0.0, 0.0),
-        corner(0.5, 0.0),
-        corner(0.5, 0.5),
-        corner(0.0, 0.5),
-        corner(0.0, 0.0),
-    )
-    df = coordinates(spark, sf_dir).withColumn("geometry", make_polygon(F.array(ring)))
-    return with_srid(df, 4326)
+    return _shaped(spark, sf_dir, _square())
 
 
 def all_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Points, multipoints, lines and squares together."""
-    shapes = points(spark, sf_dir)
-    for more in (multipoints, lines, squares):
-        shapes = shapes.unionByName(more(spark, sf_dir))
-    return with_srid(shapes, 4326)
+    """A point, three points, a line and a square per customer, in one scan."""
+    shapes = F.array(
+        make_point(F.col("lon"), F.col("lat")),
+        make_multipoint(_bend()),
+        make_line(_bend()),
+        _square(),
+    )
+    return _shaped(spark, sf_dir, F.explode(shapes))
 
 
 # --- SQL pieces -------------------------------------------------------------------
