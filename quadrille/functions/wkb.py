@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..session import ship_to_active
@@ -376,3 +377,20 @@ def to_wkb(geom: Column) -> Column:
         return encode_batch(data)
 
     return encode(geom)
+
+
+def wkb_kind(wkb: Column) -> Column:
+    """Kind of geometry that a WKB record announces in its first five bytes.
+
+    Needs no Python worker.  Null for codes that are not read, and for records that are
+    too short; whether the rest of a record can be read is not looked at.
+    """
+    order = F.hex(F.substring(wkb, 1, 1))
+    digits = F.hex(F.substring(wkb, 2, 4))
+    turned = F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)])
+    code = F.conv(F.when(order == "01", turned).when(order == "00", digits), 16, 10)
+    plain = code.cast("bigint").bitwiseAND(F.lit((1 << 32) - 1 - EWKB_SRID))
+    result = F.lit(None).cast("string")
+    for name, number in WKB_CODES.items():
+        result = F.when(plain == number, name).otherwise(result)
+    return F.when(F.length(digits) == 8, result)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_SRID
+from ..functions.wkb import wkb_kind
 from ..names import column, columns
 from ..operators.profile import (
     geometry_type_of,
@@ -178,7 +179,8 @@ def _with_geometry(
             )
         dataset = GeoDataset(source, (source,), (), srid)
         decoded = decode_geometry(_without_binary(df, source), source, dataset, _WKB)
-        kinds = ()
+        announced = F.sort_array(F.collect_set(wkb_kind(column(source))))
+        kinds = df.agg(announced).first()[0]
     decoded = evaluated_once(decoded, "geometry")
     kind = geometry_type_name(kinds) if kinds else geometry_type_of(decoded)
     return decoded, kind, wkb_rule(F.col(_WKB), F.col("geometry"))

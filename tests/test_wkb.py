@@ -7,9 +7,17 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from shapes import EXAMPLES, as_struct, plain, wkb_point
 
-from quadrille.functions.wkb import _record, decode_batch, encode_batch
+from quadrille.functions.wkb import (
+    EWKB_SRID,
+    WKB_CODES,
+    _record,
+    decode_batch,
+    encode_batch,
+    wkb_kind,
+)
 
 VERTEX = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 GEOMETRY = pa.struct(
@@ -134,3 +142,15 @@ def test_any_batch_round_trips(batch, start, count):
 
 def as_bytes(polys):
     return [[np.array(path, "<f8").tobytes() for path in poly] for poly in polys]
+
+
+def test_kind_from_the_header(spark):
+    def header(code, order="<"):
+        return bytes([order == "<"]) + struct.pack(f"{order}I", code)
+
+    cases = [(header(code, order), name) for order in "<>" for name, code in WKB_CODES.items()]
+    cases += [(header(EWKB_SRID | 2), "LineString"), (header(1001), None), (header(7), None)]
+    cases += [(b"", None), (b"\1\1\0", None), (b"\5\1\0\0\0", None), (None, None)]
+    df = spark.createDataFrame([(c,) for c, _ in cases], "wkb binary")
+    found = [r[0] for r in df.select(wkb_kind(F.col("wkb"))).collect()]
+    assert found == [name for _, name in cases]
