@@ -130,6 +130,7 @@ def near_documents(
             F.count("*").alias("copies"),
             F.min("id").alias("first"),
             F.first("sketch").alias("sketch"),
+            F.first("size").alias("size"),
         )
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
@@ -137,7 +138,7 @@ def near_documents(
     pairs = _candidate_edges(classes, threshold, runs_for(recall))
     groups = connected_components(pairs).withColumnRenamed("id", "class")
     members = stored(
-        groups.join(classes.select("class", "first", "copies", "digest"), "class"),
+        groups.join(classes.drop("sketch"), "class"),
         "members",
     )
     verified = stored(_verified(rows, members, threshold, shingle), "links")
@@ -324,7 +325,7 @@ def _verified(
     Members learn their blocks before their sets are made, so that the sets are shuffled
     once.  The join to the texts always sorts: a broadcast could only serve small inputs.
     """
-    of_member = in_blocks(members, "component", "class").select(
+    of_member = in_blocks(members, "component", "class", "size").select(
         F.col("first").alias("id"),
         "class",
         "component",

@@ -154,18 +154,21 @@ def _call(batches, keys, function):
 
 #: Members of a block; a task compares two blocks.
 BLOCK = 2048
+#: Weight of a block, where members differ in size.
+BLOCK_WEIGHT = 2_000_000
 
 
-def in_blocks(members: DataFrame, group: str, identity: str) -> DataFrame:
+def in_blocks(
+    members: DataFrame, group: str, identity: str, weight: str | None = None
+) -> DataFrame:
     """Members with ``_blocks``, the blocks of their group, and ``_own``, their block.
 
     A group is divided into blocks of about ``BLOCK`` members by the hash of their
-    identity.
+    identity, and into smaller ones where their weights would exceed ``BLOCK_WEIGHT``.
     """
-    sizes = members.groupBy(group).count()
-    blocks = sizes.select(
-        group, F.ceil(F.col("count") / F.lit(BLOCK)).cast("int").alias("_blocks")
-    )
+    heavy = F.sum(weight) / F.lit(BLOCK_WEIGHT) if weight else F.lit(0.0)
+    number = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), heavy)).cast("int")
+    blocks = members.groupBy(group).agg(number.alias("_blocks"))
     own = F.pmod(F.xxhash64(identity), F.col("_blocks")).cast("int")
     return members.join(blocks, group).withColumn("_own", own)
 

@@ -80,6 +80,7 @@ def test_documents(spark, threshold):
 
 def test_large_groups_are_split_and_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr("quadrille.llm.common.BLOCK", 40)
+    monkeypatch.setattr("quadrille.llm.common.BLOCK_WEIGHT", 3000)
     r = random.Random(12)
     base = prose(r, 150).split()
     rows = []
