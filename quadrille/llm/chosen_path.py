@@ -292,13 +292,7 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
         matrix = _sketch_matrix(rows["sketch"])
         a, b = [], []
         for begin, end in zip(starts.tolist(), ends.tolist()):
-            forest, part = Forest(end - begin), matrix[begin:end]
-            for x in range(len(part) - 1):
-                # one row against the rest; a row that joined an earlier one may connect more
-                agree = (part[x + 1 :] == part[x]).sum(axis=1)
-                for y in np.nonzero(agree >= needed)[0].tolist():
-                    forest.join([(x, x + 1 + y)])
-            roots = forest.roots()
+            roots = _connected(matrix[begin:end], needed)
             (moved,) = np.nonzero(roots != np.arange(len(roots)))
             a.append(number[begin + moved])
             b.append(number[begin + roots[moved]])
@@ -317,6 +311,21 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
     return found.where("a <> b").distinct()
 
 
+def _connected(sketches: np.ndarray, needed: int) -> np.ndarray:
+    """For each sketch the first one that it is connected with by agreeing pairs.
+
+    A row is compared only with rows that it is not connected with yet.
+    """
+    label = np.arange(len(sketches))
+    for x in range(len(sketches) - 1):
+        rest = np.nonzero(label[x + 1 :] != label[x])[0] + x + 1
+        agree = (sketches[rest] == sketches[x]).sum(axis=1)
+        for other in np.unique(label[rest[agree >= needed]]).tolist():
+            label[label == other] = label[x]
+    _, first, group = np.unique(label, return_index=True, return_inverse=True)
+    return first[group]
+
+
 def _verified(
     rows: DataFrame, members: DataFrame, threshold: float, shingle: int
 ) -> DataFrame:
@@ -388,7 +397,7 @@ def _verified(
             np.add.at(links, begin + x, copies[begin + y])
             np.add.at(links, begin + y, copies[begin + x])
             forest = Forest(end - begin)
-            forest.join(zip(x.tolist(), y.tolist()))
+            forest.join(x, y)
             roots = forest.roots()
             (moved,) = np.nonzero(roots != np.arange(len(roots)))
             a.append(number[begin + moved])

@@ -196,23 +196,24 @@ def paired_blocks(members: DataFrame, group: str, identity: str) -> DataFrame:
 
 
 class Forest:
-    """Union-find over the rows of a task."""
+    """Union-find over the rows of a task, for arrays of pairs."""
 
     def __init__(self, size: int):
-        self.parent = list(range(size))
-
-    def find(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    def join(self, pairs) -> None:
-        for a, b in pairs:
-            a, b = self.find(int(a)), self.find(int(b))
-            if a != b:
-                self.parent[max(a, b)] = min(a, b)
+        self.root = np.arange(size)
+
+    def join(self, x: np.ndarray, y: np.ndarray) -> None:
+        while True:
+            a, b = self.root[x], self.root[y]
+            apart = a != b
+            if not apart.any():
+                return
+            x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+            while True:
+                above = self.root[self.root]
+                if (above == self.root).all():
+                    break
+                self.root = above
 
     def roots(self) -> np.ndarray:
-        return np.array([self.find(x) for x in range(len(self.parent))], np.int64)
+        return self.root

@@ -261,7 +261,7 @@ def _index_edges(classes: DataFrame, threshold: float, seed: int) -> DataFrame:
             unit = _unit(_matrix(part["vector"]))
             for x, y in _links_in_tiles(unit, threshold):
                 right = label[x] == label[y]
-                forest.join(zip(x[right], y[right]))
+                forest.join(x[right], y[right])
             roots = forest.roots()
             (moved,) = np.nonzero(roots != np.arange(len(roots)))
             a.append(number[moved])

@@ -8,7 +8,7 @@ from llm_cases import awkward, collected, copies, frame, prose
 from pyspark.sql import functions as F
 
 from quadrille.llm import chosen_path, words
-from quadrille.llm.common import text_id
+from quadrille.llm.common import Forest, text_id
 from quadrille.llm.components import connected_components
 
 
@@ -133,3 +133,16 @@ def test_links_are_symmetric(spark):
     out = chosen_path.near_documents(frame(spark, copies(21)))
     total = out.agg(F.sum("n_links")).first()[0]
     assert total % 2 == 0 and total > 0
+
+
+def test_forest():
+    r = random.Random(15)
+    for _ in range(50):
+        n = r.randint(1, 60)
+        forest, pairs = Forest(n), []
+        for _ in range(4):
+            more = [(r.randrange(n), r.randrange(n)) for _ in range(r.randint(0, n // 2))]
+            x, y = np.array(more, np.int64).reshape(-1, 2).T
+            forest.join(x, y)
+            pairs += more
+            assert forest.roots().tolist() == components(n, pairs)
