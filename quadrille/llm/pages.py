@@ -29,6 +29,8 @@ CONTENT_WEIGHT = 0.7
 LEAST_IMPORTANCE = 0.3
 #: Pages of a host that a node must be on before its entropy counts.
 LEAST_PAGES = 4
+#: Parts of a host's pages that meet its unimportant paths in different tasks.
+SALTS = 64
 
 # HTML elements by their part in a page
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -296,7 +298,7 @@ def extract_main_text(
 
     Only the paths that are unimportant on a host return to its pages.  They are on
     several pages alike, so their number follows the templates of a host and not its
-    pages.
+    pages; a copy of them goes to each part of a host that holds many pages.
     """
     host = F.lower(F.regexp_extract(url_column, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
     rows = pages.select(
@@ -310,6 +312,10 @@ def extract_main_text(
         importance.where(F.col("importance") < LEAST_IMPORTANCE)
         .groupBy("host")
         .agg(F.sort_array(F.collect_list("path")).alias("dull"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    )
+    salted = rows.withColumn(
+        "salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,6 +336,6 @@ def extract_main_text(
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    joined = rows.join(dull, "host", "left").select("id", "url", "html", "dull")
+    joined = salted.join(dull, ["host", "salt"], "left").select("id", "url", "html", "dull")
     out = map_arrow(joined, run, f"id {kind}, url string, text string, n_chars bigint")
     return out.withColumnRenamed("id", id_column).withColumnRenamed("url", url_column)
