@@ -6,7 +6,7 @@ of elements with their classes.  For each node the entropy over pages of its pre
 varies; what is the same on every page of a site belongs to the site and not to the page.
 A branch whose importance, the weighted mean of both entropies, is low is removed from
 each page, and so is one whose element or class says that it is no part of an article.
-Elements that mark the article itself are kept.
+Elements that mark the article itself are kept, and copies of a page count as one.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from .common import map_arrow
 CONTENT_WEIGHT = 0.7
 #: Branches below this importance are removed.
 LEAST_IMPORTANCE = 0.3
-#: Pages of a host that a node must be on before its entropy counts.
+#: Distinct pages of a host that a node must be on before its entropy counts.
 LEAST_PAGES = 4
 #: Parts of a host's pages that meet its unimportant paths in different tasks.
 SALTS = 64
@@ -214,14 +214,22 @@ def _tree_rows(page: Page) -> Iterator[tuple[str, str, str]]:
         yield path, "|".join(look), "\n".join(texts.get(path, ()))
 
 
-def _main_text(page: Page, dull: frozenset[int]) -> str:
-    """Blocks that are left when outside and unimportant branches are removed."""
+def _main_text(
+    page: Page, dull: frozenset[int], alike: frozenset[int] = frozenset()
+) -> str:
+    """Blocks that are left when outside and unimportant branches are removed.
+
+    Unimportant branches stay where nothing would be left without them.  Branches that
+    are only known to be ``alike`` on copies go where the page marks its article.
+    """
     held = [False] * len(page.nodes)
     for node in page.nodes:
         # a branch that holds the article goes with nothing
         if node.tag in ARTICLE and not node.outside:
             for n in node.nodes:
                 held[n] = True
+    if any(held):
+        dull |= alike
     dropped: dict[str, bool] = {}
 
     def unimportant(n: int) -> bool:
@@ -232,55 +240,83 @@ def _main_text(page: Page, dull: frozenset[int]) -> str:
             dropped[node.path] = _digest(node.path) in dull
         return dropped[node.path]
 
-    return "\n".join(
-        block
-        for block, holder in page.blocks
-        if not holder.outside and not any(map(unimportant, holder.nodes))
-    )
+    own = [(block, holder) for block, holder in page.blocks if not holder.outside]
+    left = [b for b, holder in own if not any(map(unimportant, holder.nodes))]
+    return "\n".join(left or [b for b, _ in own])
 
 
 def site_importance(pages: DataFrame) -> DataFrame:
-    """``host, path, importance`` of each node of the merged trees of ``pages``.
-
-    ``pages`` has ``host`` and ``html``.  Counts of equal presentations and contents are
-    combined before the shuffle, so a host may hold any share of the pages.
+    """``host, path, importance, n, alike`` of each node of the merged trees of ``pages``.
+
+    ``pages`` has ``host`` and ``html``.  Pages of a host with the same text, as the
+    elements and classes leave it, are copies and count once: what varies by page stays
+    varied however often a page comes.  ``n`` pages have the node, and it is ``alike``
+    where at least ``LEAST_PAGES`` rows, copies included, do not differ in it.  The tree of a page, not its source, is shuffled
+    to tell copies; they and counts of equal presentations and contents are combined
+    before the shuffle, so a host or a page may hold any share of the rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, batch.num_rows, 256):
-                hosts, paths, kinds, values = [], [], [], []
                 rows = batch.slice(part, 256)
-                for host, source in zip(
-                    rows.column(0).to_pylist(), rows.column(1).to_pylist()
-                ):
-                    for path, look, content in _tree_rows(read_page(source)):
-                        hosts += [host, host]
-                        paths += [_digest(path)] * 2
-                        kinds += [0, 1]
-                        values += [_digest(look), _digest(content)]
+                copies, bounds, nodes = [], [0], ([], [], [])
+                for source in rows.column(1).to_pylist():
+                    page = read_page(source)
+                    copies.append(_digest(_main_text(page, frozenset())))
+                    for row in _tree_rows(page):
+                        for values, value in zip(nodes, row):
+                            values.append(_digest(value))
+                    bounds.append(len(nodes[0]))
+                ends = pa.array(bounds, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(hosts, pa.string()),
-                        pa.array(paths, pa.int64()),
-                        pa.array(kinds, pa.int32()),
-                        pa.array(values, pa.int64()),
+                        rows.column(0),
+                        pa.array(copies, pa.int64()),
+                        *[
+                            pa.ListArray.from_arrays(ends, pa.array(v, pa.int64()))
+                            for v in nodes
+                        ],
                     ],
-                    ["host", "path", "kind", "value"],
+                    ["host", "copy", "path", "look", "content"],
                 )
 
-    nodes = map_arrow(
-        pages.select("host", "html"), run, "host string, path bigint, kind int, value bigint"
+    trees = map_arrow(
+        pages.select("host", "html"),
+        run,
+        "host string, copy bigint, path array<bigint>, look array<bigint>,"
+        " content array<bigint>",
+    )
+    # of copies with different surroundings always the same one
+    single = trees.groupBy("host", "copy").agg(
+        F.min(F.struct("path", "look", "content")).alias("tree"), F.count("*").alias("rows")
+    )
+    kinds = F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("node.look").alias("value")),
+        F.struct(F.lit(1).alias("kind"), F.col("node.content").alias("value")),
+    )
+    nodes = single.select(
+        "host",
+        "rows",
+        F.explode(F.arrays_zip("tree.path", "tree.look", "tree.content")).alias("node"),
+    ).select("host", "rows", F.col("node.path").alias("path"), F.inline(kinds))
+    counts = nodes.groupBy("host", "path", "kind", "value").agg(
+        F.count("*").alias("c"), F.sum("rows").alias("rows")
     )
-    counts = nodes.groupBy("host", "path", "kind", "value").agg(F.count("*").alias("c"))
     weight = F.when(F.col("kind") == 1, CONTENT_WEIGHT).otherwise(1 - CONTENT_WEIGHT)
     spread = counts.groupBy("host", "path", "kind").agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("same")
+        F.sum("c").alias("n"),
+        F.sum(F.col("c") * F.log("c")).alias("same"),
+        ((F.count("*") == 1) & (F.sum("rows") >= LEAST_PAGES)).alias("alike"),
     )
     entropy = F.when(F.col("n") < LEAST_PAGES, 1.0).otherwise(
         1 - F.col("same") / (F.col("n") * F.log("n"))
     )
-    return spread.groupBy("host", "path").agg(F.sum(weight * entropy).alias("importance"))
+    return spread.groupBy("host", "path").agg(
+        F.sum(weight * entropy).alias("importance"),
+        F.max("n").alias("n"),
+        F.every("alike").alias("alike"),
+    )
 
 
 def extract_main_text(
@@ -308,10 +344,16 @@ def extract_main_text(
         F.when(host != "", host).alias("host"),
     )
     importance = site_importance(rows.where("host IS NOT NULL"))
+    unimportant = F.col("importance") < LEAST_IMPORTANCE
     dull = (
-        importance.where(F.col("importance") < LEAST_IMPORTANCE)
-        .groupBy("host")
-        .agg(F.sort_array(F.collect_list("path")).alias("dull"))
+        importance.groupBy("host")
+        .agg(
+            F.sort_array(F.collect_list(F.when(unimportant, F.col("path")))).alias("dull"),
+            F.sort_array(F.collect_list(F.when(F.col("alike"), F.col("path")))).alias("alike"),
+            F.max("n").alias("n"),
+        )
+        .withColumn("alike", F.when(F.col("n") < LEAST_PAGES, F.col("alike")))
+        .where("size(dull) > 0 OR size(alike) > 0")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     salted = rows.withColumn(
@@ -321,10 +363,9 @@ def extract_main_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for source, paths in zip(batch.column("html"), batch.column("dull")):
-                texts.append(
-                    _main_text(read_page(source.as_py()), frozenset(paths.as_py() or ()))
-                )
+            for source, *paths in zip(*map(batch.column, ["html", "dull", "alike"])):
+                dull, alike = (frozenset(p.as_py() or ()) for p in paths)
+                texts.append(_main_text(read_page(source.as_py()), dull, alike))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -336,6 +377,8 @@ def extract_main_text(
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    joined = salted.join(dull, ["host", "salt"], "left").select("id", "url", "html", "dull")
+    joined = salted.join(dull, ["host", "salt"], "left").select(
+        "id", "url", "html", "dull", "alike"
+    )
     out = map_arrow(joined, run, f"id {kind}, url string, text string, n_chars bigint")
     return out.withColumnRenamed("id", id_column).withColumnRenamed("url", url_column)

@@ -89,6 +89,40 @@ def test_copies_of_an_article_stay(spark):
     assert extracted(spark, rows) == [(1, "the same text", 13)] * 9
 
 
+@pytest.mark.parametrize("copies, distinct", [(3, 1), (65, 35), (7, 5)])
+def test_copies_do_not_make_a_page_boilerplate(spark, copies, distinct):
+    """In a plain div beside distinct pages; copies may differ in what is dropped."""
+    import random
+
+    r = random.Random(6)
+
+    def page(number, text):
+        return (
+            f"<html><head><title>{number}</title></head><body><div class='m'>menu</div>"
+            f"<div class='c1'><p>{text}</p></div><footer>{number}</footer></body></html>"
+        )
+
+    texts = ["the same text"] * copies + [prose(r, 12) for _ in range(distinct)]
+    rows = [
+        (k, f"http://a.example.com/{k}", page(k if k % 2 else 0, t))
+        for k, t in enumerate(texts)
+    ]
+    menu = "" if 1 + distinct >= pages.LEAST_PAGES else "menu\n"
+    out = {i: t for i, t, _ in extracted(spark, rows)}
+    assert out == {k: menu + t for k, t in enumerate(texts)}
+
+
+def test_a_page_keeps_some_text(spark):
+    """Distinct pages whose article is the same, and which hold nothing else."""
+    rows = [
+        (k, f"http://a.example.com/{k}", f"<div class='c1'><p>notice</p></div><p>{k}</p>")
+        for k in range(9)
+    ]
+    rows += [(9, "http://a.example.com/9", "<div class='c1'><p>notice</p></div>")]
+    out = {i: t for i, t, _ in extracted(spark, rows)}
+    assert out == {k: str(k) for k in range(9)} | {9: "notice"}
+
+
 def test_long_and_odd_pages(spark):
     rows = [
         (1, "http://x.example.com", "<p>" * 20000 + "x"),
