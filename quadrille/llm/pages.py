@@ -6,7 +6,8 @@ of elements with their classes.  For each node the entropy over pages of its pre
 varies; what is the same on every page of a site belongs to the site and not to the page.
 A branch whose importance, the weighted mean of both entropies, is low is removed from
 each page, and so is one whose element or class says that it is no part of an article.
-Elements that mark the article itself are kept, and copies of a page count as one.
+Inside an article only whole classes say so, and a branch whose class could be the
+article's own stays if it varies.  Elements that mark the article itself are kept, and copies of a page count as one.
 """
 
 from __future__ import annotations
@@ -65,6 +66,13 @@ OUTSIDE_NAMES = frozenset(
     " search share sharing sidebar signup social sponsor sponsored subscribe toolbar"
     " widget".split()
 )
+#: Of these names the ones that parts of an article have too.  Inside an article they
+#: count as whole classes only, and not where the text varies by page.
+AMBIGUOUS_NAMES = frozenset(
+    "banner consent copyright discussion footer notice notices related replies respond"
+    " search share sharing social sponsor widget".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Named so on a page they are outside; inside an article they are its own.
 OUTER_ONLY = frozenset(["header"])
 
@@ -88,9 +96,15 @@ class Node:
     path: str
     outside: bool
     inside: bool
+    ambiguous: bool
     nodes: tuple[int, ...]
     children: list[str] = field(default_factory=list)
 
+    @property
+    def key(self) -> int:
+        """Digest of the path; odd for an ambiguous name."""
+        return _digest(self.path) & ~1 | self.ambiguous
+
 
 @dataclass
 class Page:
@@ -120,7 +134,7 @@ def read_page(source: str) -> Page:
     items end their neighbours.  Line breaks are white space.
     """
     page = Page()
-    root = Node("", "", False, False, ())
+    root = Node("", "", False, False, False, ())
     stack, text = [root], []
 
     def flush() -> None:
@@ -173,14 +187,19 @@ def read_page(source: str) -> Page:
         inside = parent.inside or tag in ARTICLE
         # an article may be called anything; inline elements are part of their block
         outside = parent.outside or tag in OUTSIDE or role in OUTSIDE_ROLES
-        if tag not in ARTICLE and tag != "body" and tag in BLOCKS:
+        ambiguous = False
+        if inside and tag in BLOCKS and tag not in ARTICLE and tag not in HEADINGS:
+            # ids and parts of names are the article's own there
+            told = OUTSIDE_NAMES.intersection(classes.split("."))
+            outside = outside or not told <= AMBIGUOUS_NAMES
+            ambiguous = bool(told)
+        elif not inside and tag != "body" and tag in BLOCKS:
             outside = outside or not OUTSIDE_NAMES.isdisjoint(names)
-            if not inside and (tag in OUTER_ONLY or not OUTER_ONLY.isdisjoint(names)):
+            if tag in OUTER_ONLY or not OUTER_ONLY.isdisjoint(names):
                 outside = True
         step = f"{tag}.{classes}" if classes else tag
-        node = Node(
-            tag, f"{parent.path}/{step}", outside, inside, (*parent.nodes, len(page.nodes))
-        )
+        path, nodes = f"{parent.path}/{step}", (*parent.nodes, len(page.nodes))
+        node = Node(tag, path, outside, inside, ambiguous, nodes)
         if not parent.children or parent.children[-1] != step:
             parent.children.append(step)
         if tag in RAW:
@@ -199,28 +218,35 @@ def _digest(value: str) -> int:
     return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "big", signed=True)
 
 
-def _tree_rows(page: Page) -> Iterator[tuple[str, str, str]]:
-    """Path, presentation and content of each node; equal paths of a page are one node."""
+def _tree_rows(page: Page) -> Iterator[tuple[int, int, int]]:
+    """Key, presentation and content of each node; equal paths of a page are one node."""
     looks: dict[str, list[str]] = {}
     texts: dict[str, list[str]] = {}
+    keys: dict[str, int] = {}
     for node in page.nodes:
         if node.tag in BLOCKS:
+            if node.path not in looks:
+                keys[node.path] = node.key
             looks.setdefault(node.path, []).append(" ".join(node.children))
     for block, holder in page.blocks:
         paths = {page.nodes[n].path for n in holder.nodes}
         for path in paths & looks.keys():
             texts.setdefault(path, []).append(block)
     for path, look in looks.items():
-        yield path, "|".join(look), "\n".join(texts.get(path, ()))
+        yield keys[path], _digest("|".join(look)), _digest("\n".join(texts.get(path, ())))
 
 
 def _main_text(
-    page: Page, dull: frozenset[int], alike: frozenset[int] = frozenset()
+    page: Page,
+    dull: frozenset[int],
+    alike: frozenset[int] = frozenset(),
+    varied: frozenset[int] = frozenset(),
 ) -> str:
     """Blocks that are left when outside and unimportant branches are removed.
 
     Unimportant branches stay where nothing would be left without them.  Branches that
-    are only known to be ``alike`` on copies go where the page marks its article.
+    are only known to be ``alike`` on copies go where the page marks its article.  Inside
+    it, branches with an ambiguous name go unless they are known to be ``varied``.
     """
     held = [False] * len(page.nodes)
     for node in page.nodes:
@@ -234,10 +260,14 @@ def _main_text(
 
     def unimportant(n: int) -> bool:
         node = page.nodes[n]
+        if node.ambiguous and varied:
+            if node.path not in dropped:
+                dropped[node.path] = node.key not in varied
+            return dropped[node.path]
         if node.inside or held[n] or not dull:
-            return False
+            return node.ambiguous
         if node.path not in dropped:
-            dropped[node.path] = _digest(node.path) in dull
+            dropped[node.path] = node.key in dull
         return dropped[node.path]
 
     own = [(block, holder) for block, holder in page.blocks if not holder.outside]
@@ -266,7 +296,7 @@ def site_importance(pages: DataFrame) -> DataFrame:
                     copies.append(_digest(_main_text(page, frozenset())))
                     for row in _tree_rows(page):
                         for values, value in zip(nodes, row):
-                            values.append(_digest(value))
+                            values.append(value)
                     bounds.append(len(nodes[0]))
                 ends = pa.array(bounds, pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -332,8 +362,8 @@ def extract_main_text(
     host in their address are judged by themselves.  Repeated rows and null ids stay as
     they are; an empty table gives no rows; other columns are not read.
 
-    Only the paths that are unimportant on a host return to its pages.  They are on
-    several pages alike, so their number follows the templates of a host and not its
+    Only the paths that are unimportant on a host, and those of ambiguous names that are
+    not, return to its pages.  They are on several pages alike, so their number follows the templates of a host and not its
     pages; a copy of them goes to each part of a host that holds many pages.
     """
     host = F.lower(F.regexp_extract(url_column, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
@@ -345,17 +375,20 @@ def extract_main_text(
     )
     importance = site_importance(rows.where("host IS NOT NULL"))
     unimportant = F.col("importance") < LEAST_IMPORTANCE
+    varied = ~unimportant & (F.col("n") >= LEAST_PAGES) & (F.expr("path & 1") == 1)
     dull = (
         importance.groupBy("host")
         .agg(
             F.sort_array(F.collect_list(F.when(unimportant, F.col("path")))).alias("dull"),
             F.sort_array(F.collect_list(F.when(F.col("alike"), F.col("path")))).alias("alike"),
+            F.sort_array(F.collect_list(F.when(varied, F.col("path")))).alias("varied"),
             F.max("n").alias("n"),
         )
         .withColumn("alike", F.when(F.col("n") < LEAST_PAGES, F.col("alike")))
-        .where("size(dull) > 0 OR size(alike) > 0")
+        .where("size(dull) > 0 OR size(alike) > 0 OR size(varied) > 0")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
+    judged = ["dull", "alike", "varied"]
     salted = rows.withColumn(
         "salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")
     )
@@ -363,9 +396,9 @@ def extract_main_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for source, *paths in zip(*map(batch.column, ["html", "dull", "alike"])):
-                dull, alike = (frozenset(p.as_py() or ()) for p in paths)
-                texts.append(_main_text(read_page(source.as_py()), dull, alike))
+            for source, *paths in zip(*map(batch.column, ["html", *judged])):
+                known = [frozenset(p.as_py() or ()) for p in paths]
+                texts.append(_main_text(read_page(source.as_py()), *known))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -378,7 +411,7 @@ def extract_main_text(
 
     kind = rows.schema["id"].dataType.simpleString()
     joined = salted.join(dull, ["host", "salt"], "left").select(
-        "id", "url", "html", "dull", "alike"
+        "id", "url", "html", *judged
     )
     out = map_arrow(joined, run, f"id {kind}, url string, text string, n_chars bigint")
     return out.withColumnRenamed("id", id_column).withColumnRenamed("url", url_column)

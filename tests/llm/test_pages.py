@@ -123,6 +123,43 @@ def test_a_page_keeps_some_text(spark):
     assert out == {k: str(k) for k in range(9)} | {9: "notice"}
 
 
+@pytest.mark.parametrize(
+    "part, text",
+    [
+        ("<section id='discussion'><p>x</p></section>", "x"),
+        ("<h2 id='related-work'>x</h2>", "x"),
+        ("<h2 class='search'>x</h2>", "x"),
+        ("<h3 id='search-algorithms'>x</h3><p>y</p>", "x\ny"),
+        ("<div class='social-history'><p>x</p></div>", "x"),
+        ("<p class='notice-period'>x</p>", "x"),
+        ("<div class='box ad'>x</div><p>y</p>", "y"),
+        ("<div class='discussion'>x</div><p>y</p>", "y"),
+        ("<div class='sidebar'><div class='discussion'>x</div></div><p>y</p>", "y"),
+    ],
+)
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_names_inside_an_article(tag, part, text):
+    assert main_text(f"<{tag}>{part}</{tag}>") == text
+    assert main_text(f"<{tag}><div class='c1'>{part}</div></{tag}>") == text
+
+
+def test_ambiguous_names_inside_an_article(spark):
+    """Text that varies by page stays on a host with enough pages, other text goes."""
+
+    def page(number):
+        return (
+            f"<article><p>{number}</p><section class='discussion'><p>d{number}</p></section>"
+            "<div class='share'><p>send it on</p></div>"
+            f"<div class='ad'>buy {number}</div></article>"
+        )
+
+    rows = [(k, f"http://a.example.com/{k}", page(k)) for k in range(6)]
+    rows += [(k, f"http://b.example.com/{k}", page(k)) for k in range(10, 13)]
+    out = {i: t for i, t, _ in extracted(spark, rows)}
+    large = {k: f"{k}\nd{k}" for k in range(6)}
+    assert out == large | {k: str(k) for k in range(10, 13)}
+
+
 def test_long_and_odd_pages(spark):
     rows = [
         (1, "http://x.example.com", "<p>" * 20000 + "x"),
