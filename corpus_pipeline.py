@@ -22,16 +22,24 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least id.
 
-    Of repeated rows one stays.
+    Of repeated rows one stays, and of several texts with the least id the one with the
+    least hash.  Rows that share an id but are not linked are judged by themselves.
     """
     found = chosen_path.near_documents(docs)
-    kept = found.where("kept").select(F.col("row_id").alias("_row")).distinct()
+    # the rows of a group that are kept have one id; texts without words have no group
+    alone = F.when(F.col("row_group").isNull(), F.struct("row_id", "row_mark"))
+    kept = (
+        found.where("kept")
+        .groupBy("row_group", alone.alias("alone"))
+        .agg(F.min("row_id").alias("_row"), F.min("row_mark").alias("_digest"))
+        .select("_row", "_digest")
+    )
     rows = docs.select(
         F.struct("*").alias("_all"),
         text_id("doc_id", "text").alias("_row"),
         F.xxhash64("text").alias("_digest"),
     )
-    single = rows.join(kept, "_row", "left_semi").dropDuplicates(["_row", "_digest"])
+    single = rows.join(kept, ["_row", "_digest"], "left_semi").dropDuplicates(["_row", "_digest"])
     return single.select("_all.*")
 
 

@@ -115,14 +115,20 @@ def near_documents(
     first, and such rows are told apart by their texts.  Repeated rows link with each
     other like copies.  An empty table gives no rows; other columns are not read.
 
+    Ids may repeat with different texts, so ``row_id`` and ``row_mark``, a hash of the
+    text, tell which row is meant.  ``row_group`` numbers the groups of linked rows, also
+    those whose least ids are equal; it is null for a text without words.
+
     ``recall`` is that of a pair exactly at the threshold; pairs that are more similar, or
     are connected through others, are found with a higher probability.
     """
-    rows = documents.select(
+    marked = documents.select(
         text_id(id_column, text_column).alias("id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
+        F.xxhash64(text_column).alias("mark"),
     )
-    base = stored(map_arrow(rows, _summaries(shingle), _SUMMARY), "sketches")
+    rows = marked.drop("mark")
+    base = stored(map_arrow(marked, _summaries(shingle), _SUMMARY), "sketches")
     usable = base.where("size > 0")
     classes = stored(
         usable.groupBy("digest")
@@ -157,17 +163,23 @@ def near_documents(
         .agg(F.min("first").alias("least"))
     )
     linked = component.join(least, "component").join(links, "class")
-    found = classes.join(linked.select("class", "links", "least"), "class", "left").select(
+    linked = linked.select("class", "links", "least", "component")
+    found = classes.join(linked, "class", "left").select(
         "digest",
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("least", "first").alias("component_id"),
+        F.coalesce("component", "class").alias("group"),
     )
-    result = usable.select("id", "digest").join(found, "digest")
+    result = usable.select("id", "mark", "digest").join(found, "digest")
     alone = base.where("size = 0").select(
-        "id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")
+        "id",
+        "mark",
+        F.lit(0).cast("bigint").alias("n_links"),
+        F.col("id").alias("component_id"),
+        F.lit(None).cast("bigint").alias("group"),
     )
     return (
-        result.select("id", "n_links", "component_id")
+        result.select("id", "mark", "n_links", "component_id", "group")
         .union(alone)
         .select(
             "id",
@@ -175,13 +187,15 @@ def near_documents(
             "n_links",
             named("component_id").alias("component_id"),
             (F.col("id") == F.col("component_id")).alias("kept"),
+            F.col("mark").alias("row_mark"),
+            F.col("group").alias("row_group"),
         )
         .withColumnRenamed("name", id_column)
         .withColumnRenamed("id", "row_id")
     )
 
 
-_SUMMARY = "id bigint, digest binary, size bigint, sketch binary"
+_SUMMARY = "id bigint, mark bigint, digest binary, size bigint, sketch binary"
 
 
 def _summaries(shingle: int):
@@ -199,11 +213,12 @@ def _summaries(shingle: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
+                        batch.column(2),
                         pa.array(digests, pa.binary()),
                         pa.array(np.diff(bounds)),
                         pa.array([s.tobytes() for s in sketches], pa.binary()),
                     ],
-                    ["id", "digest", "size", "sketch"],
+                    ["id", "mark", "digest", "size", "sketch"],
                 )
 
     return run

@@ -160,7 +160,7 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
-    return chosen_path.near_documents(docs).drop("row_id")
+    return chosen_path.near_documents(docs).drop("row_id", "row_mark", "row_group")
 
 
 @query

@@ -51,6 +51,30 @@ def test_stages_keep_columns_and_decisions(spark, docs):
     assert ids == {i for (i,) in collected(now, "doc_id")}
 
 
+def test_near_copies_with_one_id(spark):
+    r = random.Random(8)
+    text, other, third = prose(r, 200), prose(r, 200), prose(r, 200)
+    rows = [
+        # a page crawled twice, and a third version with an id of its own
+        (1, text),
+        (1, text + " changed"),
+        (2, text + " again"),
+        # one row with this id is a near copy of 1, the others are not linked with it
+        (3, "see " + text),
+        (3, other),
+        (3, third),
+        (3, third),
+        (4, ""),
+        (4, None),
+    ]
+    out = corpus_pipeline.drop_near_copies(spark, frame(spark, rows), "unused")
+    found = Counter(collected(out, "doc_id", "text"))
+    assert sum(n for (i, _), n in found.items() if i == 1) == 1
+    assert found.keys() <= set(rows)
+    rest = {(i, t): n for (i, t), n in found.items() if i != 1}
+    assert rest == {(3, other): 1, (3, third): 1, (4, ""): 1, (4, None): 1}
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     size = out.groupBy("sequence_id").agg(F.sum("length").alias("n"))
