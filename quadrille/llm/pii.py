@@ -99,7 +99,8 @@ _GENERATORS = (
     ("phone", _DIGIT, re.compile(r"(?<![0-9])00[1-9][0-9]{7,13}(?![0-9])")),
     ("iban", _DIGIT, re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])")),
     ("ipv6", re.compile(r"(?:[0-9A-Fa-f]{1,4}:){5}"), re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){5,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")),
-    ("secret", _DIGIT, re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,128}(?![A-Za-z0-9+/_=-])")),
+    ("ipv6", re.compile("::"), re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:])")),
+    ("secret", re.compile("[A-Za-z0-9+/_=-]{16}"), re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}+")),
     ("ssn", _DIGIT, re.compile(r"(?<![0-9-])[0-9]{3}[ -][0-9]{2}[ -][0-9]{4}(?![0-9-])")),
 )
 
@@ -164,21 +165,41 @@ def candidates(text: str, known: list[Span]) -> list[Span]:
             continue
         for m in pattern.finditer(text):
             a, b = m.span()
-            if kind == "secret" and not _mixed(m.group()):
+            if kind == "secret" and not _keylike(text, a, b):
+                continue
+            if kind == "ipv6" and not _address(m.group()):
                 continue
             if all(b <= c or d <= a for _, c, d in known):
                 found.append((kind, a, b))
     return found
 
 
-def _mixed(body: str) -> bool:
-    """Digits and letters in turn, as a random key has them."""
-    return bool(_DIGIT.search(body)) and any(c.isalpha() for c in body)
+_RISE = re.compile("[a-z][A-Z]")
+_ASSIGNED = re.compile(r"(?:key|token|secret|passw\w*|pwd|credentials?)\W{0,2}\s?[=:]\s?[\"']?\Z", re.I)
+
+
+def _keylike(text: str, start: int, end: int) -> bool:
+    """Letters with digits or capitals in turn, or any that are assigned to a key."""
+    body = text[start:end]
+    if not any(c.isalpha() for c in body):
+        return False
+    if _DIGIT.search(body) or len(_RISE.findall(body)) >= 3:
+        return True
+    return bool(_ASSIGNED.search(text[max(0, start - CONTEXT_WIDTH) : start]))
+
+
+def _address(body: str) -> bool:
+    """Whether an address has at most eight groups, or seven where some are left out."""
+    groups = len(body.replace("::", ":").strip(":").split(":"))
+    return 1 <= groups <= (7 if "::" in body else 8) and body != "::"
 
 
 # --- training ---------------------------------------------------------------------
 
 
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
 def _examples(count: int, seed: int) -> list[tuple[str, Span, int]]:
     """Texts with one marked span each, and whether it is personal data."""
     r = random.Random(seed)
@@ -215,6 +236,28 @@ def _examples(count: int, seed: int) -> list[tuple[str, Span, int]]:
         letters = r.choice([letters, letters + "abcdefghijklmnopqrstuvwxyz0123456789"])
         return "".join(r.choices(letters, k=r.choice([20, 24, 32, 40, 64]))) + "a1"
 
+    def long_key() -> str:
+        letters = r.choice(["0123456789abcdef", _LETTERS + "0123456789", _LETTERS])
+        least = 20 if letters == _LETTERS else 129
+        return "".join(r.choices(letters, k=r.choice([least, 160, 200, 256, 512])))
+
+    def camel() -> str:
+        return word() + "".join(word().capitalize() for _ in range(r.randint(4, 7)))
+
+    def short_ipv6() -> str:
+        def groups(low: int, high: int) -> list[str]:
+            n = r.randint(low, high)
+            return [f"{r.getrandbits(r.choice([4, 16])):x}" for _ in range(n)]
+
+        head = r.choice(["2001:db8", "2a00:1450", "fe80", "fd00", "2606:4700", ""])
+        more = groups(0, 2) if head else []
+        tail = groups(0 if head else 1, 4)
+        return ":".join([head, *more] if head else []) + "::" + ":".join(tail)
+
+    def scope() -> str:
+        names = ["add", "fade", "dead", "beef", "abc", "cafe", "ace", "bad", "face", "fed"]
+        return r.choice(["", r.choice(names)]) + "::" + r.choice(names)
+
     def local() -> str:
         parts = [number(r.choice([3, 4])), number(3), number(r.choice([4, 5]))]
         return r.choice([f"({parts[0]}) {parts[1]}-{parts[2]}", "-".join(parts), " ".join(parts)])
@@ -237,6 +280,11 @@ def _examples(count: int, seed: int) -> list[tuple[str, Span, int]]:
         (0, "email", word(), lambda: f"{word()} (at) {word()}. {word()}"),
         (1, "ipv6", "from|address|" + word(), lambda: ":".join(key()[:4] for _ in range(8))),
         (0, "ipv6", word(), lambda: ":".join(number(2) for _ in range(6))),
+        (1, "ipv6", "from|address|host|" + word(), short_ipv6),
+        (0, "ipv6", "call|class|" + word(), scope),
+        (1, "secret", "token =|api key:|password =|secret:", long_key),
+        (0, "secret", "commit|file|http://x.org/|" + word(), long_key),
+        (0, "secret", "call|" + word(), camel),
     )
     out = []
     for i in range(count):
@@ -250,8 +298,8 @@ def _examples(count: int, seed: int) -> list[tuple[str, Span, int]]:
     return out
 
 
-#: Examples for the trees, and as many again for the thresholds.
-EXAMPLES = 6800
+#: Examples for the trees, and as many again for the thresholds; 400 of each template.
+EXAMPLES = 8800
 #: Share of the selected spans that must be right among the examples of a kind.
 PRECISION = 0.98
 

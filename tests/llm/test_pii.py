@@ -76,6 +76,29 @@ def test_documents(spark):
     assert listed[4] == ""
 
 
+def test_short_addresses_and_long_keys():
+    r = random.Random(3)
+    letters = "".join(r.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=40))
+    personal = [
+        ("ipv6", "from ", "2001:db8::1"),
+        ("ipv6", "address ", "fe80::1ff:fe23:4567:890a"),
+        ("ipv6", "address ", "2001:db8:85a3::8a2e:370:7334"),
+        ("secret", "the token = ", "".join(r.choices("0123456789abcdef", k=200))),
+        ("secret", "the api key: ", "".join(r.choices("0123456789abcdef", k=129))),
+        ("secret", "the secret: ", letters),
+    ]
+    model, thresholds = pii.trained()
+    for kind, lead, body in personal:
+        text = f"we saw {lead}{body} and more"
+        at = 7 + len(lead)
+        span = (kind, at, at + len(body))
+        assert span in pii.candidates(text, []), body
+        assert pii.extra_spans(text, [], model, thresholds) == [span], body
+    for text in ["call std::vector and add::face", "a :: b", "12::", "::", "x" * 9000, "-" * 400]:
+        assert pii.extra_spans(text, [], model, thresholds) == [], text
+    assert not pii.candidates("1:2:3:4:5:6:7::8:9 1::2::3", [])
+
+
 def test_trees_on_held_out_examples():
     model, thresholds = pii.trained()
     rows = pii._examples(3400, 99)
