@@ -22,6 +22,12 @@ from .common import stored, words_of
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
+#: Characters that end a sentence or a line of speech: those of Latin texts, danda, Arabic,
+#: Chinese and Japanese, Ethiopic, Armenian, Burmese, Khmer and Tibetan ones.
+SENTENCE_ENDS = (
+    '.!?:"»”' "\u0964\u0965" "\u061f\u06d4" "\u3002\uff61\uff0e\uff01\uff1f\uff1a\u300d\u300f"
+    "\u1362\u1367\u0589\u104a\u104b\u17d4\u0f0d"
+)
 
 
 @dataclass(frozen=True)
@@ -69,8 +75,9 @@ def text_features(text: str, words: str) -> dict[str, Column]:
         lambda line: F.translate(line, " \t\x0b\f\r", "") != F.lit(""),
     )
     # a line end after a sentence end, or the end of the text
-    ended = F.regexp_count(whole, F.lit(r'[.!?:"»”][ \t\x0B\f\r]*(\n|\z)'))
-    unlettered = F.regexp_replace(whole, r"\p{L}+", "")
+    ended = F.regexp_count(whole, F.lit(rf"[{SENTENCE_ENDS}][ \t\x0B\f\r]*(\n|\z)"))
+    # vowel signs and other marks belong to the letters before them
+    unlettered = F.regexp_replace(whole, r"[\p{L}\p{M}]+", "")
     capitals = F.length(whole) - F.length(F.regexp_replace(whole, r"\p{Lu}+", ""))
     return {
         "n_words": F.size(split).cast("bigint"),

@@ -50,6 +50,29 @@ def test_counts(spark):
     assert not any(kept for *_, failed, kept in found if failed)
 
 
+def test_texts_in_other_scripts(spark):
+    """Vowel signs are letters, and sentences end with the signs of their script."""
+    import random
+
+    def text(letters, signs, end):
+        r = random.Random(9)
+
+        def word():
+            return "".join(r.choice(letters) + r.choice(signs) for _ in range(r.randint(2, 4)))
+
+        return "\n".join(" ".join(word() for _ in range(12)) + end for _ in range(12))
+
+    rows = [
+        (1, text("कखगघचजटडतदनपबमयरलवसह", ["ा", "ि", "ी", "ु", "े", "ो", "्", ""], "।")),
+        (2, text("ابتثجحدرسشعفقكلمنهوي", ["َ", "ُ", "ِ", ""], "؟")),
+        (3, text("我们他的是在有这中大来上国", [""], "。")),
+    ]
+    out = quality.judge_quality(frame(spark, rows))
+    names = ("doc_id", "vote_letters", "vote_sentence_ends", "n_ended_lines", "kept")
+    for _, letters, ends, ended, kept in collected(out, *names):
+        assert (letters, ends, ended, kept) == (1, 1, 12, True)
+
+
 def test_carried_rows(spark):
     docs = frame(spark, awkward())
     out = quality.judge_quality(docs, carry=docs.columns)
