@@ -17,6 +17,7 @@ from . import (
     pii,
     quality,
     resampling,
+    secret_scan,
     shards,
     substrings,
 )
@@ -96,6 +97,36 @@ links AS (
 {_LINKED.format(id="vec_id")}"""
 
 
+def _matches(number: int, rule: secret_scan.Rule) -> str:
+    """Spans of a rule as SQL: a match starts after the gaps and matches before it."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {number} AS number, '{rule.kind}' AS kind, a, a + length(m) AS b
+  FROM (SELECT doc_id, unnest(ms) AS m, unnest(list_transform(range(1, len(ms) + 1), lambda i:
+          list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform(ms[1:i-1], lambda g: length(g))), 0))) AS a
+        FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms,
+                     regexp_split_to_array(text, '{pattern}') AS gaps
+              FROM documents WHERE regexp_matches(text, '{pattern}')))
+  WHERE length(regexp_extract(m, '{pattern}', {rule.group})) >= {rule.least}"""
+
+
+ORACLES["op13_secrets"] = f"""
+WITH found AS ({" UNION ALL ".join(_matches(*r) for r in enumerate(secret_scan.RULES))}),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+         count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(concat_ws(':', kind, a, b), ',' ORDER BY a, number)
+           FILTER (number < {len(secret_scan.BASE_RULES)}) AS base,
+         string_agg(concat_ws(':', kind, a, b), ',' ORDER BY a, number) AS spans, count(*) AS n
+  FROM found GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n, 0) AS n_spans
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -184,3 +215,9 @@ def op3_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         good & (F.col("toxic") == 0),
         share=resampling.share_of(labels, good, None),
     )
+
+
+@query
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
