@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    bag_search,
     bpe,
     chosen_path,
     lattice,
@@ -126,6 +127,29 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN listed USING (doc_id)
 """
 
+_TERMS = f"""regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{bag_search.TERM}')"""
+
+ORACLES["op12_search"] = f"""
+WITH terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, cast(sum(n) AS bigint) AS terms FROM lengths),
+weights AS (
+  SELECT term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS bigint) AS w
+  FROM tf, total GROUP BY term, docs),
+asked AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, cast(sum(
+    w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS bigint) AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), total
+  GROUP BY ALL)
+SELECT item_id, doc_id, score,
+       cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS int) AS rank
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -221,3 +245,11 @@ def op3_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every item."""
+    return bag_search.rank_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )

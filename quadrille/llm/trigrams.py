@@ -199,6 +199,20 @@ _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
 
 
+_STEP = 4 << 20
+
+
+def _keys(raw: np.ndarray, first: int, ends: np.ndarray, wanted) -> np.ndarray:
+    """Distinct numbers ``trigram << 32 | text`` of the bytes from ``first`` on."""
+    code = _FOLD[raw]
+    code = (code[:-2] << 16) | (code[1:-1] << 8) | code[2:]
+    at = np.arange(len(code)) if wanted is None else np.nonzero(wanted[code])[0]
+    text = np.searchsorted(ends, at + first, side="right")
+    # three bytes that reach into the next text are none of either
+    inside = at + first + 2 < ends[text] if len(at) else np.empty(0, bool)
+    return np.unique((code[at[inside]].astype(np.int64) << 32) | text[inside])
+
+
 class Segment:
     """Inverted index of a batch of texts: trigram to the sorted places of its texts.
 
@@ -211,14 +225,10 @@ class Segment:
         first, last = int(offsets[0]), int(offsets[-1])
         data = texts.buffers()[2]
         raw = np.frombuffer(data, np.uint8)[first:last] if last > first else b""
-        code = _FOLD[np.frombuffer(raw, np.uint8)]
-        code = (code[:-2] << 16) | (code[1:-1] << 8) | code[2:]
-        at = np.arange(len(code)) if wanted is None else np.nonzero(wanted[code])[0]
         ends = offsets[1:] - first
-        text = np.searchsorted(ends, at, side="right")
-        # three bytes that reach into the next text are none of either
-        inside = at + 2 < ends[text] if len(at) else np.empty(0, bool)
-        key = np.unique((code[at[inside]].astype(np.int64) << 32) | text[inside])
+        # a long text comes in steps, which bounds the memory of each
+        steps = [_keys(raw[k : k + _STEP + 2], k, ends, wanted) for k in range(0, len(raw), _STEP)]
+        key = np.unique(np.concatenate([np.empty(0, np.int64), *steps]))
         self.text = key & 0xFFFFFFFF
         self.trigrams, self.start = np.unique(key >> 32, return_index=True)
         self.end = np.append(self.start, len(key))[1:]

@@ -135,8 +135,10 @@ def test_no_match_is_outside_the_candidates(pieces, texts):
         assert matching <= candidates
 
 
-def test_candidates_are_those_of_the_query():
+@pytest.mark.parametrize("step", [5, 1 << 22])
+def test_candidates_are_those_of_the_query(monkeypatch, step):
     """Postings against the trigrams of each text by itself."""
+    monkeypatch.setattr(trigrams, "_STEP", step)
     texts = [t or "" for _, t in planted(3)]
     segment = trigrams.Segment(pa.array(texts))
 
