@@ -45,13 +45,15 @@ def named(column: str) -> Column:
     return F.when(F.col(column) >= F.lit(-(1 << 62)), F.col(column))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, group_bytes: int = 128 << 20) -> DataFrame:
     """The rows written to the shared folder and read again, which cuts the lineage.
 
-    Later jobs then see one fixed set of rows, also after executors were lost.
+    Later jobs then see one fixed set of rows, also after executors were lost.  Rows of
+    some megabytes want row groups of fewer bytes.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    write = df.write.option("compression", "zstd").option("parquet.block.size", group_bytes)
+    write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -12,6 +12,7 @@ from . import (
     bag_search,
     bpe,
     chosen_path,
+    cover_codes,
     lattice,
     packing,
     pages,
@@ -151,6 +152,56 @@ FROM scores WHERE score > 0 QUALIFY rank <= 10
 """
 
 
+def _assigned(books: str) -> str:
+    """Nearest entry of every part, as SQL."""
+    return f"""
+  SELECT vec_id, part, x, entry, d FROM (
+    SELECT vec_id, part, p.x, entry, list_sum(list_transform(list_zip(p.x, b.x),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts p JOIN {books} b USING (part))
+  QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1"""
+
+
+def _moved(books: str, assigned: str) -> str:
+    """Codebooks after a round, as SQL."""
+    return f"""
+  SELECT part, entry, coalesce(m.x, b.x) AS x FROM {books} b LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY place) AS x FROM (
+      SELECT part, entry, place, cast(floor(sum(x[place]) / count(*)) AS bigint) AS mean
+      FROM (SELECT *, unnest(range(1, len(x) + 1)) AS place FROM {assigned}) GROUP BY ALL)
+    GROUP BY part, entry) m USING (part, entry)"""
+
+
+ORACLES["op11_codes"] = f"""
+WITH vectors AS MATERIALIZED (
+  SELECT vec_id, label,
+         list_transform(embedding, lambda x: cast(floor(256 * x) AS bigint)) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding,
+    lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS x
+  FROM vectors, (SELECT unnest(range(16)) AS part)),
+books0 AS MATERIALIZED (
+  SELECT part, entry, x FROM parts JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM vectors
+    QUALIFY entry < 64) USING (vec_id)),
+codes0 AS MATERIALIZED ({_assigned("books0")}),
+books1 AS MATERIALIZED ({_moved("books0", "codes0")}),
+codes1 AS MATERIALIZED ({_assigned("books1")}),
+books2 AS MATERIALIZED ({_moved("books1", "codes1")}),
+codes2 AS MATERIALIZED ({_assigned("books2")}),
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+         cast(sum(d) AS bigint) AS error
+  FROM codes2 GROUP BY vec_id)
+SELECT vec_id, code, error,
+       cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry))
+        FROM books2) AS codebooks_sha256
+FROM coded JOIN vectors USING (vec_id)
+"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -253,3 +304,9 @@ def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_search.rank_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and errors of every vector."""
+    return cover_codes.compress(table(spark, sf_dir, "embeddings"))
