@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .geometry import geometry, kind, let, make_point, parts, point_struct, points
+from .geometry import geometry, kind, let, make_point, point_struct, points
 
 # Zoom 17 tiles are about 300 m wide at the equator.
 DEFAULT_ZOOM = 17
@@ -121,158 +121,256 @@ def cells_of_points(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
     return F.sort_array(F.array_compact(F.array_distinct(cells)))
 
 
-def cells_of_line(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
-    """Sorted distinct cell ids along a line: every vertex and the path between them.
+# Runs are the form in which covers of lines and polygons are made and carried from task
+# to task: ``array<struct<row, first, last>>``, stretches of tiles in one row of the grid.
+# They are sorted, do not overlap, and are few compared with their cells.
+#
+# The expressions are long, so they are written as SQL text, which the parser takes at
+# once; building them from columns would cost a call to the JVM for each operator.
 
-    Each segment is sampled once per tile along its longer axis, which gives a chain of
-    neighbouring cells.  A cell that is only clipped at a corner may be left out.
-    """
 
-    def place(p: Column) -> Column:
-        return F.struct(
-            tile_column(p["x"], zoom).alias("x"), tile_row(p["y"], zoom).alias("y")
-        )
+def _let_sql(name: str, value: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-    def key(x: Column, y: Column) -> Column:
-        return quadkey(_whole_tile(x, zoom), _whole_tile(y, zoom), zoom)
 
-    def segment(a: Column, b: Column) -> Column:
-        steps = F.greatest(
-            F.abs(F.floor(b["x"]) - F.floor(a["x"])),
-            F.abs(F.floor(b["y"]) - F.floor(a["y"])),
-            F.lit(1).cast("bigint"),
-        )
-        return let(
-            steps,
-            lambda n: F.transform(
-                F.sequence(F.lit(0).cast("bigint"), n - 1),
-                lambda i: key(
-                    a["x"] + (b["x"] - a["x"]) * i / n,
-                    a["y"] + (b["y"] - a["y"]) * i / n,
-                ),
-            ),
-        )
+def _column_sql(lon: str, side: int) -> str:
+    return f"(({lon} + 180D) / 360D * {side}D)"
 
-    def along(path: Column) -> Column:
-        count = F.greatest(F.size(path) - 1, F.lit(0))
-        between = F.zip_with(
-            F.slice(path, F.lit(1), count), F.slice(path, F.lit(2), count), segment
-        )
-        return F.concat(
-            F.flatten(between), F.transform(path, lambda p: key(p["x"], p["y"]))
-        )
 
-    placed = F.transform(parts(geom), lambda path: F.transform(path, place))
-    cells = F.flatten(F.transform(placed, lambda path: let(path, along)))
-    return F.sort_array(F.array_distinct(cells))
+def _row_sql(lat: str, side: int) -> str:
+    rad = f"radians(least(greatest({lat}, -{_LATITUDE_LIMIT}D), {_LATITUDE_LIMIT}D))"
+    return f"((1D - ln(tan({rad}) + 1D / cos({rad})) / pi()) / 2D * {side}D)"
 
 
-def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
-    """Runs of cells whose centre lies in a polygon: ``array<struct<row, first, last>>``.
+def _run_sql(row: str, first: str, last: str) -> str:
+    return f"struct({row} AS row, {first} AS first, {last} AS last)"
+
+
+def _of_geometry(geom: Column, body: str) -> Column:
+    """The value of an SQL expression over the geometry ``g``."""
+    # wrapped once, so that the geometry is evaluated once
+    found = F.call_function("transform", F.array(geom), F.expr(f"g -> {body}"))
+    return F.when(geom.isNotNull(), F.get(found, F.lit(0)))
+
+
+def line_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
+    """Runs of the cells that a line touches: every cell some point of it lies in.
+
+    Segments are straight on the projected map and go the shorter way round the globe, so
+    a line may cross the antimeridian, with longitudes that jump there or with ones that
+    go on beyond 180.  A segment is followed from border to border of the rows it crosses,
+    and what it touches between two borders is one run; the work grows with the rows.
+    Vertices without finite coordinates are left out.
+    """
+    side = _tiles_per_side(zoom)
 
-    A run is a stretch of tiles in one row of the grid.  Runs are sorted and do not
-    overlap.  A large polygon has few runs compared with its cells, so they are the form
-    in which to carry it from task to task.
+    def row_of(y: str) -> str:
+        return f"least(greatest(floor({y}), 0L), {side - 1}L)"
+
+    def at(border: str) -> str:
+        return f"e.x0 + (e.x1 - e.x0) * ({border} - e.y0) / (e.y1 - e.y0)"
+
+    # the lower border of a row belongs to the next one
+    of_row = _let_sql(
+        "s",
+        f"struct(if(r = e.top, e.x0, {at('r')}) AS x0,"
+        f" if(r = e.bottom, e.x1, {at('(r + 1)')}) AS x1)",
+        _run_sql(
+            "r",
+            "floor(least(s.x0, s.x1))",
+            "greatest(floor(s.x0), if(r = e.bottom, floor(s.x1), ceil(s.x1) - 1))",
+        ),
+    )
+    segment = _let_sql(
+        "far",
+        _shorter_way_sql("a.x", "b.x", side),
+        _let_sql(
+            "e",
+            "struct(if(a.y <= b.y, a.x, far) AS x0, least(a.y, b.y) AS y0,"
+            " if(a.y <= b.y, far, a.x) AS x1, greatest(a.y, b.y) AS y1,"
+            f" {row_of('least(a.y, b.y)')} AS top, {row_of('greatest(a.y, b.y)')} AS bottom)",
+            f"transform(sequence(e.top, e.bottom), r -> {of_row})",
+        ),
+    )
+    # a single vertex is a segment of its own
+    begins = "slice(path, 1, greatest(size(path) - 1, least(size(path), 1)))"
+    goes_on = "if(size(path) = 1, path, slice(path, 2, size(path)))"
+    along = f"flatten(zip_with({begins}, {goes_on}, (a, b) -> {segment}))"
+    finite = "abs(p.x) < double('infinity') AND abs(p.y) < double('infinity')"
+    placed = f"""transform(filter(path, p -> {finite}),
+        p -> struct({_column_sql("p.x", side)} AS x, {_row_sql("p.y", side)} AS y))"""
+    paths = f"transform(flatten(g.polys), path -> {placed})"
+    found = f"flatten(transform({paths}, path -> {along}))"
+    wrapped = _let_sql("runs", found, _wrapped_sql(side))
+    return _of_geometry(geom, _let_sql("runs", wrapped, _UNITED))
+
+
+def _shorter_way_sql(x: str, other: str, turn: int) -> str:
+    """``other`` moved by whole turns to within half a turn of ``x``.
+
+    What is whole turns away stays, as a line once round the globe is meant as one.
+    """
+    gap = f"({other} - {x})"
+    turns = f"round({gap} / {turn}D) * {turn}D"
+    return f"if(abs({gap}) <= {turn / 2}D OR {gap} = {turns}, {other}, {other} - {turns})"
+
+
+def _wrapped_sql(side: int) -> str:
+    """``runs`` whose columns count on beyond the last one, brought into the grid."""
+    last = f"{side - 1}L"
+    near = _run_sql("r.row", "f", f"least(f + r.last - r.first, {last})")
+    over = _run_sql("r.row", "0L", f"f + r.last - r.first - {side}L")
+    inside = _let_sql(
+        "f",
+        f"pmod(r.first, {side}L)",
+        f"""CASE WHEN r.last - r.first >= {last} THEN array({_run_sql("r.row", "0L", last)})
+                 WHEN f + r.last - r.first <= {last} THEN array({near})
+                 ELSE array({near}, {over}) END""",
+    )
+    outside = f"exists(runs, r -> r.first < 0 OR r.last > {last})"
+    return f"if({outside}, flatten(transform(runs, r -> {inside})), runs)"
+
+
+#: ``runs`` sorted, and merged where they overlap or touch.  A sweep: starts and ends are
+#: sorted by themselves, and a gap lies where the n-th end comes before the next start.
+#: Apart from sorting, the work is linear.  A place in the grid is one number, row first.
+_UNITED = _let_sql(
+    "w",
+    """struct(sort_array(transform(runs, r -> shiftleft(r.row, 32) + r.first)) AS s,
+              sort_array(transform(runs, r -> shiftleft(r.row, 32) + r.last + 1)) AS e)""",
+    """zip_with(filter(w.s, (p, i) -> i = 0 OR get(w.e, i - 1) < p),
+                filter(w.e, (p, i) -> i = size(w.e) - 1 OR p < get(w.s, i + 1)),
+                (p, q) -> struct(shiftright(p, 32) AS row, p & 4294967295L AS first,
+                                 (q - 1) & 4294967295L AS last))""",
+)
+
+
+def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
+    """Runs of the cells whose centre lies in a polygon.
 
     Works by rows of tiles: every edge gives its crossings with the centre lines of the
     rows it spans; between each odd and the following even crossing of a row lie the
     cells inside (even-odd rule).  The work grows with the outline and the runs, not with
     the bounding box, and no candidate cell is ever tested and thrown away.
+
+    Edges go the shorter way round the globe, so a polygon may cross the antimeridian,
+    with longitudes that jump there or with ones that go on beyond 180.  A ring that goes
+    round the globe covers the nearer pole.  A polygon with a ring that is 360 degrees
+    wide, or wider, is taken as it is written and cut off at the antimeridian.
     """
     side = _tiles_per_side(zoom)
-    last = F.lit(side - 1).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-    half = F.lit(0.5)
-
-    def crossings(a: Column, b: Column) -> Column:
-        north = tile_row(F.greatest(a["y"], b["y"]), zoom)
-        south = tile_row(F.least(a["y"], b["y"]), zoom)
-        span = F.struct(
-            F.greatest(F.floor(north - half) + 1, zero).alias("first"),
-            F.least(F.floor(south - half), last).alias("last"),
-        )
-
-        def at(row: Column) -> Column:
-            lat = tile_edge_lat(row + half, F.lit(float(side)))
-            lon = a["x"] + (lat - a["y"]) * (b["x"] - a["x"]) / (b["y"] - a["y"])
-            return F.struct(row.alias("row"), tile_column(lon, zoom).alias("x"))
+    last = f"{side - 1}L"
+    north, south = (
+        _row_sql(f"{pick}(a.y, b.y)", side) for pick in ("greatest", "least")
+    )
+    first_row = f"greatest(floor({north} - 0.5D) + 1, 0L)"
 
+    def crossings(far: str) -> str:
+        """Where the edge from ``a`` to ``b``, whose longitude is ``far``, meets rows."""
+        lat = f"degrees(atan(sinh(pi() * (1D - 2D * (r + 0.5D) / {side}D))))"
+        lon = f"(a.x + ({lat} - a.y) * ({far} - a.x) / (b.y - a.y))"
         # an edge between two centre lines (or a level one) spans no row
-        return let(
-            span,
-            lambda s: F.when(
-                s["first"] <= s["last"],
-                F.transform(F.sequence(s["first"], s["last"]), at),
-            ).otherwise(F.array().cast("array<struct<row:bigint,x:double>>")),
-        )
-
-    def ring_crossings(ring: Column) -> Column:
-        # joining the last point to the first closes an open ring and is
-        # without effect on a closed one
-        following = F.concat(
-            F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, F.lit(1), F.lit(1))
-        )
-        return F.flatten(F.zip_with(ring, following, crossings))
-
-    def runs(ordered: Column) -> Column:
-        entering = F.filter(ordered, lambda _, i: i % 2 == 0)
-        leaving = F.filter(ordered, lambda _, i: i % 2 == 1)
-        pairs = F.zip_with(
-            entering,
-            leaving,
-            lambda a, b: F.struct(
-                a["row"].alias("row"),
-                F.greatest(F.ceil(a["x"] - half), zero).alias("first"),
-                F.least(F.ceil(b["x"] - half) - 1, last).alias("last"),
-            ),
+        return _let_sql(
+            "s",
+            f"struct({first_row} AS first, least(floor({south} - 0.5D), {last}) AS last)",
+            f"""if(s.first <= s.last,
+                   transform(sequence(s.first, s.last),
+                             r -> struct(r AS row, {_column_sql(lon, side)} AS x)),
+                   cast(array() AS array<struct<row:bigint,x:double>>))""",
         )
-        return F.filter(pairs, lambda r: r["first"] <= r["last"])
-
-    def of_polygon(poly: Column) -> Column:
-        return let(F.array_sort(F.flatten(F.transform(poly, ring_crossings))), runs)
 
-    found = F.flatten(F.transform(geom["polys"], of_polygon))
-    # the runs of one polygon are in order already
-    return F.when(kind(geom) == "MultiPolygon", _united(F.array_sort(found))).otherwise(
-        found
+    def each_edge(edge: str) -> str:
+        # joining the last point to the first closes an open ring and is without effect
+        # on a closed one
+        following = "concat(slice(ring, 2, size(ring)), slice(ring, 1, 1))"
+        return f"""flatten(transform(poly, ring -> zip_with(ring, {following},
+                                                            (a, b) -> {edge})))"""
+
+    # an edge on a grid without ends, and the first row south of where it meets the seam;
+    # the same numbers decide the side of a crossing and that row
+    lap = f"floor(c.x / {side}D)"
+    ends = [_column_sql(f"if(a.y >= b.y, {x})", side) for x in ("a.x, far", "far, a.x")]
+    around = _let_sql(
+        "far",
+        _shorter_way_sql("a.x", "b.x", 360),
+        _let_sql(
+            "m",
+            f"struct({crossings('far')} AS met, floor({ends[0]} / {side}D) AS north,"
+            f" floor({ends[1]} / {side}D) AS south, least({first_row}, {side}L) AS first)",
+            f"""struct(
+                transform(m.met, c -> struct(c.row AS row, c.x - {lap} * {side}D AS x)) AS met,
+                if(m.north = m.south, cast(array() AS array<bigint>),
+                   array(m.first + size(filter(m.met, c -> {lap} = m.north)))) AS seam)""",
+        ),
     )
+    # a point of the seam is inside if an odd number of edges meet the seam north of it;
+    # an odd number in all means that the ring goes round the globe
+    pole = f"if(aggregate(flatten(poly).y, 0D, (t, y) -> t + y) > 0, 0L, {side}L)"
+    starts = _let_sql(
+        "found",
+        "flatten(edges.seam)",
+        f"sort_array(if(size(found) % 2 = 1, concat(found, array({pole})), found))",
+    )
+    rows = """flatten(zip_with(filter(starts, (v, i) -> i % 2 = 0),
+                               filter(starts, (v, i) -> i % 2 = 1),
+        (v, w) -> if(v < w, sequence(v, w - 1), cast(array() AS array<bigint>))))"""
+    borders = f"array(struct(r AS row, 0D AS x), struct(r AS row, {side}D AS x))"
+    toggles = _let_sql(
+        "edges",
+        each_edge(around),
+        "concat(flatten(edges.met), "
+        + _let_sql("starts", starts, f"flatten(transform({rows}, r -> {borders}))")
+        + ")",
+    )
+    # nothing to do for rings inside the globe whose edges are no longer than half a turn
+    following = "concat(slice(ring, 2, size(ring)), slice(ring, 1, 1))"
+    gaps = f"zip_with(ring, {following}, (a, b) -> abs(b.x - a.x))"
+    width = "(array_max(ring.x) - array_min(ring.x))"
+    goes_around = f"""NOT exists(poly, ring -> {width} >= 360D)
+        AND exists(poly, ring -> array_min(ring.x) < -180D OR array_max(ring.x) > 180D
+            OR ({width} > 180D AND exists({gaps}, gap -> gap > 180D)))"""
+    as_written = f"flatten({each_edge(crossings('b.x'))})"
+    pair = _run_sql(
+        "v.row",
+        "greatest(ceil(v.x - 0.5D), 0L)",
+        f"least(ceil(w.x - 0.5D) - 1, {last})",
+    )
+    of_polygon = _let_sql(
+        "c",
+        f"sort_array(if({goes_around}, {toggles}, {as_written}))",
+        f"""filter(zip_with(filter(c, (v, i) -> i % 2 = 0), filter(c, (v, i) -> i % 2 = 1),
+                            (v, w) -> {pair}), r -> r.first <= r.last)""",
+    )
+    found = f"flatten(transform(g.polys, poly -> {of_polygon}))"
+    # the runs of one polygon are in order and apart already
+    united = f"if(g.type = 'MultiPolygon', {_UNITED}, runs)"
+    return _of_geometry(geom, _let_sql("runs", found, united))
 
 
-def _united(runs: Column) -> Column:
-    """Merge overlapping runs; the members of a valid multipolygon have none."""
-
-    def overlapping(found: Column) -> Column:
-        following = F.slice(found, F.lit(2), F.size(found))
-        return F.exists(
-            F.arrays_zip(found.alias("a"), following.alias("b")),
-            lambda p: (p["a"]["row"] == p["b"]["row"])
-            & (p["b"]["first"] <= p["a"]["last"]),
-        )
+def cell_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
+    """Runs of lines and polygons; null for points and for null."""
+    return F.when(
+        kind(geom).isin("LineString", "MultiLineString"), line_runs(geom, zoom)
+    ).when(kind(geom).isin("Polygon", "MultiPolygon"), polygon_runs(geom, zoom))
 
-    def merge(done: Column, run: Column) -> Column:
-        open_run = F.element_at(done, -1)
-        joined = F.struct(
-            run["row"].alias("row"),
-            open_run["first"].alias("first"),
-            F.greatest(open_run["last"], run["last"]).alias("last"),
-        )
-        touches = (open_run["row"] == run["row"]) & (run["first"] <= open_run["last"])
-        return F.when(
-            touches,
-            F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined)),
-        ).otherwise(F.concat(done, F.array(run)))
 
-    return let(
+def _cells_of_runs(runs: Column, zoom: int) -> Column:
+    cells = F.transform(
         runs,
-        lambda found: F.when(
-            overlapping(found),
-            F.aggregate(
-                F.slice(found, F.lit(2), F.size(found)),
-                F.slice(found, F.lit(1), F.lit(1)),
-                merge,
-            ),
-        ).otherwise(found),
+        lambda run: F.transform(
+            F.sequence(run["first"], run["last"]),
+            lambda x: quadkey(x, run["row"], zoom),
+        ),
     )
+    return F.sort_array(F.flatten(cells))
+
+
+def cells_of_line(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
+    """Sorted distinct ids of the cells that a line touches (see ``line_runs``).
+
+    The whole list is one value; ``cell_cover`` gives a row per cell.
+    """
+    return _cells_of_runs(line_runs(geom, zoom), zoom)
 
 
 def cells_of_polygon(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
@@ -281,14 +379,7 @@ def cells_of_polygon(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
     The whole list is one value.  To cover large polygons with small cells, use
     ``cell_cover``, which gives a row per cell.
     """
-    cells = F.transform(
-        polygon_runs(geom, zoom),
-        lambda run: F.transform(
-            F.sequence(run["first"], run["last"]),
-            lambda x: quadkey(x, run["row"], zoom),
-        ),
-    )
-    return F.sort_array(F.flatten(cells))
+    return _cells_of_runs(polygon_runs(geom, zoom), zoom)
 
 
 def cells_of(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.cells import (
     DEFAULT_ZOOM,
     cell_of_point,
-    cells_of,
-    polygon_runs,
+    cell_runs,
+    cells_of_points,
     quadkey,
     tile_x,
     tile_y,
@@ -52,26 +52,26 @@ def cell_cover(
 ) -> DataFrame:
     """One row per feature and cell: the attributes and ``cell``; no row for null.
 
-    Polygons are unfolded in two steps, first into stretches of cells and then into
-    cells.  The stretches are dealt to all tasks in between, so a feature that covers a
-    continent is divided, and no task ever holds all of its cells.  Lists of the other
-    kinds are as long as the line or the points they come from.
+    Lines and polygons are unfolded in two steps, first into stretches of cells and then
+    into cells.  The stretches are dealt to all tasks in between, so a feature that covers
+    a continent is divided, and no task ever holds all of its cells.  The lists of points
+    are as long as the points they come from.
     """
     geom = F.col(geometry)
     attributes = columns(c for c in df.columns if c != geometry)
-    is_area = kind(geom).isin("Polygon", "MultiPolygon")
+    is_point = kind(geom).isin("Point", "MultiPoint")
     run = "struct<row:bigint,first:bigint,last:bigint>"
     piece = F.inline(
         F.when(
-            is_area,
+            is_point,
             F.transform(
-                polygon_runs(geom, zoom),
-                lambda r: F.struct(r.alias("run"), F.lit(None).cast("string").alias("id")),
+                cells_of_points(geom, zoom),
+                lambda c: F.struct(F.lit(None).cast(run).alias("run"), c.alias("id")),
             ),
         ).otherwise(
             F.transform(
-                cells_of(geom, zoom),
-                lambda c: F.struct(F.lit(None).cast(run).alias("run"), c.alias("id")),
+                cell_runs(geom, zoom),
+                lambda r: F.struct(r.alias("run"), F.lit(None).cast("string").alias("id")),
             )
         )
     )

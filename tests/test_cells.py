@@ -3,7 +3,9 @@
 import json
 import math
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from shapes import EXAMPLES, frame
@@ -61,20 +63,60 @@ def polygon_cells(polys, zoom):
     return sorted(found)
 
 
+def unwrapped(ring):
+    """Longitudes that go on where those of the ring jump from 180 to -180."""
+    out, turns = [], 0
+    for k, (x, y) in enumerate(ring):
+        if k:
+            gap = x - ring[k - 1][0]
+            turns -= round(gap / 360) if abs(gap) > 180 else 0
+        out.append((x + 360 * turns, y))
+    return out
+
+
+def polygon_cells_around(rings, zoom):
+    """Test every centre, and the same place some turns further, against each ring."""
+    found = set()
+    side = 2**zoom
+    rings = [unwrapped(ring) for ring in rings]
+    for ty in range(side):
+        lat = math.degrees(math.atan(math.sinh(math.pi * (1 - 2 * (ty + 0.5) / side))))
+        for tx in range(side):
+            lon = (tx + 0.5) / side * 360 - 180
+            hits = [inside(lon + 360 * k, lat, [r]) for r in rings for k in (-2, -1, 0, 1, 2)]
+            if sum(hits) % 2:
+                found.add(key(tx, ty, zoom))
+    return sorted(found)
+
+
 def line_cells(paths, zoom):
+    """Test every tile of the box around each segment for a stretch of the segment in it.
+
+    Columns count on where a segment crosses the antimeridian; the outer rows reach to
+    the poles.
+    """
     found = set()
+    side = 2**zoom
     for path in paths:
-        found |= {cell_at(x, y, zoom) for x, y in path}
+        found |= {cell_around(x, y, zoom) for x, y in path}
         for a, b in zip(path, path[1:]):
             (x0, y0), (x1, y1) = fraction(*a, zoom), fraction(*b, zoom)
-            n = max(
-                abs(math.floor(x1) - math.floor(x0)),
-                abs(math.floor(y1) - math.floor(y0)),
-                1,
-            )
-            for i in range(n):
-                x, y = x0 + (x1 - x0) * i / n, y0 + (y1 - y0) * i / n
-                found.add(key(x, y, zoom))
+            if abs(x1 - x0) > side / 2:
+                x1 -= side * round((x1 - x0) / side)
+            low, high = sorted((x0, x1))
+            tx = np.arange(math.floor(low), math.floor(high) + 1)[:, None]
+            low, high = (min(max(math.floor(v), 0), side - 1) for v in sorted((y0, y1)))
+            ty = np.arange(low, high + 1)[None, :]
+            north = np.where(ty == 0, -np.inf, ty)
+            south = np.where(ty == side - 1, np.inf, ty + 1)
+            enter, leave = np.zeros((1, 1)), np.ones((1, 1))
+            for start, step, near, far in ((x0, x1 - x0, tx, tx + 1), (y0, y1 - y0, north, south)):
+                if step:
+                    borders = (near - start) / step, (far - start) / step
+                    enter = np.maximum(enter, np.minimum(*borders))
+                    leave = np.minimum(leave, np.maximum(*borders))
+            for i, j in zip(*np.nonzero(enter < leave)):
+                found.add(key(int(tx[i, 0]) % side, int(ty[0, j]), zoom))
     return sorted(found)
 
 
@@ -104,7 +146,7 @@ def test_polygons_against_brute_force(spark):
         geometries.append(("Polygon", [[shell, hole]]))
     for zoom in (3, 5, 6):
         found = covers(spark, geometries, c.cells_of_polygon, zoom)
-        assert found == [polygon_cells(polys, zoom) for _, polys in geometries]
+        assert found == [polygon_cells_around(polys[0], zoom) for _, polys in geometries]
     assert any(found)
 
 
@@ -187,6 +229,154 @@ def test_lines_against_brute_force(spark):
         assert found == [*expected, [], None]
 
 
+def test_lines_across_the_antimeridian(spark):
+    lines_ = [
+        [(179.9, 0.0), (181.0, 40.0)],
+        [(179.9, 0.0), (-179.0, 40.0)],  # the same, written otherwise
+        [(-179.9, 10.0), (179.5, -30.0), (-170.0, -80.0), (170.0, 86.0)],
+        [(180.0, 5.0), (-180.0, 30.0)],  # once round the globe
+        [(150.0, 5.0), (-150.0, 5.0)],
+        [(-541.0, 20.0), (-539.0, 20.5)],
+        [(0.0, 89.9), (0.0, -90.0)],
+        [(-10.0, 95.0), (20.0, 88.0)],
+        [(12.0, float("nan")), (13.0, 14.0), (float("inf"), 3.0)],
+    ]
+    geometries = [("LineString", [[path]]) for path in lines_]
+    for zoom in (6, 8):
+        found = covers(spark, geometries, c.cells_of_line, zoom)
+        assert found[:3] == [line_cells([path], zoom) for path in lines_[:3]]
+        assert found[4:8] == [line_cells([path], zoom) for path in lines_[4:8]]
+        assert found[0] == found[1] and cell_around(181, 40, zoom) in found[0]
+        # nothing beside the path: it leaves the east at 3.6 degrees north
+        bits = [str.maketrans("0123", t) for t in ("0101", "0011")]
+        tiles = [[int(k.translate(b), 2) for b in bits] for k in found[0]]
+        assert {0, 2**zoom - 1} <= {x for x, _ in tiles} <= {0, 1, 2**zoom - 1}
+        assert all(x == 0 or y >= math.floor(fraction(0, 3.7, zoom)[1]) for x, y in tiles)
+        assert len(found[3]) >= 2**zoom
+        assert found[8] == [cell_at(13.0, 14.0, zoom)]
+
+
+def test_a_line_through_corners(spark):
+    """Through a corner of four tiles: two of them are touched, and those beside are not."""
+    side = 2**5
+    west = -180 + 360 * 20 / side
+
+    def lat(row):
+        return math.degrees(math.atan(math.sinh(math.pi * (1 - 2 * row / side))))
+
+    # half a tile before the corner to half a tile behind it, down and up
+    half = 360 / side / 2
+    down = [(west - half, lat(9.5)), (west + half, lat(10.5))]
+    along = [(west - half, lat(9.25)), (west + 3 * half, lat(9.25))]
+    found = covers(
+        spark, [("LineString", [[p]]) for p in (down, down[::-1], along)], c.cells_of_line, 5
+    )
+    assert set(found[0]) >= {key(19, 9, 5), key(20, 10, 5)} and len(found[0]) <= 3
+    assert set(found[1]) >= {key(19, 9, 5), key(20, 10, 5)} and len(found[1]) <= 3
+    assert found[2] == sorted(key(x, 9, 5) for x in (19, 20, 21))
+
+
+def test_polygons_across_the_antimeridian(spark):
+    rng = random.Random(17)
+
+    def wrapped(ring):
+        return [(x - 360 * math.floor((x + 180) / 360), y) for x, y in ring]
+
+    shells = [star(rng, (rng.choice([180, -180, 175]), rng.uniform(-60, 60)), 30, 15) for _ in range(6)]
+    holes = [star(rng, (sum(x for x, _ in s) / len(s), s[0][1]), 4, 7) for s in shells]
+    geometries = [("Polygon", [[s, h]]) for s, h in zip(shells, holes)]
+    geometries += [("Polygon", [[wrapped(s), wrapped(h)]]) for s, h in zip(shells, holes)]
+    geometries += [("Polygon", [[s, wrapped(h)]]) for s, h in zip(shells, holes)]
+    for zoom in (4, 6):
+        found = covers(spark, geometries, c.cells_of_polygon, zoom)
+        expected = [polygon_cells_around(polys[0], zoom) for _, polys in geometries[:6]]
+        assert found[:6] == found[6:12] == found[12:] == expected
+        sides = [{"west" if k[0] in "02" else "east" for k in cells} for cells in found]
+        assert sum(len(names) == 2 for names in sides) >= 6
+
+
+def test_polygons_at_the_seam(spark):
+    def box(west, east, south=-20.0, north=20.0):
+        return [(west, south), (east, south), (east, north), (west, north), (west, south)]
+
+    def cells(*bands):
+        return sorted({cell for w, e in bands for cell in polygon_cells([[box(w, e)]], 5)})
+
+    geometries = [
+        ("Polygon", [[box(170.0, 180.0)]]),
+        ("Polygon", [[box(-180.0, -160.0)]]),
+        ("Polygon", [[box(170.0, 200.0)]]),
+        ("Polygon", [[box(170.0, -160.0)]]),
+        ("Polygon", [[box(-190.0, -160.0)]]),
+        ("MultiPolygon", [[box(170.0, 180.0)], [box(-180.0, -160.0)]]),
+        ("MultiPolygon", [[box(170.0, 200.0)], [box(150.0, -170.0)]]),
+        ("Polygon", [[box(-180.0, 180.0)]]),
+        ("Polygon", [[box(179.0, 181.0), box(179.5, -179.5)]]),
+    ]
+    found = covers(spark, geometries, c.cells_of_polygon, 5)
+    both = cells((170, 180), (-180, -160))
+    assert found[0] == cells((170, 180)) and found[1] == cells((-180, -160))
+    assert found[2] == found[3] == found[5] == both
+    assert found[4] == cells((170, 180), (-180, -160))
+    assert found[6] == cells((150, 180), (-180, -160))
+    assert len(found[7]) == 32 * len({k for k in polygon_cells([[box(0.0, 20.0)]], 5)}) / 2
+    assert found[8] == []
+
+
+def test_rings_round_a_pole(spark):
+    north = [(float(x), 70.0 + 5 * (x % 40 == 0)) for x in range(-170, 190, 20)]
+    south = [(x, -y) for x, y in reversed(north)]
+    found = covers(
+        spark, [("Polygon", [[r + r[:1]]]) for r in (north, south)], c.cells_of_polygon, 5
+    )
+    for cells, sign in zip(found, (1, -1)):
+        centres = [
+            (x, y)
+            for x in range(32)
+            for y in range(32)
+            if sign * math.degrees(math.atan(math.sinh(math.pi * (1 - (2 * y + 1) / 32)))) > 75
+        ]
+        assert {key(x, y, 5) for x, y in centres} <= set(cells)
+        assert len(cells) < 32 * 8
+
+
+def test_many_overlapping_runs_are_united_in_one_sweep(spark):
+    """Merging rebuilds no list: ten times the members take about ten times as long."""
+
+    def seconds(members):
+        place = F.col("id") / F.lit(members) * 170
+        ring = F.array(
+            *[
+                F.struct((place - 80 + x).alias("x"), F.lit(y).alias("y"))
+                for x, y in ((0.0, 0.0), (3.0, 0.0), (3.0, 0.5), (0.0, 0.5), (0.0, 0.0))
+            ]
+        )
+        rows = spark.range(members).agg(F.collect_list(F.array(ring)).alias("polys"))
+        geom = F.struct(F.lit("MultiPolygon").alias("type"), F.col("polys"))
+        runs = rows.select(F.explode(c.polygon_runs(geom, 11)).alias("r"))
+        start = time.perf_counter()
+        found = runs.select("r.*").collect()
+        return time.perf_counter() - start, found
+
+    seconds(100)
+    few, _ = seconds(10_000)
+    many, found = seconds(100_000)
+    assert many < 40 * few + 2
+    # one run in each row, from the first square to the last
+    assert len(found) == len({r["row"] for r in found}) == 3
+    assert {r["first"] for r in found} == {math.ceil(fraction(-80, 0, 11)[0] - 0.5)}
+
+
+def test_cover_deals_the_runs_of_lines(spark):
+    """A line round the globe at a fine zoom: cells are made from runs, in many tasks."""
+    df = frame(spark, [("LineString", [[[(-170.0, 10.0), (0.0, 10.0), (170.0, 10.0)]]])])
+    cover = cell_cover(df, 20)
+    tasks = cover.groupBy(F.spark_partition_id()).count().collect()
+    first, last = (math.floor(fraction(x, 10, 20)[0]) for x in (-170, 170))
+    assert sum(r["count"] for r in tasks) == last - first + 1
+    assert max(r["count"] for r in tasks) < 0.4 * (last - first)
+
+
 def test_a_line_is_a_chain_of_neighbours(spark):
     line = ("LineString", [[[(-3.3, 1.1), (17.7, 9.2)]]])
     (cells,) = covers(spark, [line], c.cells_of_line, 8)

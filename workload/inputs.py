@@ -137,9 +137,40 @@ def point_cell_sql(lon: str, lat: str, zoom: int) -> str:
     )
 
 
+def around_sql(x: str, zoom: int) -> str:
+    """A whole column of tiles that may count on beyond the last one, in the grid."""
+    side = 1 << zoom
+    return f"((({x}) % {side}) + {side}) % {side}"
+
+
 def line_cells_sql(zoom: int) -> str:
-    """CTEs ending in ``line_cells(k, cell)``; needs ``pts``."""
+    """CTEs ending in ``line_cells(k, cell)``; needs ``pts``.
+
+    Brute force: every tile of the box around a segment is tested for a stretch of the
+    segment, from ``t0`` to ``t1``, that lies in it.  Tiles have no right and no lower
+    border of their own; the outer rows reach to the poles.
+    """
     fx, fy = tile_fraction_x, tile_fraction_y
+    low, high = "cast('-inf' AS double)", "cast('inf' AS double)"
+
+    def enters(start: str, step: str, near: str, far: str) -> str:
+        border = f"CASE WHEN {step} > 0 THEN {near} ELSE {far} END"
+        return f"CASE WHEN {step} = 0 THEN {low} ELSE (({border}) - {start}) / {step} END"
+
+    def leaves(start: str, step: str, near: str, far: str) -> str:
+        border = f"CASE WHEN {step} > 0 THEN {far} ELSE {near} END"
+        return f"CASE WHEN {step} = 0 THEN {high} ELSE (({border}) - {start}) / {step} END"
+
+    last = (1 << zoom) - 1
+    top = f"CASE WHEN ty = 0 THEN {low} ELSE ty END"
+    bottom = f"CASE WHEN ty = {last} THEN {high} ELSE ty + 1 END"
+
+    def at(start: str, end: str) -> str:
+        return (
+            f"CASE t0 WHEN 0 THEN {start} WHEN 1 THEN {end}"
+            f" ELSE {start} + ({end} - {start}) * t0 END"
+        )
+
     return f"""
 vertices AS (
   SELECT k, 0 AS i, lon AS x, lat AS y FROM pts
@@ -147,29 +178,45 @@ vertices AS (
   UNION ALL SELECT k, 2, lon+{ONE}, lat FROM pts),
 placed AS (SELECT k, i, {fx('x', zoom)} AS fx, {fy('y', zoom)} AS fy FROM vertices),
 segments AS (
-  SELECT a.k, a.fx AS x0, a.fy AS y0, b.fx AS x1, b.fy AS y1,
-         greatest(abs(cast(floor(b.fx) AS bigint)-cast(floor(a.fx) AS bigint)),
-                  abs(cast(floor(b.fy) AS bigint)-cast(floor(a.fy) AS bigint)),
-                  1) AS n
+  SELECT a.k, a.fx AS x0, a.fy AS y0, b.fx AS x1, b.fy AS y1
   FROM placed a JOIN placed b ON a.k = b.k AND b.i = a.i + 1),
-samples AS (
-  SELECT k, x0+(x1-x0)*i/n AS fx, y0+(y1-y0)*i/n AS fy
-  FROM (SELECT *, unnest(range(0, n)) AS i FROM segments)
-  UNION ALL SELECT k, fx, fy FROM placed),
+boxes AS (
+  SELECT *, unnest(range(cast(floor(least(x0, x1)) AS bigint),
+                         cast(floor(greatest(x0, x1)) AS bigint) + 1)) AS tx
+  FROM segments),
+tested AS (
+  SELECT *, unnest(range({whole_tile('least(y0, y1)', zoom)},
+                         {whole_tile('greatest(y0, y1)', zoom)} + 1)) AS ty
+  FROM boxes),
+stretches AS (
+  SELECT *,
+    greatest(0, {enters('x0', '(x1 - x0)', 'tx', '(tx + 1)')},
+             {enters('y0', '(y1 - y0)', top, bottom)}) AS t0,
+    least(1, {leaves('x0', '(x1 - x0)', 'tx', '(tx + 1)')},
+          {leaves('y0', '(y1 - y0)', top, bottom)}) AS t1
+  FROM tested),
 line_cells AS (
-  SELECT DISTINCT k,
-    {quadkey_sql(whole_tile('fx', zoom), whole_tile('fy', zoom), zoom)} AS cell
-  FROM samples)"""
+  SELECT DISTINCT k, {quadkey_sql(around_sql('tx', zoom), 'ty', zoom)} AS cell
+  FROM stretches
+  WHERE t0 < t1 OR (t0 = t1 AND floor({at('x0', 'x1')}) = tx
+                    AND {whole_tile(at('y0', 'y1'), zoom)} = ty))"""
 
 
 def square_cells_sql(zoom: int) -> str:
-    """CTEs ending in ``square_cells(k, cell)``; needs ``pts``."""
+    """CTEs ending in ``square_cells(k, cell)``; needs ``pts``.
+
+    Columns of tiles count on beyond the antimeridian and go round at the end.
+    """
     side = 1 << zoom
+
+    def column(lon: str) -> str:
+        return f"cast(floor({tile_fraction_x(lon, zoom)}) AS bigint)"
+
     return f"""
 ranges AS (
   SELECT k, lon, lat,
-    {whole_tile(tile_fraction_x('lon', zoom), zoom)} AS x0,
-    {whole_tile(tile_fraction_x(f'lon+{HALF}', zoom), zoom)} AS x1,
+    {column('lon')} AS x0,
+    {column(f'lon+{HALF}')} AS x1,
     {whole_tile(tile_fraction_y(f'lat+{HALF}', zoom), zoom)} AS y0,
     {whole_tile(tile_fraction_y('lat', zoom), zoom)} AS y1
   FROM pts),
@@ -181,5 +228,5 @@ centres AS (
     degrees(atan(sinh(pi()*(1-2*cast(ty+0.5 AS double)/{side})))) AS cy
   FROM tiles),
 square_cells AS (
-  SELECT k, {quadkey_sql('tx', 'ty', zoom)} AS cell FROM centres
+  SELECT k, {quadkey_sql(around_sql('tx', zoom), 'ty', zoom)} AS cell FROM centres
   WHERE cx >= lon AND cx < lon+{HALF} AND cy >= lat AND cy < lat+{HALF})"""
