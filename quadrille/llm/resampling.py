@@ -97,15 +97,20 @@ def _vectors(parts, salts, counts) -> pa.RecordBatch:
     )
 
 
+#: Added to every count.  Most buckets are empty in a small target model; much more than
+#: this in each of them would outweigh what the model has counted.
+SMOOTHING = 0.1
+
+
 def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Log of the ratio of both models, with one added to every count."""
+    """Log of the ratio of both models, with ``SMOOTHING`` added to every count."""
     if not target.any():
         return np.zeros(len(raw))
     return (
-        np.log(target + 1.0)
-        - np.log(target.sum() + len(target))
-        - np.log(raw + 1.0)
-        + np.log(raw.sum() + len(raw))
+        np.log(target + SMOOTHING)
+        - np.log(target.sum() + SMOOTHING * len(target))
+        - np.log(raw + SMOOTHING)
+        + np.log(raw.sum() + SMOOTHING * len(raw))
     )
 
 

@@ -33,11 +33,12 @@ def brute_weights(rows, targets):
         raw.update(own)
         if i in targets:
             target.update(own)
-    size = resampling.BUCKETS
+    plus = 0.1
+    size = resampling.BUCKETS * plus
 
     def ratio(b):
-        return math.log((target[b] + 1) / (target.total() + size)) - math.log(
-            (raw[b] + 1) / (raw.total() + size)
+        return math.log((target[b] + plus) / (target.total() + size)) - math.log(
+            (raw[b] + plus) / (raw.total() + size)
         )
 
     return [
