@@ -136,7 +136,9 @@ _ROW_GROUP_BYTES = 128 << 20
 _MOVERS = 16
 # Fixed value: the folder that readers pass over.
 _STAGING = "_temporary"
-_ACCEPTED = "accepted.txt"
+_ACCEPTED = "accepted"
+# Attempts named in one file, which one task moves.
+_LISTED = 64
 
 
 # --- header -----------------------------------------------------------------------
@@ -330,13 +332,11 @@ def publish(spark: SparkSession, target: str, job: str, overwrite: bool) -> None
     if filesystem.get_file_info(f"{root}/_SUCCESS").type != fs.FileType.NotFound:
         filesystem.delete_file(f"{root}/_SUCCESS")
     accepted = spark.read.text(f"{target}/{_STAGING}/{job}/{_ACCEPTED}")
-    width = spark.sparkContext.defaultParallelism * _MOVERS
-    _acting(
-        accepted.repartition(width).select("value"),
-        lambda attempt: _move_attempt(target, job, attempt),
-    )
+    _acting(accepted, lambda attempt: _move_attempt(target, job, attempt))
     if overwrite:
-        old = file_table(spark, target).where(~F.col("path").contains(job))
+        # a folder may be called as a job, so the name of the file alone tells
+        name = F.substring_index("path", "/", -1)
+        old = file_table(spark, target).where(~name.startswith(f"part-{job}-"))
         _acting(old.select("path"), _remove)
     filesystem.delete_dir(staging)
     others = filesystem.get_file_info(fs.FileSelector(f"{root}/{_STAGING}"))
@@ -504,11 +504,14 @@ class GeoParquetWriter(DataSourceArrowWriter):
         filesystem, root = open_filesystem(self.target)
         done = [m.attempt for m in messages if m is not None and m.files]
         staging = f"{root}/{self.staging}"
-        filesystem.create_dir(staging, recursive=True)
+        lists = f"{staging}/{_ACCEPTED}"
+        filesystem.create_dir(lists, recursive=True)
         if not done and not self.columns:
             done = [self._write_empty(filesystem, staging)]
-        with filesystem.open_output_stream(f"{staging}/{_ACCEPTED}") as output:
-            output.write("".join(f"{attempt}\n" for attempt in done).encode())
+        for at in range(0, max(len(done), 1), _LISTED):
+            with filesystem.open_output_stream(f"{lists}/{at:08d}.txt") as output:
+                names = done[at : at + _LISTED]
+                output.write("".join(f"{attempt}\n" for attempt in names).encode())
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:
         filesystem, root = open_filesystem(self.target)
