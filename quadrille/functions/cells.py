@@ -253,10 +253,12 @@ def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
     cells inside (even-odd rule).  The work grows with the outline and the runs, not with
     the bounding box, and no candidate cell is ever tested and thrown away.
 
-    Edges go the shorter way round the globe, so a polygon may cross the antimeridian,
-    with longitudes that jump there or with ones that go on beyond 180.  A ring that goes
-    round the globe covers the nearer pole.  A polygon with a ring that is 360 degrees
-    wide, or wider, is taken as it is written and cut off at the antimeridian.
+    A polygon may cross the antimeridian with longitudes that go on beyond 180, or with
+    ones that jump there.  Shells are taken to be counterclockwise and holes clockwise: if
+    an edge spans more than 180 degrees and the ring as it is written turns the other way,
+    its edges go the shorter way round the globe.  Such a ring that goes round the globe
+    covers the nearer pole.  A polygon with a ring that is 360 degrees wide, or wider, is
+    taken as it is written and cut off at the antimeridian.
     """
     side = _tiles_per_side(zoom)
     last = f"{side - 1}L"
@@ -279,12 +281,19 @@ def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
                    cast(array() AS array<struct<row:bigint,x:double>>))""",
         )
 
-    def each_edge(edge: str) -> str:
-        # joining the last point to the first closes an open ring and is without effect
-        # on a closed one
-        following = "concat(slice(ring, 2, size(ring)), slice(ring, 1, 1))"
-        return f"""flatten(transform(poly, ring -> zip_with(ring, {following},
-                                                            (a, b) -> {edge})))"""
+    # joining the last point to the first closes an open ring and is without effect on a
+    # closed one
+    following = "concat(slice(ring, 2, size(ring)), slice(ring, 1, 1))"
+
+    def edges(value: str) -> str:
+        return f"zip_with(ring, {following}, (a, b) -> {value})"
+
+    # a ring with an edge of more than half a turn, of the direction that it would not have
+    # if it lay as written; the first ring is the shell
+    width = "(array_max(ring.x) - array_min(ring.x))"
+    doubled = f"aggregate({edges('(b.x - a.x) * (b.y + a.y)')}, 0D, (t, v) -> t + v)"
+    jumps = f"""({width} > 180D AND exists({edges('abs(b.x - a.x)')}, gap -> gap > 180D)
+                 AND ({doubled} > -1e-6D) = (n = 0))"""
 
     # an edge on a grid without ends, and the first row south of where it meets the seam;
     # the same numbers decide the side of a crossing and that row
@@ -292,7 +301,7 @@ def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
     ends = [_column_sql(f"if(a.y >= b.y, {x})", side) for x in ("a.x, far", "far, a.x")]
     around = _let_sql(
         "far",
-        _shorter_way_sql("a.x", "b.x", 360),
+        f"if(jump, {_shorter_way_sql('a.x', 'b.x', 360)}, b.x)",
         _let_sql(
             "m",
             f"struct({crossings('far')} AS met, floor({ends[0]} / {side}D) AS north,"
@@ -315,21 +324,20 @@ def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
                                filter(starts, (v, i) -> i % 2 = 1),
         (v, w) -> if(v < w, sequence(v, w - 1), cast(array() AS array<bigint>))))"""
     borders = f"array(struct(r AS row, 0D AS x), struct(r AS row, {side}D AS x))"
+    of_rings = f"""flatten(transform(poly, (ring, n) ->
+                                     {_let_sql("jump", jumps, edges(around))}))"""
     toggles = _let_sql(
         "edges",
-        each_edge(around),
+        of_rings,
         "concat(flatten(edges.met), "
         + _let_sql("starts", starts, f"flatten(transform({rows}, r -> {borders}))")
         + ")",
     )
-    # nothing to do for rings inside the globe whose edges are no longer than half a turn
-    following = "concat(slice(ring, 2, size(ring)), slice(ring, 1, 1))"
-    gaps = f"zip_with(ring, {following}, (a, b) -> abs(b.x - a.x))"
-    width = "(array_max(ring.x) - array_min(ring.x))"
     goes_around = f"""NOT exists(poly, ring -> {width} >= 360D)
-        AND exists(poly, ring -> array_min(ring.x) < -180D OR array_max(ring.x) > 180D
-            OR ({width} > 180D AND exists({gaps}, gap -> gap > 180D)))"""
-    as_written = f"flatten({each_edge(crossings('b.x'))})"
+        AND (exists(poly, ring -> array_min(ring.x) < -180D OR array_max(ring.x) > 180D)
+             OR exists(transform(slice(poly, 1, 1), (ring, n) -> {jumps}), jump -> jump))"""
+    written = edges(crossings("b.x"))
+    as_written = f"flatten(flatten(transform(poly, ring -> {written})))"
     pair = _run_sql(
         "v.row",
         "greatest(ceil(v.x - 0.5D), 0L)",

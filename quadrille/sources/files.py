@@ -110,14 +110,14 @@ def partition_keys(
     return _one_nesting([row[0] for row in files.select(keys).distinct().collect()])
 
 
-def _segments(end: int) -> Column:
+def segments(end: int) -> Column:
     """The ``key=value`` folders of a path below the root, which ends at ``end``."""
     below = F.substring(F.col("path"), F.lit(end + 1), F.length("path"))
     return F.regexp_extract_all(below, F.lit(SEGMENT), F.lit(1))
 
 
 def _key_list(end: int) -> Column:
-    return F.transform(_segments(end), lambda s: F.substring_index(s, "=", 1))
+    return F.transform(segments(end), lambda s: F.substring_index(s, "=", 1))
 
 
 def _one_nesting(lists: list[list[str]]) -> list[str]:
@@ -146,9 +146,18 @@ def dataset_layout(
     reaches the driver are the different combinations, not the files.
     """
     files = files or file_table(spark, path)
-    end = _root_end(files, path)[0]
-    footers = read_footers(files).select(_key_list(end).alias("keys"), "arrow_schema")
-    rows = footers.distinct().collect()
+    return layout_of(read_footers(files), _root_end(files, path)[0])
+
+
+def root_length(files: DataFrame, path: str) -> int:
+    """Length of the dataset root in the paths of a file table."""
+    return _root_end(files, path)[0]
+
+
+def layout_of(footers: DataFrame, end: int) -> Layout:
+    """Layout of the files whose footers are given; their root ends at ``end``."""
+    found = footers.select(_key_list(end).alias("keys"), "arrow_schema")
+    rows = found.distinct().collect()
     schemas = dict.fromkeys(bytes(row["arrow_schema"]) for row in rows)
     return Layout(
         _one_nesting([row["keys"] for row in rows]),
@@ -186,9 +195,8 @@ def list_partitions(
         return files.where(F.lit(False)).select(
             F.lit(0).alias("level"), F.lit("").alias("partition")
         )
-    segments = files.select(_segments(end).alias("segments"))
     names = [f"segment_{i}" for i in range(len(keys))]
-    folders = segments.select(
+    folders = files.select(segments(end).alias("segments")).select(
         *[F.get("segments", F.lit(i)).alias(n) for i, n in enumerate(names)]
     )
     if all_levels:
@@ -229,7 +237,8 @@ def read_footers(files: DataFrame) -> DataFrame:
         def footer(path: str) -> dict:
             filesystem, inner = open_filesystem(path)
             with filesystem.open_input_file(inner) as source:
-                facts = pq.ParquetFile(source)
+                # Spark's timestamps are stored in a form that looks like nanoseconds
+                facts = pq.ParquetFile(source, coerce_int96_timestamp_unit="us")
                 geo = (facts.metadata.metadata or {}).get(b"geo")
                 return {
                     "path": path,

@@ -47,9 +47,14 @@ def geoparquet_footers(
     files = file_table(spark, path)
     if selector is not None:
         files = files_of_partitions(files, selector)
-    footers = read_footers(files).where(F.col("geo").isNotNull())
+    return geometry_entries(read_footers(files))
+
+
+def geometry_entries(footers: DataFrame) -> DataFrame:
+    """``geoparquet_footers`` of the files whose footers are given."""
+    given = footers.where(F.col("geo").isNotNull())
     header = F.from_json("geo", _HEADER)
-    entries = footers.select("path", "num_rows", header.alias("header")).select(
+    entries = given.select("path", "num_rows", header.alias("header")).select(
         F.col("path").alias("file"),
         "num_rows",
         "header.version",

@@ -283,7 +283,7 @@ def test_polygons_across_the_antimeridian(spark):
         return [(x - 360 * math.floor((x + 180) / 360), y) for x, y in ring]
 
     shells = [star(rng, (rng.choice([180, -180, 175]), rng.uniform(-60, 60)), 30, 15) for _ in range(6)]
-    holes = [star(rng, (sum(x for x, _ in s) / len(s), s[0][1]), 4, 7) for s in shells]
+    holes = [star(rng, (sum(x for x, _ in s) / len(s), s[0][1]), 4, 7)[::-1] for s in shells]
     geometries = [("Polygon", [[s, h]]) for s, h in zip(shells, holes)]
     geometries += [("Polygon", [[wrapped(s), wrapped(h)]]) for s, h in zip(shells, holes)]
     geometries += [("Polygon", [[s, wrapped(h)]]) for s, h in zip(shells, holes)]
@@ -299,6 +299,8 @@ def test_polygons_at_the_seam(spark):
     def box(west, east, south=-20.0, north=20.0):
         return [(west, south), (east, south), (east, north), (west, north), (west, south)]
 
+    hole = box(179.5, -179.5, -5.0, 5.0)[::-1]
+
     def cells(*bands):
         return sorted({cell for w, e in bands for cell in polygon_cells([[box(w, e)]], 5)})
 
@@ -311,7 +313,10 @@ def test_polygons_at_the_seam(spark):
         ("MultiPolygon", [[box(170.0, 180.0)], [box(-180.0, -160.0)]]),
         ("MultiPolygon", [[box(170.0, 200.0)], [box(150.0, -170.0)]]),
         ("Polygon", [[box(-180.0, 180.0)]]),
-        ("Polygon", [[box(179.0, 181.0), box(179.5, -179.5)]]),
+        ("Polygon", [[box(150.0, 210.0), hole]]),
+        ("Polygon", [[box(150.0, -150.0), hole]]),
+        ("Polygon", [[box(-170.0, 170.0)]]),
+        ("Polygon", [[box(-185.0, 100.0)]]),
     ]
     found = covers(spark, geometries, c.cells_of_polygon, 5)
     both = cells((170, 180), (-180, -160))
@@ -320,7 +325,10 @@ def test_polygons_at_the_seam(spark):
     assert found[4] == cells((170, 180), (-180, -160))
     assert found[6] == cells((150, 180), (-180, -160))
     assert len(found[7]) == 32 * len({k for k in polygon_cells([[box(0.0, 20.0)]], 5)}) / 2
-    assert found[8] == []
+    assert found[8] == found[9]
+    assert found[8] == polygon_cells_around([box(150.0, 210.0), box(179.5, 180.5, -5.0, 5.0)], 5)
+    assert found[10] == cells((-170, 170))
+    assert found[11] == cells((-180, 100), (175, 180))
 
 
 def test_rings_round_a_pole(spark):

@@ -176,6 +176,75 @@ def test_compaction_of_geoparquet(spark, tmp_path):
     assert before == after
 
 
+def test_large_files_stay_as_they_are(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    df = spark.range(0, 900, 1, 1).selectExpr("id", "CAST(id AS string) t", "id % 2 AS k")
+    write_parquet(df, source, "k", rows_per_file=300)
+    write_parquet(df.where("id < 90").repartition(5, "id"), source, "k", rows_per_file=5)
+    large = {f.read_bytes() for f in files(source) if pq.read_metadata(f).num_rows > 100}
+    compact_dataset(spark, source, target, target_rows=200)
+    assert len(large) == 4
+    assert large <= {f.read_bytes() for f in files(target)}
+    sizes = sorted(pq.read_metadata(f).num_rows for f in files(target))
+    assert sizes == [45, 45, 150, 150, 300, 300]
+    assert sorted(scan_parquet(spark, target).collect()) == sorted(
+        scan_parquet(spark, source).collect()
+    )
+    # nothing is left to merge, so all files but one are copied
+    again = str(tmp_path / "c")
+    compact_dataset(spark, target, again, target_rows=200)
+    assert sorted(pq.read_metadata(f).num_rows for f in files(again)) == sizes
+    with pytest.raises(FileExistsError):
+        compact_dataset(spark, target, again)
+    compact_dataset(spark, source, again, target_rows=200, mode="overwrite")
+    assert sorted(pq.read_metadata(f).num_rows for f in files(again)) == sizes
+
+
+def test_rows_are_not_shuffled_by_a_compaction(spark, tmp_path, monkeypatch):
+    from quadrille.sinks import compact
+
+    plans = []
+    original = compact._rows_of
+
+    def watched(*args):
+        rows = original(*args)
+        plans.append((rows._jdf.queryExecution().toString(), rows.rdd.getNumPartitions()))
+        return rows
+
+    monkeypatch.setattr(compact, "_rows_of", watched)
+    source = str(tmp_path / "a")
+    df = spark.range(0, 4000, 1, 40).selectExpr("id", "id % 10 AS k")
+    write_parquet(df, source, "k", rows_per_file=10)
+    compact_dataset(spark, source, str(tmp_path / "b"), target_rows=50)
+    (plan, tasks) = plans[0]
+    assert "MapInArrow" in plan and "Exchange" not in plan and tasks == 20
+    assert sorted(pq.read_metadata(f).num_rows for f in files(tmp_path / "b")) == [50] * 80
+
+
+def test_compaction_of_awkward_types(spark, tmp_path):
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    first = spark.sql(
+        "SELECT 1 i, 1.25BD d, date'2024-01-02' day, timestamp'2024-01-02 03:04:05Z' ts,"
+        " timestamp_ntz'2024-01-02 03:04:05' ntz, array(named_struct('a', 1), null) l,"
+        " named_struct('x', 'é') s, X'0102' b, map('k', 1.5D) m, 'v' AS `dotted.name`,"
+        " 'x/y=1 ' AS key"
+    )
+    second = spark.sql(
+        "SELECT 2L i, array(named_struct('a', 1, 'c', true)) l, 3.0F f,"
+        " named_struct('x', 'z', 'y', 7) s, CAST(NULL AS string) key"
+    ).withColumn("i", F.col("i").cast("int"))
+    for df in (first, first, second, second):
+        write_parquet(df, source, "key")
+    compact_dataset(spark, source, target)
+    assert len(files(source)) == 4 and len(files(target)) == 2
+    before, after = (
+        scan_parquet(spark, p).select(sorted(f"`{c}`" for c in scan_parquet(spark, source).columns))
+        for p in (source, target)
+    )
+    assert before.dtypes == after.dtypes
+    assert sorted(map(str, before.collect())) == sorted(map(str, after.collect()))
+
+
 # --- export -----------------------------------------------------------------------
 
 
