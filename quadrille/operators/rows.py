@@ -16,18 +16,60 @@ from ..functions.cells import (
 )
 from ..functions.geometry import centroid, envelope, kind
 from ..names import columns
+from ..session import scratch_path
+
+
+#: Rows that are taken by one task; more are taken by many.
+ONE_TASK = 100_000
+_PLACE = "__place"
+# fixed value: bits of ``monotonically_increasing_id`` that count within a task
+_PLACE_BITS = 33
 
 
 def sample_rows(
     df: DataFrame, count: int | None, order_by: Column | list[Column] | None = None
 ) -> DataFrame:
-    """The first ``count`` rows, in any order or in the order given; None takes all."""
+    """The first ``count`` rows, in any order or in the order given; None takes all.
+
+    A large sample is cut by all tasks: the rows of each are counted, the running sum of
+    the counts tells in which task the sample ends, and a condition on the place of a row
+    keeps those before.  That needs tasks that get the same rows again, as those of a scan
+    do; sorted rows are written with their places first.  The rows of a large sample come
+    in no order.
+    """
     if count is None:
         return df
     if order_by is not None:
         keys = order_by if isinstance(order_by, list) else [order_by]
         df = df.orderBy(*keys)
-    return df.limit(count)
+    if count <= ONE_TASK:
+        return df.limit(count)
+    placed = df.withColumn(_PLACE, F.monotonically_increasing_id())
+    if order_by is not None:
+        path = scratch_path(df.sparkSession, "places")
+        placed.write.parquet(path)
+        placed = df.sparkSession.read.schema(placed.schema).parquet(path)
+    # all columns are read, as with fewer a shuffle before would be divided otherwise
+    counted = (
+        placed.groupBy(F.shiftright(_PLACE, _PLACE_BITS).alias("task"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.bit_xor(F.xxhash64(F.lit(0), *columns(_hashable(df)))).alias("read"),
+        )
+        .orderBy("task")
+    )
+    left = count
+    for row in counted.select("task", "rows", "read").toLocalIterator():
+        if row["rows"] >= left:
+            end = (row["task"] << _PLACE_BITS) + left
+            return placed.where(F.col(_PLACE) < F.lit(end)).drop(_PLACE)
+        left -= row["rows"]
+    return df
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed; a map cannot."""
+    return [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
 
 
 def with_cell(

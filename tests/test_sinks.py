@@ -320,3 +320,25 @@ def test_samples(spark):
     assert sample_rows(df, 0).count() == 0
     top = sample_rows(df, 3, F.col("id").desc()).collect()
     assert [r["id"] for r in top] == [49, 48, 47]
+
+
+def test_large_samples_are_cut_by_many_tasks(spark):
+    df = spark.range(0, 20_000_000, 1, 16).selectExpr("id", "id % 7 AS k")
+    taken = sample_rows(df, 10_000_003)
+    plan = taken._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "Exchange" not in plan
+    row = taken.agg(F.count("*").alias("n"), F.max("id").alias("last")).first()
+    assert (row["n"], row["last"]) == (10_000_003, 10_000_002)
+    by_task = taken.groupBy(F.spark_partition_id()).count().collect()
+    assert len(by_task) == 9 and max(r["count"] for r in by_task) == 1_250_000
+    assert sample_rows(df, 30_000_000).count() == 20_000_000
+
+
+def test_large_ordered_and_shuffled_samples(spark):
+    df = spark.range(0, 600_000, 1, 8).select("id", F.xxhash64("id").alias("h"))
+    least = sample_rows(df, 250_000, F.col("h")).collect()
+    expected = [r["h"] for r in df.orderBy("h").limit(250_000).collect()]
+    assert sorted(r["h"] for r in least) == expected
+    shuffled = df.groupBy("id", "h").agg(F.count("*").alias("n"))
+    assert sample_rows(shuffled, 123_457).distinct().count() == 123_457
+    assert sample_rows(df.withColumn("m", F.create_map("id", "h")), 100_001).count() == 100_001
