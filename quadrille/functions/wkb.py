@@ -1,15 +1,12 @@
 """WKB at the edges: Arrow batches in and out of the geometry struct.
 
 Spark has no access to the bytes of a double, so these two conversions run in Python
-workers, one Arrow batch at a time.  Points, lines and polygons with one ring, by far
-the most common, are converted as a whole with numpy; the other records of a batch are
-read one by one.
+workers, one Arrow batch at a time and always as arrays: records of one path at once, the
+others path by path in step.
 """
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,7 +29,7 @@ WKB_CODES = {
 }
 EWKB_SRID = 0x20000000
 
-_KIND_OF_CODE = {code: kind for kind, code in WKB_CODES.items()}
+KINDS_BY_CODE = tuple(sorted(WKB_CODES, key=WKB_CODES.get))
 # bytes before the coordinates of a point, a line and a polygon with one ring
 _HEADER_BYTES = np.array([0, 5, 9, 13])
 _VERTEX_BYTES = 16
@@ -40,75 +37,6 @@ _SIMPLE_KINDS = pa.array([None, "Point", "LineString", "Polygon"], pa.string())
 _XY = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
 
-class _Reader:
-    """Cursor over one WKB record; raises ``ValueError`` on anything it cannot read."""
-
-    def __init__(self, data: bytes):
-        self.data, self.at, self.order = data, 0, "<"
-
-    def numbers(self, count: int, size: int) -> memoryview:
-        end = self.at + count * size
-        if end > len(self.data):
-            raise ValueError("truncated")
-        piece = memoryview(self.data)[self.at : end]
-        self.at = end
-        return piece
-
-    def header(self) -> str:
-        self.order = {0: ">", 1: "<"}.get(self.numbers(1, 1)[0], "")
-        if not self.order:
-            raise ValueError("byte order")
-        code = self.count()
-        if code & EWKB_SRID:
-            self.count()
-        kind = _KIND_OF_CODE.get(code & ~EWKB_SRID)
-        if kind is None:  # Z and M variants, collections, curves
-            raise ValueError("kind")
-        return kind
-
-    def count(self) -> int:
-        return struct.unpack(self.order + "I", self.numbers(1, 4))[0]
-
-    def path(self, count: int) -> np.ndarray:
-        piece = self.numbers(count * 2, 8)
-        return np.frombuffer(piece, self.order + "f8").reshape(-1, 2)
-
-    def rings(self) -> list[np.ndarray]:
-        return [self.path(self.count()) for _ in range(self.count())]
-
-    def members(self, kind: str) -> list[list[np.ndarray]]:
-        """Rings or paths of each member of a multi-geometry."""
-        found = []
-        for _ in range(self.count()):
-            if self.header() != kind:
-                raise ValueError("member kind")
-            found.append(self.rings() if kind == "Polygon" else [self.body(kind)])
-        return found
-
-    def body(self, kind: str) -> np.ndarray:
-        return self.path(1 if kind == "Point" else self.count())
-
-    def geometry(self) -> tuple[str, list[list[np.ndarray]]]:
-        kind = self.header()
-        if kind == "Polygon":
-            polys = [self.rings()]
-        elif kind == "MultiPolygon":
-            polys = self.members("Polygon")
-        elif kind == "MultiLineString":
-            polys = [[m[0] for m in self.members("LineString")]]
-        elif kind == "MultiPoint":
-            members = [m[0] for m in self.members("Point")]
-            polys = [[np.concatenate(members)]] if members else []
-        else:
-            polys = [[self.body(kind)]]
-        if self.at != len(self.data):
-            raise ValueError("trailing bytes")
-        vertices = [path for poly in polys for path in poly]
-        if kind == "Point" and np.isnan(vertices[0]).all():
-            vertices = []  # an empty point is written as two NaNs
-        return kind, polys if any(len(path) for path in vertices) else []
-
-
 def _integers(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Little-endian 32-bit integers at byte positions; those past the end are junk."""
     inside = np.minimum(at[:, None] + np.arange(4), max(len(raw) - 1, 0))
@@ -194,7 +122,7 @@ def decode_batch(data: pa.Array) -> pa.StructArray:
     is_simple[rows[np.isnan(xy[at[rows]]).any(axis=1)]] = False
     simple = _decode_simple(records, xy, is_simple)
     others = data.filter(pa.array(~is_simple))
-    return _interleaved(simple, _decode_each(others.to_pylist()), is_simple)
+    return _interleaved(simple, _decode_nested(others), is_simple)
 
 
 def _decode_simple(
@@ -212,53 +140,181 @@ def _decode_simple(
     return _struct_array(_SIMPLE_KINDS.take(pa.array(code)), polys, missing)
 
 
-def _decode_each(records: list[bytes]) -> pa.StructArray:
-    kinds, poly_ends, part_ends, point_ends, paths = [], [0], [0], [0], []
-    for record in records:
-        try:
-            kind, polys = _Reader(record).geometry()
-        except ValueError:
-            kind, polys = None, []
-        kinds.append(kind)
-        for poly in polys:
-            for path in poly:
-                paths.append(path)
-                point_ends.append(point_ends[-1] + len(path))
-            part_ends.append(len(point_ends) - 1)
-        poly_ends.append(len(part_ends) - 1)
-    xy = np.concatenate([p.astype("f8") for p in paths]) if paths else np.empty((0, 2))
-    polys = _nested(poly_ends, _nested(part_ends, _nested(point_ends, _vertices(xy))))
-    missing = [kind is None for kind in kinds]
-    return _struct_array(pa.array(kinds, pa.string()), polys, missing)
-
-
-def _record(kind: str, polys: list[list[bytes]]) -> bytes:
-    """WKB of one geometry whose paths are already little-endian coordinate bytes."""
-
-    def head(code_of: str, *counts: int) -> bytes:
-        return struct.pack(f"<BI{len(counts)}I", 1, WKB_CODES[code_of], *counts)
-
-    def path(data: bytes) -> bytes:
-        return struct.pack("<I", len(data) // 16) + data
-
-    def polygon(rings: list[bytes]) -> bytes:
-        return head("Polygon", len(rings)) + b"".join(map(path, rings))
-
-    first = polys[0] if polys else []
-    if kind == "Point":
-        return head(kind) + (first[0] if first else struct.pack("<2d", *[np.nan] * 2))
-    if kind == "LineString":
-        return head(kind) + path(first[0] if first else b"")
-    if kind == "Polygon":
-        return polygon(first)
-    if kind == "MultiPoint":
-        data = b"".join(first)
-        members = [data[i : i + 16] for i in range(0, len(data), 16)]
-        return head(kind, len(members)) + b"".join(head("Point") + m for m in members)
-    if kind == "MultiLineString":
-        members = [head("LineString") + path(p) for p in first]
-        return head(kind, len(members)) + b"".join(members)
-    return head(kind, len(polys)) + b"".join(map(polygon, polys))
+class _Walk:
+    """All records of a batch that are not simple, read in step.
+
+    Every record has a cursor.  In a round each record that is not finished reads its next
+    member header, if it is due, and its next path; what was read is kept as runs of
+    vertices.  So a round is a few operations on arrays, and there are as many rounds as
+    the record with the most paths has.  Points of a multipoint have a fixed size and are
+    read at once.  A record that cannot be read is marked as bad and left.
+    """
+
+    def __init__(self, data: pa.BinaryArray):
+        ends = np.frombuffer(data.buffers()[1], np.int32)
+        ends = ends[data.offset : data.offset + len(data) + 1].astype(np.int64)
+        values = data.buffers()[2]
+        raw = np.frombuffer(values, np.uint8) if values else np.empty(0, np.uint8)
+        # a pad, so that reading past the end needs no condition
+        self.raw = np.concatenate([raw[ends[0] : ends[-1]], np.zeros(32, np.uint8)])
+        self.at, self.end = ends[:-1] - ends[0], ends[1:] - ends[0]
+        size = len(data)
+        self.bad = np.zeros(size, bool)
+        self.big = np.zeros(size, bool)
+        self.members = np.zeros(size, np.int64)  # members not begun
+        self.rings = np.zeros(size, np.int64)  # paths not read of the present member
+        self.poly = np.zeros(size, np.int64)
+        self.path = np.zeros(size, np.int64)
+        self.polys = np.ones(size, np.int64)
+        self.runs: list[np.ndarray] = []
+        everything = np.arange(size)
+        self.kind = np.zeros(size, np.int64)
+        self.kind[:] = self._headers(everything)
+        self._begin(everything)
+        while True:
+            (active,) = np.nonzero(~self.bad & ((self.members > 0) | (self.rings > 0)))
+            if not len(active):
+                break
+            self._round(active)
+        self.bad |= self.at != self.end
+
+    def _take(self, rows: np.ndarray, size: int) -> np.ndarray:
+        """Where the next bytes of the records lie; those that are too short are bad."""
+        at = self.at[rows]
+        short = at + size > self.end[rows]
+        self.bad[rows[short]] = True
+        self.at[rows] = at + size
+        return np.where(short, len(self.raw) - 32, at)
+
+    def _numbers(self, rows: np.ndarray) -> np.ndarray:
+        at = self._take(rows, 4)
+        four = self.raw[at[:, None] + np.arange(4)]
+        little, big = four.view("<u4").ravel(), four.view(">u4").ravel()
+        return np.where(self.big[rows], big, little).astype(np.int64)
+
+    def _headers(self, rows: np.ndarray) -> np.ndarray:
+        """Byte order and kind at the cursors; 0 for kinds that are not read."""
+        order = self.raw[self._take(rows, 1)]
+        self.bad[rows[order > 1]] = True
+        self.big[rows] = order == 0
+        code = self._numbers(rows)
+        extended = code & EWKB_SRID != 0
+        if extended.any():
+            self._numbers(rows[extended])
+        code = code & ~EWKB_SRID
+        unknown = (code < 1) | (code > 6)
+        self.bad[rows[unknown]] = True
+        return np.where(unknown, 0, code)
+
+    def _counts(self, rows: np.ndarray, least: int) -> np.ndarray:
+        """Counts at the cursors, of things that take ``least`` bytes or more each."""
+        count = self._numbers(rows)
+        self.bad[rows[count * least > self.end[rows] - self.at[rows]]] = True
+        return np.where(self.bad[rows], 0, count)
+
+    def _begin(self, rows: np.ndarray) -> None:
+        rows = rows[~self.bad]
+        kind = self.kind[rows]
+        self.rings[rows[kind <= 2]] = 1
+        polygons = rows[kind == 3]
+        self.rings[polygons] = self._counts(polygons, 4)
+        several = rows[kind >= 4]
+        least = {4: 21, 5: 9, 6: 9}
+        for code, size in least.items():
+            own = several[self.kind[several] == code]
+            self.members[own] = self._counts(own, size)
+        areas = rows[kind == 6]
+        self.polys[areas] = self.members[areas]
+        self.poly[areas] = -1
+        self._points(rows[kind == 4])
+
+    def _points(self, rows: np.ndarray) -> None:
+        """Multipoints whose members are all alike, as they nearly always are."""
+        rows = rows[~self.bad[rows] & (self.members[rows] > 0)]
+        alike = self.end[rows] - self.at[rows] == 21 * self.members[rows]
+        rows = rows[alike]
+        count = self.members[rows]
+        at = np.repeat(self.at[rows] - 21 * (np.cumsum(count) - count), count)
+        at += 21 * np.arange(len(at))
+        owner = np.repeat(rows, count)
+        head = self.raw[at[:, None] + np.arange(5)]
+        little = (head == [1, 1, 0, 0, 0]).all(axis=1)
+        big = (head == [0, 0, 0, 0, 1]).all(axis=1)
+        other = np.zeros(len(self.bad), bool)
+        other[owner[~(little | big)]] = True
+        plain = ~other[owner]
+        self._keep(owner[plain], at[plain] + 5, np.ones(plain.sum(), np.int64), big[plain])
+        done = rows[~other[rows]]
+        self.members[done] = 0
+        self.at[done] = self.end[done]
+
+    def _keep(self, rows, start, count, big) -> None:
+        columns = [rows, self.poly[rows], self.path[rows], start, count, big]
+        self.runs.append(np.stack([c.astype(np.int64) for c in columns], axis=1))
+
+    def _round(self, active: np.ndarray) -> None:
+        due = active[self.rings[active] == 0]
+        if len(due):
+            self.members[due] -= 1
+            wanted = self.kind[due] - 3
+            self.bad[due[self._headers(due) != wanted]] = True
+            due = due[~self.bad[due]]
+            areas = self.kind[due] == 6
+            self.poly[due[areas]] += 1
+            self.path[due[areas]] = 0
+            self.rings[due[~areas]] = 1
+            self.rings[due[areas]] = self._counts(due[areas], 4)
+        rows = active[(self.rings[active] > 0) & ~self.bad[active]]
+        if not len(rows):
+            return
+        single = (self.kind[rows] == 1) | (self.kind[rows] == 4)
+        count = np.ones(len(rows), np.int64)
+        count[~single] = self._counts(rows[~single], _VERTEX_BYTES)
+        start = self._take(rows, count * _VERTEX_BYTES)
+        self._keep(rows, start, count, self.big[rows])
+        self.rings[rows] -= 1
+        # the points of a multipoint are one path
+        self.path[rows[self.kind[rows] != 4]] += 1
+
+
+def _decode_nested(data: pa.BinaryArray) -> pa.StructArray:
+    """Geometry structs of records of any kind."""
+    walk = _Walk(data)
+    size = len(data)
+    runs = np.concatenate([np.empty((0, 6), np.int64), *walk.runs])
+    runs = runs[~walk.bad[runs[:, 0]]]
+    runs = runs[np.lexsort((runs[:, 3], runs[:, 0]))]
+    row, poly, path, start, count, big = runs.T
+    chosen = np.zeros(len(walk.raw) + 1, np.int32)
+    np.add.at(chosen, start, 1)
+    np.add.at(chosen, start + count * _VERTEX_BYTES, -1)
+    xy = walk.raw[np.cumsum(chosen[:-1]) > 0].view("<f8").reshape(-1, 2).copy()
+    turned = np.repeat(big > 0, count)
+    xy[turned] = xy[turned].byteswap()
+
+    # an empty point is written as two NaNs; without a vertex nothing is left of a record
+    point = walk.kind[row] == 1
+    first = np.cumsum(count) - count
+    blank = point.copy()
+    blank[point] = np.isnan(xy[first[point]]).all(axis=1)
+    vertices = np.bincount(row, np.where(blank, 0, count), size).astype(np.int64)
+    full = vertices > 0
+    polys = np.where(full & ~walk.bad, walk.polys, 0)
+    kept = full[row]
+    xy = xy[np.repeat(kept, count)]
+    row, poly, path, count = row[kept], poly[kept], path[kept], count[kept]
+
+    poly_at = np.concatenate([[0], np.cumsum(polys)])
+    number = poly_at[row] + poly
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (number[1:] != number[:-1]) | (path[1:] != path[:-1])
+    paths = np.bincount(number[fresh], minlength=poly_at[-1])
+    lengths = np.add.reduceat(count, np.nonzero(fresh)[0]) if len(row) else count
+    ends = [np.concatenate([[0], np.cumsum(n)]) for n in (lengths, paths)]
+    nested = _nested(poly_at, _nested(ends[1], _nested(ends[0], _vertices(xy))))
+    kinds = pa.array([None, *KINDS_BY_CODE], pa.string())
+    code = np.where(walk.bad, 0, walk.kind)
+    return _struct_array(kinds.take(pa.array(code)), nested, walk.bad)
 
 
 class _Nesting:
@@ -297,7 +353,7 @@ def encode_batch(geoms: pa.StructArray) -> pa.BinaryArray:
         nesting, code[is_simple], bounds[part][is_simple], vertices[is_simple]
     )
     others = np.flatnonzero(~is_simple)
-    return _interleaved(simple, _encode_each(nesting, others), is_simple)
+    return _interleaved(simple, _encode_nested(nesting, others), is_simple)
 
 
 def _only_child(ends: np.ndarray, child_ends: np.ndarray) -> np.ndarray:
@@ -339,21 +395,99 @@ def _encode_simple(
     return pa.BinaryArray.from_buffers(pa.binary(), len(code), buffers)
 
 
-def _encode_each(nesting: _Nesting, rows: np.ndarray) -> pa.BinaryArray:
-    kinds = nesting.kinds.take(pa.array(rows)).to_pylist()
-    poly_ends, part_ends = nesting.poly_ends, nesting.part_ends
-    point_ends, xy = nesting.point_ends, nesting.xy
-    records = []
-    for row, kind in zip(rows, kinds):
-        members = [
-            [
-                xy[point_ends[part] : point_ends[part + 1]].tobytes()
-                for part in range(part_ends[poly], part_ends[poly + 1])
-            ]
-            for poly in range(poly_ends[row], poly_ends[row + 1])
-        ]
-        records.append(_record(kind, members))
-    return pa.array(records, pa.binary())
+def _spans(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of some ranges, one after the other, and the range of each."""
+    owner = np.repeat(np.arange(len(first)), count)
+    begin = np.cumsum(count) - count
+    return np.arange(len(owner)) - begin[owner] + first[owner], owner
+
+
+def _before(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _encode_nested(nesting: _Nesting, rows: np.ndarray) -> pa.BinaryArray:
+    """Records of any kind, put together level by level.
+
+    The places of all headers and vertices follow from running sums of their sizes.  A
+    geometry that is not a multipolygon has one polygon, a line or point one path.
+    """
+    code = np.asarray(pc.index_in(nesting.kinds, pa.array(KINDS_BY_CODE)).fill_null(-1))
+    code = code[rows].astype(np.int64) + 1
+    many, single = code == 6, code <= 2
+    n_polys = nesting.poly_ends[rows + 1] - nesting.poly_ends[rows]
+    n_polys = np.where(many, n_polys, np.minimum(n_polys, 1))
+    poly, row_of_poly = _spans(nesting.poly_ends[rows], n_polys)
+    bounds = np.append(nesting.part_ends, nesting.part_ends[-1:])
+    n_paths = bounds[poly + 1] - bounds[poly]
+    n_paths = np.where(single[row_of_poly], np.minimum(n_paths, 1), n_paths)
+    path, poly_of_path = _spans(bounds[poly], n_paths)
+    row = row_of_poly[poly_of_path]
+    kind = code[row]
+    bounds = np.append(nesting.point_ends, nesting.point_ends[-1:])
+    length = bounds[path + 1] - bounds[path]
+    length = np.where(kind == 1, np.minimum(length, 1), length)
+
+    # bytes before the vertices of a path, and of a whole path, by the code of its row
+    lead = np.array([0, 0, 4, 4, 5, 9, 4])[kind]
+    path_size = np.where(kind == 4, 21 * length, lead + _VERTEX_BYTES * length)
+    per_row = [np.bincount(row, w, len(rows)).astype(np.int64) for w in (length, path_size)]
+    points, bodies = per_row
+    # an empty point is two NaNs, an empty line a count of zero
+    pad = np.where((code == 1) & (points == 0), 16, 0)
+    pad = np.where((code == 2) & (np.bincount(row, minlength=len(rows)) == 0), 4, pad)
+    head = np.array([0, 5, 5, 9, 9, 9, 9])[code]
+    poly_head = np.where(many[row_of_poly], 9, 0)
+    size = head + pad + bodies + np.bincount(row_of_poly, poly_head, len(rows)).astype(np.int64)
+    at_row = _before(size)
+    if len(size) and at_row[-1] + size[-1] > np.iinfo(np.int32).max:
+        raise ValueError("A batch of records exceeds 2 GiB; use smaller Arrow batches.")
+    body = head + pad
+    in_poly = np.bincount(poly_of_path, path_size, len(poly)).astype(np.int64)
+    at_poly = np.cumsum(body)[row_of_poly] + _before(poly_head + in_poly)
+    at_path = np.cumsum(body)[row] + np.cumsum(poly_head)[poly_of_path] + _before(path_size)
+
+    out = np.zeros(int(size.sum()), np.uint8)
+
+    def put(at: np.ndarray, numbers: np.ndarray) -> None:
+        four = np.ascontiguousarray(numbers.astype("<u4"))[:, None].view(np.uint8)
+        out[at[:, None] + np.arange(4)] = four
+
+    def begin(at: np.ndarray, of_kind) -> None:
+        out[at] = 1
+        out[at + 1] = of_kind
+
+    begin(at_row, code)
+    counts = np.select(
+        [code == 3, code == 4, code == 5, code == 6],
+        [np.bincount(row, minlength=len(rows)), points, np.bincount(row, minlength=len(rows)), n_polys],
+        0,
+    )
+    put(at_row[code >= 3] + 5, counts[code >= 3])
+    blank = at_row[(code == 1) & (points == 0)] + 5
+    out[blank[:, None] + np.arange(16)] = np.full(2, np.nan, "<f8").view(np.uint8)
+    members = at_poly[poly_head > 0]
+    begin(members, 3)
+    put(members + 5, n_paths[poly_head > 0])
+    lines = kind == 5
+    begin(at_path[lines], 2)
+    counted = (kind != 1) & (kind != 4)
+    put(at_path[counted] + lead[counted] - 4, length[counted])
+
+    # blocks of vertices: whole paths, but each point of a multipoint by itself
+    each = np.where(kind == 4, length, 1)
+    offset, owner = _spans(np.zeros(len(path), np.int64), each)
+    at = at_path[owner] + lead[owner] + 21 * offset
+    block = _VERTEX_BYTES * np.where(kind == 4, 1, length)[owner]
+    begin(at[kind[owner] == 4] - 5, 1)
+    chosen = np.zeros(len(out) + 1, np.int32)
+    np.add.at(chosen, at, 1)
+    np.add.at(chosen, at + block, -1)
+    vertex = _spans(bounds[path], length)[0]
+    out[np.cumsum(chosen[:-1]) > 0] = nesting.xy[vertex].view(np.uint8).ravel()
+    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    buffers = [None, pa.py_buffer(ends), pa.py_buffer(out)]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), buffers)
 
 
 def from_wkb(wkb: Column) -> Column:
