@@ -7,6 +7,8 @@ others path by path in step.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -33,6 +35,8 @@ KINDS_BY_CODE = tuple(sorted(WKB_CODES, key=WKB_CODES.get))
 # bytes before the coordinates of a point, a line and a polygon with one ring
 _HEADER_BYTES = np.array([0, 5, 9, 13])
 _VERTEX_BYTES = 16
+# records below which a loop over their rings is faster than a round for each ring
+_FEW = 8
 _SIMPLE_KINDS = pa.array([None, "Point", "LineString", "Polygon"], pa.string())
 _XY = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 
@@ -175,6 +179,10 @@ class _Walk:
             (active,) = np.nonzero(~self.bad & ((self.members > 0) | (self.rings > 0)))
             if not len(active):
                 break
+            if len(active) <= _FEW:
+                # arrays of so few records cost more than they save
+                for row in active[self.rings[active] > 1]:
+                    self._rest(row)
             self._round(active)
         self.bad |= self.at != self.end
 
@@ -252,6 +260,26 @@ class _Walk:
         columns = [rows, self.poly[rows], self.path[rows], start, count, big]
         self.runs.append(np.stack([c.astype(np.int64) for c in columns], axis=1))
 
+    def _rest(self, row: int) -> None:
+        """All rings but one of the present member of a record."""
+        at, end, many = int(self.at[row]), int(self.end[row]), int(self.rings[row]) - 1
+        number = struct.Struct(">I" if self.big[row] else "<I")
+        starts, counts = [], []
+        while len(starts) < many:
+            count = number.unpack_from(self.raw, at)[0]
+            if at + 4 + count * _VERTEX_BYTES > end:
+                break
+            starts.append(at + 4)
+            counts.append(count)
+            at += 4 + count * _VERTEX_BYTES
+        read = len(starts)
+        self._keep(np.full(read, row), np.array(starts), np.array(counts), np.full(read, self.big[row]))
+        if read:
+            self.runs[-1][:, 2] += np.arange(read)
+        self.at[row] = at
+        self.rings[row] -= read
+        self.path[row] += read
+
     def _round(self, active: np.ndarray) -> None:
         due = active[self.rings[active] == 0]
         if len(due):
