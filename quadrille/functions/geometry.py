@@ -14,7 +14,7 @@ x is longitude (or easting) and y latitude (or northing) throughout.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -112,6 +112,25 @@ def is_empty(geom: Column) -> Column:
 # --- extent -----------------------------------------------------------------------
 
 
+#: Bounds of an extent, minima first.
+BOUNDS = ("xmin", "ymin", "xmax", "ymax")
+
+
+def meets_window(box: Column, window: Sequence[float]) -> Column:
+    """Whether an extent meets a window ``xmin, ymin, xmax, ymax``; null for null bounds.
+
+    A window whose western edge lies east of the eastern one goes across the antimeridian.
+    The condition is on the bounds alone, so it reaches a Parquet scan.
+    """
+    west, south, east, north = (float(v) for v in window)
+    if not south <= north:
+        raise ValueError(f"The window {window!r} ends before it begins.")
+    after = box["xmax"] >= F.lit(west)
+    before = box["xmin"] <= F.lit(east)
+    across = (after | before) if west > east else (after & before)
+    return across & (box["ymax"] >= F.lit(south)) & (box["ymin"] <= F.lit(north))
+
+
 def envelope(geom: Column) -> Column:
     """``struct<xmin, ymin, xmax, ymax>``; the bounds of a null or empty one are null.
 

@@ -61,13 +61,19 @@ def observe_counts(
 
     The counts need no pass of their own; read ``observation.get`` after the action.
     """
+    flagged, observation = observed(flag_rejects(df, rules), name)
+    return flagged.where(F.col(REASON).isNull()).drop(REASON), observation
+
+
+def observed(flagged: DataFrame, name: str = "load") -> tuple[DataFrame, Observation]:
+    """Rows of ``flag_rejects``, with an observation that counts both kinds of them."""
     observation = Observation(name)
-    flagged = flag_rejects(df, rules).observe(
+    rows = flagged.observe(
         observation,
         F.count_if(F.col(REASON).isNull()).alias("added"),
         F.count_if(F.col(REASON).isNotNull()).alias("failed"),
     )
-    return flagged.where(F.col(REASON).isNull()).drop(REASON), observation
+    return rows, observation
 
 
 # --- rules ------------------------------------------------------------------------

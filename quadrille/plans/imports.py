@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_SRID
@@ -18,9 +18,12 @@ from ..operators.profile import (
     string_columns,
 )
 from ..operators.quality import (
+    REASON,
     cell_rule,
     coordinate_rules,
     evaluated_once,
+    flag_rejects,
+    observed,
     split_rejects,
     wkb_rule,
 )
@@ -56,31 +59,71 @@ from ..sources.schema_csv import find_schema_file, load_schema_csv
 _WKB = "__wkb"
 
 
+#: Folder key of ``ImportedFeatures.store``, and its values.
+STATUS, ADDED, FAILED = "status", "added", "failed"
+
+
 @dataclass(frozen=True)
 class ImportedFeatures:
-    """A feature table, the rows that were set aside, and the geometry's description."""
+    """A feature table, the rows that were set aside, and the geometry's description.
+
+    ``flagged`` has both kinds of rows, as features and with the reason for which a row
+    was set aside; None when ``features`` is a sample.
+    """
 
     features: DataFrame
     rejected: DataFrame
     geometry_type: str | None
     srid: int
+    flagged: DataFrame | None = None
 
     def save(
         self, table: str, mode: str = "errorifexists", cluster_zoom: int | None = None
     ) -> dict[str, int]:
         """Save the features as a table, ordered along the grid when a zoom is given.
 
-        Returns how many rows were ``added`` and how many ``failed``.  The first number
-        is taken while the rows are written, the second in a pass over the source.
+        Returns how many rows were ``added`` and how many ``failed``.  Both are counted
+        while the rows are written, in the one pass over the source; only of a sample the
+        failed rows are counted in a second one.
         """
-        df = self.features
+        rows = self._both()
         if cluster_zoom is not None:
-            df = cluster_by_cell(df, cluster_zoom)
+            rows = cluster_by_cell(rows, cluster_zoom)
         # counted last, as clustering also reads a sample of the rows
-        saved = Observation()
-        df = df.observe(saved, F.count(F.lit(1)).alias("added"))
-        df.write.mode(mode).saveAsTable(table)
-        return {"added": saved.get["added"], "failed": self.rejected.count()}
+        rows, counts = observed(rows)
+        good = rows.where(F.col(REASON).isNull()).drop(REASON)
+        good.write.mode(mode).saveAsTable(table)
+        return self._counted(counts.get)
+
+    def store(self, path: str, mode: str = "errorifexists") -> dict[str, int]:
+        """Write features and rejected rows as one dataset, in one job over the source.
+
+        They lie in the folders ``status=added`` and ``status=failed``; the latter have a
+        reason.  ``read_stored`` gives both back.  Returns the counts, as ``save`` does.
+        """
+        rows, counts = observed(self._both())
+        status = F.when(F.col(REASON).isNull(), ADDED).otherwise(FAILED)
+        write = rows.withColumn(STATUS, status).write.mode(mode)
+        write.option("compression", "snappy").partitionBy(STATUS).parquet(path)
+        return self._counted(counts.get)
+
+    def _both(self) -> DataFrame:
+        if self.flagged is not None:
+            return self.flagged
+        return self.features.withColumn(REASON, F.lit(None).cast("string"))
+
+    def _counted(self, counts: dict[str, int]) -> dict[str, int]:
+        failed = counts["failed"] if self.flagged is not None else self.rejected.count()
+        return {"added": counts["added"], "failed": failed}
+
+
+def read_stored(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Features and rejected rows of ``ImportedFeatures.store``; each reads its folder."""
+    rows = spark.read.parquet(path)
+    added, failed = (
+        rows.where(F.col(STATUS) == kind).drop(STATUS) for kind in (ADDED, FAILED)
+    )
+    return added.drop(REASON), failed
 
 
 def import_features(
@@ -126,14 +169,37 @@ def import_features(
     srid = srid_of(placed)
     rules = {**rules, **coordinate_rules(F.col("geometry"), srid)}
     split = split_rejects(placed, rules)
-    good = normalize_import_types(safe_column_names(split.good.drop(_WKB)))
+    good = _typed(split.good)
     if schema_file is None and discover_schema:
         schema_file = find_schema_file(spark, path)
     if schema_file is not None:
         good = apply_schema(good, load_schema_csv(spark, str(schema_file)))
     elif profile_lengths:
         good = _with_measured_lengths(good, df)
-    return ImportedFeatures(sample_rows(good, sample_count), split.rejected, kind, srid)
+    flagged = None
+    if sample_count is None:
+        flagged = _described(flag_rejects(placed, rules), good)
+    good = sample_rows(good, sample_count)
+    return ImportedFeatures(good, split.rejected, kind, srid, flagged)
+
+
+def _typed(placed: DataFrame) -> DataFrame:
+    return normalize_import_types(safe_column_names(placed.drop(_WKB)))
+
+
+def _described(flagged: DataFrame, good: DataFrame) -> DataFrame:
+    """Flagged rows with the names, types and metadata of the good ones."""
+    typed = _typed(flagged)
+    # names can have changed, places have not
+    at = [name for name in flagged.columns if name != _WKB].index(REASON)
+    names = [name for name in typed.columns if name != typed.columns[at]]
+    return typed.select(
+        *[
+            column(name).cast(field.dataType).alias(field.name, metadata=field.metadata)
+            for name, field in zip(names, good.schema)
+        ],
+        column(typed.columns[at]).alias(REASON),
+    )
 
 
 def _with_geometry(

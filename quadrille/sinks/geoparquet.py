@@ -35,6 +35,7 @@ from ..functions.geometry import (
     GEOMETRY_TYPE,
     UNKNOWN_SRID,
     WEB_MERCATOR_SRID,
+    BOUNDS,
     envelope,
     kind,
 )
@@ -150,11 +151,13 @@ def geoparquet_header(
     bbox: Sequence[float] | None = None,
     column: str = "geometry",
     crs: str | None = None,
+    covering: str | None = None,
 ) -> dict:
     """The ``geo`` footer of a file with one WKB geometry column.
 
     ``crs`` is the PROJJSON text of a system other than the two known ones, as it was
-    read from another footer.  SRID 0 stands for an unknown system.
+    read from another footer.  SRID 0 stands for an unknown system.  ``covering`` names
+    the column with the extent of each row.
     """
     if srid in PROJJSON:
         system = PROJJSON[srid]
@@ -165,6 +168,8 @@ def geoparquet_header(
     facts = {"encoding": "WKB", "geometry_types": sorted(kinds), "crs": system}
     if bbox is not None:
         facts["bbox"] = _checked_bbox(bbox)
+    if covering is not None:
+        facts["covering"] = covering_entry(covering)
     return {
         "version": GEOPARQUET_VERSION,
         "primary_column": column,
@@ -172,6 +177,11 @@ def geoparquet_header(
     }
 
 
+def covering_entry(name: str) -> dict:
+    """Where readers find the bounds of a row: the fields of the struct column."""
+    return {"bbox": {side: [name, side] for side in BOUNDS}}
+
+
 def _checked_bbox(bbox: Sequence[float]) -> list[float]:
     """Extent as the file format defines it: all minima, then all maxima, all finite.
 
@@ -224,6 +234,8 @@ def header_from_footers(footers: DataFrame) -> dict | None:
             F.max("crs").alias("crs"),
             F.bool_and("crs_given").alias("crs_given"),
             F.array(*low, *high).alias("bbox"),
+            F.min(F.coalesce("covering", F.lit(""))).alias("covering"),
+            F.max(F.coalesce("covering", F.lit(""))).alias("other_covering"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("geometry_types"))))
             .alias("kinds"),
         )
@@ -241,6 +253,9 @@ def header_from_footers(footers: DataFrame) -> dict | None:
             facts["crs"] = json.loads(row["crs"]) if row["crs"] else None
         if None not in row["bbox"]:
             facts["bbox"] = row["bbox"]
+        # a column that some files lack covers nothing
+        if row["covering"] and row["covering"] == row["other_covering"]:
+            facts["covering"] = json.loads(row["covering"])
         columns[row["column"]] = facts
     return {
         "version": GEOPARQUET_VERSION,
@@ -260,18 +275,30 @@ def write_geoparquet(
     mode: str = "append",
     geometry: str = "geometry",
     header: dict | None = None,
+    covering: str | None = None,
 ) -> str:
     """Write a feature table as GeoParquet 1.1.
 
     Every file carries the extent and the kinds of the whole table.  They are computed
     first, in a pass over the geometry column; a caller who knows them hands in a
     ``header`` (see ``geoparquet_header``) and saves that pass.
+
+    With ``covering`` a column of that name has the extent of each row, and the footer
+    says so.  Readers that look for a window then skip the row groups that lie outside,
+    most of them where the table is clustered (``cluster_by_cell``).
     """
     columns = check_partition_columns(df, partition_columns)
     found = geometry_field(df, geometry).dataType.simpleString()
     if found != GEOMETRY_TYPE:
         raise ValueError(f"Column '{geometry}' is not a geometry but {found}.")
     header = header or header_of(df, geometry)
+    if covering is not None:
+        if covering in df.columns:
+            raise ValueError(f"The table has a column '{covering}' already.")
+        geom = F.col(geometry)
+        df = df.withColumn(covering, F.when(geom.isNotNull(), envelope(geom)))
+        header = json.loads(json.dumps(header))
+        header["columns"]["geometry"]["covering"] = covering_entry(covering)
     if geometry != "geometry":
         df = df.withColumnRenamed(geometry, "geometry")
     arranged = rebalanced(df, columns) if columns else df

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import warnings
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import DEFAULT_SRID
+from ..functions.geometry import BOUNDS, DEFAULT_SRID, envelope, meets_window
 from ..functions.wkb import from_wkb
 from ..names import column, columns
 from ..session import ship_package
@@ -41,8 +42,9 @@ def geoparquet_footers(
     With a ``selector`` (``"year=2023"``) only files of those partitions are looked at.
 
     Columns: ``file, num_rows, version, primary_column, column, encoding,
-    geometry_types, crs, crs_given, bbox``; ``crs`` is JSON text, and ``crs_given``
-    tells a missing entry from an explicit null.  Files without a footer give no row.
+    geometry_types, crs, crs_given, bbox, covering``; ``crs`` and ``covering`` are JSON
+    text, and ``crs_given`` tells a missing entry from an explicit null.  Files without a
+    footer give no row.
     """
     files = file_table(spark, path)
     if selector is not None:
@@ -73,6 +75,7 @@ def geometry_entries(footers: DataFrame) -> DataFrame:
         facts["crs"].alias("crs"),
         F.map_contains_key(facts, "crs").alias("crs_given"),
         F.from_json(facts["bbox"], "array<double>").alias("bbox"),
+        facts["covering"].alias("covering"),
     )
 
 
@@ -226,6 +229,7 @@ class GeoDataset:
     kinds: tuple[str, ...]
     srid: int
     crs: str | None = None
+    covering: str | None = None
 
 
 def describe_geoparquet(
@@ -250,6 +254,7 @@ def describe_geoparquet(
             F.array_distinct(F.flatten(types)).alias("kinds"),
             F.collect_set(F.when(primary, F.col("encoding"))).alias("encodings"),
             F.max(F.when(primary, F.col("crs"))).alias("crs"),
+            F.collect_set(F.when(primary, F.coalesce("covering", F.lit("")))).alias("covering"),
             *_srid_aggregates(geometry_column),
         )
         .first()
@@ -266,9 +271,19 @@ def describe_geoparquet(
         tuple(sorted(row["kinds"] or ())),
         _decide_srid(row) if row["n_primary"] else DEFAULT_SRID,
         row["crs"],
+        _covering_column(row["covering"]),
     )
 
 
+def _covering_column(entries: list[str]) -> str | None:
+    """The struct column that holds the bounds of each row in all files, if one does."""
+    if len(entries) != 1 or not entries[0]:
+        return None
+    paths = json.loads(entries[0]).get("bbox", {})
+    name = (paths.get("xmin") or [None])[0]
+    return name if all(paths.get(side) == [name, side] for side in BOUNDS) else None
+
+
 def has_geoparquet_footer(spark: SparkSession, path: str) -> str | None:
     """Primary column named by the first file of a dataset; None without a footer."""
     footer = read_footers(file_table(spark, path).limit(1)).first()
@@ -310,7 +325,7 @@ def decode_geometry(
     The other geometry columns drop out of the plan, so they are never read.  With
     ``keep_wkb`` the bytes stay under that name.
     """
-    geometries = {*dataset.geometry_columns, name}
+    geometries = {*dataset.geometry_columns, name, dataset.covering}
     attributes = columns(c for c in df.columns if c not in geometries)
     raw = [column(name).alias(keep_wkb)] if keep_wkb else []
     decoded = df.select(*attributes, *raw, from_wkb(column(name)).alias("geometry"))
@@ -322,13 +337,25 @@ def read_geoparquet(
     path: str,
     geometry_column: str | None = None,
     selector: str | None = None,
+    window: Sequence[float] | None = None,
 ) -> DataFrame:
     """Scan a GeoParquet dataset: its attributes and one ``geometry`` struct.
 
     The primary geometry column is decoded, or the one chosen.  Bytes that cannot be
-    decoded give a null geometry.
+    decoded give a null geometry.  With a ``window`` (see ``meets_window``) only features
+    whose extent meets it are read; where the files have a covering column, row groups
+    outside of it are skipped and other geometries are not decoded.
     """
     ship_package(spark)
     df = scan_partition(spark, path, selector) if selector else scan_parquet(spark, path)
     dataset = describe_geoparquet(spark, path, selector, geometry_column)
-    return decode_geometry(df, geometry_name(df, dataset, geometry_column), dataset)
+    name = geometry_name(df, dataset, geometry_column)
+    if window is None:
+        return decode_geometry(df, name, dataset)
+    if dataset.covering is not None:
+        met = df.where(meets_window(column(dataset.covering), window))
+        return decode_geometry(met, name, dataset)
+    found = decode_geometry(df, name, dataset)
+    box = F.col("__box")
+    placed = found.withColumn("__box", envelope(F.col("geometry")))
+    return placed.where(meets_window(box, window)).drop("__box")

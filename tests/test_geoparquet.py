@@ -428,3 +428,98 @@ def test_format_is_registered_once_per_session(spark, folder):
     write_geoparquet(points(spark, 3), folder)
     write_geoparquet(points(spark, 3), folder)
     assert FORMAT_NAME == "quadrille_geoparquet"
+
+
+# --- covering -----------------------------------------------------------------------
+
+
+def rows_scanned(df):
+    """Rows that a scan hands on after it skipped row groups."""
+    execution = df._jdf.queryExecution()
+    df.sparkSession.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        copy = df.select("*")
+        copy._jdf.queryExecution().executedPlan().executeCollect()
+        plan = copy._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves()
+        return leaves.apply(0).metrics().apply("numOutputRows").value()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        del execution
+
+
+@pytest.fixture
+def covered(spark, folder):
+    from quadrille.sinks.parquet import cluster_by_cell
+
+    df = spark.range(0, 6400, 1, 4).select(
+        "id",
+        ((F.col("id") % 80) * 4.5 - 180.0).alias("x"),
+        (F.floor(F.col("id") / 80) * 2.0 - 80.0).alias("y"),
+    )
+    features = points_from_xy(df, "x", "y")
+    odd = features.where("id = 7").withColumn("geometry", F.lit(None).cast(features.schema["geometry"].dataType))
+    odd = odd.withMetadata("geometry", {"srid": 4326})
+    clustered = cluster_by_cell(features, 6, partitions=40).drop("cell").unionByName(odd)
+    write_geoparquet(clustered, folder, covering="bbox")
+    return folder
+
+
+def test_covering_in_the_footer(spark, covered):
+    for footer in footers(covered):
+        entry = footer["columns"]["geometry"]["covering"]
+        assert entry == {"bbox": {s: ["bbox", s] for s in ("xmin", "ymin", "xmax", "ymax")}}
+    raw = pq.read_table(files(covered)[0]).to_pylist()
+    assert all(r["bbox"]["xmin"] == r["bbox"]["xmax"] == r["x"] for r in raw)
+    assert describe_geoparquet(spark, covered).covering == "bbox"
+    # it is no attribute, and without a window nothing is left out
+    df = read_geoparquet(spark, covered)
+    assert df.columns == ["id", "x", "y", "geometry"] and df.count() == 6401
+    with pytest.raises(ValueError, match="already"):
+        write_geoparquet(df, covered + "-2", covering="id")
+
+
+@pytest.mark.parametrize(
+    "window",
+    [(-10, -10, 20, 15), (170, -30, -170, 30), (-180, -90, 180, 90), (1.0, 1.0, 1.5, 1.5)],
+)
+def test_windows_skip_row_groups(spark, covered, window):
+    west, south, east, north = window
+    df = read_geoparquet(spark, covered, window=window)
+
+    def inside(x, y):
+        across = x >= west or x <= east if west > east else west <= x <= east
+        return across and south <= y <= north
+
+    expected = {
+        i for i in range(6400) if inside(i % 80 * 4.5 - 180.0, i // 80 * 2.0 - 80.0)
+    }
+    assert {r["id"] for r in df.collect()} == expected
+    # the row groups that are read are those whose bounds meet the window
+    groups = 0
+    for file in files(covered):
+        table = pq.read_table(file)
+        if any(inside(r["x"], r["y"]) for r in table.to_pylist() if r["bbox"]):
+            groups += table.num_rows
+    scanned = rows_scanned(df)
+    assert groups <= scanned
+    if len(expected) < 1000:
+        assert scanned < 6400 / 3
+
+
+def test_windows_without_a_covering(spark, folder):
+    write_geoparquet(points(spark, 100), folder)
+    df = read_geoparquet(spark, folder, window=(1.0, -2.0, 3.0, 0.0))
+    assert sorted(r["id"] for r in df.collect()) == list(range(10, 21))
+    assert df.columns == ["id", "x", "y", "geometry"]
+    with pytest.raises(ValueError, match="ends before"):
+        read_geoparquet(spark, folder, window=(0, 3, 1, 1))
+
+
+def test_covering_survives_a_compaction(spark, covered):
+    from quadrille.sinks.compact import compact_dataset
+
+    target = compact_dataset(spark, covered, f"{covered}-compact")
+    assert len(files(target)) == 1
+    assert describe_geoparquet(spark, target).covering == "bbox"
+    assert read_geoparquet(spark, target, window=(-10, -10, 20, 15)).count() > 0

@@ -399,6 +399,64 @@ def test_save_as_table(spark, tmp_path):
     assert saved.schema["name"].metadata == {"alias": "name", "length": 10}
 
 
+@pytest.fixture
+def mixed(tmp_path):
+    """100 rows, every fifth off the map."""
+    columns = {
+        "id": list(range(100)),
+        "Odd Name!": [f"n{i}" for i in range(100)],
+        "x": [float(i) for i in range(100)],
+        "y": [95.0 if i % 5 == 0 else i / 2 for i in range(100)],
+        "tags": [["a"] * (i % 3) for i in range(100)],
+    }
+    write_file(tmp_path / "mixed" / "a.parquet", columns)
+    return str(tmp_path / "mixed")
+
+
+@pytest.mark.parametrize("cluster_zoom", [None, 6])
+def test_both_kinds_of_rows_are_counted_while_they_are_saved(spark, mixed, cluster_zoom):
+    loaded = import_features(spark, mixed, "COORDINATES", ["x", "y"])
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("saving", "saving")
+    counts = loaded.save("imported_mixed", mode="overwrite", cluster_zoom=cluster_zoom)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts == {"added": 80, "failed": 20}
+    if cluster_zoom is None:
+        assert len(jobs.getJobIdsForGroup("saving")) == 1
+    saved = spark.table("imported_mixed")
+    assert saved.count() == 80 and "reject_reason" not in saved.columns
+    assert saved.drop("cell").dtypes == loaded.features.dtypes
+    assert saved.schema["tags"].metadata == loaded.features.schema["tags"].metadata
+
+
+def test_both_kinds_of_rows_are_stored_by_one_job(spark, mixed, folder):
+    from quadrille.plans.imports import read_stored
+
+    loaded = import_features(spark, mixed, "COORDINATES", ["x", "y"])
+    plan = loaded.flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert loaded.store(folder) == {"added": 80, "failed": 20}
+    features, rejected = read_stored(spark, folder)
+    assert features.exceptAll(loaded.features).isEmpty() and features.count() == 80
+    assert {f.name: f.metadata for f in features.schema} == {
+        f.name: f.metadata for f in loaded.features.schema
+    }
+    reasons = {r["reject_reason"] for r in rejected.collect()}
+    assert reasons == {"latitude out of range"} and rejected.count() == 20
+    ids = sorted(r["id"] for r in rejected.collect())
+    assert ids == sorted(r["id"] for r in loaded.rejected.collect())
+    # each reads its own folder only
+    assert "PartitionFilters: [isnotnull(status" in features._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="already exists"):
+        loaded.store(folder)
+    assert loaded.store(folder, mode="append") == {"added": 80, "failed": 20}
+
+
+def test_a_sample_is_counted_too(spark, mixed):
+    loaded = import_features(spark, mixed, "COORDINATES", ["x", "y"], sample_count=7)
+    assert loaded.save("imported_sample", mode="overwrite") == {"added": 7, "failed": 20}
+
+
 def test_alias_and_length_survive_export_and_compaction(spark, odd_names, folder):
     names = ["x", "y"]
     loaded = import_features(spark, odd_names, "COORDINATES", names)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.functions.geometry import centroid, envelope, first_point, kind
+from quadrille.functions.geometry import BOUNDS, centroid, envelope, first_point, kind
 from quadrille.functions.text import partition_fallback
 from quadrille.functions.wkb import to_wkb
 from quadrille.plans.export import export_features
-from quadrille.plans.imports import import_features
+from quadrille.plans.imports import import_features, read_stored
 from quadrille.session import scratch_path
 from quadrille.sinks.compact import compact_dataset
 from quadrille.sinks.geoparquet import write_geoparquet
@@ -276,6 +276,27 @@ def bbox_of_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bbox_from_footers(geoparquet_footers(spark, path))
 
 
+_WINDOW = (-30.0, -20.0, 45.0, 50.0)
+
+
+@query(
+    "window_scan",
+    f"""
+WITH {PTS_SQL}
+SELECT k, lon, lat, lon AS xmin, lat AS ymin, lon+{HALF} AS xmax, lat+{HALF} AS ymax
+FROM pts WHERE lon <= 45 AND lon+{HALF} >= -30 AND lat <= 50 AND lat+{HALF} >= -20
+""",
+)
+def squares_in_a_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clustered squares with an extent per row, of which a window is read."""
+    clustered = cluster_by_cell(squares(spark, sf_dir), 8).drop("cell")
+    path = _geoparquet(spark, clustered, "covered", rows_per_file=2000, covering="bbox")
+    box = envelope(F.col("geometry"))
+    return read_geoparquet(spark, path, window=_WINDOW).select(
+        "k", "lon", "lat", *[box[side].alias(side) for side in BOUNDS]
+    )
+
+
 @query("wkb_column", f"WITH {PTS_SQL} SELECT k, lon AS x, lat AS y FROM pts")
 def points_of_wkb_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plain Parquet file with a WKB column and no ``geo`` footer."""
@@ -317,6 +338,36 @@ def import_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.rejected.select("k", "lon", "lat", "reject_reason")
 
 
+@query(
+    "import_store",
+    f"""
+WITH {BAD_SQL},
+judged AS (
+  SELECT k, lon, lat,
+    CASE WHEN lon IS NOT NULL AND abs(lat) > 90 THEN 'latitude out of range' END AS reason
+  FROM bad)
+SELECT k, lon, lat, reason AS reject_reason,
+       count(*) FILTER (reason IS NULL) OVER () AS added,
+       count(*) FILTER (reason IS NOT NULL) OVER () AS failed
+FROM judged
+""",
+)
+def store_good_and_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both kinds of rows from one job, and the counts that it took on the way."""
+    path = write_parquet(bad_coordinates(spark, sf_dir), scratch_path(spark, "bad-coordinates"))
+    loaded = import_features(spark, path, "COORDINATES", ["lon", "lat"])
+    target = scratch_path(spark, "stored")
+    counts = loaded.store(target)
+    features, rejected = read_stored(spark, target)
+    columns = ["k", "lon", "lat"]
+    return (
+        features.select(*columns, F.lit(None).cast("string").alias("reject_reason"))
+        .unionByName(rejected.select(*columns, "reject_reason"))
+        .withColumn("added", F.lit(counts["added"]).cast("bigint"))
+        .withColumn("failed", F.lit(counts["failed"]).cast("bigint"))
+    )
+
+
 @query(
     "export_import",
     """
