@@ -26,13 +26,21 @@ def export_attributes(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     return df.drop(geometry)
 
 
+def with_centroid(df: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """The table with the centroid of its geometry as two numbers beside it.
+
+    They are in the table's own reference system.
+    """
+    placed = df.withColumn("__centre", centroid(F.col(geometry)))
+    centre = F.col("__centre")
+    return placed.select(
+        *columns(df.columns), centre["x"].alias(X_COLUMN), centre["y"].alias(Y_COLUMN)
+    )
+
+
 def export_xy(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Centroid coordinates as two numbers, in the table's own reference system."""
-    attributes = _attributes(df, geometry)
-    centre = F.col("__centre")
-    return df.select(
-        *attributes, centroid(F.col(geometry)).alias("__centre")
-    ).select(*attributes, centre["x"].alias(X_COLUMN), centre["y"].alias(Y_COLUMN))
+    return with_centroid(df, geometry).drop(geometry)
 
 
 def export_geojson(df: DataFrame, geometry: str = "geometry") -> DataFrame:

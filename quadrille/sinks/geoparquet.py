@@ -46,7 +46,7 @@ from ..session import ship_package
 from ..sources.columns import geometry_field, srid_of
 from ..sources.files import NULL_PARTITION, file_table
 from ..storage import open_filesystem, qualified
-from .parquet import DEFAULT_ROWS_PER_FILE, rebalanced
+from .parquet import DEFAULT_ROWS_PER_FILE, rebalanced, rows_of_bytes
 
 GEOPARQUET_VERSION = "1.1.0"
 FORMAT_NAME = "quadrille_geoparquet"
@@ -276,6 +276,7 @@ def write_geoparquet(
     geometry: str = "geometry",
     header: dict | None = None,
     covering: str | None = None,
+    file_bytes: int | None = None,
 ) -> str:
     """Write a feature table as GeoParquet 1.1.
 
@@ -285,7 +286,8 @@ def write_geoparquet(
 
     With ``covering`` a column of that name has the extent of each row, and the footer
     says so.  Readers that look for a window then skip the row groups that lie outside,
-    most of them where the table is clustered (``cluster_by_cell``).
+    most of them where the table is clustered (``cluster_by_cell``).  ``file_bytes`` is
+    that of ``write_parquet``.
     """
     columns = check_partition_columns(df, partition_columns)
     found = geometry_field(df, geometry).dataType.simpleString()
@@ -301,6 +303,9 @@ def write_geoparquet(
         header["columns"]["geometry"]["covering"] = covering_entry(covering)
     if geometry != "geometry":
         df = df.withColumnRenamed(geometry, "geometry")
+    rows_per_file = rows_of_bytes(
+        df, file_bytes, rows_per_file, lambda rows, to: save_geoparquet(rows, to, header)
+    )
     arranged = rebalanced(df, columns) if columns else df
     return save_geoparquet(arranged, path, header, columns, rows_per_file, mode)
 

@@ -36,6 +36,35 @@ def test_rows_per_file(spark, folder):
     )
 
 
+@pytest.mark.parametrize("kind", ["narrow", "wide", "geometry"])
+def test_files_of_a_size(spark, folder, kind):
+    """Rows of a few bytes and of thousands give files of about the same size."""
+    from quadrille.sources.columns import points_from_xy
+
+    if kind == "wide":
+        parts = F.concat(*[F.sha2(F.concat(F.lit(str(i)), "id"), 512) for i in range(30)])
+        df = spark.range(0, 3000, 1, 1).select("id", parts.alias("text"))
+    else:
+        df = spark.range(0, 400_000, 1, 1).select("id", F.xxhash64("id").alias("h"))
+    target = 1_000_000
+    if kind == "geometry":
+        df = points_from_xy(df.withColumn("y", F.col("id") % 80 + 0.1), "id", "y")
+        write_geoparquet(df, folder, file_bytes=target)
+    else:
+        write_parquet(df, folder, file_bytes=target)
+    sizes = [f.stat().st_size for f in files(folder)]
+    assert len(sizes) > 4
+    assert sorted(sizes)[1] > 0.7 * target and max(sizes) < 1.3 * target
+    assert scan_parquet(spark, folder).count() == df.count()
+
+
+def test_size_of_an_empty_table(spark, folder):
+    write_parquet(spark.range(0), folder, file_bytes=1000)
+    assert scan_parquet(spark, folder).count() == 0
+    with pytest.raises(ValueError, match="file_bytes"):
+        write_parquet(spark.range(1), folder, file_bytes=0)
+
+
 def test_modes(spark, folder):
     write_parquet(spark.range(10), folder)
     write_parquet(spark.range(10), folder)
@@ -298,6 +327,22 @@ def test_export_options(spark, features, tmp_path):
     assert df.columns == ["id", "geometry"] and df.count() == 3
 
 
+def test_export_with_centroids(spark, features, tmp_path):
+    for chosen in ("GEOPARQUET", "CELL", "GEOJSON", "XY"):
+        path = str(tmp_path / chosen)
+        export_features(
+            features, path, geometry_format=chosen, include_centroids=True, zoom=6
+        )
+        df = scan_parquet(spark, path)
+        assert {"x_lon", "y_lat"} <= set(df.columns)
+        assert (df.where("id = 0").first()["x_lon"], df.columns.count("x_lon")) == (1.5, 1)
+    path = str(tmp_path / "covered")
+    header = {"version": "1.1.0", "primary_column": "geometry", "columns": {"geometry": {"encoding": "WKB", "geometry_types": []}}}
+    export_features(features, path, header=header, covering="bbox", file_bytes=10_000_000)
+    footer = geoparquet_footers(spark, path).first()
+    assert footer["covering"] is not None and footer["bbox"] is None
+
+
 def test_export_of_a_table_without_geometry(spark, folder):
     spark.range(5).write.mode("overwrite").saveAsTable("plain_rows")
     export_features("plain_rows", folder)

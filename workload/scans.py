@@ -114,6 +114,13 @@ def write_and_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, write_parquet(orders, path, rows_per_file=5000))
 
 
+@query("sized_roundtrip", "SELECT * FROM lineitem")
+def write_files_of_bytes_and_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "sized")
+    return scan_parquet(spark, write_parquet(lineitem, path, file_bytes=1 << 18))
+
+
 @query("partition_roundtrip", "SELECT * FROM lineitem")
 def write_and_scan_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, _partitioned_lineitem(spark, sf_dir, "lineitem"))
