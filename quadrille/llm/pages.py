@@ -6,8 +6,13 @@ of elements with their classes.  For each node the entropy over pages of its pre
 varies; what is the same on every page of a site belongs to the site and not to the page.
 A branch whose importance, the weighted mean of both entropies, is low is removed from
 each page, and so is one whose element or class says that it is no part of an article.
-Inside an article only whole classes say so, and a branch whose class could be the
-article's own stays if it varies.  Elements that mark the article itself are kept, and copies of a page count as one.
+Inside an article the tree removes what has the same text on all pages of a host; names
+say less there, and a branch whose name could be the article's own stays if it varies.
+The elements that mark the article itself and its headings are kept, and copies of a page
+count as one.
+
+A page is read in one pass; what it takes grows with its length, however deep its elements
+are nested.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, stored
 
 #: Weight of the content against the presentation.
 CONTENT_WEIGHT = 0.7
@@ -30,8 +35,10 @@ CONTENT_WEIGHT = 0.7
 LEAST_IMPORTANCE = 0.3
 #: Distinct pages of a host that a node must be on before its entropy counts.
 LEAST_PAGES = 4
-#: Parts of a host's pages that meet its unimportant paths in different tasks.
-SALTS = 64
+#: Bytes of unimportant paths that are sent to all tasks; more meet the pages in a shuffle.
+BROADCAST_BYTES = 64 << 20
+#: A host with more than one page in so many is divided then; there are fewer such hosts.
+HOT_HOSTS = 10_000
 
 # HTML elements by their part in a page
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -72,59 +79,88 @@ AMBIGUOUS_NAMES = frozenset(
     "banner consent copyright discussion footer notice notices related replies respond"
     " search share sharing social sponsor widget".split()
 )
+#: What readers write below an article, also where it varies by page.
+READER_NAMES = frozenset("comment comments disqus".split())
+#: Elements that hold others.  In their names inside an article parts count too.
+CONTAINERS = frozenset("aside details dialog div dl fieldset form nav ol section table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Named so on a page they are outside; inside an article they are its own.
 OUTER_ONLY = frozenset(["header"])
 
+# attributes as the states of an HTML tokenizer read them: a quote opens a value only where
+# the value begins, so unquoted values may hold quotes
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
+    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)"
+    rf"(?P<rest>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+{_VALUE})?+)*+)>"
     r"|<[A-Za-z/][^>]*>|[^<]+|<",
     re.S,
 )
 _ATTRIBUTE = re.compile(
-    r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I
+    r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>][^\s>]*+)))?+"
 )
 _NAME = re.compile(r"[a-z]+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
-    """An open element."""
+    """An open element.  Its path is a digest of its parent's and its own step."""
 
     tag: str
-    path: str
+    path: int
     outside: bool
     inside: bool
     ambiguous: bool
-    nodes: tuple[int, ...]
+    number: int  # among the nodes of the page
+    parent: int
+    block: int  # place in the stack of the nearest block, its own included
+    begin: int  # first block of text below it, and the one behind the last
+    end: int = -1
     children: list[str] = field(default_factory=list)
 
     @property
     def key(self) -> int:
-        """Digest of the path; odd for an ambiguous name."""
-        return _digest(self.path) & ~1 | self.ambiguous
+        """The path; odd for an ambiguous name."""
+        return self.path & ~1 | self.ambiguous
 
 
 @dataclass
 class Page:
-    """Blocks of text with the numbers of the elements that hold them, and the elements."""
+    """Blocks of text with the number of the element that holds them, and the elements."""
 
-    blocks: list[tuple[str, Node]] = field(default_factory=list)
+    blocks: list[tuple[str, int]] = field(default_factory=list)
     nodes: list[Node] = field(default_factory=list)
 
 
-def _attributes(rest: str) -> tuple[str, set[str], str]:
-    classes, names, role = "", set(), ""
+def _attributes(rest: str) -> tuple[str, str, str]:
+    """The classes, the id and the role, in lower case."""
+    found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(rest):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if m[1].lower() == "role":
-            role = value.strip()
-        else:
-            names.update(_NAME.findall(value))
-            if m[1].lower() == "class":
-                classes = ".".join(sorted(value.split()))
-    return classes, names, role
+        name = m[1].lower()
+        # of an attribute that comes twice the first counts
+        if name in ("class", "id", "role") and name not in found:
+            found[name] = (m[2] or m[3] or m[4] or "").lower()
+    return found.get("class", ""), found.get("id", "").strip(), found.get("role", "").strip()
+
+
+def _named_outside(tag: str, classes: list[str], own_id: str) -> tuple[bool, bool]:
+    """Whether names inside an article say that an element is no part of it, or may say so.
+
+    Whole classes do, for containers also parts of a class, their whole id, and parts of
+    the id that speak of readers.  Other parts of an id may say so, and so may the names
+    that an article's own elements have too.
+    """
+    whole = OUTSIDE_NAMES.intersection(classes)
+    sure = not whole <= AMBIGUOUS_NAMES
+    maybe = bool(whole)
+    if tag in CONTAINERS:
+        strong = OUTSIDE_NAMES - AMBIGUOUS_NAMES
+        parts = set(_NAME.findall(own_id))
+        sure = sure or not strong.isdisjoint(_NAME.findall(" ".join(classes)))
+        sure = sure or own_id in strong or not READER_NAMES.isdisjoint(parts)
+        maybe = maybe or not strong.isdisjoint(parts)
+    return sure, maybe
 
 
 def read_page(source: str) -> Page:
@@ -134,19 +170,24 @@ def read_page(source: str) -> Page:
     items end their neighbours.  Line breaks are white space.
     """
     page = Page()
-    root = Node("", "", False, False, False, ())
+    root = Node("", _digest(""), False, False, False, -1, -1, 0, 0)
     stack, text = [root], []
+    # how many elements of a name are open
+    opened: dict[str, int] = {}
 
     def flush() -> None:
         if text:
             block = " ".join(html.unescape("".join(text)).split())
             if block:
-                page.blocks.append((block, stack[-1]))
+                page.blocks.append((block, stack[-1].number))
             text.clear()
 
     def close_to(depth: int) -> None:
-        if any(node.tag in BLOCKS for node in stack[depth:]):
+        if stack[-1].block >= depth:
             flush()
+        for node in stack[depth:]:
+            node.end = len(page.blocks)
+            opened[node.tag] -= 1
         del stack[depth:]
 
     at, size = 0, len(source)
@@ -155,15 +196,18 @@ def read_page(source: str) -> Page:
         at = m.end()
         tag = m["tag"]
         if tag is None:
-            if source[m.start()] != "<" or m.end() - m.start() == 1:
+            if m["data"] is not None:
+                text.append(html.escape(m["data"]))
+            elif source[m.start()] != "<" or m.end() - m.start() == 1:
                 text.append(m.group())
             continue
         tag = tag.lower()
         if m["end"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    close_to(depth)
-                    break
+            if opened.get(tag):
+                depth = len(stack) - 1
+                while stack[depth].tag != tag:
+                    depth -= 1
+                close_to(depth)
             continue
         if tag in VOID:
             if tag in BLOCKS:
@@ -172,34 +216,26 @@ def read_page(source: str) -> Page:
             continue
         if tag in BLOCKS:
             flush()
-            for depth in range(len(stack) - 1, 0, -1):
-                open_tag = stack[depth].tag
-                if open_tag == "p":
-                    close_to(depth)
-                    break
-                if any(tag in group and open_tag in group for group in SIBLINGS):
-                    close_to(depth)
-                    break
-                if open_tag in BLOCKS:
-                    break
+            depth = stack[-1].block
+            open_tag = stack[depth].tag
+            if open_tag == "p" or any(tag in g and open_tag in g for g in SIBLINGS):
+                close_to(depth)
         parent = stack[-1]
-        classes, names, role = _attributes(m["rest"]) if m["rest"] else ("", (), "")
+        classes, own_id, role = _attributes(m["rest"]) if m["rest"] else ("", "", "")
+        words = sorted(classes.split())
         inside = parent.inside or tag in ARTICLE
         # an article may be called anything; inline elements are part of their block
         outside = parent.outside or tag in OUTSIDE or role in OUTSIDE_ROLES
         ambiguous = False
         if inside and tag in BLOCKS and tag not in ARTICLE and tag not in HEADINGS:
-            # ids and parts of names are the article's own there
-            told = OUTSIDE_NAMES.intersection(classes.split("."))
-            outside = outside or not told <= AMBIGUOUS_NAMES
-            ambiguous = bool(told)
+            sure, ambiguous = _named_outside(tag, words, own_id)
+            outside = outside or sure
         elif not inside and tag != "body" and tag in BLOCKS:
+            names = {*_NAME.findall(classes), *_NAME.findall(own_id)}
             outside = outside or not OUTSIDE_NAMES.isdisjoint(names)
             if tag in OUTER_ONLY or not OUTER_ONLY.isdisjoint(names):
                 outside = True
-        step = f"{tag}.{classes}" if classes else tag
-        path, nodes = f"{parent.path}/{step}", (*parent.nodes, len(page.nodes))
-        node = Node(tag, path, outside, inside, ambiguous, nodes)
+        step = f"{tag}.{'.'.join(words)}" if words else tag
         if not parent.children or parent.children[-1] != step:
             parent.children.append(step)
         if tag in RAW:
@@ -208,82 +244,116 @@ def read_page(source: str) -> Page:
             continue
         if m["rest"].endswith("/"):
             continue
+        node = Node(
+            tag,
+            _digest(f"{parent.path}/{step}"),
+            outside,
+            inside,
+            ambiguous,
+            len(page.nodes),
+            parent.number,
+            len(stack) if tag in BLOCKS else parent.block,
+            len(page.blocks),
+        )
         page.nodes.append(node)
         stack.append(node)
+        opened[tag] = opened.get(tag, 0) + 1
     flush()
+    close_to(1)
     return page
 
 
 def _digest(value: str) -> int:
-    return int.from_bytes(hashlib.blake2b(value.encode(), digest_size=8).digest(), "big", signed=True)
+    return int.from_bytes(hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+# fixed values: a prime and a base of sums that tell lists of texts apart
+_PRIME = (1 << 61) - 1
+_BASE = 0x1D2C3B4A59687
 
 
 def _tree_rows(page: Page) -> Iterator[tuple[int, int, int]]:
-    """Key, presentation and content of each node; equal paths of a page are one node."""
-    looks: dict[str, list[str]] = {}
-    texts: dict[str, list[str]] = {}
-    keys: dict[str, int] = {}
+    """Key, presentation and content of each node; equal paths of a page are one node.
+
+    The blocks below a node are neighbours, so its content is told by the difference of
+    two running sums.
+    """
+    sums, powers = [0], [1]
+    for block, _ in page.blocks:
+        sums.append((sums[-1] * _BASE + _digest(block)) % _PRIME)
+        powers.append(powers[-1] * _BASE % _PRIME)
+    merged: dict[int, tuple[list[str], list[str]]] = {}
+    keys: dict[int, int] = {}
     for node in page.nodes:
         if node.tag in BLOCKS:
-            if node.path not in looks:
-                keys[node.path] = node.key
-            looks.setdefault(node.path, []).append(" ".join(node.children))
-    for block, holder in page.blocks:
-        paths = {page.nodes[n].path for n in holder.nodes}
-        for path in paths & looks.keys():
-            texts.setdefault(path, []).append(block)
-    for path, look in looks.items():
-        yield keys[path], _digest("|".join(look)), _digest("\n".join(texts.get(path, ())))
+            keys.setdefault(node.path, node.key)
+            looks, texts = merged.setdefault(node.path, ([], []))
+            looks.append(" ".join(node.children))
+            count = node.end - node.begin
+            content = (sums[node.end] - sums[node.begin] * powers[count]) % _PRIME
+            texts.append(f"{count}:{content}")
+    for path, (looks, texts) in merged.items():
+        yield keys[path], _digest("|".join(looks)), _digest(" ".join(texts))
+
+
+_NONE: frozenset[int] = frozenset()
 
 
 def _main_text(
     page: Page,
     dull: frozenset[int],
-    alike: frozenset[int] = frozenset(),
-    varied: frozenset[int] = frozenset(),
+    alike: frozenset[int] = _NONE,
+    varied: frozenset[int] = _NONE,
+    constant: frozenset[int] = _NONE,
 ) -> str:
     """Blocks that are left when outside and unimportant branches are removed.
 
     Unimportant branches stay where nothing would be left without them.  Branches that
     are only known to be ``alike`` on copies go where the page marks its article.  Inside
-    it, branches with an ambiguous name go unless they are known to be ``varied``.
+    it, branches with a ``constant`` text go, and those with an ambiguous name unless they
+    are known to be ``varied``.
     """
-    held = [False] * len(page.nodes)
-    for node in page.nodes:
+    nodes = page.nodes
+    held = [False] * len(nodes)
+    for node in nodes:
         # a branch that holds the article goes with nothing
         if node.tag in ARTICLE and not node.outside:
-            for n in node.nodes:
-                held[n] = True
+            at = node.number
+            while at >= 0 and not held[at]:
+                held[at] = True
+                at = nodes[at].parent
     if any(held):
         dull |= alike
-    dropped: dict[str, bool] = {}
-
-    def unimportant(n: int) -> bool:
-        node = page.nodes[n]
-        if node.ambiguous and varied:
-            if node.path not in dropped:
-                dropped[node.path] = node.key not in varied
-            return dropped[node.path]
-        if node.inside or held[n] or not dull:
-            return node.ambiguous
-        if node.path not in dropped:
-            dropped[node.path] = node.key in dull
-        return dropped[node.path]
-
-    own = [(block, holder) for block, holder in page.blocks if not holder.outside]
-    left = [b for b, holder in own if not any(map(unimportant, holder.nodes))]
+
+    def unimportant(node: Node) -> bool:
+        if node.ambiguous and (varied or node.key in constant):
+            return node.key not in varied
+        if node.inside or held[node.number]:
+            own = not held[node.number] and node.tag in BLOCKS and node.tag not in HEADINGS
+            return node.ambiguous or (own and node.key in constant)
+        return node.ambiguous or node.key in dull
+
+    # parents come before their children
+    gone = [False] * len(nodes)
+    for node in nodes:
+        above = node.parent >= 0 and gone[node.parent]
+        gone[node.number] = above or unimportant(node)
+    own = [(b, n) for b, n in page.blocks if n < 0 or not nodes[n].outside]
+    left = [b for b, n in own if n < 0 or not gone[n]]
     return "\n".join(left or [b for b, _ in own])
 
 
 def site_importance(pages: DataFrame) -> DataFrame:
-    """``host, path, importance, n, alike`` of each node of the merged trees of ``pages``.
+    """``host, path, importance, n, alike, constant`` of the nodes of the merged trees.
 
     ``pages`` has ``host`` and ``html``.  Pages of a host with the same text, as the
     elements and classes leave it, are copies and count once: what varies by page stays
     varied however often a page comes.  ``n`` pages have the node, and it is ``alike``
-    where at least ``LEAST_PAGES`` rows, copies included, do not differ in it.  The tree of a page, not its source, is shuffled
-    to tell copies; they and counts of equal presentations and contents are combined
-    before the shuffle, so a host or a page may hold any share of the rows.
+    where at least ``LEAST_PAGES`` rows, copies included, do not differ in it, and
+    ``constant`` where as many distinct pages have the same text there.  The tree of a
+    page, not its source, is shuffled to tell copies; they and counts of equal
+    presentations and contents are combined before the shuffle, so a host or a page may
+    hold any share of the rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,6 +408,9 @@ def site_importance(pages: DataFrame) -> DataFrame:
         F.sum("c").alias("n"),
         F.sum(F.col("c") * F.log("c")).alias("same"),
         ((F.count("*") == 1) & (F.sum("rows") >= LEAST_PAGES)).alias("alike"),
+        ((F.col("kind") == 1) & (F.count("*") == 1) & (F.sum("c") >= LEAST_PAGES)).alias(
+            "constant"
+        ),
     )
     entropy = F.when(F.col("n") < LEAST_PAGES, 1.0).otherwise(
         1 - F.col("same") / (F.col("n") * F.log("n"))
@@ -346,6 +419,7 @@ def site_importance(pages: DataFrame) -> DataFrame:
         F.sum(weight * entropy).alias("importance"),
         F.max("n").alias("n"),
         F.every("alike").alias("alike"),
+        F.some("constant").alias("constant"),
     )
 
 
@@ -362,9 +436,10 @@ def extract_main_text(
     host in their address are judged by themselves.  Repeated rows and null ids stay as
     they are; an empty table gives no rows; other columns are not read.
 
-    Only the paths that are unimportant on a host, and those of ambiguous names that are
-    not, return to its pages.  They are on several pages alike, so their number follows the templates of a host and not its
-    pages; a copy of them goes to each part of a host that holds many pages.
+    Only paths that a host's pages have in common, and varied ones of ambiguous names,
+    return to its pages, so their number follows the templates of a host and not its
+    pages.  While all of them are few they are sent to all tasks, and no page is shuffled;
+    beyond that they meet the pages by host, and hosts with many pages are divided.
     """
     host = F.lower(F.regexp_extract(url_column, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1))
     rows = pages.select(
@@ -376,22 +451,26 @@ def extract_main_text(
     importance = site_importance(rows.where("host IS NOT NULL"))
     unimportant = F.col("importance") < LEAST_IMPORTANCE
     varied = ~unimportant & (F.col("n") >= LEAST_PAGES) & (F.expr("path & 1") == 1)
-    dull = (
+
+    def listed(condition):
+        return F.sort_array(F.collect_list(F.when(condition, F.col("path"))))
+
+    judged = ["dull", "alike", "varied", "constant"]
+    conditions = [unimportant, F.col("alike"), varied, F.col("constant")]
+    found = (
         importance.groupBy("host")
         .agg(
-            F.sort_array(F.collect_list(F.when(unimportant, F.col("path")))).alias("dull"),
-            F.sort_array(F.collect_list(F.when(F.col("alike"), F.col("path")))).alias("alike"),
-            F.sort_array(F.collect_list(F.when(varied, F.col("path")))).alias("varied"),
+            *[listed(c).alias(name) for c, name in zip(conditions, judged)],
             F.max("n").alias("n"),
         )
         .withColumn("alike", F.when(F.col("n") < LEAST_PAGES, F.col("alike")))
-        .where("size(dull) > 0 OR size(alike) > 0 OR size(varied) > 0")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    judged = ["dull", "alike", "varied"]
-    salted = rows.withColumn(
-        "salt", F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")
+        .withColumn("paths", sum((F.coalesce(F.size(c), F.lit(0)) for c in judged), F.lit(0)))
+        .where("paths > 0")
     )
+    found = stored(found.select("host", *judged, "paths"), "site_paths")
+    size = found.agg(F.sum(F.col("paths") * 8 + F.octet_length("host") + 64)).first()[0] or 0
+    small = size <= BROADCAST_BYTES
+    met = rows.join(F.broadcast(found), "host", "left") if small else _by_host(rows, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -410,8 +489,24 @@ def extract_main_text(
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    joined = salted.join(dull, ["host", "salt"], "left").select(
-        "id", "url", "html", *judged
-    )
+    joined = met.select("id", "url", "html", *judged)
     out = map_arrow(joined, run, f"id {kind}, url string, text string, n_chars bigint")
     return out.withColumnRenamed("id", id_column).withColumnRenamed("url", url_column)
+
+
+def _by_host(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with the paths of their host; a host with many rows is divided into parts."""
+    total = rows.count()
+    often = rows.groupBy("host").agg(F.count("*").alias("pages"))
+    # fewer than HOT_HOSTS hosts have more than that share of the rows
+    hot = often.where(F.col("pages") * HOT_HOSTS > total).select(
+        "host", F.ceil(F.col("pages") * HOT_HOSTS / F.lit(total)).cast("int").alias("parts")
+    )
+    parts = F.coalesce("parts", F.lit(1))
+    salted = rows.join(F.broadcast(hot), "host", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("id", "url"), parts).cast("int")
+    )
+    copies = found.join(F.broadcast(hot), "host", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    return salted.join(copies.drop("parts", "paths"), ["host", "salt"], "left")

@@ -188,3 +188,160 @@ def test_given_pages(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert pages.extract_main_text(df).count() == 0
+
+
+# --- site trees inside the article ----------------------------------------------------
+
+
+@pytest.mark.parametrize("limit", [pages.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_what_a_site_repeats_goes_from_the_article_too(spark, tag, limit, monkeypatch):
+    monkeypatch.setattr(pages, "BROADCAST_BYTES", limit)
+
+    def page(number):
+        return (
+            f"<{tag}><h2>Report</h2><div class='c1'><p class='lead'>p{number}</p>"
+            "<div class='x7'>Sign up for our letter</div><p class='n'>A note of the site</p>"
+            f"<h3>Details</h3><div class='x8'><p>q{number}</p></div></div></{tag}>"
+        )
+
+    rows = [(k, f"http://a.example.com/{k}", page(k)) for k in range(6)]
+    rows += [(k, f"http://b.example.com/{k}", page(k)) for k in range(10, 13)]
+    # the article itself stays, whatever a host has in it
+    rows += [(k, f"http://c.example.com/{k}", f"<{tag}><p>same</p></{tag}><p>{k}</p>") for k in range(20, 26)]
+    out = {i: t for i, t, _ in extracted(spark, rows)}
+    assert all(out[k] == f"Report\np{k}\nDetails\nq{k}" for k in range(6))
+    small = "Report\np{0}\nSign up for our letter\nA note of the site\nDetails\nq{0}"
+    assert all(out[k] == small.format(k) for k in range(10, 13))
+    assert all(out[k] == str(k) for k in range(20, 26))
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='comments'><article><p>Nice.</p></article></section>",
+        "<div class='comments-area'><p>Nice.</p></div>",
+        "<ol class='comment-list'><li>Nice.</ol>",
+        "<div id='reader-comments'>Nice.</div>",
+        "<div class='newsletter-signup'>Write to us.</div>",
+        "<div class='cookie-banner'>We use cookies.</div>",
+        "<div class='box article-ad'>Buy.</div>",
+        "<section id=newsletter><p>Letter.</p></section>",
+        "<form><p>Name</p></form>",
+    ],
+)
+def test_what_is_no_part_of_an_article(part):
+    assert main_text(f"<main><p>x</p>{part}<p>y</p></main>") == "x\ny"
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<section id='ad-hoc-methods'><p>z</p></section>", "<div id='menu-of-the-day'>z</div>"],
+)
+def test_parts_of_ids_count_where_the_tree_agrees(spark, part):
+    def page(number, body):
+        return f"<article><p>{number}</p>{body}</article>"
+
+    rows = [(k, f"http://a.example.com/{k}", page(k, part.replace("z", f"z{k}"))) for k in range(6)]
+    rows += [(k, f"http://b.example.com/{k}", page(k, part)) for k in range(10, 16)]
+    out = {i: t for i, t, _ in extracted(spark, rows)}
+    assert out == {k: f"{k}\nz{k}" for k in range(6)} | {k: str(k) for k in range(10, 16)}
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<p title=don't>It was a good day.</p><p>Isn't it so</p>", "It was a good day.\nIsn't it so"),
+        ("<p title='a>b' class = x>y</p>", "y"),
+        ("<p a=\"1\"b='2'c=3 d>y</p>", "y"),
+        ("<div class=ad>no</div><p>y</p>", "y"),
+        ("<div class=x class=ad>y</div>", "y"),
+        ("<div data-class='ad' title=\"class='ad'\">y</div>", "y"),
+        ("<div/class='ad'>no</div>y", "y"),
+        ("<p>a <![CDATA[abc > d & <b>]]> e</p>", "a abc > d & <b> e"),
+        ("<p>a<br/>b<img alt='>'>c</p>", "a b c"),
+        ("<a href=/x/>link</a>", "link"),
+    ],
+)
+def test_attributes(source, text):
+    assert main_text(source) == text
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<b>" * 50_000 + "x", "x"),
+        ("<b>" * 20_000 + "<p>x</p>" * 20_000, "\n".join("x" * 20_000)),
+        ("<div>" * 20_000 + "<p>x</p>" * 20_000, "\n".join("x" * 20_000)),
+        ("<b>" * 30_000 + "</i>" * 30_000 + "x", "x"),
+        ("<main>" + "<section>y" * 20_000, "\n".join("y" * 20_000)),
+        ("<p " + "a=' " * 60_000 + ">x", None),
+    ],
+)
+def test_deep_pages_take_time_and_memory_in_proportion(source, text):
+    import time
+    import tracemalloc
+
+    tracemalloc.start()
+    start = time.perf_counter()
+    page = pages.read_page(source)
+    rows = list(pages._tree_rows(page))
+    found = pages._main_text(page, frozenset([1]), constant=frozenset([1]))
+    seconds, (_, peak) = time.perf_counter() - start, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert text is None or found == text
+    assert seconds < 15 and peak < 100e6 and len(rows) <= len(page.nodes)
+
+
+def test_importance_against_brute_force(spark):
+    """Entropies over the distinct pages of a host, from all paths of all pages."""
+    import math
+    import random
+    from collections import Counter, defaultdict
+
+    r = random.Random(9)
+
+    def page():
+        items = "".join(f"<p>{r.choice('xyz')}</p>" for _ in range(r.randint(0, 3)))
+        part = f"<ul><li>{r.choice('uv')}</ul>" if r.random() < 0.5 else ""
+        return f"<body><nav>a</nav><div class='c'>{items}</div><div class='d'>w{part}</div></body>"
+
+    sources = [(f"h{k % 3}", page()) for k in range(60)]
+    sources += [("small", page()) for _ in range(2)]
+    trees = defaultdict(dict)
+    for host, source in sources:
+        read = pages.read_page(source)
+        looks, texts = defaultdict(list), defaultdict(list)
+        for n, node in enumerate(read.nodes):
+            looks[node.path].append(tuple(node.children))
+            texts[node.path].append(
+                tuple(b for b, holder in read.blocks if n in ancestors(read, holder))
+            )
+        # equal texts are copies, and have equal trees here
+        tree = {p: (tuple(looks[p]), tuple(texts[p])) for p in looks}
+        copy = pages._main_text(read, frozenset())
+        assert trees[host].setdefault(copy, tree) == tree
+    found = pages.site_importance(spark.createDataFrame(sources, "host string, html string"))
+    mine = {(row["host"], row["path"]): row for row in found.collect()}
+    expected = {}
+    for host, copies in trees.items():
+        for path in {p for tree in copies.values() for p in tree}:
+            importance, single = 0.0, None
+            for kind, weight in ((0, 0.3), (1, 0.7)):
+                values = Counter(t[path][kind] for t in copies.values() if path in t)
+                n, single = values.total(), len(values) == 1
+                same = sum(c * math.log(c) for c in values.values())
+                enough = n >= pages.LEAST_PAGES
+                importance += weight * (1 - same / (n * math.log(n)) if enough else 1)
+            expected[host, path & ~1] = (pytest.approx(importance), n, single and enough)
+    assert len(mine) == len(expected) > 12
+    for key, row in mine.items():
+        assert (row["importance"], row["n"], row["constant"]) == expected[key]
+
+
+def ancestors(read, number):
+    out = set()
+    while number >= 0:
+        out.add(number)
+        number = read.nodes[number].parent
+    return out
