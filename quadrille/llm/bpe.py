@@ -29,6 +29,8 @@ MATRIX_WIDTH = 512
 STEP_BYTES = 4 << 20
 #: Pieces of text remembered between steps; beyond that the memory starts anew.
 MEMORY = 800_000
+#: Characters of these pieces; where words are not set apart a piece is a whole text.
+MEMORY_CHARS = 16 << 20
 
 _NO_RANK = np.int32(np.iinfo(np.int32).max)
 
@@ -201,6 +203,7 @@ class ByteBpe:
     # --- texts --------------------------------------------------------------------
 
     def _forget(self) -> None:
+        self._chars = 0
         self._number: dict[str, int] = {}
         self._spaced: set[int] = set()
         self._ids = np.empty(0, np.int32)
@@ -209,6 +212,7 @@ class ByteBpe:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks not met before and remember them."""
+        self._chars += sum(map(len, chunks))
         owner, pieces = [], {}
         for i, chunk in enumerate(chunks):
             if not _INKED(chunk):
@@ -235,7 +239,7 @@ class ByteBpe:
         match of a pattern of this family, so a text falls into chunks there and equal
         chunks are encoded once.  Other texts are split by the pattern as a whole.
         """
-        if len(self._number) > MEMORY:
+        if len(self._number) > MEMORY or self._chars > MEMORY_CHARS:
             self._forget()
         number, fresh, known = self._number, [], len(self._number)
 

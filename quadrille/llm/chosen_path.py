@@ -127,17 +127,18 @@ def near_documents(
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
         F.xxhash64(text_column).alias("mark"),
     )
-    rows = marked.drop("mark")
     base = stored(map_arrow(marked, _summaries(shingle), _SUMMARY), "sketches")
     usable = base.where("size > 0")
     classes = stored(
         usable.groupBy("digest")
         .agg(
             F.count("*").alias("copies"),
-            F.min("id").alias("first"),
+            F.min(F.struct("id", "mark")).alias("lead"),
             F.first("sketch").alias("sketch"),
             F.first("size").alias("size"),
         )
+        .select("*", F.col("lead.id").alias("first"), F.col("lead.mark").alias("lead_mark"))
+        .drop("lead")
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
@@ -147,7 +148,7 @@ def near_documents(
         groups.join(classes.drop("sketch"), "class"),
         "members",
     )
-    verified = stored(_verified(rows, members, threshold, shingle), "links")
+    verified = stored(_verified(marked, members, threshold, shingle), "links")
     links = (
         verified.where("other IS NULL").groupBy("class").agg(F.sum("links").alias("links"))
     )
@@ -348,9 +349,12 @@ def _verified(
 
     Members learn their blocks before their sets are made, so that the sets are shuffled
     once.  The join to the texts always sorts: a broadcast could only serve small inputs.
+    Of rows with the id and the text of a member, which come one after the other, the
+    first brings the set.
     """
     of_member = in_blocks(members, "component", "class", "size").select(
         F.col("first").alias("id"),
+        F.col("lead_mark").alias("mark"),
         "class",
         "component",
         "copies",
@@ -360,12 +364,20 @@ def _verified(
     )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for whole in batches:
+            number = whole.column("class").to_numpy()
+            fresh = np.ones(len(number), bool)
+            fresh[1:] = number[1:] != number[:-1]
+            if len(number):
+                fresh[0] = number[0] != last
+                last = number[-1]
+            whole = whole.filter(pa.array(fresh))
             for batch in slices(whole, 0, STEP_BYTES):
                 values, bounds = shingles(batch.column(0), shingle)
                 parts = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
                 digests = [hashlib.blake2b(p, digest_size=16).digest() for p in parts]
-                # rows that share the id of a member may hold another text
+                # a row whose hash is that of a member may hold another text
                 same = pa.compute.equal(
                     pa.array(digests, pa.binary()), batch.column("digest")
                 )
@@ -378,7 +390,8 @@ def _verified(
                     [*kept, "set"],
                 ).filter(same)
 
-    texts = rows.hint("merge").join(of_member, "id").drop("id")
+    keys = ["id", "mark"]
+    texts = rows.hint("merge").join(of_member, keys).drop(*keys)
     filled = map_arrow(
         texts,
         sets,
@@ -393,18 +406,13 @@ def _verified(
         links = np.zeros(len(number), np.int64)
         a, b = [], []
         for begin, end in zip(starts.tolist(), ends.tolist()):
-            part = [
-                np.frombuffer(s, np.uint64)
-                for s in table["set"].slice(begin, end - begin).to_pylist()
-            ]
-            # a repeated row brings the set of its class again
+            # a set can come from several tasks if its rows were divided
             _, firsts = np.unique(number[begin:end], return_index=True)
-            repeated = np.ones(end - begin, bool)
-            repeated[firsts] = False
-            for k in np.nonzero(repeated)[0].tolist():
-                part[k] = part[k][:0]
+            firsts.sort()
+            part = table["set"].slice(begin, end - begin).take(pa.array(firsts))
             crossed = table["_i"][begin].as_py() != table["_j"][begin].as_py()
-            x, y = _similar(part, threshold)
+            x, y = _similar([np.frombuffer(s, np.uint64) for s in part.to_pylist()], threshold)
+            x, y = firsts[x], firsts[y]
             if crossed:
                 block = own[begin:end]
                 across = block[x] != block[y]

@@ -35,6 +35,8 @@ from .common import map_arrow, slices, stored
 STEP_BYTES = 4 << 20
 #: Words remembered between steps; beyond that the memory starts anew.
 MEMORY = 1_000_000
+#: Characters of these words; where words are not set apart a word is a whole text.
+MEMORY_CHARS = 8 << 20
 
 
 # --- the plan ---------------------------------------------------------------------
@@ -223,6 +225,7 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
+        self.chars = 0
         self.number = _Numbers()
         self.pieces = _Pieces(self.tokenizer.model.tokenize)
         self.ids = np.empty(0, np.int64)
@@ -230,6 +233,7 @@ class WordTokenizer:
         self.lengths = np.empty(0, np.int64)
 
     def _learn(self, words: list[str]) -> list[list[int]]:
+        self.chars += sum(map(len, words))
         found: list[list[int]] = []
         hard, pieces = [], self.pieces
         for word in words:
@@ -262,7 +266,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end``, and the bounds of the texts."""
-        if len(self.number) > MEMORY:
+        if len(self.number) > MEMORY or self.chars > MEMORY_CHARS:
             self._forget()
         number = self.number
         # the first number is that of the end of a text

@@ -16,6 +16,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -160,6 +161,9 @@ def features(text: str, span: Span) -> list[float]:
 def candidates(text: str, known: list[Span]) -> list[Span]:
     """Proposed spans, overlapping each other but no certain span."""
     found = []
+    taken = Taken()
+    for _, a, b in sorted(known, key=lambda s: s[1:]):
+        taken.cover(a, b)
     for kind, needed, pattern in _GENERATORS:
         if not needed.search(text):
             continue
@@ -169,11 +173,40 @@ def candidates(text: str, known: list[Span]) -> list[Span]:
                 continue
             if kind == "ipv6" and not _address(m.group()):
                 continue
-            if all(b <= c or d <= a for _, c, d in known):
+            if taken.is_free(a, b):
                 found.append((kind, a, b))
     return found
 
 
+class Taken:
+    """Places that are taken: sorted stretches that do not overlap.
+
+    A span is tested against its two neighbours only, whatever the number of stretches.
+    """
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def is_free(self, start: int, end: int) -> bool:
+        at = bisect_right(self.ends, start)
+        return at == len(self.starts) or self.starts[at] >= end
+
+    def add(self, start: int, end: int) -> None:
+        """A span that is free."""
+        at = bisect_right(self.ends, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+    def cover(self, start: int, end: int) -> None:
+        """A span that starts after all others did and may overlap the last."""
+        if self.ends and start < self.ends[-1]:
+            self.ends[-1] = max(self.ends[-1], end)
+        else:
+            self.starts.append(start)
+            self.ends.append(end)
+
+
 _RISE = re.compile("[a-z][A-Z]")
 _ASSIGNED = re.compile(r"(?:key|token|secret|passw\w*|pwd|credentials?)\W{0,2}\s?[=:]\s?[\"']?\Z", re.I)
 
@@ -337,10 +370,11 @@ def extra_spans(
         return []
     scores = model.score(np.array([features(text, span) for span in proposed]))
     chosen: list[Span] = []
+    taken = Taken()
     for score, span in sorted(zip((-scores).tolist(), proposed)):
-        if -score >= thresholds[span[0]]:
-            if all(span[2] <= a or b <= span[1] for _, a, b in chosen):
-                chosen.append(span)
+        if -score >= thresholds[span[0]] and taken.is_free(*span[1:]):
+            taken.add(*span[1:])
+            chosen.append(span)
     return chosen
 
 

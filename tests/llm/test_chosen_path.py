@@ -146,3 +146,22 @@ def test_forest():
             forest.join(x, y)
             pairs += more
             assert forest.roots().tolist() == components(n, pairs)
+
+
+def test_many_repeated_rows_bring_one_set(spark):
+    """100 000 rows of one id and text, beside near copies and other texts of that id."""
+    r = random.Random(12)
+    text = prose(r, 60)
+    near = text.split()
+    near[30] = "other"
+    rows = [(7, " ".join(near)), (7, prose(r, 50)), (8, " ".join(near)), (9, prose(r, 40))]
+    many = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    few = spark.createDataFrame(rows, "doc_id long, text string")
+    out = chosen_path.near_documents(many.union(few).repartition(8))
+    found = out.groupBy("doc_id", "n_links", "component_id", "kept").count().collect()
+    assert {tuple(row) for row in found} == {
+        (7, 100_001, 7, True, 100_001),
+        (8, 100_001, 7, False, 1),
+        (7, 0, 7, True, 1),
+        (9, 0, 9, True, 1),
+    }

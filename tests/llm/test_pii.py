@@ -134,3 +134,42 @@ def test_overlapping_spans_are_replaced_once():
 def test_empty_table(spark):
     assert pii.find_personal_data(frame(spark, [])).count() == 0
     assert pii.redact_documents(frame(spark, [])).count() == 0
+
+
+def test_spans_that_are_taken():
+    import random
+
+    r = random.Random(3)
+    for _ in range(200):
+        taken, spans = pii.Taken(), []
+        for a in sorted(r.randrange(60) for _ in range(r.randint(0, 6))):
+            b = a + r.randint(1, 9)
+            taken.cover(a, b)
+            spans.append((a, b))
+        for _ in range(20):
+            a = r.randrange(70)
+            b = a + r.randint(1, 9)
+            free = all(b <= c or d <= a for c, d in spans)
+            assert taken.is_free(a, b) == free
+            if free:
+                taken.add(a, b)
+                spans.append((a, b))
+
+
+def test_a_long_list_of_contacts():
+    """Three megabytes of contacts take time in proportion to their number."""
+    import time
+
+    line = "Ann (030) 1234567, ann.b@example.org, 192.168.2.{0}, +49 30 {1}, IBAN DE89 3704 0044 0532 0130 00\n"
+    model, thresholds = pii.trained()
+
+    def seconds(lines):
+        text = "".join(line.format(k % 250, 1000000 + k) for k in range(lines))
+        start = time.perf_counter()
+        known = pii.base_spans(text)
+        spans = known + pii.extra_spans(text, known, model, thresholds)
+        assert len(known) >= 3 * lines and len(spans) > 3 * lines
+        return time.perf_counter() - start
+
+    few, many = seconds(3_000), seconds(30_000)
+    assert many < 25 * few + 5
