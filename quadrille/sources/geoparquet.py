@@ -136,19 +136,21 @@ _NOT_GEOPARQUET = (
 def resolve_geometry_type(kinds: Column) -> Column:
     """Feature type for a set of geometry kinds; null when none is supported.
 
-    Multipoint wins over point, point over lines, lines over polygons.
+    Multipoint wins over point, point over lines, lines over polygons.  Case is ignored.
     """
+    lowered = F.transform(kinds, F.lower)
     result = F.lit(None).cast("string")
     for family, members in reversed(FAMILIES):
-        present = F.arrays_overlap(kinds, F.array(*[F.lit(m) for m in members]))
+        present = F.arrays_overlap(lowered, F.array(*[F.lit(m.lower()) for m in members]))
         result = F.when(present, family).otherwise(result)
     return result
 
 
 def geometry_type_name(kinds: list[str]) -> str:
     """``resolve_geometry_type`` for kinds that are already known on the driver."""
+    lowered = {kind.lower() for kind in kinds}
     for family, members in FAMILIES:
-        if set(kinds) & set(members):
+        if lowered & {member.lower() for member in members}:
             return family
     if kinds:
         raise ValueError(
@@ -285,21 +287,26 @@ def _covering_column(entries: list[str]) -> str | None:
 
 
 def has_geoparquet_footer(spark: SparkSession, path: str) -> str | None:
-    """Primary column named by the first file of a dataset; None without a footer."""
-    footer = read_footers(file_table(spark, path).limit(1)).first()
-    if footer is None or footer["geo"] is None:
-        return None
-    try:
-        header = json.loads(footer["geo"])
-    except ValueError:
-        header = None
-    if not isinstance(header, dict):
+    """Primary column that footers of a dataset name; None where no file has one.
+
+    All files are looked at, in tasks.
+    """
+    primary = F.get_json_object("geo", "$.primary_column")
+    is_object = F.get_json_object("geo", "$").startswith("{")
+    row = (
+        read_footers(file_table(spark, path))
+        .agg(
+            F.min(primary).alias("primary"),
+            F.count_if(F.col("geo").isNotNull() & ~F.coalesce(is_object, F.lit(False))).alias("bad"),
+        )
+        .first()
+    )
+    if row["bad"]:
         warnings.warn(
             "A file has a geo footer that is not a JSON object; it is passed over.",
             stacklevel=2,
         )
-        return None
-    return header.get("primary_column")
+    return row["primary"]
 
 
 def geometry_name(

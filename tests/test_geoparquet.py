@@ -357,6 +357,7 @@ def test_srid_of_another_authority(spark, tmp_path):
 
 def test_geometry_type_names():
     assert geometry_type_name(["Point"]) == "POINT"
+    assert geometry_type_name(["multipolygon", "POLYGON"]) == "POLYGON"
     with pytest.raises(ValueError, match="not supported"):
         geometry_type_name(["GeometryCollection"])
     with pytest.raises(ValueError, match="list no kind"):

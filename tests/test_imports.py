@@ -231,6 +231,15 @@ def test_warning_when_geoparquet_is_read_otherwise(spark, tmp_path):
         assert loaded.features.count() == 5
 
 
+def test_warning_when_any_file_has_a_footer(spark, tmp_path):
+    columns = {**feature_columns(5, point_at), "x": [1.0] * 5, "y": [2.0] * 5}
+    for name in "abcdefgh":
+        write_file(tmp_path / "g" / f"{name}.parquet", columns)
+    write_file(tmp_path / "g" / "z.parquet", columns, geo_header())
+    with pytest.warns(UserWarning, match="as GeoParquet does"):
+        import_features(spark, str(tmp_path / "g"), "COORDINATES", ["x", "y"])
+
+
 # --- rejects, samples, filters ----------------------------------------------------
 
 
