@@ -48,6 +48,8 @@ SMALL = 64
 DEPTH = 3
 #: Standard deviations by which a sketch may understate the similarity of a pair.
 MARGIN = 4.0
+#: Runs beyond which a recall counts as out of reach.
+MOST_RUNS = 1000
 #: Bytes of text hashed at once.
 STEP_BYTES = 4 << 20
 
@@ -56,15 +58,45 @@ _FACTORS = np.random.default_rng(5).integers(0, 1 << 63, SKETCH, np.uint64) * np
 ) + np.uint64(1)
 
 
-def runs_for(recall: float, depth: int = DEPTH + 1) -> int:
-    """Runs after which a pair at the threshold was together with this probability.
+def least_equal(threshold: float) -> int:
+    """Equal coordinates that two sketches need to be reported."""
+    least = threshold - MARGIN * math.sqrt(threshold * (1 - threshold) / SKETCH)
+    return math.ceil(least * SKETCH)
+
+
+def loss_of(runs: int, similarity: float, threshold: float, depth: int = DEPTH + 1) -> float:
+    """Probability that a pair of this similarity meets in no bucket that reports it.
 
-    In each split such a pair stays together in a Poisson number of buckets with mean 1.
+    All runs share one sketch, so they are independent only when the number of equal
+    coordinates is given; that number is binomial.  In each of ``depth`` choices a pair
+    goes on together over each equal coordinate that is sampled.
     """
-    survives = 1.0
-    for _ in range(depth):
-        survives = 1 - math.exp(-survives)
-    return math.ceil(math.log(1 - recall) / math.log(1 - survives))
+    least = least_equal(threshold)
+    sampled = 1 / (threshold * SKETCH)
+    lost = 0.0
+    for equal in range(SKETCH + 1):
+        survives = 1.0
+        for _ in range(depth):
+            survives = 1 - (1 - sampled * survives) ** equal
+        missed = (1 - survives) ** runs if equal >= least else 1.0
+        share = similarity**equal * (1 - similarity) ** (SKETCH - equal)
+        lost += math.comb(SKETCH, equal) * share * missed
+    return lost
+
+
+def runs_for(recall: float, threshold: float = 0.8) -> int:
+    """Runs after which a pair at the threshold is found with this probability.
+
+    The buckets are taken to be split as often as they can be, so the recall does not fall
+    as buckets fill.  No number of runs finds pairs whose sketches differ by more than the
+    margin; a recall above that is refused.
+    """
+    runs = 1
+    while loss_of(runs, threshold, threshold) > 1 - recall:
+        runs += 1
+        if runs > MOST_RUNS:
+            raise ValueError(f"Sketches of {SKETCH} values cannot reach a recall of {recall}.")
+    return runs
 
 
 def _sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -142,7 +174,7 @@ def near_documents(
         .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
-    pairs = _candidate_edges(classes, threshold, runs_for(recall))
+    pairs = _candidate_edges(classes, threshold, runs_for(recall, threshold))
     groups = connected_components(pairs).withColumnRenamed("id", "class")
     members = stored(
         groups.join(classes.drop("sketch"), "class"),
@@ -299,8 +331,7 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
         "class", "sketch", F.explode("paths").alias("bucket")
     )
     large = paired_blocks(large, "bucket", "class")
-    least = threshold - MARGIN * math.sqrt(threshold * (1 - threshold) / SKETCH)
-    needed = math.ceil(least * SKETCH)
+    needed = least_equal(threshold)
 
     def compare(rows: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
         ends = np.append(starts[1:], rows.num_rows)

@@ -113,6 +113,45 @@ def test_shingles():
 
 def test_runs_follow_the_recall():
     assert chosen_path.runs_for(0.5) < chosen_path.runs_for(0.99)
+    runs = chosen_path.runs_for(0.999)
+    for depth in range(1, chosen_path.DEPTH + 2):
+        assert chosen_path.loss_of(runs, 0.8, 0.8, depth) <= 0.001
+    assert chosen_path.loss_of(runs - 1, 0.8, 0.8) > 0.001
+    with pytest.raises(ValueError, match="cannot reach"):
+        chosen_path.runs_for(0.999999)
+
+
+def test_loss_is_that_of_a_simulation():
+    """Few runs, so that the loss can be counted."""
+    r = np.random.default_rng(6)
+    sampled = 1 / (0.8 * chosen_path.SKETCH)
+    runs, trials, lost = 4, 20_000, 0
+    for equal in r.binomial(chosen_path.SKETCH, 0.8, trials):
+        together = np.ones(runs, np.int64)
+        for _ in range(chosen_path.DEPTH + 1):
+            together = r.binomial(together * equal, sampled)
+        lost += equal < chosen_path.least_equal(0.8) or not together.any()
+    assert lost / trials == pytest.approx(chosen_path.loss_of(runs, 0.8, 0.8), abs=0.02)
+
+
+@pytest.mark.parametrize(("shared", "allowed"), [(80, 10), (85, 4)])
+def test_recall_of_the_search(spark, monkeypatch, shared, allowed):
+    """3000 pairs of sets at a similarity, in buckets that are split as often as can be."""
+    monkeypatch.setattr(chosen_path, "SMALL", 1)
+    r = np.random.default_rng(shared)
+    rows, pairs = [], 3000
+    for pair in range(pairs):
+        values = r.integers(0, 1 << 63, 100, np.uint64)
+        half = (100 - shared) // 2
+        for side, drop in enumerate((slice(0, half), slice(half, 100 - shared))):
+            own = np.sort(np.delete(values, drop))
+            sketch = chosen_path._sketches(own, np.array([0, len(own)]))[0]
+            rows.append((2 * pair + side, bytearray(sketch.tobytes())))
+    classes = spark.createDataFrame(rows, "class long, sketch binary").repartition(8)
+    edges = chosen_path._candidate_edges(classes, 0.8, chosen_path.runs_for(0.999))
+    found = {(min(a, b), max(a, b)) for a, b in collected(edges, "a", "b")}
+    missed = sum((2 * k, 2 * k + 1) not in found for k in range(pairs))
+    assert missed <= allowed
 
 
 def test_components(spark):
