@@ -134,12 +134,12 @@ PROJJSON = {
 # Rows collected before a row group is written.
 _ROW_GROUP_ROWS = 122_880
 _ROW_GROUP_BYTES = 128 << 20
-_MOVERS = 16
-# Fixed value: the folder that readers pass over.
-_STAGING = "_temporary"
-_ACCEPTED = "accepted"
-# Attempts named in one file, which one task moves.
-_LISTED = 64
+_REMOVERS = 16
+# Folder with the list of the accepted attempts; readers skip it.
+_WRITTEN = "_written-"
+_LIST = "attempts.txt"
+# Name of the attempt in the name of a file: part-<job>-<attempt>-<number>.snappy.parquet
+_ATTEMPT_IN_NAME = r"^part-[^-]+-(\d+-[^-]+)-"
 
 
 # --- header -----------------------------------------------------------------------
@@ -337,6 +337,8 @@ def save_geoparquet(
             .sortWithinPartitions(_KEY_COLUMN)
         )
     target, job = qualified(spark, path).rstrip("/"), uuid.uuid4().hex
+    filesystem, root = open_filesystem(target)
+    _remove_file(filesystem, f"{root}/_SUCCESS")
     (
         body.write.format(FORMAT_NAME)
         .mode("overwrite" if mode == "overwrite" else "append")
@@ -347,41 +349,38 @@ def save_geoparquet(
         .option("rows_per_file", rows_per_file)
         .save()
     )
-    publish(spark, target, job, mode == "overwrite")
+    keep_accepted(spark, target, job, mode == "overwrite")
     return path
 
 
-def publish(spark: SparkSession, target: str, job: str, overwrite: bool) -> None:
-    """Make the accepted files of a job visible, and remove the old ones on overwrite.
+def keep_accepted(spark: SparkSession, target: str, job: str, overwrite: bool) -> None:
+    """Remove what a job's attempts left that Spark did not accept; old files, too, on
+    overwrite.
 
-    Tasks move the files, each those of some attempts, and tasks remove old files; the
-    driver handles no file.  Both can be repeated, so a lost executor does no harm.
-    ``_SUCCESS`` is absent from the first move to the last removal.  Files of a job have
-    its name in theirs, so what a failed job has left can be told and removed.
+    The names of the files tell their attempt, and a list in ``_written-<job>`` names the
+    accepted ones.  Tasks remove the files, and it can be repeated.  In the end the list
+    becomes ``_SUCCESS``.
     """
     filesystem, root = open_filesystem(target)
-    staging = f"{root}/{_STAGING}/{job}"
-    if filesystem.get_file_info(f"{root}/_SUCCESS").type != fs.FileType.NotFound:
-        filesystem.delete_file(f"{root}/_SUCCESS")
-    accepted = spark.read.text(f"{target}/{_STAGING}/{job}/{_ACCEPTED}")
-    _acting(accepted, lambda attempt: _move_attempt(target, job, attempt))
-    if overwrite:
-        # a folder may be called as a job, so the name of the file alone tells
-        name = F.substring_index("path", "/", -1)
-        old = file_table(spark, target).where(~name.startswith(f"part-{job}-"))
-        _acting(old.select("path"), _remove)
-    filesystem.delete_dir(staging)
-    others = filesystem.get_file_info(fs.FileSelector(f"{root}/{_STAGING}"))
-    if not others:
-        filesystem.delete_dir(f"{root}/{_STAGING}")
-    filesystem.open_output_stream(f"{root}/_SUCCESS").close()
+    accepted = f"{_WRITTEN}{job}"
+    kept = spark.read.text(f"{target}/{accepted}").toDF("_attempt")
+    name = F.substring_index("path", "/", -1)
+    ours = name.startswith(f"part-{job}-")
+    attempt = F.when(ours, F.regexp_extract(name, _ATTEMPT_IN_NAME, 1))
+    files = file_table(spark, target).select("path", attempt.alias("_attempt"))
+    if not overwrite:
+        files = files.where("_attempt IS NOT NULL")
+    unwanted = files.join(kept, "_attempt", "left_anti").select("path")
+    _acting(unwanted, _remove)
+    filesystem.move(f"{root}/{accepted}/{_LIST}", f"{root}/_SUCCESS")
+    filesystem.delete_dir(f"{root}/{accepted}")
 
 
 def _acting(names: DataFrame, action) -> None:
     """Run an action on each name, in tasks, several at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with ThreadPoolExecutor(_MOVERS) as pool:
+        with ThreadPoolExecutor(_REMOVERS) as pool:
             for batch in batches:
                 done = len(list(pool.map(action, batch.column(0).to_pylist())))
                 yield pa.RecordBatch.from_arrays([pa.array([done])], ["done"])
@@ -389,28 +388,13 @@ def _acting(names: DataFrame, action) -> None:
     names.mapInArrow(run, "done bigint").agg(F.sum("done")).collect()
 
 
-def _move_attempt(target: str, job: str, attempt: str) -> None:
-    """Move what is still in the folder of an attempt to the same place in the target."""
-    filesystem, root = open_filesystem(target)
-    folder = f"{root}/{_STAGING}/{job}/{attempt}"
-    selector = fs.FileSelector(folder, allow_not_found=True, recursive=True)
-    for info in filesystem.get_file_info(selector):
-        if info.type != fs.FileType.File:
-            continue
-        goal = f"{root}{info.path[len(folder) :]}"
-        filesystem.create_dir(goal.rsplit("/", 1)[0], recursive=True)
-        try:
-            filesystem.move(info.path, goal)
-        except OSError:
-            # another attempt of this task was faster
-            if filesystem.get_file_info(goal).type != fs.FileType.File:
-                raise
+def _remove(path: str) -> None:
+    _remove_file(*open_filesystem(path))
 
 
-def _remove(path: str) -> None:
-    filesystem, inner = open_filesystem(path)
-    if filesystem.get_file_info(inner).type == fs.FileType.File:
-        filesystem.delete_file(inner)
+def _remove_file(filesystem: fs.FileSystem, path: str) -> None:
+    if filesystem.get_file_info(path).type == fs.FileType.File:
+        filesystem.delete_file(path)
 
 
 def dataset_exists(spark: SparkSession, path: str) -> bool:
@@ -443,7 +427,7 @@ def _folder(names: list[str], key: str) -> str:
 
 @dataclass
 class WrittenFiles(WriterCommitMessage):
-    """The attempt of one task and the number of files in its folder."""
+    """The attempt of one task and the number of its files."""
 
     attempt: str
     files: int
@@ -461,43 +445,56 @@ class GeoParquetDataSource(DataSource):
 
 
 class GeoParquetWriter(DataSourceArrowWriter):
-    """Writes each task's rows below ``_temporary``; ``publish`` moves them from there.
+    """Writes each task's rows to files of the dataset that are named after the attempt.
 
-    Attempts of a task write to folders of their own, and the commit names those that
-    Spark accepted: a line for each task, none for a file.  Readers skip ``_temporary``.
-    Tasks that outlive an aborted job may leave files there, never outside of it.
+    A task writes under names that readers skip and takes the dot away when all its rows
+    are written, as with Spark's own committer of version 2; ``_SUCCESS`` is absent until
+    the whole table is there.  The commit lists the attempts that Spark accepted, a line
+    for each task, and ``keep_accepted`` removes the files of others.
+
+    The folder of the list exists while the job does.  A task that finds it gone after it
+    has shown its files takes them back, so an aborted job shows nothing.
     """
 
     def __init__(self, options: dict, schema: T.StructType, overwrite: bool):
         self.target = options["target"].rstrip("/")
-        self.staging = f"{_STAGING}/{options['job']}"
         self.job = options["job"]
         self.geo = options["header"].encode("utf-8")
         self.columns = json.loads(options["partition_columns"])
         self.rows_per_file = int(options["rows_per_file"])
         self.schema = schema
         self.overwrite = overwrite
+        filesystem, root = open_filesystem(self.target)
+        filesystem.create_dir(f"{root}/{_WRITTEN}{self.job}", recursive=True)
 
     # in the tasks
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
-        context = TaskContext.get()
-        attempt = f"{context.partitionId():05d}-{uuid.uuid4().hex}"
-        filesystem, root = open_filesystem(f"{self.target}/{self.staging}/{attempt}")
-        output = _TaskOutput(
-            filesystem,
-            root,
-            f"part-{self.job}-{attempt}",
-            self._footer(),
-            self.rows_per_file,
-        )
-        for batch in iterator:
-            for key, piece in self._split(batch):
-                folder = _folder(self.columns, key) if self.columns else ""
-                output.add(folder, self._encoded(piece))
-        output.close()
+        attempt = f"{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
+        output = self._output(attempt)
+        try:
+            for batch in iterator:
+                for key, piece in self._split(batch):
+                    folder = _folder(self.columns, key) if self.columns else ""
+                    output.add(folder, self._encoded(piece))
+            output.show()
+            if not self._goes_on():
+                raise RuntimeError("The write was aborted.")
+        except BaseException:
+            output.discard()
+            raise
         return WrittenFiles(attempt, len(output.files))
 
+    def _goes_on(self) -> bool:
+        filesystem, root = open_filesystem(self.target)
+        folder = filesystem.get_file_info(f"{root}/{_WRITTEN}{self.job}")
+        return folder.type == fs.FileType.Directory
+
+    def _output(self, attempt: str) -> _TaskOutput:
+        filesystem, root = open_filesystem(self.target)
+        stem = f"part-{self.job}-{attempt}"
+        return _TaskOutput(filesystem, root, stem, self._footer(), self.rows_per_file)
+
     def _footer(self) -> dict[bytes, bytes]:
         """The ``geo`` header, and the schema that Spark keeps column metadata in."""
 
@@ -535,41 +532,32 @@ class GeoParquetWriter(DataSourceArrowWriter):
     def commit(self, messages: list[WrittenFiles | None]) -> None:
         filesystem, root = open_filesystem(self.target)
         done = [m.attempt for m in messages if m is not None and m.files]
-        staging = f"{root}/{self.staging}"
-        lists = f"{staging}/{_ACCEPTED}"
-        filesystem.create_dir(lists, recursive=True)
         if not done and not self.columns:
-            done = [self._write_empty(filesystem, staging)]
-        for at in range(0, max(len(done), 1), _LISTED):
-            with filesystem.open_output_stream(f"{lists}/{at:08d}.txt") as output:
-                names = done[at : at + _LISTED]
-                output.write("".join(f"{attempt}\n" for attempt in names).encode())
+            done = [self._write_empty()]
+        listed = f"{root}/{_WRITTEN}{self.job}/{_LIST}"
+        with filesystem.open_output_stream(listed) as output:
+            output.write("".join(f"{attempt}\n" for attempt in done).encode())
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:
+        """Files of tasks that had finished go; the others remove theirs."""
         filesystem, root = open_filesystem(self.target)
-        self._clear_staging(filesystem, root)
-
-    def _write_empty(self, filesystem: fs.FileSystem, staging: str) -> str:
+        if self._goes_on():
+            filesystem.delete_dir(f"{root}/{_WRITTEN}{self.job}")
+        selector = fs.FileSelector(root, allow_not_found=True, recursive=True)
+        for info in filesystem.get_file_info(selector):
+            if info.base_name.startswith(f"part-{self.job}-"):
+                _remove_file(filesystem, info.path)
+
+    def _write_empty(self) -> str:
         """A table without rows still gets a file, so that its schema can be read."""
         schema = to_arrow_schema(self.schema)
         at = schema.get_field_index("geometry")
         schema = schema.set(at, pa.field("geometry", pa.binary()))
-        root = f"{staging}/empty"
-        output = _TaskOutput(filesystem, root, f"part-{self.job}", self._footer(), 1)
+        attempt = "00000-empty"
+        output = self._output(attempt)
         output.add("", schema.empty_table())
-        output.close()
-        return "empty"
-
-    def _clear_staging(self, filesystem: fs.FileSystem, root: str) -> None:
-        staging = f"{root}/{self.staging}"
-        if filesystem.get_file_info(staging).type == fs.FileType.Directory:
-            filesystem.delete_dir(staging)
-        parent = f"{root}/{_STAGING}"
-        selector = fs.FileSelector(parent, allow_not_found=True)
-        is_folder = filesystem.get_file_info(parent).type == fs.FileType.Directory
-        if is_folder and not filesystem.get_file_info(selector):
-            filesystem.delete_dir(parent)
-
+        output.show()
+        return attempt
 
 class _TaskOutput:
     """One open file at a time; a new one for each folder and after enough rows."""
@@ -615,10 +603,28 @@ class _TaskOutput:
         if self.writer is not None:
             self._finish()
 
+    def show(self) -> None:
+        """Finish, and give the files names that readers see."""
+        self.close()
+        for relative in self.files:
+            self.filesystem.move(self._hidden(relative), f"{self.root}/{relative}")
+
+    def discard(self) -> None:
+        """Remove the files again, also the one that is open."""
+        if self.writer is not None:
+            self.writer.close()
+        for relative in self.files:
+            _remove_file(self.filesystem, self._hidden(relative))
+            _remove_file(self.filesystem, f"{self.root}/{relative}")
+
+    def _hidden(self, relative: str) -> str:
+        folder, _, name = f"{self.root}/{relative}".rpartition("/")
+        return f"{folder}/.{name}"
+
     def _open(self, schema: pa.Schema) -> None:
         name = f"{self.stem}-{len(self.files):05d}.snappy.parquet"
         relative = f"{self.folder}/{name}" if self.folder else name
-        target = f"{self.root}/{relative}"
+        target = self._hidden(relative)
         self.filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
         metadata = {**(schema.metadata or {}), **self.footer}
         self.writer = pq.ParquetWriter(

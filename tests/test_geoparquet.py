@@ -1,12 +1,14 @@
 """GeoParquet footers, reading and writing, checked with independent readers."""
 
 import json
+import os
 from pathlib import Path
 
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 from shapes import (
     EXAMPLES,
@@ -25,8 +27,8 @@ from quadrille.sinks.geoparquet import (
     FORMAT_NAME,
     GeoParquetWriter,
     WrittenFiles,
-    publish,
     geoparquet_header,
+    keep_accepted,
     write_geoparquet,
 )
 from quadrille.sinks.parquet import write_parquet
@@ -49,8 +51,7 @@ from quadrille.sources.parquet import scan_parquet
 
 def files(folder):
     """Files a reader sees."""
-    found = sorted(Path(folder).rglob("*.parquet"))
-    return [f for f in found if "_temporary" not in f.parts]
+    return sorted(Path(folder).rglob("*.parquet"))
 
 
 def footers(folder):
@@ -78,8 +79,7 @@ def test_footer_of_every_file(spark, folder):
     assert facts["bbox"] == pytest.approx([0.0, -49.9, 49.9, 0.0])
     assert facts["crs"]["id"] == {"authority": "EPSG", "code": 4326}
     assert max(pq.read_metadata(f).num_rows for f in files(folder)) == 60
-    assert not (Path(folder) / "_temporary").exists()
-    assert (Path(folder) / "_SUCCESS").exists()
+    assert [f.name for f in Path(folder).iterdir() if f.name[0] == "_"] == ["_SUCCESS"]
 
 
 @pytest.mark.parametrize("kind", EXAMPLES)
@@ -186,7 +186,7 @@ def test_a_failed_job_leaves_nothing_visible(spark, folder):
 
 
 def committed(target, attempts, accepted, job="j"):
-    """Staged files of several attempts, and a commit that accepts some of them."""
+    """Files of several attempts, and a commit that accepts some of them."""
     options = {
         "target": str(target),
         "job": job,
@@ -195,41 +195,64 @@ def committed(target, attempts, accepted, job="j"):
         "rows_per_file": "10",
     }
     for attempt in attempts:
-        write_file(
-            target / "_temporary" / job / attempt / f"part-{job}-{attempt}.parquet",
-            {"id": [1]},
-        )
+        name = f"part-{job}-{attempt}-00000.snappy.parquet"
+        write_file(target / "k=1" / name, {"id": [1]})
     messages = [WrittenFiles(attempt, 1) for attempt in accepted]
     GeoParquetWriter(options, None, False).commit([*messages, None])
 
 
+def attempts_in(folder):
+    return sorted("-".join(f.name.split("-")[1:4]) for f in files(folder))
+
+
 def test_only_the_accepted_attempt_is_published(spark, tmp_path):
-    """Attempts that were lost or came second leave files that must not be moved."""
+    """Attempts that were lost or came second leave files that must not stay."""
+    write_file(tmp_path / "k=1" / "part-old.parquet", {"id": [1]})
     committed(tmp_path, ["00000-lost", "00000-kept", "00000-late"], ["00000-kept"])
-    assert files(tmp_path) == [] and not (tmp_path / "_SUCCESS").exists()
-    publish(spark, str(tmp_path), "j", False)
-    assert [f.name for f in files(tmp_path)] == ["part-j-00000-kept.parquet"]
-    assert not (tmp_path / "_temporary").exists() and (tmp_path / "_SUCCESS").exists()
+    assert not (tmp_path / "_SUCCESS").exists()
+    keep_accepted(spark, str(tmp_path), "j", False)
+    assert attempts_in(tmp_path) == ["j-00000-kept", "old.parquet"]
+    assert (tmp_path / "_SUCCESS").exists()
 
 
 def test_a_lost_commit_can_be_repeated(spark, tmp_path):
     write_file(tmp_path / "part-old.parquet", {"id": [1]})
-    (tmp_path / "_SUCCESS").touch()
-    committed(tmp_path, ["00000-a", "00001-b"], ["00000-a", "00001-b"])
-    # the job was lost after one move
-    staged = tmp_path / "_temporary" / "j" / "00000-a" / "part-j-00000-a.parquet"
-    staged.rename(tmp_path / staged.name)
-    publish(spark, str(tmp_path), "j", True)
-    names = ["part-j-00000-a.parquet", "part-j-00001-b.parquet"]
-    assert sorted(f.name for f in files(tmp_path)) == names
+    committed(tmp_path, ["00000-a", "00000-lost", "00001-b"], ["00000-a", "00001-b"])
+    # the job was lost after one removal
+    (tmp_path / "k=1" / "part-j-00000-lost-00000.snappy.parquet").unlink()
+    keep_accepted(spark, str(tmp_path), "j", True)
+    assert attempts_in(tmp_path) == ["j-00000-a", "j-00001-b"]
 
 
 def test_another_job_in_the_same_folder_goes_on(spark, tmp_path):
-    committed(tmp_path, ["00000-a"], ["00000-a"], "one")
-    committed(tmp_path, ["00000-a"], ["00000-a"], "two")
-    publish(spark, str(tmp_path), "one", False)
-    publish(spark, str(tmp_path), "two", False)
-    assert len(files(tmp_path)) == 2 and not (tmp_path / "_temporary").exists()
+    committed(tmp_path, ["00000-a", "00000-b"], ["00000-a"], "one")
+    committed(tmp_path, ["00000-a", "00000-b"], ["00000-b"], "two")
+    keep_accepted(spark, str(tmp_path), "one", False)
+    assert attempts_in(tmp_path) == ["one-00000-a", "two-00000-a", "two-00000-b"]
+    keep_accepted(spark, str(tmp_path), "two", False)
+    assert attempts_in(tmp_path) == ["one-00000-a", "two-00000-b"]
+
+
+def test_a_failed_task_removes_its_files(spark, tmp_path):
+    """Also where Spark tries it again and the second attempt succeeds."""
+    marker = str(tmp_path / "failed")
+
+    def fail_once(batches):
+        for batch in batches:
+            yield batch
+        if TaskContext.get().partitionId() == 0 and not os.path.exists(marker):
+            open(marker, "w").close()
+            raise RuntimeError("lost")
+
+    df = points(spark, 100, 1).mapInArrow(fail_once, points(spark, 1).schema)
+    target = tmp_path / "d"
+    header = geoparquet_header(["Point"])
+    with pytest.raises(Exception, match="lost"):
+        # a local session tries a task once
+        write_geoparquet(df, str(target), rows_per_file=7, header=header)
+    assert not target.exists() or files(target) == []
+    write_geoparquet(df, str(target), rows_per_file=7, header=header)
+    assert scan_parquet(spark, str(target)).count() == 100
 
 
 def test_geometry_under_another_name(spark, folder):
