@@ -120,7 +120,9 @@ FROM embeddings
 
 
 def _whole_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scaled = F.transform("embedding", lambda x: F.round(x * 100).cast("int"))
+    # the SQL multiplies in the type of the components; an integer would make it a double
+    hundred = F.lit(100).cast("float")
+    scaled = F.transform("embedding", lambda x: F.round(x * hundred).cast("int"))
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", scaled.alias("embedding")
     )
