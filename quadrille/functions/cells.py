@@ -84,9 +84,23 @@ def quadkey(x: Column, y: Column, zoom: int) -> Column:
     A quadkey digit is ``x_bit + 2 * y_bit``.  Read as decimal numbers, the binary texts
     of x and y therefore add up digit by digit without any carry.
     """
-    number = "bigint" if zoom <= 18 else "decimal(31,0)"
-    digits = F.bin(x).cast(number) + F.bin(y).cast(number) * F.lit(2).cast(number)
-    return F.lpad(digits.cast("string"), zoom, "0")
+    return quadkey_in_row(x, row_digits(y, zoom), zoom)
+
+
+def _digits_type(zoom: int) -> str:
+    return "bigint" if zoom <= 18 else "decimal(31,0)"
+
+
+def row_digits(y: Column, zoom: int) -> Column:
+    """What a row of tiles adds to the digits of its quadkeys."""
+    number = _digits_type(zoom)
+    return F.bin(y).cast(number) * F.lit(2).cast(number)
+
+
+def quadkey_in_row(x: Column, digits: Column, zoom: int) -> Column:
+    """Quadkey of a tile in the row whose ``row_digits`` are given."""
+    number = F.bin(x).cast(_digits_type(zoom)) + digits
+    return F.lpad(number.cast("string"), zoom, "0")
 
 
 def is_cell(cell: Column) -> Column:
@@ -103,16 +117,20 @@ def parent_cell(cell: Column, zoom: int) -> Column:
 # --- cells of geometries ----------------------------------------------------------
 
 
+def _tile_of_point(x: Column, y: Column, zoom: int) -> tuple[Column, Column]:
+    turns = F.floor((x + F.lit(180.0)) / F.lit(360.0))
+    inside = (F.abs(y) <= F.lit(90.0)) & (F.abs(x) < F.lit(float("inf")))
+    around = F.when(inside, x - turns * F.lit(360.0))
+    return tile_x(around, zoom), tile_y(F.when(inside, y), zoom)
+
+
 def cell_of_point(x: Column, y: Column, zoom: int = DEFAULT_ZOOM) -> Column:
     """Cell id of a coordinate; null for a null part and for places off the globe.
 
     Longitudes go round, so 180.5 is -179.5 and 180 is -180.  The last row of cells
     reaches to the pole.
     """
-    turns = F.floor((x + F.lit(180.0)) / F.lit(360.0))
-    inside = (F.abs(y) <= F.lit(90.0)) & (F.abs(x) < F.lit(float("inf")))
-    around = F.when(inside, x - turns * F.lit(360.0))
-    return quadkey(tile_x(around, zoom), tile_y(F.when(inside, y), zoom), zoom)
+    return quadkey(*_tile_of_point(x, y, zoom), zoom)
 
 
 def cells_of_points(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
@@ -146,6 +164,23 @@ def _run_sql(row: str, first: str, last: str) -> str:
     return f"struct({row} AS row, {first} AS first, {last} AS last)"
 
 
+def point_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
+    """Runs of one cell each, distinct, of all vertices on the globe; in no order."""
+
+    def place(p: Column) -> Column:
+        x, y = _tile_of_point(p["x"], p["y"], zoom)
+        return F.shiftleft(y.cast("bigint"), 32) + x
+
+    def run(place: Column) -> Column:
+        number = place.bitwiseAND(F.lit(0xFFFFFFFF))
+        row = F.shiftright(place, 32)
+        return F.struct(row.alias("row"), number.alias("first"), number.alias("last"))
+
+    # as numbers, which are told apart by hash and not pair by pair
+    places = F.array_compact(F.array_distinct(F.transform(points(geom), place)))
+    return F.transform(places, run)
+
+
 def _of_geometry(geom: Column, body: str) -> Column:
     """The value of an SQL expression over the geometry ``g``."""
     # wrapped once, so that the geometry is evaluated once
@@ -356,10 +391,12 @@ def polygon_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
 
 
 def cell_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
-    """Runs of lines and polygons; null for points and for null."""
-    return F.when(
-        kind(geom).isin("LineString", "MultiLineString"), line_runs(geom, zoom)
-    ).when(kind(geom).isin("Polygon", "MultiPolygon"), polygon_runs(geom, zoom))
+    """Runs of any geometry, those of points in no order; null for null."""
+    return (
+        F.when(kind(geom).isin("Point", "MultiPoint"), point_runs(geom, zoom))
+        .when(kind(geom).isin("LineString", "MultiLineString"), line_runs(geom, zoom))
+        .when(kind(geom).isin("Polygon", "MultiPolygon"), polygon_runs(geom, zoom))
+    )
 
 
 def _cells_of_runs(runs: Column, zoom: int) -> Column:

@@ -9,12 +9,13 @@ from ..functions.cells import (
     DEFAULT_ZOOM,
     cell_of_point,
     cell_runs,
-    cells_of_points,
     quadkey,
+    quadkey_in_row,
+    row_digits,
     tile_x,
     tile_y,
 )
-from ..functions.geometry import centroid, envelope, kind
+from ..functions.geometry import centroid, envelope, let
 from ..names import columns
 from ..session import scratch_path
 
@@ -85,8 +86,48 @@ def with_cell(
     return placed.withColumn(name, cell).drop("__centre")
 
 
-# Cells of a run that stay together when a cover is dealt out.
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt to all tasks by ``keys``, before work that is heavy per row.
+
+    A scan has as many tasks as its bytes ask for, and no more than the row groups of its
+    files.  Rows of a few numbers that turn into shapes, covers or centroids would leave
+    all of that to one task or two.  Deal them while they are narrow, by a key with many
+    values.  The number of partitions is fixed, as the bytes say nothing of the work.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(width, *columns(keys))
+
+
+# Cells of a run that stay together when a cover is dealt out, and such stretches.
 _STRETCH = 4096
+_STRETCHES = 16
+
+
+def _stretches(runs: Column) -> Column:
+    """``runs`` with long ones cut into stretches."""
+
+    def cut(run: Column) -> Column:
+        step = F.lit(_STRETCH).cast("bigint")
+        return F.transform(
+            F.sequence(run["first"], run["last"], step),
+            lambda first: F.struct(
+                run["row"].alias("row"),
+                first.alias("first"),
+                F.least(first + step - 1, run["last"]).alias("last"),
+            ),
+        )
+
+    is_long = F.exists(runs, lambda run: run["last"] - run["first"] >= F.lit(_STRETCH))
+    return F.when(is_long, F.flatten(F.transform(runs, cut))).otherwise(runs)
+
+
+def _pieces(stretches: Column) -> Column:
+    """Lists of a limited number of stretches; most features have one."""
+    starts = F.sequence(F.lit(1), F.size(stretches), F.lit(_STRETCHES))
+    several = F.transform(starts, lambda i: F.slice(stretches, i, _STRETCHES))
+    return F.when(F.size(stretches) > F.lit(_STRETCHES), several).when(
+        F.size(stretches) > F.lit(0), F.array(stretches)
+    )
 
 
 def cell_cover(
@@ -94,41 +135,30 @@ def cell_cover(
 ) -> DataFrame:
     """One row per feature and cell: the attributes and ``cell``; no row for null.
 
-    Lines and polygons are unfolded in two steps, first into stretches of cells and then
-    into cells.  The stretches are dealt to all tasks in between, so a feature that covers
-    a continent is divided, and no task ever holds all of its cells.  The lists of points
-    are as long as the points they come from.
+    Features are unfolded in two steps, first into pieces of some stretches of cells and
+    then into cells.  The pieces are dealt to all tasks in between, so a feature that
+    covers a continent is divided, and no task ever holds all of its cells; a small one
+    is a single row there.
     """
     geom = F.col(geometry)
     attributes = columns(c for c in df.columns if c != geometry)
-    is_point = kind(geom).isin("Point", "MultiPoint")
-    run = "struct<row:bigint,first:bigint,last:bigint>"
-    piece = F.inline(
-        F.when(
-            is_point,
-            F.transform(
-                cells_of_points(geom, zoom),
-                lambda c: F.struct(F.lit(None).cast(run).alias("run"), c.alias("id")),
-            ),
-        ).otherwise(
-            F.transform(
-                cell_runs(geom, zoom),
-                lambda r: F.struct(r.alias("run"), F.lit(None).cast("string").alias("id")),
-            )
-        )
+    pieces = df.select(*attributes, cell_runs(geom, zoom).alias("__runs")).select(
+        *attributes,
+        F.explode(let(F.col("__runs"), lambda r: let(_stretches(r), _pieces))).alias(
+            "__piece"
+        ),
     )
-    pieces = df.select(*attributes, piece.alias("__run", "__id"))
-    one = F.array(F.lit(0).cast("bigint"))
-    is_run = F.col("__run").isNotNull()
-    step = F.lit(_STRETCH).cast("bigint")
-    starts = F.when(is_run, F.sequence("__run.first", "__run.last", step)).otherwise(one)
     # a fixed number of partitions: the few bytes here say nothing of the cells to come
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stretches = pieces.select("*", F.explode(starts).alias("__first")).repartition(width)
-    last = F.least(F.col("__first") + step - 1, "__run.last")
-    column = F.when(is_run, F.sequence("__first", last)).otherwise(one)
-    tiles = stretches.select("*", F.explode(column).alias("__column"))
-    cell = F.coalesce("__id", quadkey(F.col("__column"), F.col("__run.row"), zoom))
+    stretches = pieces.repartition(width).select(
+        *attributes, F.inline("__piece").alias("__row", "__first", "__last")
+    )
+    tiles = stretches.select(
+        *attributes,
+        row_digits(F.col("__row"), zoom).alias("__digits"),
+        F.explode(F.sequence("__first", "__last")).alias("__column"),
+    )
+    cell = quadkey_in_row(F.col("__column"), F.col("__digits"), zoom)
     return tiles.select(*attributes, cell.alias("cell"))
 
 

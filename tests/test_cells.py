@@ -14,6 +14,7 @@ from quadrille.functions import cells as c
 from quadrille.operators.rows import cell_cover, cell_rollup
 from quadrille.sinks.exports import export_cells
 from quadrille.sources.columns import polygons_from_cells
+from workload import inputs
 
 
 def fraction(lon, lat, zoom):
@@ -385,6 +386,39 @@ def test_cover_deals_the_runs_of_lines(spark):
     assert max(r["count"] for r in tasks) < 0.4 * (last - first)
 
 
+def test_cover_of_long_and_many_runs(spark):
+    """More stretches than a piece holds, runs longer than a stretch, and no runs."""
+    band = [(-90.0, -1.0), (90.0, -1.0), (90.0, 1.0), (-90.0, 1.0), (-90.0, -1.0)]
+    geometries = [("Polygon", [[band]]), ("LineString", [[[(1.0, -40.0), (2.0, 40.0)]]])]
+    geometries += [("Polygon", []), ("MultiPoint", [[[]]]), None]
+    df = frame(spark, geometries)
+    found = cell_cover(df, 14).groupBy("id").agg(F.count("*"), F.count_distinct("cell"))
+    lists = covers(spark, geometries, c.cells_of, 14)
+    sizes = [(i, len(cells)) for i, cells in enumerate(lists) if cells]
+    assert sorted((r[0], r[1]) for r in found.collect()) == sizes
+    assert all(r[1] == r[2] for r in found.collect())
+    assert sizes[0][1] > 4096 * 100
+
+
+def test_cover_of_points(spark):
+    """Equal cells once, none for places off the globe, longitudes go round."""
+    odd = [(180.5, 1.0), (-179.5, 1.0), (0.0, 91.0), (math.nan, 0.0), (0.0, math.inf)]
+    odd += [(math.inf, 0.0), (None, 1.0), (1.0, None), (0.0, 90.0), (0.0, -90.0)]
+    geometries = [("MultiPoint", [[odd]]), *[("Point", [[[p]]]) for p in odd]]
+    for zoom in (1, 18, 19, 30):
+        rows = cell_cover(frame(spark, geometries), zoom).collect()
+        lists = covers(spark, geometries, c.cells_of, zoom)
+        expected = sorted((i, cell) for i, cells in enumerate(lists) for cell in cells)
+        assert sorted((r["id"], r["cell"]) for r in rows) == expected
+
+
+@pytest.mark.parametrize("shaped", [inputs.all_shapes, inputs.lines, inputs.squares])
+def test_shapes_of_one_row_group_are_dealt_to_all_tasks(spark, shaped):
+    df = shaped(spark, "/root/testdata/sf0.001")
+    tasks = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_a_line_is_a_chain_of_neighbours(spark):
     line = ("LineString", [[[(-3.3, 1.1), (17.7, 9.2)]]])
     (cells,) = covers(spark, [line], c.cells_of_line, 8)

@@ -16,6 +16,7 @@ from quadrille.functions.geometry import (
     make_polygon,
     point_struct,
 )
+from quadrille.operators.rows import dealt
 from quadrille.sources.columns import points_from_xy, with_srid
 
 # casts keep Spark from reading the constants as decimals
@@ -77,7 +78,7 @@ def _square():
 
 
 def _shaped(spark: SparkSession, sf_dir: str, shape) -> DataFrame:
-    df = coordinates(spark, sf_dir).withColumn("geometry", shape)
+    df = dealt(coordinates(spark, sf_dir), "k").withColumn("geometry", shape)
     return with_srid(df, 4326)
 
 
