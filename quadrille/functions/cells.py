@@ -400,14 +400,16 @@ def cell_runs(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
 
 
 def _cells_of_runs(runs: Column, zoom: int) -> Column:
-    cells = F.transform(
-        runs,
-        lambda run: F.transform(
-            F.sequence(run["first"], run["last"]),
-            lambda x: quadkey(x, run["row"], zoom),
-        ),
-    )
-    return F.sort_array(F.flatten(cells))
+    def cells_of_run(run: Column) -> Column:
+        return let(
+            row_digits(run["row"], zoom),
+            lambda digits: F.transform(
+                F.sequence(run["first"], run["last"]),
+                lambda x: quadkey_in_row(x, digits, zoom),
+            ),
+        )
+
+    return F.sort_array(F.flatten(F.transform(runs, cells_of_run)))
 
 
 def cells_of_line(geom: Column, zoom: int = DEFAULT_ZOOM) -> Column:
