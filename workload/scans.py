@@ -12,7 +12,7 @@ from quadrille.plans.export import export_features
 from quadrille.plans.imports import import_features, read_stored
 from quadrille.session import scratch_path
 from quadrille.sinks.compact import compact_dataset
-from quadrille.sinks.geoparquet import write_geoparquet
+from quadrille.sinks.geoparquet import header_of, write_geoparquet
 from quadrille.sinks.parquet import cluster_by_cell, write_parquet
 from quadrille.sources.columns import points_from_wkb, points_from_xy
 from quadrille.sources.files import list_part_files, list_partitions, read_footers
@@ -296,8 +296,17 @@ FROM pts WHERE lon <= 45 AND lon+{HALF} >= -30 AND lat <= 50 AND lat+{HALF} >= -
 )
 def squares_in_a_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clustered squares with an extent per row, of which a window is read."""
-    clustered = cluster_by_cell(squares(spark, sf_dir), 8).drop("cell")
-    path = _geoparquet(spark, clustered, "covered", rows_per_file=2000, covering="bbox")
+    placed = squares(spark, sf_dir)
+    clustered = cluster_by_cell(placed, 8).drop("cell")
+    # the header knows no order, so it is taken before the rows are sorted
+    path = _geoparquet(
+        spark,
+        clustered,
+        "covered",
+        rows_per_file=2000,
+        covering="bbox",
+        header=header_of(placed),
+    )
     box = envelope(F.col("geometry"))
     return read_geoparquet(spark, path, window=_WINDOW).select(
         "k", "lon", "lat", *[box[side].alias(side) for side in BOUNDS]
