@@ -9,7 +9,7 @@ from quadrille.sinks import geoparquet
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["export_cells", "centroid"])
+@pytest.mark.parametrize("name", ["export_cells", "compound_shapes", "centroid"])
 def test_rows_of_one_row_group_are_dealt_to_all_tasks(spark, name):
     found = workload.registered()[name](spark, SF_DIR)
     tasks = found.groupBy(F.spark_partition_id()).count().collect()

@@ -25,7 +25,7 @@ from quadrille.functions.geometry import (
 from quadrille.functions.geometry import points as vertices
 from quadrille.functions.wkb import from_wkb, to_wkb
 from quadrille.operators.profile import dataset_bbox, geometry_kinds, row_counts
-from quadrille.operators.rows import cell_cover, cell_rollup
+from quadrille.operators.rows import cell_cover, cell_rollup, dealt
 from quadrille.sinks.exports import (
     export_attributes,
     export_cells,
@@ -272,7 +272,8 @@ def shapes_of_several_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         make_polygon(F.array(square(0.0, 0.0, 1.0), square(0.4375, 0.4375, 0.5))),
     )
-    df = coordinates(spark, sf_dir).select("k", F.explode(shapes).alias("shape"))
+    placed = dealt(coordinates(spark, sf_dir), "k")
+    df = placed.select("k", F.explode(shapes).alias("shape"))
     back = df.select("k", from_wkb(to_wkb(F.col("shape"))).alias("geometry"))
     centre, box = centroid(F.col("geometry")), envelope(F.col("geometry"))
     return back.select(
