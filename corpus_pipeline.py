@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import chosen_path, packing, pii, quality, substrings
-from quadrille.llm.common import stored, text_id
+from quadrille.llm.common import GATHERED_TEXTS, gathered, stored, text_id
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,14 +40,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
         F.xxhash64("text").alias("_digest"),
     )
     single = rows.join(kept, ["_row", "_digest"], "left_semi").dropDuplicates(["_row", "_digest"])
-    return single.select("_all.*")
+    return _few(docs, single.select("_all.*"))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that are in earlier ones."""
     others = [c for c in docs.columns if c != "text"]
     found = substrings.drop_repeated_passages(docs, carry=others, keep_text=True)
-    return _with_text(docs, found.select("row.*", F.col("kept_text").alias("text")))
+    found = found.select("row.*", F.col("kept_text").alias("text"))
+    return _few(docs, _with_text(docs, found))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +58,13 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    packed = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return _few(docs, packed)
+
+
+def _few(docs: DataFrame, made: DataFrame) -> DataFrame:
+    """What a stage made of ``docs``, in as many files as that many texts fill."""
+    return gathered(made, docs.count(), GATHERED_TEXTS)
 
 
 def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:

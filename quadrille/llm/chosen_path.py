@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
+    BLOCK,
     Forest,
     block_tasks,
+    gathered,
     in_blocks,
     map_arrow,
     map_groups,
@@ -161,7 +163,8 @@ def near_documents(
     )
     base = stored(map_arrow(marked, _summaries(shingle), _SUMMARY), "sketches")
     usable = base.where("size > 0")
-    classes = stored(
+    # counts of stored rows are read from the footers
+    classes = (
         usable.groupBy("digest")
         .agg(
             F.count("*").alias("copies"),
@@ -171,24 +174,27 @@ def near_documents(
         )
         .select("*", F.col("lead.id").alias("first"), F.col("lead.mark").alias("lead_mark"))
         .drop("lead")
-        .withColumn("class", F.monotonically_increasing_id()),
-        "classes",
+        .withColumn("class", F.monotonically_increasing_id())
     )
-    pairs = _candidate_edges(classes, threshold, runs_for(recall, threshold))
-    groups = connected_components(pairs).withColumnRenamed("id", "class")
-    members = stored(
-        groups.join(classes.drop("sketch"), "class"),
-        "members",
-    )
-    verified = stored(_verified(marked, members, threshold, shingle), "links")
+    classes = stored(gathered(classes, base.count()), "classes")
+    n_classes = classes.count()
+    runs = runs_for(recall, threshold)
+    pairs = _candidate_edges(classes, threshold, runs)
+    # a class is seldom tied more than once in a run
+    groups = connected_components(pairs, runs * n_classes).withColumnRenamed("id", "class")
+    members = groups.join(classes.drop("sketch"), "class")
+    members = stored(gathered(members, n_classes), "members")
+    verified = _verified(marked, members, threshold, shingle)
+    verified = stored(gathered(verified, members.count(), BLOCK // 8), "links")
     links = (
         verified.where("other IS NULL").groupBy("class").agg(F.sum("links").alias("links"))
     )
     edges = verified.where("other IS NOT NULL").select(
         F.col("class").alias("a"), F.col("other").alias("b")
     )
+    component = connected_components(edges, verified.count())
     component = stored(
-        connected_components(edges).withColumnRenamed("id", "class"), "components"
+        gathered(component.withColumnRenamed("id", "class"), n_classes), "components"
     )
     least = (
         component.join(members.select("class", "first"), "class")
@@ -307,9 +313,10 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
         large = held.join(sizes.where(F.col("count") > SMALL).select("path"), "path")
         if depth == DEPTH:
             break
-        held = stored(
-            map_arrow(sketched(large, "path"), split, fields), "paths"
-        )
+        # a split makes 1.25 rows of one
+        n_split = 2 * held.count()
+        held = map_arrow(sketched(large, "path"), split, fields)
+        held = stored(gathered(held, n_split), "paths")
     leaves = finished[0]
     for more in finished[1:]:
         leaves = leaves.union(more)

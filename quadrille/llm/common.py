@@ -57,6 +57,22 @@ def stored(df: DataFrame, label: str, group_bytes: int = 128 << 20) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task of ``gathered`` is worth, of numbers and sketches, and of texts.
+GATHERED_ROWS = 1 << 15
+GATHERED_TEXTS = 1 << 12
+
+
+def gathered(df: DataFrame, rows: int, per_task: int = GATHERED_ROWS) -> DataFrame:
+    """``df``, of about ``rows`` rows at most, in no more partitions than these fill.
+
+    All rows come; partitions are put together, not dealt anew, and every core keeps one.
+    A few rows in hundreds of shuffle partitions would become hundreds of files, each of
+    which costs a task and, on a local disk, processes that set the file's permissions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(cores, -(-rows // per_task)))
+
+
 def map_arrow(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],

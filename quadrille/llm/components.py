@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import gathered, stored
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, most: int | None = None) -> DataFrame:
     """``id, component`` for every id in ``edges(a, b)``, the component's least id.
 
     Alternates two steps until the edges stay the same: every vertex links its larger
@@ -17,12 +17,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     of rounds grows with the logarithm of the longest path.  Least neighbours are
     aggregates, combined before the shuffle; the edges of a vertex with many of them are
     joined to the one row of its least neighbour and never gathered.  Edges are written
-    to the shared folder after each round.
+    to the shared folder after each round, in as many files as they fill; ``most`` is
+    about the largest number of edges there may be, if known.
     """
     now = edges.select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).where("u > v")
-    now = stored(now.distinct(), "edges")
+    now = now.distinct()
+    now = stored(now if most is None else gathered(now, most), "edges")
     before = None
     while True:
         mark = now.agg(
@@ -31,7 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == before or not mark[0]:
             break
         before = mark
-        now = stored(_small_star(_large_star(now)), "edges")
+        now = stored(gathered(_small_star(_large_star(now)), mark[0]), "edges")
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
         roots.distinct()

@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 from quadrille.llm import queries  # noqa: E402
+from quadrille.llm.common import gathered  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -86,3 +87,57 @@ def test_run(spark):
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 14))
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """More shuffle partitions than a small table has use for, and none put together."""
+    keys = {
+        "spark.sql.shuffle.partitions": "61",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield 61
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _stored_files(spark, label):
+    """Numbers of files of the tables stored under a label, by table."""
+    root = Path(spark.conf.get("spark.checkpoint.dir")) / "quadrille"
+    return {p.name: len(list(p.glob("part-*"))) for p in root.glob(f"{label}-*")}
+
+
+def test_few_rows_fill_few_files(spark, docs, many_partitions):
+    cores = spark.sparkContext.defaultParallelism
+    assert cores < many_partitions
+    labels = ("classes", "paths", "edges", "members", "links", "components")
+    before = {label: _stored_files(spark, label) for label in labels}
+    r = random.Random(17)
+    table = frame(spark, docs + [(5000 + k, prose(r, 30)) for k in range(300)])
+    single = corpus_pipeline.drop_near_copies(spark, table, "unused")
+    assert single.rdd.getNumPartitions() <= cores
+    for label in labels:
+        now = _stored_files(spark, label)
+        new = {k: n for k, n in now.items() if k not in before[label]}
+        assert new and max(new.values()) <= cores, label
+    kept = {i for (i,) in collected(single, "doc_id")}
+    assert {5000 + k for k in range(300)} <= kept and not {4, 5} & kept
+    # frames that have been written have few partitions, so start from the table
+    for stage in (corpus_pipeline.drop_passages, corpus_pipeline.pack):
+        made = stage(spark, table, "unused")
+        assert made.rdd.getNumPartitions() <= cores
+        assert kept <= {i for (i,) in collected(made, "doc_id")}
+
+
+def test_gathered_keeps_rows_and_width(spark):
+    rows = spark.range(0, 1000, 1, 40)
+    cores = spark.sparkContext.defaultParallelism
+    few = gathered(rows, 1000)
+    assert few.rdd.getNumPartitions() == cores
+    assert sorted(i for (i,) in few.collect()) == list(range(1000))
+    # as many partitions as the rows fill, and never more than there were
+    assert gathered(rows, 1000, 50).rdd.getNumPartitions() == 20
+    assert gathered(rows, 1000, 1).rdd.getNumPartitions() == 40
