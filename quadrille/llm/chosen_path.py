@@ -313,10 +313,9 @@ def _candidate_edges(classes: DataFrame, threshold: float, runs: int) -> DataFra
         large = held.join(sizes.where(F.col("count") > SMALL).select("path"), "path")
         if depth == DEPTH:
             break
-        # a split makes 1.25 rows of one
-        n_split = 2 * held.count()
-        held = map_arrow(sketched(large, "path"), split, fields)
-        held = stored(gathered(held, n_split), "paths")
+        held = stored(
+            map_arrow(sketched(large, "path"), split, fields), "paths"
+        )
     leaves = finished[0]
     for more in finished[1:]:
         leaves = leaves.union(more)
